@@ -72,3 +72,22 @@ vehicle_sales AS (
 )"""
 
 LINE_KEY_SQL = ", ".join(LINE_KEY)
+
+
+def events_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Duration-like columns with gaps: value is null where event_id % 7 = 0;
+    a second duration ``value2`` is null where event_id % 5 = 0."""
+    e = read(spark, d, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    return (e.withColumn("value", F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("value")))
+             .withColumn("value2", F.when(F.col("event_id") % 5 == 0, F.lit(None))
+                         .otherwise(F.col("value") * 2)))
+
+
+EVENTS_GAPS_SQL = """
+events_gaps AS (
+  SELECT event_id, ts, user_id, event_type,
+         CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value,
+         CASE WHEN event_id % 5 = 0 THEN NULL ELSE (CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END) * 2 END AS value2,
+         props
+  FROM events
+)"""

@@ -12,6 +12,7 @@ _REG: dict[str, tuple[Callable, str | None]] = {}
 _MODULES = (
     "forecourt.plans.retail",
     "forecourt.plans.cleaning",
+    "forecourt.plans.joins",
 )
 
 

@@ -114,3 +114,185 @@ def previous_sales_features(df: DataFrame, group_cols: list[str], order_cols: li
         z(F.col("_q3")).alias("q3_score_global"),
         z(F.col("_q2")).alias("median_score_global"),
         z(F.col("_q1")).alias("q1_score_global")))
+
+
+def month_window_counts(df: DataFrame, group_cols: list[str], ts_col: str, order_cols: list,
+                        months: int = 6, chunk: Column | None = None) -> DataFrame:
+    """WIN-03: rolling calendar-month counts per group.  For a row at time t:
+      sales_month-k      rows with time strictly inside (t - k months, t - (k-1) months)
+      sales_month-k_cum  rows with time > t - k months (no upper bound)
+    plus prev_sales_check / number_prev_sales; single-row groups get 0
+    everywhere (Q-16: rows exactly on a month boundary fall in no bucket).
+
+    The RANGE frames run on the per-(group, time) count table, not on rows:
+    every row with the same time has the same counts, so the window input
+    is bounded by the number of distinct times per group, whatever the skew."""
+    g = list(group_cols)
+    daily = df.groupBy(*g, ts_col).agg(F.count(F.lit(1)).alias("_c"))
+    part = ", ".join(f"`{c}`" for c in g)
+
+    def frame(lo, hi):
+        lo_s = "UNBOUNDED PRECEDING" if lo is None else (
+            "CURRENT ROW" if lo == 0 else f"INTERVAL '{lo}' MONTH PRECEDING")
+        hi_s = "CURRENT ROW" if hi == 0 else f"INTERVAL '{hi}' MONTH PRECEDING"
+        return (f"coalesce(sum(_c) OVER (PARTITION BY {part} ORDER BY `{ts_col}` "
+                f"RANGE BETWEEN {lo_s} AND {hi_s}), 0)")
+
+    exprs = [f"sum(_c) OVER (PARTITION BY {part}) AS _n"]
+    for k in range(1, months + 1):
+        exprs.append(f"{frame(k, k - 1)} - {frame(k, k)} - {frame(k - 1, k - 1)} AS `_m{k}`")
+        exprs.append(f"sum(_c) OVER (PARTITION BY {part}) - {frame(None, k)} AS `_mc{k}`")
+    counts = daily.selectExpr(*g, ts_col, *exprs)
+    rows = chunked_running(df, g, order_cols, chunk, sum_cols=[], lag_cols=[], prefix="_w")
+    out = rows.join(counts, on=[*g, ts_col], how="inner")
+    multi = F.col("_n") > 1
+    cols = [F.when(multi & (F.col("_w_rn") > 1), 1).otherwise(0).cast("bigint").alias("prev_sales_check"),
+            F.when(multi, F.col("_w_rn") - 1).otherwise(0).cast("bigint").alias("number_prev_sales")]
+    for k in range(1, months + 1):
+        cols.append(F.when(multi, F.col(f"_m{k}")).otherwise(0).cast("bigint").alias(f"sales_month-{k}"))
+    for k in range(1, months + 1):
+        cols.append(F.when(multi, F.col(f"_mc{k}")).otherwise(0).cast("bigint").alias(f"sales_month-{k}_cum"))
+    return out.select(*df.columns, *cols)
+
+
+def net_negative_movements(df: DataFrame, order_col: str, date_col: str, qty: str, value: str,
+                           cost: str, margin: str, tie_cols: list, mode: str = "sales") -> DataFrame:
+    """WIN-10: netting of reversed movements within an order.
+
+    sales mode: every negative-quantity row is removed; a positive row with
+    the same order, date and exactly opposite quantity, value, cost and margin
+    is removed once per negative (the first ones in ``tie_cols`` order), i.e.
+    per match key min(#negatives, #positives) positives go.
+    purchases mode (match on order, quantity, cost and part given as
+    ``value``): only the latest matching positive goes, once per key.
+
+    Only positives whose key has a negative are windowed; the rest pass
+    through an anti join, so the window touches the (rare) reversed keys."""
+    if mode == "sales":
+        pk = [F.col(order_col).alias("_k0"), F.col(date_col).alias("_k1"), F.col(qty).alias("_k2"),
+              F.col(value).alias("_k3"), F.col(cost).alias("_k4"), F.col(margin).alias("_k5")]
+        nk = [F.col(order_col).alias("_k0"), F.col(date_col).alias("_k1"), (-F.col(qty)).alias("_k2"),
+              (-F.col(value)).alias("_k3"), (-F.col(cost)).alias("_k4"), (-F.col(margin)).alias("_k5")]
+    else:
+        pk = [F.col(order_col).alias("_k0"), F.col(qty).alias("_k2"), F.col(cost).alias("_k4"),
+              F.col(value).alias("_k3")]
+        nk = [F.col(order_col).alias("_k0"), F.abs(F.col(qty)).alias("_k2"), F.abs(F.col(cost)).alias("_k4"),
+              F.col(value).alias("_k3")]
+    keys = ["_k0", "_k1", "_k2", "_k3", "_k4", "_k5"] if mode == "sales" else ["_k0", "_k2", "_k4", "_k3"]
+    negs = df.filter(F.col(qty) < 0).select(*nk).groupBy(*keys).agg(F.count(F.lit(1)).alias("_nneg"))
+    pos = df.filter(F.col(qty) >= 0).select("*", *pk)
+    untouched = pos.join(negs, keys, "left_anti")
+    touched = pos.join(negs, keys, "inner")
+    if mode == "sales":
+        w = Window.partitionBy(*keys).orderBy(*_cols(tie_cols))
+        touched = touched.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > F.col("_nneg"))
+    else:
+        w = Window.partitionBy(*keys).orderBy(F.col(date_col).desc(), *_cols(tie_cols))
+        touched = touched.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 1)
+    return untouched.select(*df.columns).unionByName(touched.select(*df.columns))
+
+
+def diff_prev(df: DataFrame, keys: list[str], order_cols: list, col: str, out: str) -> DataFrame:
+    """WIN-04: difference to the previous value in the group, first = 0."""
+    w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
+    return df.withColumn(out, F.coalesce(F.col(col) - F.lag(col).over(w), F.lit(0).cast(df.schema[col].dataType)))
+
+
+def keep_group_max(df: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """WIN-05: keep rows equal to their group's maximum (ties kept), as a
+    groupBy + join (partial aggregation, skew-safe)."""
+    mx = df.groupBy(*keys).agg(F.max(col).alias("_mx"))
+    return df.join(mx, keys, "inner").filter(F.col(col) == F.col("_mx")).drop("_mx")
+
+
+def _repeated_reading_groups(df, keys, order_cols, kms, date_col):
+    w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
+    x = df.withColumn("_pos", F.row_number().over(w))
+    grp = (x.groupBy(*keys, kms)
+             .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_pmin"), F.max("_pos").alias("_pmax"),
+                  F.min(date_col).alias("_dmin"), F.max(date_col).alias("_dmax"),
+                  F.max_by(date_col, "_pos").alias("_dlast"))
+             .filter((F.col("_cnt") > 1) & (F.col("_pmax") - F.col("_pmin") + 1 > F.col("_cnt"))))
+    return x, grp
+
+
+def mileage_repair_between(df: DataFrame, keys: list[str], order_cols: list, kms: str = "kms",
+                           date_col: str = "day") -> DataFrame:
+    """WIN-06 (solution 1): for a reading repeated at non-adjacent positions,
+    delete the readings dated strictly between its first and last date that
+    are lower than it.  Range anti join on the vehicle key; the repeated
+    groups side is tiny (only inconsistent histories produce it)."""
+    x, grp = _repeated_reading_groups(df, keys, order_cols, kms, date_col)
+    g = grp.select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col(kms).alias("_gk"), "_dmin", "_dmax")
+    cond = [F.col(k) == F.col(f"_g_{k}") for k in keys] + [
+        F.col(date_col) > F.col("_dmin"), F.col(date_col) < F.col("_dmax"), F.col(kms) < F.col("_gk")]
+    from functools import reduce as _r
+    return x.join(g, _r(lambda a, b: a & b, cond), "left_anti").drop("_pos")
+
+
+def mileage_repair_last_pair(df: DataFrame, keys: list[str], order_cols: list, kms: str = "kms",
+                             date_col: str = "day") -> DataFrame:
+    """WIN-07 (solution 2): for the same situation take the last two equal
+    readings, find the first date strictly between them, and delete every
+    reading from the first equal reading's date up to (excluding) that date.
+    No reading strictly between the last two means no deletion (Q-12)."""
+    from functools import reduce as _r
+    w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
+    x = df.withColumn("_pos", F.row_number().over(w))
+    wk = Window.partitionBy(*keys, kms).orderBy(F.col("_pos").desc())
+    ranked = x.withColumn("_rd", F.row_number().over(wk))
+    grp = (ranked.groupBy(*keys, kms)
+                 .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_pmin"), F.max("_pos").alias("_pmax"),
+                      F.min(date_col).alias("_dmin"),
+                      F.max(F.when(F.col("_rd") == 1, F.col(date_col))).alias("_db"),
+                      F.max(F.when(F.col("_rd") == 2, F.col(date_col))).alias("_da"))
+                 .filter((F.col("_cnt") > 1) & (F.col("_pmax") - F.col("_pmin") + 1 > F.col("_cnt"))))
+    g = grp.select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col(kms).alias("_gk"), "_dmin", "_da", "_db")
+    between = x.join(g, _r(lambda a, b: a & b, [F.col(k) == F.col(f"_g_{k}") for k in keys] + [
+        F.col(date_col) > F.col("_da"), F.col(date_col) < F.col("_db")]), "inner")
+    cut = between.groupBy(*[f"_g_{k}" for k in keys], "_gk", "_dmin").agg(F.min(date_col).alias("_dcut"))
+    cond = [F.col(k) == F.col(f"_g_{k}") for k in keys] + [
+        F.col(date_col) >= F.col("_dmin"), F.col(date_col) < F.col("_dcut")]
+    return x.join(cut, _r(lambda a, b: a & b, cond), "left_anti").drop("_pos")
+
+
+def group_fill(df: DataFrame, keys: list[str], order_cols: list, cols: list[str],
+               ffill: bool = True, bfill: bool = True, zero: bool = True) -> DataFrame:
+    """WIN-08 / WIN-09: forward fill, then back fill, then 0 within a group
+    (each step optional, for the three column classes of the ledger)."""
+    w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
+    fw = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bw = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    out = df
+    for c in cols:
+        e = F.col(c)
+        if ffill:
+            e = F.coalesce(e, F.last(c, ignorenulls=True).over(fw))
+        if bfill:
+            e = F.coalesce(e, F.first(c, ignorenulls=True).over(bw))
+        if zero:
+            e = F.coalesce(e, F.lit(0).cast(df.schema[c].dataType))
+        out = out.withColumn(c, e)
+    return out
+
+
+def quantity_share(df: DataFrame, group_cols: list[str], score: str, order_size: int,
+                   order_cols: list, repair: bool = True, out: str = "quantity") -> DataFrame:
+    """WIN-16 / WIN-17: order quantity by score share, rounded half-even.
+    With ``repair`` the shortage is added to the first row (best score) and
+    the excess is taken from the last positive row; zero rows dropped."""
+    g = list(group_cols)
+    wg = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    share = F.try_divide(F.col(score), F.sum(score).over(wg)) * order_size
+    x = df.withColumn("_q", F.bround(share.cast("decimal(38,10)"), 0).cast("double"))
+    if not repair:
+        return x.withColumn(out, F.col("_q").cast("bigint")).drop("_q")
+    wo = (Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))).orderBy(*_cols(order_cols))
+    x = (x.withColumn("_tot", F.sum("_q").over(wg))
+          .withColumn("_rn", F.row_number().over(wo))
+          .withColumn("_lastpos", F.max(F.when(F.col("_q") > 0, F.col("_rn"))).over(wg)))
+    diff = F.lit(order_size) - F.col("_tot")
+    q = (F.col("_q") + F.when((diff > 0) & (F.col("_rn") == 1), diff).otherwise(0)
+         + F.when((diff < 0) & (F.col("_rn") == F.col("_lastpos")), diff).otherwise(0))
+    return (x.withColumn(out, q.cast("bigint")).filter(F.col(out) != 0)
+             .drop("_q", "_tot", "_rn", "_lastpos"))

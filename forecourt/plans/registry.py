@@ -13,6 +13,7 @@ _MODULES = (
     "forecourt.plans.retail",
     "forecourt.plans.cleaning",
     "forecourt.plans.joins",
+    "forecourt.plans.windows",
 )
 
 

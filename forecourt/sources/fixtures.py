@@ -91,3 +91,79 @@ events_gaps AS (
          props
   FROM events
 )"""
+
+
+def importer_sales(spark: SparkSession, d: str) -> DataFrame:
+    """Importer sales: one row per line, configuration = (brand, type),
+    registration time = ship date."""
+    p = read(spark, d, "part", "p_partkey", "p_brand", "p_type")
+    li = read(spark, d, "lineitem", *LINE_KEY, "l_shipdate")
+    return li.join(p, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
+
+
+IMPORTER_SQL = """
+importer_sales AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_shipdate, p.p_brand, p.p_type
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+)"""
+
+
+def part_movements(spark: SparkSession, d: str) -> DataFrame:
+    """Part sale movements with reversed copies: every returned line of a
+    part key divisible by 3 gets a negated copy (copy 1), even line numbers a
+    second one (copy 2: two negatives against one positive), and line 1 of
+    part keys = 1 mod 3 gets an unmatched negative (copy 3)."""
+    li = read(spark, d, "lineitem", *LINE_KEY, "l_discount", "l_returnflag", "l_shipdate")
+    base = li.select(*LINE_KEY, F.to_date("l_shipdate").alias("day"),
+                     F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("sale_value"),
+                     (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("cost"),
+                     (F.col("l_extendedprice") * F.col("l_discount")).alias("margin"),
+                     "l_returnflag")
+    pos = base.withColumn("copy", F.lit(0))
+    r3 = (F.col("l_returnflag") == "R") & (F.col("l_partkey") % 3 == 0)
+    neg = [F.col(c) for c in ("qty", "sale_value", "cost", "margin")]
+
+    def negated(df, copy, qty_expr=None):
+        return df.select(*LINE_KEY, "day", (qty_expr if qty_expr is not None else -F.col("qty")).alias("qty"),
+                         (-F.col("sale_value")).alias("sale_value"), (-F.col("cost")).alias("cost"),
+                         (-F.col("margin")).alias("margin"), "l_returnflag", F.lit(copy).alias("copy"))
+    del neg
+    n1 = negated(base.filter(r3), 1)
+    n2 = negated(base.filter(r3 & (F.col("l_linenumber") % 2 == 0)), 2)
+    n3 = negated(base.filter((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 3 == 1) & (F.col("l_linenumber") == 1)),
+                 3, -(F.col("qty") + 0.5))
+    return pos.unionByName(n1).unionByName(n2).unionByName(n3).drop("l_returnflag")
+
+
+MOVEMENTS_SQL = """
+mv_base AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, CAST(l_shipdate AS DATE) AS day,
+         l_quantity AS qty, l_extendedprice AS sale_value, l_extendedprice * (1 - l_discount) AS cost,
+         l_extendedprice * l_discount AS margin, l_returnflag
+  FROM lineitem),
+movements AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, day, qty, sale_value, cost, margin, 0 AS copy FROM mv_base
+  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, day, -qty, -sale_value, -cost, -margin, 1
+    FROM mv_base WHERE l_returnflag = 'R' AND l_partkey % 3 = 0
+  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, day, -qty, -sale_value, -cost, -margin, 2
+    FROM mv_base WHERE l_returnflag = 'R' AND l_partkey % 3 = 0 AND l_linenumber % 2 = 0
+  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, day, -(qty + 0.5), -sale_value, -cost, -margin, 3
+    FROM mv_base WHERE l_returnflag = 'R' AND l_partkey % 3 = 1 AND l_linenumber = 1
+)"""
+
+
+def odometer(spark: SparkSession, d: str) -> DataFrame:
+    """Odometer visits: vehicle = user, owner = event type, visit day, work
+    order = event id, mileage = floor(value / 20)."""
+    e = read(spark, d, "events", "event_id", "ts", "user_id", "event_type", "value")
+    return e.select(F.col("user_id").alias("vehicle"), F.col("event_type").alias("owner"),
+                    F.to_date("ts").alias("day"), "event_id",
+                    F.floor(F.col("value") / 20).cast("bigint").alias("kms"))
+
+
+ODOMETER_SQL = """
+odometer AS (
+  SELECT user_id AS vehicle, event_type AS owner, CAST(ts AS DATE) AS day, event_id,
+         CAST(floor(value / 20) AS BIGINT) AS kms
+  FROM events
+)"""

@@ -70,3 +70,139 @@ def multi_grain_averages(df: DataFrame, base: list[str], grains: list[tuple[str,
               .alias(f"{name}{tag}") for i, (name, _) in enumerate(measures)])
         out = out.join(part, on=s, how="inner")
     return out
+
+
+def mode_value(col: str) -> Column:
+    """Deterministic mode: highest count, then the smallest value."""
+    return F.mode(F.col(col), True)
+
+
+def column_profile(df: DataFrame, kind: str = "null") -> DataFrame:
+    """AGG-10 / AGG-11 / AGG-12: one aggregation pass over all columns, then
+    unpivoted to (column_name, column_type, n, pct).  kind: null | pos_inf |
+    neg_inf | zero."""
+    def hit(c, t):
+        if kind == "null":
+            return F.col(c).isNull()
+        numeric = t in ("double", "float") or t.startswith("decimal") or t in ("int", "bigint", "smallint")
+        if not numeric:
+            return F.lit(False)
+        if kind == "pos_inf":
+            return F.col(c) == F.lit(float("inf"))
+        if kind == "neg_inf":
+            return F.col(c) == F.lit(float("-inf"))
+        return F.col(c) == 0
+    cols = df.dtypes
+    agg = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[F.sum(F.coalesce(hit(c, t), F.lit(False)).cast("bigint")).alias(f"_h{i}") for i, (c, t) in enumerate(cols)])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("column_type"),
+                              F.col(f"_h{i}").alias("n")) for i, (c, t) in enumerate(cols)])
+    return (agg.select("_rows", F.explode(rows).alias("r"))
+               .select("r.column_name", "r.column_type", F.col("r.n").cast("bigint").alias("n"),
+                       (F.col("r.n") / F.col("_rows") * 100).alias("pct")))
+
+
+def relative_histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
+    """AGG-13: equal-width histogram between min and max (last bin closed),
+    as relative frequency in percent, with the bin centres.  Bounds and count
+    are scalar subqueries (computed once, no join)."""
+    lo = df.agg(F.min(col)).scalar()
+    hi = df.agg(F.max(col)).scalar()
+    n = df.agg(F.count(col)).scalar()
+    width = (hi - lo) / bins
+    b = F.least(F.floor((F.col(col) - lo) / (hi - lo) * bins), F.lit(bins - 1))
+    x = df.filter(F.col(col).isNotNull()).withColumn("bin", F.when(hi == lo, F.lit(0)).otherwise(b).cast("bigint"))
+    return (x.groupBy("bin").agg(F.count(F.lit(1)).alias("cnt"))
+             .select("bin", (lo + (F.col("bin") + 0.5) * width).alias("bin_center"),
+                     (F.col("cnt") * 100.0 / n).alias("rel_freq")))
+
+
+def empirical_cdf(df: DataFrame, col: str, tie_cols: list) -> DataFrame:
+    """AGG-13: sorted values against evenly spaced cumulative fractions
+    0..1 (n points), i.e. position / (n - 1)."""
+    from forecourt.operators.clean import sequence_number
+    n = df.agg(F.count(F.lit(1))).scalar()
+    s = sequence_number(df.select(col, *[c for c in tie_cols if isinstance(c, str)]), [col, *tie_cols], out="position")
+    return s.select(col, "position", F.when(n > 1, F.col("position") / (n - 1)).otherwise(0.0).alias("cdf"))
+
+
+def duplicated_key_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """AGG-14: all rows whose key occurs more than once."""
+    dup = df.groupBy(*keys).count().filter("count > 1").select(*keys)
+    return df.join(dup, keys, "left_semi")
+
+
+def group_number(df: DataFrame, keys: list[str], out: str = "group_id") -> DataFrame:
+    """AGG-16: number of each key combination in sorted key order (0-based),
+    null keys get -1.  Distinct keys are numbered (range-partitioned, no
+    single-partition window) and joined back."""
+    from forecourt.operators.clean import sequence_number
+    nonnull = F.lit(True)
+    for k in keys:
+        nonnull = nonnull & F.col(k).isNotNull()
+    ks = df.filter(nonnull).select(*keys).distinct()
+    ids = sequence_number(ks, keys, out=out)
+    return (df.join(ids, keys, "left").withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("bigint")))
+
+
+def tokens(text: Column, pattern: str = "[^a-z0-9]+") -> Column:
+    """Lower-case tokens (non-empty) of a text."""
+    return F.filter(F.split(F.lower(text), pattern), lambda t: t != "")
+
+
+def word_unit_frequency(df: DataFrame, unit: str, text: str, threshold: int = 0) -> DataFrame:
+    """AGG-18: word -> number of distinct units whose text contains it,
+    kept when above the threshold."""
+    words = df.select(unit, F.explode(F.array_distinct(tokens(F.col(text)))).alias("word"))
+    return (words.groupBy("word").agg(F.count_distinct(unit).alias("n_units"))
+                 .filter(F.col("n_units") > threshold))
+
+
+def top_ngrams(df: DataFrame, group: str, order_col: str, text: str, k: int = 3) -> DataFrame:
+    """AGG-19 / AGG-20: top-k unigrams and bigrams of each group's texts
+    concatenated in ``order_col`` order (bigrams cross text borders, as the
+    concatenation does).  Within-text bigrams come from the token arrays;
+    border bigrams from each text's last token and the next text's first
+    token (a window over texts, not over tokens).  Ties: count desc, n-gram
+    asc."""
+    from pyspark.sql import Window
+    t = df.select(group, order_col, tokens(F.col(text)).alias("_t")).filter(F.size("_t") > 0)
+    uni = t.select(group, F.explode("_t").alias("ngram")).withColumn("n", F.lit(1))
+    inner = t.filter(F.size("_t") > 1).select(group, F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("_t") - 1),
+        lambda i: F.concat_ws(" ", F.element_at("_t", i), F.element_at("_t", i + 1)))).alias("ngram"))
+    w = Window.partitionBy(group).orderBy(order_col)
+    border = (t.select(group, F.element_at("_t", -1).alias("_last"),
+                       F.lead(F.element_at("_t", 1)).over(w).alias("_next"))
+               .filter(F.col("_next").isNotNull())
+               .select(group, F.concat_ws(" ", "_last", "_next").alias("ngram")))
+    bi = inner.unionByName(border).withColumn("n", F.lit(2))
+    counts = uni.unionByName(bi).groupBy(group, "n", "ngram").agg(F.count(F.lit(1)).alias("cnt"))
+    wr = Window.partitionBy(group, "n").orderBy(F.desc("cnt"), "ngram")
+    return counts.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
+
+
+def group_ordered_set(df: DataFrame, key: str, value: str, out: str = "members") -> DataFrame:
+    """AGG-30: key -> sorted distinct members."""
+    return df.groupBy(key).agg(F.array_sort(F.collect_set(value)).alias(out))
+
+
+def drop_rows_lacking(df: DataFrame, group: str, date_cols: list[str]) -> DataFrame:
+    """AGG-31: within a group, for each date column in sequence, drop the
+    rows lacking that date when some row of the group has it."""
+    out = df
+    for c in date_cols:
+        has = out.groupBy(group).agg(F.count(c).alias("_has"))
+        out = (out.join(has, group, "left")
+                  .filter(F.col(c).isNotNull() | (F.col("_has") == 0)).drop("_has"))
+    return out
+
+
+def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """AGG-33: Pearson correlation of every column pair in one aggregation
+    pass, returned long (col_a, col_b, corr)."""
+    pairs = [(a, b) for a in cols for b in cols]
+    agg = df.agg(*[F.corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    arr = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_c{i}").alias("corr"))
+                    for i, (a, b) in enumerate(pairs)])
+    return agg.select(F.explode(arr).alias("r")).select("r.*")

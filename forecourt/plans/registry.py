@@ -14,6 +14,7 @@ _MODULES = (
     "forecourt.plans.cleaning",
     "forecourt.plans.joins",
     "forecourt.plans.windows",
+    "forecourt.plans.aggregates",
 )
 
 

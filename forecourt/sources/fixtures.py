@@ -167,3 +167,24 @@ odometer AS (
          CAST(floor(value / 20) AS BIGINT) AS kms
   FROM events
 )"""
+
+
+def lang_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Confusion-matrix input: actual = documents.lang, predicted = a word
+    rule on the text."""
+    doc = read(spark, d, "documents", "doc_id", "text", "lang")
+    t = F.col("text")
+    pred = (F.when(t.contains(" the "), "en")
+             .when(t.contains(" le ") | t.contains(" la "), "fr")
+             .when(t.contains(" der ") | t.contains(" und "), "de").otherwise("es"))
+    return doc.select("doc_id", F.col("lang").alias("actual"), pred.alias("predicted"))
+
+
+LANG_PRED_SQL = """
+lang_pred AS (
+  SELECT doc_id, lang AS actual,
+         CASE WHEN contains(text, ' the ') THEN 'en'
+              WHEN contains(text, ' le ') OR contains(text, ' la ') THEN 'fr'
+              WHEN contains(text, ' der ') OR contains(text, ' und ') THEN 'de' ELSE 'es' END AS predicted
+  FROM documents
+)"""

@@ -206,3 +206,72 @@ def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
     arr = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_c{i}").alias("corr"))
                     for i, (a, b) in enumerate(pairs)])
     return agg.select(F.explode(arr).alias("r")).select("r.*")
+
+
+def vehicle_collapse(df: DataFrame, keys: list[str], order_cols: list, date_col: str, qty_col: str,
+                     measures: list[str], supports: list[str], second_date_col: str,
+                     reg_col: str, chs_doc_col: str, rgn_doc_col: str, keep_cols: list[str]) -> DataFrame:
+    """AGG-32 (Q-07): one row per vehicle key.
+
+    Groups are dropped when all measures sum to 0, when they are a single row
+    of quantity 0, or when no row has an invoice date.  d0 = earliest invoice
+    date; the picked row is the first (in ``order_cols``) with date d0 and
+    quantity 1 when the group has several distinct dates, else the first with
+    date d0; its quantity Q overwrites the group.  With E1 = sum of the first
+    measure over rows dated d0 or undated and E2 = the same over rows dated
+    d0 or (Q = 1): every measure is the sum over rows dated d0 or undated if
+    E1 != 0, else the sum over all rows if E2 = 0, else the sum over rows
+    dated d0 when Q = 1 (nothing otherwise).  Support measures sum over rows
+    dated d0.  The first row of the group provides the other columns; one of
+    four status flags is set from the distinct document counts.
+
+    Two aggregations on the same key (partial aggregation map-side) and one
+    join; no per-group Python."""
+    nonnull = F.lit(True)
+    for k in keys:
+        nonnull = nonnull & F.col(k).isNotNull()
+    x = df.filter(nonnull)
+    total = None
+    for m in measures:
+        total = F.col(m) if total is None else total + F.col(m)
+    st = x.groupBy(*keys).agg(F.min(date_col).alias("_d0"), F.count_distinct(date_col).alias("_nd"),
+                              F.count(date_col).alias("_ndated"), F.count(F.lit(1)).alias("_rows"),
+                              F.sum(total).alias("_msum"),
+                              F.min(qty_col).alias("_qmin"))
+    st = st.filter((F.col("_msum") != 0) & (F.col("_ndated") > 0)
+                   & ~((F.col("_rows") == 1) & (F.col("_qmin") == 0)))
+    j = x.join(st, keys, "inner")
+    at_d0 = F.col(date_col) == F.col("_d0")
+    prio = (F.when(at_d0 & (F.col(qty_col) == 1) & (F.col("_nd") > 1), 0)
+             .when(at_d0, 1).otherwise(2))
+    order = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_cols])
+    d0_or_null = at_d0 | F.col(date_col).isNull()
+    aggs_ = [F.min_by(qty_col, F.struct(prio.alias("p"), order.alias("o"))).alias("_Q"),
+             F.min_by(F.struct(*keep_cols), order).alias("_first"),
+             F.min(date_col).alias(date_col), F.min(second_date_col).alias(second_date_col),
+             F.count_distinct(reg_col).alias("_nreg"), F.count_distinct(chs_doc_col).alias("_nchs"),
+             F.count_distinct(rgn_doc_col).alias("_nrgn")]
+    for i, m in enumerate(measures + supports):
+        aggs_ += [F.sum(F.when(at_d0, F.col(m)).otherwise(0)).alias(f"_a{i}"),
+                  F.sum(F.when(d0_or_null, F.col(m)).otherwise(0)).alias(f"_b{i}"),
+                  F.sum(F.col(m)).alias(f"_c{i}")]
+    g = j.groupBy(*keys).agg(*aggs_)
+    q1 = F.col("_Q") == 1
+    e1 = F.col("_b0")
+    e2 = F.when(q1, F.col("_c0")).otherwise(F.col("_a0"))
+    out = [*[F.col(k) for k in keys], *[F.col(f"_first.{c}").alias(c) for c in keep_cols],
+           F.col("_Q").alias(qty_col), F.col(date_col), F.col(second_date_col)]
+    for i, m in enumerate(measures):
+        out.append(F.when(e1 != 0, F.col(f"_b{i}"))
+                    .when(e2 == 0, F.col(f"_c{i}"))
+                    .otherwise(F.when(q1, F.col(f"_a{i}")).otherwise(F.lit(0.0))).alias(m))
+    for i, s in enumerate(supports):
+        out.append(F.col(f"_a{i + len(measures)}").alias(s))
+    reg, chs, rgn = F.col("_nreg") > 0, F.col("_nchs") > 0, F.col("_nrgn") > 0
+    status = (F.when(~reg & chs, "No_Registration_Number_Flag")
+               .when(reg & chs & ~rgn, "Registration_Number_No_SLR_Document_RGN_Flag")
+               .when(chs & rgn, "SLR_Document_RGN_Flag").otherwise("Undefined_VHE_Status"))
+    for flag in ("No_Registration_Number_Flag", "Registration_Number_No_SLR_Document_RGN_Flag",
+                 "SLR_Document_RGN_Flag", "Undefined_VHE_Status"):
+        out.append((status == flag).cast("bigint").alias(flag))
+    return g.select(*out)

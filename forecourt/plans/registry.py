@@ -15,6 +15,8 @@ _MODULES = (
     "forecourt.plans.joins",
     "forecourt.plans.windows",
     "forecourt.plans.aggregates",
+    "forecourt.plans.jobs_importer",
+    "forecourt.plans.parts",
 )
 
 

@@ -188,3 +188,70 @@ lang_pred AS (
               WHEN contains(text, ' der ') OR contains(text, ' und ') THEN 'de' ELSE 'es' END AS predicted
   FROM documents
 )"""
+
+
+def collapse_input(spark: SparkSession, d: str) -> DataFrame:
+    """Vehicle-collapse input: chassis = order, plate = line number (real
+    duplicate groups), invoice date null for open lines, quantity = part key
+    parity, measures from price / discount / tax / quantity."""
+    li = read(spark, d, "lineitem", *LINE_KEY, "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    return li.select(
+        *LINE_KEY,
+        F.when(F.col("l_linestatus") == "O", F.lit(None)).otherwise(F.col("l_shipdate")).alias("invoice_date"),
+        F.date_add(F.col("l_shipdate"), 3).alias("registration_date"),
+        (F.col("l_partkey") % 2).cast("bigint").alias("quantity"),
+        F.col("l_extendedprice").alias("measure_2"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("measure_3"),
+        (F.col("l_extendedprice") * F.col("l_tax")).alias("measure_4"),
+        F.when(F.col("l_returnflag") == "A", 0.0).otherwise(F.col("l_quantity")).alias("measure_5"),
+        F.col("l_discount").alias("measure_13"), F.col("l_tax").alias("measure_14"),
+        F.col("l_linenumber").cast("string").alias("registration_number"),
+        F.concat(F.lit("C"), F.col("l_suppkey").cast("string")).alias("doc_chs"),
+        F.when(F.col("l_returnflag") == "N", F.lit(None)).otherwise(F.concat(F.lit("R"), F.col("l_partkey").cast("string"))).alias("doc_rgn"))
+
+
+COLLAPSE_SQL = """
+collapse_input AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+         CASE WHEN l_linestatus = 'O' THEN NULL ELSE l_shipdate END AS invoice_date,
+         CAST(l_shipdate AS DATE) + 3 AS registration_date,
+         CAST(l_partkey % 2 AS BIGINT) AS quantity,
+         l_extendedprice AS measure_2, l_extendedprice * l_discount AS measure_3, l_extendedprice * l_tax AS measure_4,
+         CASE WHEN l_returnflag = 'A' THEN 0.0 ELSE l_quantity END AS measure_5,
+         l_discount AS measure_13, l_tax AS measure_14,
+         CAST(l_linenumber AS VARCHAR) AS registration_number, 'C' || CAST(l_suppkey AS VARCHAR) AS doc_chs,
+         CASE WHEN l_returnflag = 'N' THEN NULL ELSE 'R' || CAST(l_partkey AS VARCHAR) END AS doc_rgn
+  FROM lineitem
+)"""
+
+
+def parts_movements(spark: SparkSession, d: str) -> DataFrame:
+    """Part movements for the ledger: lines of orders with status F are
+    purchases, P regulations, O sales; urgent = priority 1 or 2."""
+    li = read(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    o = read(spark, d, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    x = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return x.select(
+        F.col("l_partkey").alias("part"), F.to_date("l_shipdate").alias("day"),
+        F.when(F.col("o_orderstatus") == "F", "purchase").when(F.col("o_orderstatus") == "P", "regulation")
+         .otherwise("sale").alias("kind"),
+        F.col("l_quantity").alias("qty"),
+        (F.col("l_extendedprice") / F.col("l_quantity") * 0.7).alias("unit_cost"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("urgent"))
+
+
+def opening_stock(spark: SparkSession, d: str) -> DataFrame:
+    p = read(spark, d, "part", "p_partkey", "p_size")
+    return p.select(F.col("p_partkey").alias("part"), (F.col("p_size") + 100).cast("double").alias("stock_qty"))
+
+
+PARTS_MV_SQL = """
+pmv AS (
+  SELECT l.l_partkey AS part, CAST(l.l_shipdate AS DATE) AS day,
+         CASE WHEN o.o_orderstatus = 'F' THEN 'purchase' WHEN o.o_orderstatus = 'P' THEN 'regulation' ELSE 'sale' END AS kind,
+         l.l_quantity AS qty, l.l_extendedprice / l.l_quantity * 0.7 AS unit_cost, l.l_extendedprice / l.l_quantity AS unit_price,
+         o.o_orderpriority IN ('1-URGENT', '2-HIGH') AS urgent
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+),
+opening AS (SELECT p_partkey AS part, CAST(p_size + 100 AS DOUBLE) AS stock_qty FROM part)"""

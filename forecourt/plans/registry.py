@@ -17,6 +17,7 @@ _MODULES = (
     "forecourt.plans.aggregates",
     "forecourt.plans.jobs_importer",
     "forecourt.plans.parts",
+    "forecourt.plans.text",
 )
 
 

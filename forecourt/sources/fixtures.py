@@ -255,3 +255,16 @@ pmv AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 opening AS (SELECT p_partkey AS part, CAST(p_size + 100 AS DOUBLE) AS stock_qty FROM part)"""
+
+
+def requests(spark: SparkSession, d: str) -> DataFrame:
+    """Service-desk requests: request = document, description = its text,
+    customer = doc_id mod 97, category = source, language = lang."""
+    doc = read(spark, d, "documents", "doc_id", "text", "lang", "source")
+    return doc.select(F.col("doc_id").alias("request_num"), F.col("text").alias("description"),
+                      (F.col("doc_id") % 97).alias("customer_id"), F.col("source").alias("category"),
+                      F.col("lang").alias("language"))
+
+
+REQUESTS_SQL = """
+requests AS (SELECT doc_id AS request_num, text AS description, doc_id % 97 AS customer_id, source AS category, lang AS language FROM documents)"""

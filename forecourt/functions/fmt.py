@@ -41,3 +41,23 @@ def big(c: Column | str) -> Column:
 
 def sql_big(expr: str) -> str:
     return f"CAST(({expr}) AS BIGINT)"
+
+
+def mean_money(c: Column | str, k: int = 4) -> Column:
+    """Exact half-even rounded mean of 2-decimal amounts (an aggregate):
+    decimal average (scale 10) then half-even to ``k`` places."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.bround(F.avg(c.cast("decimal(24,6)")), k).cast("double")
+
+
+def sql_mean_money(expr: str, k: int = 4) -> str:
+    """SQL twin of ``mean_money``: integer arithmetic on cents so the
+    half-even tie rule is applied to the exact mean (DuckDB's decimal
+    average returns a double)."""
+    s = f"sum(CAST(round(({expr}) * 100) AS HUGEINT))"
+    n = f"count({expr})"
+    num = f"(abs({s}) * {10 ** (k - 2)})"
+    q = f"({num} // {n})"
+    r = f"({num} - {q} * {n})"
+    rounded = f"(CASE WHEN 2 * {r} > {n} THEN {q} + 1 WHEN 2 * {r} = {n} THEN {q} + ({q} % 2) ELSE {q} END)"
+    return f"CAST(sign({s}) * {rounded} AS DOUBLE) / {10 ** k}"

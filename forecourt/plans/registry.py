@@ -18,6 +18,7 @@ _MODULES = (
     "forecourt.plans.jobs_importer",
     "forecourt.plans.parts",
     "forecourt.plans.text",
+    "forecourt.plans.measures",
 )
 
 

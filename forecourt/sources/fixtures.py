@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecourt.functions.fmt import mean_money, sql_mean_money
 from forecourt.sources.tables import LINE_KEY, read
 
 
@@ -268,3 +269,52 @@ def requests(spark: SparkSession, d: str) -> DataFrame:
 
 REQUESTS_SQL = """
 requests AS (SELECT doc_id AS request_num, text AS description, doc_id % 97 AS customer_id, source AS category, lang AS language FROM documents)"""
+
+
+def contracts(spark: SparkSession, d: str) -> DataFrame:
+    """Fleet contracts: one per customer, start = first order date, km from
+    quantities, power / weight from balance and order count, coverage texts
+    from segment and key, three nullable targets (returned / accepted /
+    returned-and-final line value)."""
+    li = read(spark, d, "lineitem", "l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
+    o = read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = read(spark, d, "customer", "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    x = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    g = x.groupBy("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment").agg(
+        F.min("o_orderdate").alias("contract_start_date"),
+        (F.sum("l_quantity") * 1000).alias("contract_km"),
+        F.count_distinct("l_orderkey").alias("n_orders"),
+        F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))).alias("target"),
+        F.sum(F.when(F.col("l_returnflag") == "A", F.col("l_extendedprice"))).alias("target_QIV"),
+        F.sum(F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.col("l_extendedprice"))).alias("target_DP"),
+        mean_money("o_totalprice", 4).alias("mean_repair_value_cust_full"))
+    k = F.col("c_custkey")
+    return g.select(
+        k.alias("contract_customer"), F.col("c_mktsegment").alias("customer_group"),
+        F.col("c_nationkey").cast("string").alias("make"),
+        F.when(k % 3 == 0, "Diesel").when(k % 3 == 1, "Gasolina").otherwise(F.lit(None)).alias("fuel"),
+        "contract_start_date", "contract_km",
+        (F.abs(F.col("c_acctbal")) + 50).alias("power_kw"), (F.col("n_orders") * 100 + 800).cast("double").alias("weight_empty"),
+        F.when(k % 4 == 0, F.concat(F.lit("€50.000.000 "), F.col("c_mktsegment"))).when(k % 4 == 1, F.lit("€10.000.000")).alias("LL"),
+        F.when(k % 5 != 0, F.concat(((k % 5) * 10).cast("string"), F.lit("% franquia "), F.col("c_mktsegment"))).alias("AR"),
+        F.when(k % 3 == 0, F.lit("Até €1.000/Ano extra")).when(k % 3 == 1, F.lit("Sem")).alias("FI"),
+        F.when(F.col("n_orders") > 10, F.col("mean_repair_value_cust_full")).alias("mean_repair_value_cust_full"),
+        "target", "target_QIV", "target_DP")
+
+
+CONTRACTS_SQL = """
+contracts AS (
+  SELECT c_custkey AS contract_customer, c_mktsegment AS customer_group, CAST(c_nationkey AS VARCHAR) AS make,
+    CASE WHEN c_custkey % 3 = 0 THEN 'Diesel' WHEN c_custkey % 3 = 1 THEN 'Gasolina' END AS fuel,
+    min(o_orderdate) AS contract_start_date, sum(l_quantity) * 1000 AS contract_km,
+    abs(c_acctbal) + 50 AS power_kw, CAST(count(DISTINCT l_orderkey) * 100 + 800 AS DOUBLE) AS weight_empty,
+    CASE WHEN c_custkey % 4 = 0 THEN '€50.000.000 ' || c_mktsegment WHEN c_custkey % 4 = 1 THEN '€10.000.000' END AS LL,
+    CASE WHEN c_custkey % 5 <> 0 THEN CAST((c_custkey % 5) * 10 AS VARCHAR) || '% franquia ' || c_mktsegment END AS AR,
+    CASE WHEN c_custkey % 3 = 0 THEN 'Até €1.000/Ano extra' WHEN c_custkey % 3 = 1 THEN 'Sem' END AS FI,
+    CASE WHEN count(DISTINCT l_orderkey) > 10 THEN {mean_repair} END AS mean_repair_value_cust_full,
+    sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END) AS target,
+    sum(CASE WHEN l_returnflag = 'A' THEN l_extendedprice END) AS target_QIV,
+    sum(CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN l_extendedprice END) AS target_DP
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  GROUP BY c_custkey, c_nationkey, c_acctbal, c_mktsegment
+)""".replace("{mean_repair}", sql_mean_money("o_totalprice", 4))

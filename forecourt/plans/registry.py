@@ -19,6 +19,7 @@ _MODULES = (
     "forecourt.plans.parts",
     "forecourt.plans.text",
     "forecourt.plans.measures",
+    "forecourt.plans.alloc",
 )
 
 

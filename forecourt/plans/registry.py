@@ -20,6 +20,7 @@ _MODULES = (
     "forecourt.plans.text",
     "forecourt.plans.measures",
     "forecourt.plans.alloc",
+    "forecourt.plans.classify",
 )
 
 

@@ -275,3 +275,66 @@ def vehicle_collapse(df: DataFrame, keys: list[str], order_cols: list, date_col:
                  "SLR_Document_RGN_Flag", "Undefined_VHE_Status"):
         out.append((status == flag).cast("bigint").alias(flag))
     return g.select(*out)
+
+
+def feature_contribution(df: DataFrame, model_col: str, class_col: str, booleans: list[str],
+                         categoricals: list[str], skip_value: str = "outros") -> DataFrame:
+    """AGG-15: per model, P(class 1 | feature) - P(class 1 | not feature) for
+    every boolean feature (name + '_sim') and every value of every
+    categorical feature (name + '_' + value, 'outros' skipped); zero
+    denominators are skipped; each difference is divided by the model's
+    largest absolute difference (max(|min|, max)).  Features are unpivoted
+    once; all counts come from one aggregation."""
+    cols = [F.struct(F.lit(b).alias("feature"), F.col(b).cast("string").alias("value"), F.lit(True).alias("is_bool"))
+            for b in booleans]
+    cols += [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"), F.lit(False).alias("is_bool"))
+             for c in categoricals]
+    long = df.select(model_col, F.col(class_col).alias("_c"), F.explode(F.array(*cols)).alias("f")).select(
+        model_col, "_c", "f.feature", "f.value", "f.is_bool")
+    tot = df.groupBy(model_col).agg(F.count(F.lit(1)).alias("_n"), F.sum((F.col(class_col) == 1).cast("long")).alias("_n1"))
+    cells = (long.groupBy(model_col, "feature", "value", "is_bool")
+                 .agg(F.count(F.lit(1)).alias("f1"), F.sum((F.col("_c") == 1).cast("long")).alias("c1_f1")))
+    x = cells.join(tot, model_col)
+    x = x.filter(~F.col("is_bool") | (F.col("value") == "1")).filter(F.col("is_bool") | (F.col("value") != skip_value))
+    f0 = F.col("_n") - F.col("f1")
+    c1_f0 = F.col("_n1") - F.col("c1_f1")
+    x = x.filter((F.col("f1") > 0) & (f0 > 0)).withColumn("difference", F.col("c1_f1") / F.col("f1") - c1_f0 / f0)
+    x = x.withColumn("features", F.when(F.col("is_bool"), F.concat(F.col("feature"), F.lit("_sim")))
+                     .otherwise(F.concat_ws("_", "feature", "value")))
+    rng = x.groupBy(model_col).agg(F.greatest(F.abs(F.min("difference")), F.max("difference")).alias("_m"))
+    return (x.join(rng, model_col)
+             .select(model_col, "features", "difference", (F.col("difference") / F.col("_m")).alias("difference_normalized")))
+
+
+def distinct_profile(df: DataFrame) -> DataFrame:
+    """PRJ-20 as data: per column the number of distinct non-null values and
+    whether it is constant (one pass)."""
+    agg = df.agg(*[F.count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(df.columns)])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_d{i}").alias("n_distinct"))
+                     for i, c in enumerate(df.columns)])
+    return (agg.select(F.explode(rows).alias("r")).select("r.column_name", F.col("r.n_distinct").cast("bigint").alias("n_distinct"))
+               .withColumn("is_constant", (F.col("n_distinct") == 1).cast("bigint")))
+
+
+def duplicate_movement_cleaning(al: DataFrame, sales: DataFrame, keys: list[str], audit: str, doc: str,
+                                order_cols: list) -> DataFrame:
+    """WIN-15: within each (date, part, order) group of movements with more
+    rows than distinct audit numbers: when 1..group-size matching sales
+    exist keep the rows whose document is among the sales documents; with no
+    matching sale keep the last row; with more sales than rows keep all."""
+    from pyspark.sql import Window
+    g = al.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"), F.count_distinct(audit).alias("_na"))
+    s = sales.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ns"))
+    x = al.join(g, keys).join(s, keys, "left").withColumn("_ns", F.coalesce(F.col("_ns"), F.lit(0)))
+    dirty = (F.col("_size") > 1) & (F.col("_na") < F.col("_size"))
+    docs = (sales.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col(doc).alias("_sdoc")).distinct()
+                 .withColumn("_in", F.lit(1)))
+    cond = [F.col(k) == F.col(f"_s_{k}") for k in keys] + [F.col(doc) == F.col("_sdoc")]
+    from functools import reduce as _r
+    x = x.join(docs, _r(lambda a, b: a & b, cond), "left").drop(*[f"_s_{k}" for k in keys], "_sdoc")
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() if isinstance(c, str) else c for c in order_cols])
+    x = x.withColumn("_last", F.row_number().over(w) == 1)
+    keep = (~dirty | (F.col("_ns") > F.col("_size"))
+            | ((F.col("_ns") > 0) & (F.col("_ns") <= F.col("_size")) & F.col("_in").isNotNull())
+            | ((F.col("_ns") == 0) & F.col("_last")))
+    return x.filter(keep).drop("_size", "_na", "_ns", "_in", "_last")

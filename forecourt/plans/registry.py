@@ -21,6 +21,7 @@ _MODULES = (
     "forecourt.plans.measures",
     "forecourt.plans.alloc",
     "forecourt.plans.classify",
+    "forecourt.plans.cleaning2",
 )
 
 

@@ -22,6 +22,7 @@ _MODULES = (
     "forecourt.plans.alloc",
     "forecourt.plans.classify",
     "forecourt.plans.cleaning2",
+    "forecourt.plans.io",
 )
 
 

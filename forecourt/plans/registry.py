@@ -23,6 +23,7 @@ _MODULES = (
     "forecourt.plans.classify",
     "forecourt.plans.cleaning2",
     "forecourt.plans.io",
+    "forecourt.plans.ml",
 )
 
 

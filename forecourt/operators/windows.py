@@ -296,3 +296,60 @@ def quantity_share(df: DataFrame, group_cols: list[str], score: str, order_size:
          + F.when((diff < 0) & (F.col("_rn") == F.col("_lastpos")), diff).otherwise(0))
     return (x.withColumn(out, q.cast("bigint")).filter(F.col(out) != 0)
              .drop("_q", "_tot", "_rn", "_lastpos"))
+
+
+def _neighbour_arrays(x: DataFrame, w, col: str, K: int, name: str) -> DataFrame:
+    before = F.array(*[F.lag(col, j).over(w) for j in range(1, K + 1)])
+    after = F.array(*[F.lead(col, j).over(w) for j in range(1, K + 1)])
+    return x.withColumn(f"{name}_b", before).withColumn(f"{name}_a", after)
+
+
+def outlier_scores_1d(df: DataFrame, keys: list[str], value: str, tie: str, k_knn: int = 3, k_lof: int = 10,
+                      contamination: float = 0.1) -> DataFrame:
+    """WIN-18: per group, 1-D neighbour outlier scores of ``value``:
+    knn_mean / knn_median = mean / median distance to the k_knn nearest
+    other points; lof = local outlier factor with k_lof neighbours (fewer
+    when the group is smaller); each score is flagged above its group's
+    (1 - contamination) percentile.  In one dimension the k nearest
+    neighbours are within k sorted positions on either side, so every pass
+    is a bounded lag/lead window (no pairs are formed); ties in distance go
+    to the neighbour earlier in the sorted order."""
+    K = max(k_knn, k_lof)
+    w = Window.partitionBy(*keys).orderBy(value, tie)
+    wg = Window.partitionBy(*keys)
+    x = df.withColumn("_pos", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(wg))
+    x = _neighbour_arrays(x, w, value, K, "_v")
+    cands = F.filter(F.concat(
+        F.transform(F.col("_v_b"), lambda v, i: F.struct(F.abs(F.col(value) - v).alias("d"), (F.col("_pos") - i - 1).alias("npos"), (-(i + 1)).alias("off"))),
+        F.transform(F.col("_v_a"), lambda v, i: F.struct(F.abs(F.col(value) - v).alias("d"), (F.col("_pos") + i + 1).alias("npos"), (i + 1).alias("off")))),
+        lambda s: s["d"].isNotNull())
+    x = x.withColumn("_c", F.sort_array(cands))
+    kk = F.least(F.lit(k_lof), F.col("_n") - 1)
+    x = (x.withColumn("_knn", F.slice("_c", 1, k_knn))
+          .withColumn("_lofn", F.slice("_c", 1, F.greatest(kk, F.lit(1))))
+          .withColumn("_kdist", F.element_at(F.col("_lofn"), -1)["d"]))
+    x = _neighbour_arrays(x, w, "_kdist", K, "_k")
+
+    def at(arr_b, arr_a, off):
+        return F.when(off < 0, F.element_at(F.col(arr_b), -off)).otherwise(F.element_at(F.col(arr_a), off))
+
+    reach = F.transform("_lofn", lambda s: F.greatest(at("_k_b", "_k_a", s["off"]), s["d"]))
+    x = x.withColumn("_lrd", 1 / (F.aggregate(reach, F.lit(0.0), lambda a, b: a + b) / F.size(reach) + 1e-10))
+    x = _neighbour_arrays(x, w, "_lrd", K, "_l")
+    lrd_o = F.transform("_lofn", lambda s: at("_l_b", "_l_a", s["off"]))
+    x = x.withColumn("lof", F.aggregate(lrd_o, F.lit(0.0), lambda a, b: a + b) / F.size(lrd_o) / F.col("_lrd"))
+    dists = F.transform("_knn", lambda s: s["d"])
+    x = (x.withColumn("knn_mean", F.aggregate(dists, F.lit(0.0), lambda a, b: a + b) / F.size(dists))
+          .withColumn("_sd", F.array_sort(dists)).withColumn("_h", (F.size(dists) / 2).cast("int"))
+          .withColumn("knn_median", F.when(F.size(dists) % 2 == 1, F.element_at(F.col("_sd"), F.col("_h") + 1))
+                      .otherwise((F.element_at(F.col("_sd"), F.col("_h")) + F.element_at(F.col("_sd"), F.col("_h") + 1)) / 2)))
+    q = 1 - contamination
+    th = x.groupBy(*keys).agg(*[F.percentile(c, q).alias(f"_t_{c}") for c in ("knn_mean", "knn_median", "lof")])
+    x = x.join(th, keys)
+    # scores are compared with their group's percentile at the reported
+    # precision (6 decimals, LOF 3: it can reach 1e10 when reach distances
+    # are 0), so float noise cannot flip a score equal to the threshold
+    from forecourt.functions.fmt import rnd
+    for c, k in (("knn_mean", 6), ("knn_median", 6), ("lof", 3)):
+        x = x.withColumn(f"{c}_outlier", (rnd(F.col(c), k) > rnd(F.col(f"_t_{c}"), k)).cast("bigint"))
+    return x.drop(*[c for c in x.columns if c.startswith("_")])

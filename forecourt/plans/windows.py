@@ -304,3 +304,31 @@ def win17(spark, d):
 
 
 sql("win_17_quantity_share_plain", f"WITH {_CFG_SQL} SELECT p_brand, p_type, {sql_rnd('score')} AS score, CAST(q0 AS BIGINT) AS quantity FROM q")
+
+
+@query("win_18_outlier_scores")
+def win18(spark, d):
+    o = _day_max(spark, d).filter(F.col("owner") != "view")
+    s = windows.outlier_scores_1d(o, OKEYS, "kms", "event_id", 3, 10, 0.1)
+    return s.select(*OKEYS, "event_id", rnd("knn_mean", 6).alias("knn_mean"), rnd("knn_median", 6).alias("knn_median"),
+                    rnd("lof", 3).alias("lof"), "knn_mean_outlier", "knn_median_outlier", "lof_outlier")
+
+
+sql("win_18_outlier_scores", f"""WITH {ODOMETER_SQL.strip()},
+s1 AS (SELECT vehicle, owner, day, event_id, kms FROM (SELECT *, max(kms) OVER (PARTITION BY vehicle, owner, day) AS mx FROM odometer) WHERE kms = mx AND owner <> 'view'),
+p AS (SELECT *, row_number() OVER (PARTITION BY vehicle, owner ORDER BY kms, event_id) AS pos, count(*) OVER (PARTITION BY vehicle, owner) AS n FROM s1),
+pr AS (SELECT a.vehicle, a.owner, a.event_id, a.pos, a.n, b.pos AS npos, abs(a.kms - b.kms) AS d,
+  row_number() OVER (PARTITION BY a.vehicle, a.owner, a.pos ORDER BY abs(a.kms - b.kms), b.pos) AS r
+  FROM p a JOIN p b ON a.vehicle = b.vehicle AND a.owner = b.owner AND a.pos <> b.pos),
+kn AS (SELECT vehicle, owner, event_id, pos, avg(d) FILTER (WHERE r <= 3) AS knn_mean, quantile_cont(d, 0.5) FILTER (WHERE r <= 3) AS knn_median,
+  max(d) FILTER (WHERE r <= greatest(least(10, n - 1), 1)) AS kdist FROM pr GROUP BY vehicle, owner, event_id, pos),
+lr AS (SELECT pr.vehicle, pr.owner, pr.pos, 1 / (avg(greatest(o.kdist, pr.d)) + 1e-10) AS lrd FROM pr JOIN kn o ON pr.vehicle = o.vehicle AND pr.owner = o.owner AND pr.npos = o.pos
+  WHERE pr.r <= greatest(least(10, pr.n - 1), 1) GROUP BY pr.vehicle, pr.owner, pr.pos),
+lf AS (SELECT pr.vehicle, pr.owner, pr.pos, avg(o.lrd) / any_value(me.lrd) AS lof FROM pr JOIN lr o ON pr.vehicle = o.vehicle AND pr.owner = o.owner AND pr.npos = o.pos
+  JOIN lr me ON pr.vehicle = me.vehicle AND pr.owner = me.owner AND pr.pos = me.pos WHERE pr.r <= greatest(least(10, pr.n - 1), 1) GROUP BY pr.vehicle, pr.owner, pr.pos),
+sc AS (SELECT kn.vehicle, kn.owner, kn.event_id, kn.knn_mean, kn.knn_median, lf.lof FROM kn JOIN lf USING (vehicle, owner, pos)),
+th AS (SELECT vehicle, owner, quantile_cont(knn_mean, 0.9) AS t1, quantile_cont(knn_median, 0.9) AS t2, quantile_cont(lof, 0.9) AS t3 FROM sc GROUP BY ALL)
+SELECT vehicle, owner, event_id, {sql_rnd('knn_mean', 6)} AS knn_mean, {sql_rnd('knn_median', 6)} AS knn_median, {sql_rnd("lof", 3)} AS lof,
+  CAST({sql_rnd('knn_mean', 6)} > {sql_rnd('t1', 6)} AS BIGINT) AS knn_mean_outlier, CAST({sql_rnd('knn_median', 6)} > {sql_rnd('t2', 6)} AS BIGINT) AS knn_median_outlier,
+  CAST({sql_rnd('lof', 3)} > {sql_rnd('t3', 3)} AS BIGINT) AS lof_outlier
+FROM sc JOIN th USING (vehicle, owner)""")

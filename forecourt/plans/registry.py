@@ -24,6 +24,7 @@ _MODULES = (
     "forecourt.plans.cleaning2",
     "forecourt.plans.io",
     "forecourt.plans.ml",
+    "forecourt.plans.streams",
 )
 
 

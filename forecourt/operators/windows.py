@@ -353,3 +353,21 @@ def outlier_scores_1d(df: DataFrame, keys: list[str], value: str, tie: str, k_kn
     for c, k in (("knn_mean", 6), ("knn_median", 6), ("lof", 3)):
         x = x.withColumn(f"{c}_outlier", (rnd(F.col(c), k) > rnd(F.col(f"_t_{c}"), k)).cast("bigint"))
     return x.drop(*[c for c in x.columns if c.startswith("_")])
+
+
+def deviation_scores(df: DataFrame, keys: list[str], value: str, contamination: float = 0.1) -> DataFrame:
+    """WIN-20: deviation-based (LMDD) score with single-element exception
+    sets and the variance as dissimilarity: SF(x) = (n - 1) * (var(I) -
+    var(I - {x})), exact from the group's sums (no iteration, no Python);
+    flagged above the group's (1 - contamination) percentile."""
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s1"),
+                              F.sum(F.col(value) * F.col(value)).alias("_s2"))
+    x = df.join(g, keys)
+    n, s1, s2, v = F.col("_n"), F.col("_s1"), F.col("_s2"), F.col(value).cast("double")
+    var_all = s2 / n - (s1 / n) * (s1 / n)
+    var_wo = (s2 - v * v) / (n - 1) - ((s1 - v) / (n - 1)) * ((s1 - v) / (n - 1))
+    x = x.withColumn("lmdd", F.when(n > 1, (n - 1) * (var_all - var_wo)))
+    th = x.groupBy(*keys).agg(F.percentile("lmdd", 1 - contamination).alias("_t"))
+    from forecourt.functions.fmt import rnd
+    return (x.join(th, keys).withColumn("lmdd_outlier", (rnd(F.col("lmdd"), 6) > rnd(F.col("_t"), 6)).cast("bigint"))
+             .drop("_n", "_s1", "_s2", "_t"))

@@ -25,6 +25,7 @@ _MODULES = (
     "forecourt.plans.io",
     "forecourt.plans.ml",
     "forecourt.plans.streams",
+    "forecourt.plans.jobs",
 )
 
 

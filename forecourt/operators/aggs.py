@@ -43,11 +43,14 @@ GRAIN_MEASURES = (
 
 
 def multi_grain_averages(df: DataFrame, base: list[str], grains: list[tuple[str, list[str]]],
-                         measures=GRAIN_MEASURES, decimals: int | None = 4) -> DataFrame:
+                         measures=GRAIN_MEASURES, decimals: int | None = 4, source: DataFrame | None = None) -> DataFrame:
     """AGG-03: for each grain (tag, extra key columns) = base + extra, attach
     nr_cars_sold<tag> and the mean of each measure (rounded half-even) to
     every row.  All grains are computed in ONE aggregation with GROUPING
-    SETS (one shuffle of partial aggregates), then split by grouping id."""
+    SETS (one shuffle of partial aggregates), then split by grouping id.
+    ``source`` (default ``df``) is the frame aggregated - pass the
+    materialised base when ``df`` is an expensive derivation of it, so the
+    aggregation does not re-run that derivation."""
     key_cols = list(base)
     for _, extra in grains:
         for c in extra:
@@ -59,7 +62,8 @@ def multi_grain_averages(df: DataFrame, base: list[str], grains: list[tuple[str,
     def gid(s):
         return sum(1 << (nk - 1 - i) for i, c in enumerate(key_cols) if c not in s)
 
-    agg = (df.groupingSets(sets, *key_cols)
+    src = df if source is None else source
+    agg = (src.groupingSets(sets, *key_cols)
              .agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n"),
                   *[F.avg(src).alias(f"_m{i}") for i, (_, src) in enumerate(measures)]))
     out = df

@@ -16,28 +16,45 @@ def _bigrams(tokens: Column) -> Column:
 
 
 def keyword_matches(requests: DataFrame, id_col: str, tokens_col: str, rules: DataFrame,
-                    vocab: DataFrame | None = None) -> DataFrame:
+                    vocab: DataFrame | None = None, vocab_threshold: int | None = None) -> DataFrame:
     """RUL-01 / RUL-02 / RUL-03: (request, label, rule_id, rank) for every
     word rule that fires.  ``rules``: rule_id, label, kind in (single, all,
     consecutive), words array.  A rule only applies when all its words are in
-    the vocabulary (top words).  'all' = every word anywhere; 'consecutive'
-    additionally needs 1 + (number of adjacent hits of consecutive rule words)
-    >= number of words (Q-08 count rule)."""
+    the vocabulary (top words): either a given ``vocab`` table or the tokens
+    found in more than ``vocab_threshold`` requests.  'all' = every word
+    anywhere; 'consecutive' additionally needs 1 + (number of adjacent hits of
+    consecutive rule words) >= number of words (Q-08 count rule).
+
+    Only rule-word occurrences are carried past the first (broadcast) join,
+    and bigrams are built only for requests that contain every word of some
+    consecutive rule, so the work follows the rule hits, not the text volume."""
     wr = rules.filter(F.col("kind").isin("single", "all", "consecutive"))
+    rule_words = F.broadcast(wr.select(F.explode(F.array_distinct("words")).alias("tok")).distinct())
+    # rule-word occurrences with their positions: the only tokens carried on
+    occ = (requests.select(id_col, F.posexplode(tokens_col).alias("pos", "tok"))
+                   .join(rule_words, "tok"))
+    rt = occ.select(id_col, "tok").distinct()
+    if vocab_threshold is not None:
+        vocab = rt.groupBy("tok").agg(F.count(F.lit(1)).alias("_df")).filter(F.col("_df") > vocab_threshold) \
+                  .select(F.col("tok").alias("word"))
     if vocab is not None:
         ok = (wr.select("rule_id", F.explode(F.array_distinct("words")).alias("tok"))
                 .join(vocab.select(F.col("word").alias("tok")), "tok", "left_semi")
                 .groupBy("rule_id").agg(F.count(F.lit(1)).alias("_k")))
         wr = wr.join(ok, "rule_id").filter(F.col("_k") == F.size(F.array_distinct("words"))).drop("_k")
-    rt = requests.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("tok"))
     rw = wr.select("rule_id", "label", "kind", F.size(F.array_distinct("words")).alias("_nd"),
                    F.explode(F.array_distinct("words")).alias("tok"))
-    present = (rt.join(rw, "tok").groupBy(id_col, "rule_id", "label", "kind", "_nd")
+    present = (rt.join(F.broadcast(rw), "tok").groupBy(id_col, "rule_id", "label", "kind", "_nd")
                  .agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") == F.col("_nd")))
     cons_rules = wr.filter(F.col("kind") == "consecutive")
-    rp = cons_rules.select("rule_id", F.explode(_bigrams(F.col("words"))).alias("bg"))
-    rb = requests.filter(F.size(tokens_col) > 1).select(id_col, F.explode(_bigrams(F.col(tokens_col))).alias("bg"))
-    hits = rb.join(rp, "bg").groupBy(id_col, "rule_id").agg(F.count(F.lit(1)).alias("_hits"))
+    pairs = cons_rules.select("rule_id", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("words") - 1),
+        lambda i: F.struct(F.element_at("words", i).alias("w1"), F.element_at("words", i + 1).alias("w2")))).alias("p"))
+    rp = F.broadcast(pairs.select("rule_id", F.col("p.w1").alias("tok"), F.col("p.w2").alias("tok2")))
+    # adjacent occurrences: token at p and the next token at p + 1
+    nxt = occ.select(id_col, (F.col("pos") - 1).alias("pos"), F.col("tok").alias("tok2"))
+    adj = occ.join(nxt, [id_col, "pos"])
+    hits = adj.join(rp, ["tok", "tok2"]).groupBy(id_col, "rule_id").agg(F.count(F.lit(1)).alias("_hits"))
     nwords = cons_rules.select("rule_id", F.size("words").alias("_nw"))
     m = present.join(hits, [id_col, "rule_id"], "left").join(nwords, "rule_id", "left")
     m = m.filter((F.col("kind") != "consecutive") | (1 + F.coalesce(F.col("_hits"), F.lit(0)) >= F.col("_nw")))
@@ -86,10 +103,11 @@ def user_labels(requests: DataFrame, id_col: str, customer_col: str, rules: Data
 
 def label_requests(requests: DataFrame, id_col: str, tokens_col: str, text_col: str, customer_col: str,
                    rules: DataFrame, label_rank: DataFrame, vocab: DataFrame | None = None,
-                   manual: DataFrame | None = None, undefined: str = UNDEFINED) -> DataFrame:
+                   manual: DataFrame | None = None, undefined: str = UNDEFINED,
+                   vocab_threshold: int | None = None) -> DataFrame:
     """RUL-01 end to end: word rules and draw resolution, then forced rules,
     then user rules, then manual labels (first per request) override."""
-    m = keyword_matches(requests, id_col, tokens_col, rules, vocab)
+    m = keyword_matches(requests, id_col, tokens_col, rules, vocab, vocab_threshold)
     base = resolve_draws(requests, id_col, m, label_rank, undefined)
     out = (base.join(forced_labels(requests, id_col, text_col, rules), id_col, "left")
                .join(user_labels(requests, id_col, customer_col, rules), id_col, "left"))

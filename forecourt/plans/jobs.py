@@ -339,9 +339,8 @@ def job05(spark, d):
 def job08(spark, d):
     from forecourt.plans.text import LABEL_RANK, _rule_df
     r = prepared_requests(spark, d)
-    vocab = aggs.word_unit_frequency(r.select("request_num", F.array_join("tokens", " ").alias("t")), "request_num", "t", 2)
     lr = spark.createDataFrame(LABEL_RANK, "label string, rank int")
-    lab = rules.label_requests(r, "request_num", "tokens", "description", "customer_id", _rule_df(spark), lr, vocab=vocab)
+    lab = rules.label_requests(r, "request_num", "tokens", "description", "customer_id", _rule_df(spark), lr, vocab_threshold=2)
     return lab
 
 

@@ -14,6 +14,7 @@ from forecourt.functions import text as T
 from forecourt.functions.fmt import big, rnd, sql_rnd
 from forecourt.operators import aggs, rules
 from forecourt.plans.registry import query
+from forecourt.session import materialize
 from forecourt.sources.fixtures import REQUESTS_SQL, requests
 from forecourt.sources.tables import read
 
@@ -469,18 +470,19 @@ def _rule_df(spark):
 
 
 def _labels(spark, d, stem=False):
-    r = request_tokens(spark, d)
+    # tokenising whole texts is the expensive step and five branches of the
+    # labeller read the tokens: materialise them once
+    r = materialize(request_tokens(spark, d))
     if stem:
         table = T.stem_table(r.select(F.explode("tokens").alias("word")))
         r = T.apply_word_table(r, "request_num", "tokens", table, "stems", min_len=2).drop("tokens") \
              .withColumnRenamed("stems", "tokens")
-    vocab = aggs.word_unit_frequency(r.select("request_num", F.array_join("tokens", " ").alias("t")), "request_num", "t", 2)
     manual = (read(spark, d, "labels", "doc_id", "quality").filter(F.col("doc_id") % 10 == 0)
               .select(F.col("doc_id").alias("request_num"), F.concat(F.lit("Manual-"), F.col("quality").cast("string")).alias("manual_label"),
                       F.lit(0).alias("manual_order")))
     lr = spark.createDataFrame(LABEL_RANK, "label string, rank int")
     return rules.label_requests(r, "request_num", "tokens", "description", "customer_id", _rule_df(spark), lr,
-                                vocab=vocab, manual=manual)
+                                manual=manual, vocab_threshold=2)
 
 
 @query("rul_01_keyword_labels")
@@ -496,8 +498,7 @@ def rul01s(spark, d):
 @query("rul_02_keyword_matches")
 def rul02(spark, d):
     r = request_tokens(spark, d)
-    vocab = aggs.word_unit_frequency(r.select("request_num", F.array_join("tokens", " ").alias("t")), "request_num", "t", 2)
-    return rules.keyword_matches(r, "request_num", "tokens", _rule_df(spark), vocab).select("request_num", "label", "rule_id", big("rank").alias("rank"))
+    return rules.keyword_matches(r, "request_num", "tokens", _rule_df(spark), vocab_threshold=2).select("request_num", "label", "rule_id", big("rank").alias("rank"))
 
 
 def _rules_sql_values():
@@ -512,8 +513,7 @@ def _rules_sql_values():
 
 _MATCH_SQL = f"""{REQUESTS_SQL.strip()},
 rq AS (SELECT request_num, description, customer_id, list_filter({sql_request_tokens('description')}, lambda x: length(x) >= 2) AS tokens FROM requests),
-vocab AS (SELECT word FROM (SELECT request_num, unnest(list_distinct(list_filter(regexp_split_to_array(lower(array_to_string(tokens, ' ')), '[^a-z0-9]+'), lambda t: t <> ''))) AS word FROM rq)
-  GROUP BY word HAVING count(DISTINCT request_num) > 2),
+vocab AS (SELECT word FROM (SELECT request_num, unnest(list_distinct(tokens)) AS word FROM rq) GROUP BY word HAVING count(DISTINCT request_num) > 2),
 {_rules_sql_values()},
 wr AS (SELECT * FROM rules WHERE kind IN ('single', 'all', 'consecutive')
   AND len(list_distinct(words)) = (SELECT count(*) FROM (SELECT DISTINCT unnest(words) AS w) WHERE w IN (SELECT word FROM vocab))),
@@ -547,8 +547,7 @@ sql("rul_01_keyword_labels", f"WITH {_LABEL_SQL} SELECT request_num, label FROM
 @query("rul_04_draw_resolution")
 def rul04(spark, d):
     r = request_tokens(spark, d)
-    vocab = aggs.word_unit_frequency(r.select("request_num", F.array_join("tokens", " ").alias("t")), "request_num", "t", 2)
-    m = rules.keyword_matches(r, "request_num", "tokens", _rule_df(spark), vocab)
+    m = rules.keyword_matches(r, "request_num", "tokens", _rule_df(spark), vocab_threshold=2)
     lr = spark.createDataFrame(LABEL_RANK, "label string, rank int")
     return rules.resolve_draws(r, "request_num", m, lr)
 

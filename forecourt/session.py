@@ -61,3 +61,18 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     cut lineage (never a machine-local folder on a cluster)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df, how: str = "checkpoint"):
+    """Materialise an intermediate that several branches of a plan read
+    (group statistics joined back, several grains...), so the upstream scan
+    and joins run once instead of once per branch.
+
+    'checkpoint' writes it to the shared checkpoint folder (reliable: an
+    executor loss does not lose it, lineage is cut); 'persist' keeps it in
+    executor memory / local disk (recomputed from lineage if lost)."""
+    from pyspark import StorageLevel
+    if how == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -256,7 +256,7 @@ def classification_summary(per: DataFrame) -> DataFrame:
 
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     """MLX-20: MSE, RMSE, R2 (= 1 - SSE / SST)."""
-    mu = df.agg(F.avg(label)).scalar()
+    mu = df.agg(F.avg(label)).first()[0]   # one number to the driver
     r = df.agg(F.avg((F.col(label) - F.col(pred)) ** 2).alias("mse"),
                F.sum((F.col(label) - F.col(pred)) ** 2).alias("_sse"), F.sum((F.col(label) - mu) ** 2).alias("_sst"))
     return r.select("mse", F.sqrt("mse").alias("rmse"), (1 - F.col("_sse") / F.col("_sst")).alias("r2"))

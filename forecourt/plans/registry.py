@@ -26,6 +26,7 @@ _MODULES = (
     "forecourt.plans.ml",
     "forecourt.plans.streams",
     "forecourt.plans.jobs",
+    "forecourt.plans.extras",
 )
 
 

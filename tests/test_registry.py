@@ -1,5 +1,9 @@
 """Every registered query runs on sf0.001 and its SQL twin gives the same
-rows (row count, column names, order-insensitive value hash)."""
+rows (row count, column names, order-insensitive value hash).  Model-fitting
+queries (mlx_, job_) run only with FORECOURT_FULL=1 (they are rows-only and
+slow); the driver's own check covers them."""
+
+import os
 
 import duckdb
 import pytest
@@ -12,6 +16,8 @@ from .conftest import SF
 
 QUERIES = E.queries()
 SQL = E.oracle_sql()
+FULL = os.environ.get("FORECOURT_FULL") == "1"
+NAMES = sorted(n for n in QUERIES if FULL or n in SQL)
 
 
 @pytest.fixture(scope="module")
@@ -27,12 +33,11 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, con, name):
     df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     if name not in SQL:
-        assert len(rows) >= 0
         return
     rel = con.sql(SQL[name])
     orows = rel.fetchall()

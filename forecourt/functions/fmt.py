@@ -22,7 +22,10 @@ def rnd(c: Column | str, k: int = 4) -> Column:
 
 
 def sql_rnd(expr: str, k: int = 4) -> str:
-    return f"CAST(round_even(CAST(({expr}) AS DECIMAL(38,10)), {k}) AS DOUBLE)"
+    # Spark converts a double to DECIMAL through the double's decimal string;
+    # DuckDB's direct cast multiplies in floating point, so the twin goes
+    # through VARCHAR to convert the same decimal.
+    return f"CAST(round_even(CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,10)), {k}) AS DOUBLE)"
 
 
 def dstr(c: Column | str) -> Column:

@@ -213,7 +213,15 @@ def keep_frequent(df: DataFrame, col: str, min_count: int) -> DataFrame:
 
 def dedupe_first(df: DataFrame, subset: list[str], order_cols: list) -> DataFrame:
     """PRJ-44: keep the first row of each subset key in an explicit order
-    (``dropDuplicates`` keeps an arbitrary row)."""
+    (``dropDuplicates`` keeps an arbitrary row).  With plain ascending order
+    columns this is a ``min_by`` aggregation (partial aggregation map-side,
+    so a hot key is reduced before the shuffle); other orders use a
+    ``row_number`` window."""
+    if all(isinstance(c, str) for c in order_cols):
+        rest = [c for c in df.columns if c not in subset]
+        picked = df.groupBy(*subset).agg(F.min_by(F.struct(*[F.col(c) for c in rest]),
+                                                  F.struct(*[F.col(c) for c in order_cols])).alias("_first"))
+        return picked.select(*subset, *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*df.columns)
     w = Window.partitionBy(*subset).orderBy(*[_c(c) for c in order_cols])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 

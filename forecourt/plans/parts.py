@@ -21,9 +21,15 @@ def sql(name, text):
     ORACLE[name] = text.strip()
 
 
+AVG_COLS = ["cost_sale_avg", "pvp_avg", "cost_purchase_avg", "cost_reg_avg"]
+
+
 def _daily(spark, d):
-    return ledger.daily_movements(parts_movements(spark, d), "part", "day", "kind", "qty", "unit_cost",
-                                  "unit_price", F.col("urgent"))
+    # daily averages are normalised to 10 decimals: their last bits depend on
+    # the summation order (partitioning), and products built on them must not
+    daily = ledger.daily_movements(parts_movements(spark, d), "part", "day", "kind", "qty", "unit_cost",
+                                   "unit_price", F.col("urgent"))
+    return daily.withColumns({c: rnd(c, 10) for c in AVG_COLS})
 
 
 def the_ledger(spark, d):
@@ -45,12 +51,12 @@ def agg35(spark, d):
 
 _LEDGER_SQL = f"""{PARTS_MV_SQL.strip()},
 daily AS (SELECT part, day,
-  sum(CASE WHEN kind = 'sale' THEN qty ELSE 0 END) AS qty_sold, avg(CASE WHEN kind = 'sale' THEN unit_cost END) AS cost_sale_avg,
-  avg(CASE WHEN kind = 'sale' THEN unit_price END) AS pvp_avg, sum(CASE WHEN kind = 'purchase' THEN qty ELSE 0 END) AS qty_purchased,
+  sum(CASE WHEN kind = 'sale' THEN qty ELSE 0 END) AS qty_sold, {sql_rnd("avg(CASE WHEN kind = 'sale' THEN unit_cost END)", 10)} AS cost_sale_avg,
+  {sql_rnd("avg(CASE WHEN kind = 'sale' THEN unit_price END)", 10)} AS pvp_avg, sum(CASE WHEN kind = 'purchase' THEN qty ELSE 0 END) AS qty_purchased,
   sum(CASE WHEN kind = 'purchase' AND urgent THEN qty ELSE 0 END) AS qty_purchased_urgent,
   sum(CASE WHEN kind = 'purchase' AND NOT urgent THEN qty ELSE 0 END) AS qty_purchased_non_urgent,
-  avg(CASE WHEN kind = 'purchase' THEN unit_cost END) AS cost_purchase_avg, sum(CASE WHEN kind = 'regulation' THEN qty ELSE 0 END) AS qty_regulated,
-  sum(CASE WHEN kind = 'regulation' THEN unit_cost * qty END) AS cost_reg_avg
+  {sql_rnd("avg(CASE WHEN kind = 'purchase' THEN unit_cost END)", 10)} AS cost_purchase_avg, sum(CASE WHEN kind = 'regulation' THEN qty ELSE 0 END) AS qty_regulated,
+  {sql_rnd("sum(CASE WHEN kind = 'regulation' THEN unit_cost * qty END)", 10)} AS cost_reg_avg
   FROM pmv GROUP BY part, day),
 inside AS (SELECT * FROM daily WHERE day BETWEEN DATE '{MIN_DATE}' AND DATE '{MAX_DATE}'),
 grid AS (SELECT part, CAST(unnest(generate_series(DATE '{MIN_DATE}', DATE '{MAX_DATE}', INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT part FROM inside)),

@@ -9,12 +9,12 @@ from .conftest import SF
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
 def test_scan_filter_is_pushed_and_pruned(spark):
     p = _plan(E.queries()["src_02_scan_filter"](spark, SF))
-    assert "PushedFilters: [In(l_returnflag" in p or "PushedFilters: [IsNotNull(l_linestatus)" in p
+    assert re.search(r"PushedFilters: \[[^\]]*l_linestatus", p) and re.search(r"PushedFilters: \[[^\]]*l_returnflag", p)
     schema = re.search(r"ReadSchema: struct<([^>]*)>", p).group(1)
     assert "l_comment" not in schema and "l_shipdate" not in schema and "l_tax" in schema
 
@@ -28,9 +28,9 @@ def test_flagship_scans_sources_once(spark):
     df = E.queries()["job_01_retail_scored"](spark, SF)
     p = _plan(df)
     # the scored base is checkpointed: the final plan reads it, not lineitem
-    assert len(re.findall(r"FileScan parquet [^\n]*lineitem", p)) == 0
+    assert len(re.findall(r"lineitem\.parquet", p)) == 0
 
 
 def test_month_window_frames_run_on_daily_counts(spark):
     p = _plan(E.queries()["win_03_month_windows"](spark, SF))
-    assert "RANGE BETWEEN" in p.upper() or "specifiedwindowframe(RangeFrame" in p
+    assert "RangeFrame" in p

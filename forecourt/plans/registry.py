@@ -48,9 +48,21 @@ def _load():
         _ORACLE.update(getattr(mod, "ORACLE", {}))
 
 
+def _utc(fn):
+    """Queries are defined in UTC (the source timestamps are zone-free, but
+    conversions to instants and epoch seconds use the session zone)."""
+    def run(spark, sf_dir):
+        if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def all_queries() -> dict[str, Callable]:
     _load()
-    return {k: v[0] for k, v in _REG.items()}
+    return {k: _utc(v[0]) for k, v in _REG.items()}
 
 
 def all_sql() -> dict[str, str]:

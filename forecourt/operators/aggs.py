@@ -175,11 +175,16 @@ def top_ngrams(df: DataFrame, group: str, order_col: str, text: str, k: int = 3)
     inner = t.filter(F.size("_t") > 1).select(group, F.explode(F.transform(
         F.sequence(F.lit(1), F.size("_t") - 1),
         lambda i: F.concat_ws(" ", F.element_at("_t", i), F.element_at("_t", i + 1)))).alias("ngram"))
-    w = Window.partitionBy(group).orderBy(order_col)
-    border = (t.select(group, F.element_at("_t", -1).alias("_last"),
-                       F.lead(F.element_at("_t", 1)).over(w).alias("_next"))
-               .filter(F.col("_next").isNotNull())
-               .select(group, F.concat_ws(" ", "_last", "_next").alias("ngram")))
+    # border bigrams: last token of a text + first token of the next text of
+    # the group.  Texts are numbered per group with the chunked scan (chunk =
+    # order key / 4096), then paired by an equi-join on (group, rn + 1), so a
+    # large group is never one task.
+    from forecourt.operators.windows import chunked_running
+    ends = t.select(group, order_col, F.element_at("_t", 1).alias("_first"), F.element_at("_t", -1).alias("_last"))
+    numbered = chunked_running(ends, [group], [order_col], F.floor(F.col(order_col) / 4096), [], [], "_b")
+    nxt = numbered.select(group, (F.col("_b_rn") - 1).alias("_b_rn"), F.col("_first").alias("_next"))
+    border = (numbered.join(nxt, [group, "_b_rn"])
+                      .select(group, F.concat_ws(" ", "_last", "_next").alias("ngram")))
     bi = inner.unionByName(border).withColumn("n", F.lit(2))
     counts = uni.unionByName(bi).groupBy(group, "n", "ngram").agg(F.count(F.lit(1)).alias("cnt"))
     wr = Window.partitionBy(group, "n").orderBy(F.desc("cnt"), "ngram")

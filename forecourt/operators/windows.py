@@ -192,10 +192,17 @@ def net_negative_movements(df: DataFrame, order_col: str, date_col: str, qty: st
     return untouched.select(*df.columns).unionByName(touched.select(*df.columns))
 
 
-def diff_prev(df: DataFrame, keys: list[str], order_cols: list, col: str, out: str) -> DataFrame:
-    """WIN-04: difference to the previous value in the group, first = 0."""
-    w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
-    return df.withColumn(out, F.coalesce(F.col(col) - F.lag(col).over(w), F.lit(0).cast(df.schema[col].dataType)))
+def diff_prev(df: DataFrame, keys: list[str], order_cols: list, col: str, out: str,
+              chunk: Column | None = None) -> DataFrame:
+    """WIN-04: difference to the previous value in the group, first = 0.
+    With ``chunk`` (a monotone coarsening of the leading order column) the
+    lag runs as a chunked scan, so one long history is split over tasks."""
+    if chunk is None:
+        w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
+        return df.withColumn(out, F.coalesce(F.col(col) - F.lag(col).over(w), F.lit(0).cast(df.schema[col].dataType)))
+    x = chunked_running(df, keys, order_cols, chunk, [], [col], "_d")
+    return (x.withColumn(out, F.coalesce(F.col(col) - F.col(f"_d_lag_{col}"), F.lit(0).cast(df.schema[col].dataType)))
+             .drop("_d_rn", f"_d_lag_{col}"))
 
 
 def keep_group_max(df: DataFrame, keys: list[str], col: str) -> DataFrame:
@@ -205,9 +212,15 @@ def keep_group_max(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     return df.join(mx, keys, "inner").filter(F.col(col) == F.col("_mx")).drop("_mx")
 
 
+def _positions(df, keys, order_cols, date_col):
+    """Row position per group in ``order_cols`` order, as a chunked scan
+    (chunk = month of the leading date)."""
+    x = chunked_running(df, keys, order_cols, F.trunc(F.col(date_col), "month"), [], [], "_q")
+    return x.withColumnRenamed("_q_rn", "_pos")
+
+
 def _repeated_reading_groups(df, keys, order_cols, kms, date_col):
-    w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
-    x = df.withColumn("_pos", F.row_number().over(w))
+    x = _positions(df, keys, order_cols, date_col)
     grp = (x.groupBy(*keys, kms)
              .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_pmin"), F.max("_pos").alias("_pmax"),
                   F.min(date_col).alias("_dmin"), F.max(date_col).alias("_dmax"),
@@ -237,16 +250,16 @@ def mileage_repair_last_pair(df: DataFrame, keys: list[str], order_cols: list, k
     reading from the first equal reading's date up to (excluding) that date.
     No reading strictly between the last two means no deletion (Q-12)."""
     from functools import reduce as _r
-    w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
-    x = df.withColumn("_pos", F.row_number().over(w))
-    wk = Window.partitionBy(*keys, kms).orderBy(F.col("_pos").desc())
-    ranked = x.withColumn("_rd", F.row_number().over(wk))
-    grp = (ranked.groupBy(*keys, kms)
-                 .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_pmin"), F.max("_pos").alias("_pmax"),
-                      F.min(date_col).alias("_dmin"),
-                      F.max(F.when(F.col("_rd") == 1, F.col(date_col))).alias("_db"),
-                      F.max(F.when(F.col("_rd") == 2, F.col(date_col))).alias("_da"))
-                 .filter((F.col("_cnt") > 1) & (F.col("_pmax") - F.col("_pmin") + 1 > F.col("_cnt"))))
+    x = _positions(df, keys, order_cols, date_col)
+    # last two equal readings by position: two aggregations (partial,
+    # skew-safe) instead of a descending row_number per (vehicle, reading)
+    g1 = (x.groupBy(*keys, kms)
+           .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_pmin"), F.max("_pos").alias("_pmax"),
+                F.min(date_col).alias("_dmin"), F.max_by(date_col, "_pos").alias("_db"))
+           .filter((F.col("_cnt") > 1) & (F.col("_pmax") - F.col("_pmin") + 1 > F.col("_cnt"))))
+    g2 = (x.join(g1.select(*keys, kms, "_pmax"), [*keys, kms]).filter(F.col("_pos") < F.col("_pmax"))
+           .groupBy(*keys, kms).agg(F.max_by(date_col, "_pos").alias("_da")))
+    grp = g1.join(g2, [*keys, kms])
     g = grp.select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col(kms).alias("_gk"), "_dmin", "_da", "_db")
     between = x.join(g, _r(lambda a, b: a & b, [F.col(k) == F.col(f"_g_{k}") for k in keys] + [
         F.col(date_col) > F.col("_da"), F.col(date_col) < F.col("_db")]), "inner")

@@ -145,7 +145,7 @@ def _day_max(spark, d):
 
 
 def _odo_out(df):
-    df = windows.diff_prev(df, OKEYS, OORDER, "kms", "kms_diff")
+    df = windows.diff_prev(df, OKEYS, OORDER, "kms", "kms_diff", chunk=F.trunc("day", "month"))
     return df.select(*OKEYS, "event_id", dstr("day").alias("day"), "kms", big("kms_diff").alias("kms_diff"))
 
 

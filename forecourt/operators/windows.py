@@ -275,14 +275,18 @@ def group_fill(df: DataFrame, keys: list[str], order_cols: list, cols: list[str]
     (each step optional, for the three column classes of the ledger)."""
     w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
     fw = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bw = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # back fill = running "last non-null" in DESCENDING order: a streaming
+    # running frame, where a current..unbounded-following frame would be
+    # re-evaluated for every row (quadratic on a long group)
+    desc = [(F.col(c) if isinstance(c, str) else c).desc() for c in order_cols]
+    bw = Window.partitionBy(*keys).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = df
     for c in cols:
         e = F.col(c)
         if ffill:
             e = F.coalesce(e, F.last(c, ignorenulls=True).over(fw))
         if bfill:
-            e = F.coalesce(e, F.first(c, ignorenulls=True).over(bw))
+            e = F.coalesce(e, F.last(c, ignorenulls=True).over(bw))
         if zero:
             e = F.coalesce(e, F.lit(0).cast(df.schema[c].dataType))
         out = out.withColumn(c, e)

@@ -65,9 +65,16 @@ def stock_ledger(daily: DataFrame, opening: DataFrame, part: str, min_date: str,
         x = x.withColumn(out, F.sum(F.when(after, F.col(src)).otherwise(0.0)).over(w))
     x = x.withColumn("stock_qty_al", F.col("stock_qty") - F.col("sales_evolution") + F.col("purchases_evolution")
                      - F.col("regulated_evolution"))
-    tot = x.groupBy(part).agg(
-        (F.sum(F.col("qty_purchased") - F.col("qty_sold") - F.col("qty_regulated"))).alias("_net_all"),
-        F.max_by("stock_qty_al", "day").alias("_al_end"))
+    # closing totals from the sparse daily rows (zero-filled days add
+    # nothing), so the dense calendar window is evaluated once
+    after_d = F.col("day") > F.to_date(F.lit(min_date))
+    tot = (inside.groupBy(part).agg(
+              F.sum(F.col("qty_purchased") - F.col("qty_sold") - F.col("qty_regulated")).alias("_net_all"),
+              F.sum(F.when(after_d, F.col("qty_sold")).otherwise(0.0)).alias("_s"),
+              F.sum(F.when(after_d, F.col("qty_purchased")).otherwise(0.0)).alias("_p"),
+              F.sum(F.when(after_d, F.col("qty_regulated")).otherwise(0.0)).alias("_r"))
+              .join(opening, part, "left")
+              .select(part, "_net_all", (F.coalesce(F.col("stock_qty"), F.lit(0.0)) - F.col("_s") + F.col("_p") - F.col("_r")).alias("_al_end")))
     x = x.join(tot, part, "inner")
     end = F.col("stock_qty") + F.col("_net_all")
     return (x.withColumn("stock_end", end)

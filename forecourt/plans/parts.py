@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from forecourt.functions.fmt import big, dstr, rnd, sql_rnd
 from forecourt.operators import ledger
 from forecourt.plans.registry import query
+from forecourt.session import materialize
 from forecourt.sources.fixtures import PARTS_MV_SQL, opening_stock, parts_movements
 from forecourt.sources.tables import read
 
@@ -100,7 +101,8 @@ METRIC_COLS = ["cost", "pvp", "margin", "last_stock", "last_stock_value", "last_
 
 
 def metrics(spark, d):
-    return ledger.part_metrics(the_ledger(spark, d), "part", CURRENT, DTS_GOAL)
+    # three branches of the metrics read the dense ledger: materialise it once
+    return ledger.part_metrics(materialize(the_ledger(spark, d)), "part", CURRENT, DTS_GOAL)
 
 
 @query("agg_08_part_metrics")

@@ -472,7 +472,7 @@ def _rule_df(spark):
 def _labels(spark, d, stem=False):
     # tokenising whole texts is the expensive step and five branches of the
     # labeller read the tokens: materialise them once
-    r = materialize(request_tokens(spark, d))
+    r = materialize(request_tokens(spark, d), "checkpoint")
     if stem:
         table = T.stem_table(r.select(F.explode("tokens").alias("word")))
         r = T.apply_word_table(r, "request_num", "tokens", table, "stems", min_len=2).drop("tokens") \

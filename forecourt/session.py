@@ -63,14 +63,16 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-def materialize(df, how: str = "checkpoint"):
+def materialize(df, how: str = "persist"):
     """Materialise an intermediate that several branches of a plan read
     (group statistics joined back, several grains...), so the upstream scan
     and joins run once instead of once per branch.
 
-    'checkpoint' writes it to the shared checkpoint folder (reliable: an
-    executor loss does not lose it, lineage is cut); 'persist' keeps it in
-    executor memory / local disk (recomputed from lineage if lost)."""
+    'persist' (default) keeps it in executor memory / local disk; a lost
+    partition is recomputed from lineage.  'checkpoint' writes it to the
+    shared checkpoint folder and cuts the lineage: used where the base is an
+    expensive derivation (multi-way joins, tokenised whole texts) whose
+    recomputation after an executor loss would be costly."""
     from pyspark import StorageLevel
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -73,3 +73,13 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 bytes of a text column, null as empty."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
+
+
+def aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """Renames the columns an operator would replace; ``restored`` names them back."""
+    own = {f"__own_{n}": n for n in names if n in df.columns}
+    return df.withColumnsRenamed({n: k for k, n in own.items()}), own
+
+
+def restored(df: DataFrame, own: dict[str, str], columns: list[str]) -> DataFrame:
+    return df.drop(*own.values()).withColumnsRenamed(own).select(*columns)

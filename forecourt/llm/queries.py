@@ -3,10 +3,11 @@ whole table with production parameters and derives the result's digest columns."
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import line_dedup, sharding, simhash
+from forecourt.llm import bpe, decontaminate, language, line_dedup, sharding, simhash, toxicity
 from forecourt.llm.common import table
 
 
@@ -14,11 +15,40 @@ def _hex(col):
     return F.sha2(col.cast("binary"), 256)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                      table(spark, sf_dir, "benchmark", "item_id", "text"))
+    names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      _hex(names).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", _hex(F.col("text")).alias("kept_sha256"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    net = language.fit(docs, toxicity.fold(4) != 2)
+    out = language.predict(docs.select("doc_id", "text"), net)
+    return out.select("doc_id", (toxicity.fold(4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(ids.select("doc_id", "ids"), path))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), toxicity.fold(3) != 1)
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (toxicity.fold(3) == 1).alias("held_out"), F.col("toxicity").alias("score"),
+                      (F.col("toxicity") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -29,6 +59,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op9_sharding, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op4_language, op6_bpe, op7_toxicity, op9_sharding,
+                                   op10_simhash)}
+
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH items AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(ws[i:i + size - 1], ' ') AS w
+  FROM (SELECT item_id, ws, least(len(ws), 10) AS size, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i
+        FROM items WHERE len(ws) > 0)),
+docs AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+grams AS (
+  SELECT doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+        FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(ws) >= size)),
+found AS (SELECT doc_id, i, g.size, item_id FROM grams g JOIN windows USING (size, w)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+got AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names
+        FROM found GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN got USING (doc_id)""",
+    "op2_line_dedup": f"""
+WITH lines AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_LETTERS}) AS k
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents)),
+shared AS (SELECT k, max(doc_id) AS keeper FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT doc_id, pos, line, keeper IS NOT NULL AND keeper <> doc_id AS dropped FROM lines LEFT JOIN shared USING (k))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+}

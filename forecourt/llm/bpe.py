@@ -181,9 +181,9 @@ def decode(encoded: DataFrame, ranks_path: str, out: str = "decoded") -> DataFra
     return base.mapInArrow(run, f"{schema}, `{out}` binary")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of rows with doc_id, ids, decoded."""
     return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from forecourt.llm.common import aside, restored, slices, small_batches
 
-#: A word: ASCII letters, and everything beyond ASCII.
+#: A word of lower-cased text: ASCII letters, digits, and everything beyond ASCII.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Words of the items in one automaton; an automaton has at most twice as many states.

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bpe, decontaminate, language, line_dedup, sharding, simhash, toxicity
+from forecourt.llm import ann, bpe, decontaminate, html_text, language, line_dedup, sharding, simhash, suffix_dedup, toxicity
 from forecourt.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", _hex(F.col("text")).alias("kept_sha256"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     net = language.fit(docs, toxicity.fold(4) != 2)
@@ -35,6 +40,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (toxicity.fold(4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN)
@@ -49,6 +59,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("toxicity") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -59,8 +76,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_line_dedup, op4_language, op6_bpe, op7_toxicity, op9_sharding,
-                                   op10_simhash)}
+QUERIES = {f.__name__: f for f in (
+    op1_decontamination, op2_line_dedup, op3_neighbours, op4_language, op5_html_text, op6_bpe, op7_toxicity,
+    op8_suffix_dedup, op9_sharding, op10_simhash)}
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -31,7 +31,7 @@ TOKEN = re.compile(r"[^\W_]+")
 #: Labelled rows that the classifier is fitted on, at most.
 TRAIN_ROWS = 40_000
 #: Documents in the Dirichlet prior of a token; standard errors taken off its log-odds.
-PRIOR, SURE = 2.0, 2.0
+PRIOR, SURE = 5.0, 3.0
 #: What a token without evidence costs a segment.
 DRIFT = 0.2
 #: A segment counts when a clean text has fewer than this many as good ones.
@@ -179,11 +179,13 @@ def _calibrate(model: Model, texts: DataFrame, s: np.ndarray, clean: np.ndarray,
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
+    """Newton's method; toxic rows weigh as the root of how much rarer they are."""
     a, w = np.stack([np.ones_like(x), x], axis=1), np.zeros(2)
+    weight = np.where(y == 1, ((1 - y.mean()) / max(y.mean(), 1e-9)) ** 0.5, 1.0)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
-        w = w + np.linalg.solve(h, a.T @ (y - p) - ridge * w)
+        h = (a * (weight * p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
+        w = w + np.linalg.solve(h, a.T @ (weight * (y - p)) - ridge * w)
     return float(w[0]), float(max(w[1], 0.0))
 
 

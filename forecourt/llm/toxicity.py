@@ -73,7 +73,9 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> lis
     """All maximal scoring segments of a text whose positive tokens are ``hits``
     (position, score) and whose other tokens score ``-drift``."""
     total, before = 0.0, 0
-    found: list[tuple[int, int, float, float]] = []  # first, end, sum left of it, sum at its end
+    out: list[tuple[int, int, float]] = []
+    # Candidates: first, end, sum left of it, sum at its end, last one before with a smaller left sum.
+    found: list[tuple[int, int, float, float, int]] = []
     for i, s in hits:
         total -= drift * (i - before)
         first, end, left, right = i, i + 1, total, total + s
@@ -81,13 +83,18 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> lis
         while True:
             j = len(found) - 1
             while j >= 0 and found[j][2] >= left:
-                j -= 1
-            if j < 0 or found[j][3] >= right:
-                found.append((first, end, left, right))
+                j = found[j][4]
+            if j < 0:
+                # Nothing before can join what comes: all candidates are final.
+                out += [(a, b, r - lo) for a, b, lo, r, _ in found]
+                found = [(first, end, left, right, -1)]
+                break
+            if found[j][3] >= right:
+                found.append((first, end, left, right, j))
                 break
             first, left = found[j][0], found[j][2]
             del found[j:]
-    return [(a, b, r - lo) for a, b, lo, r in found]
+    return out + [(a, b, r - lo) for a, b, lo, r, _ in found]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, rows: int) -> DataFrame:
@@ -155,10 +162,11 @@ def _calibrate(model: Model, texts: DataFrame, s: np.ndarray, clean: np.ndarray,
         for batch in batches:
             rows = [m.segments(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                pa.array([n for n, _ in rows], pa.int64()), pa.array([[float(g[2]) for g in seg] for _, seg in rows], pa.list_(pa.float64())),
+                pa.array([n for n, _ in rows], pa.int64()), pa.array([np.array([g[2] for g in seg], "<f4").tobytes() for _, seg in rows], pa.binary()),
                 batch.column("y").cast(pa.int32())], ["n", "s", "y"])
 
-    got = texts.mapInArrow(run, "n long, s array<double>, y int").collect()
+    got = texts.mapInArrow(run, "n long, s binary, y int").collect()
+    best = [np.frombuffer(r.s, "<f4") for r in got]
     mean_tokens = max(1.0, float(np.mean([r.n for r in got if not r.y] or [1])))
     # Chance of each token in a clean text's next token, by documents.
     p = (clean + prior) / (n0 + 2 * prior) / mean_tokens
@@ -171,9 +179,9 @@ def _calibrate(model: Model, texts: DataFrame, s: np.ndarray, clean: np.ndarray,
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if expect(mid) < 1 else (lo, mid)
     model.lam = max(hi, 1e-3)
-    u = [r.n * math.exp(-model.lam * max(r.s, default=0.0)) for r in got if not r.y and r.n]
+    u = [r.n * math.exp(-model.lam * float(x.max(initial=0))) for r, x in zip(got, best) if not r.y and r.n]
     model.log_k = math.log(len(u) / max(sum(u), 1e-300)) if u else 0.0
-    x = np.array([math.log1p(model.evidence(r.n, [(0, 0, v) for v in r.s])) for r in got])
+    x = np.array([math.log1p(model.evidence(r.n, [(0, 0, v) for v in x.tolist()])) for r, x in zip(got, best)])
     y = np.array([r.y for r in got], dtype=float)
     model.bias, model.slope = _logistic(x, y)
 

@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import slices, small_batches
 
 #: Pieces whose ids a task remembers, and bytes of them; beyond that it forgets all.
-CACHE_PIECES, CACHE_BYTES = 300_000, 32 << 20
+CACHE_PIECES, CACHE_BYTES = 400_000, 32 << 20
+
+#: Bytes of text whose new pieces are replayed together.
+CHUNK = 6 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -31,100 +34,127 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
+#: Rank of what is no token.
+NONE = 1 << 30
+
+
 class Replay:
     """Token ids of whole word lists under the ranks."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.bytes_of = {i: b for b, i in ranks.items()}
-        self.pairs: dict[tuple[int, int], int | None] = {}
-        self.single = [ranks[bytes([b])] for b in range(256)]
-
-    def rank(self, a: int, b: int) -> int | None:
-        """Rank, which is the id, of the token that a pair makes."""
-        pair = a, b
-        try:
-            return self.pairs[pair]
-        except KeyError:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            r = self.pairs[pair] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
-            return r
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.base = max(ranks.values()) + 1
+        # Every pair of tokens that makes a token, as left * base + right, sorted.
+        made = sorted((ranks[t[:k]] * self.base + ranks[t[k:]], i) for t, i in ranks.items()
+                      for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks)
+        self.keys = np.array([k for k, _ in made], np.int64)
+        self.makes = np.array([i for _, i in made], np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank, which is the id, of the tokens that pairs make; NONE where none."""
+        key = left * self.base + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.makes[at], NONE) if len(self.keys) else np.full(len(key), NONE)
 
     def encode(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece, packed as little-endian int32."""
         out: list[bytes] = [b""] * len(pieces)
-        symbols: list[int] = []
-        starts: list[int] = []
         todo = []
         for k, piece in enumerate(pieces):
             whole = self.ranks.get(piece)
             if whole is not None:
                 out[k] = whole.to_bytes(4, "little")
-            else:
+            elif piece:
                 todo.append(k)
-                starts.append(len(symbols))
-                symbols.extend(map(self.single.__getitem__, piece))
-                symbols.append(-1)  # between words; joins with nothing
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        # The inverted index: pair -> places of its left symbol, and the pairs by rank.
-        places: dict[tuple[int, int], list[int]] = {}
-        queue: list[tuple[int, tuple[int, int]]] = []
-        rank = self.rank
-
-        def note(i: int, a: int, b: int) -> int | None:
-            r = rank(a, b)
-            if r is not None:
-                pair = a, b
-                if pair in places:
-                    places[pair].append(i)
+        if not todo:
+            return out
+        size = np.array([len(pieces[k]) for k in todo])
+        end = np.cumsum(size)
+        word = np.repeat(np.arange(len(todo)), size)
+        sym = self.single[np.frombuffer(b"".join(pieces[k] for k in todo), np.uint8)]
+        n = len(sym)
+        # Neighbours in the word; -1 at its ends, which is read as the spare place n.
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[end - 1] = before[end - size] = -1
+        current = np.full(n + 1, NONE)
+        sym = np.append(sym, -1)
+        inside = np.flatnonzero(after[:n] >= 0)
+        current[inside] = self.rank(sym[inside], sym[inside + 1])
+        odd = np.zeros(len(todo), dtype=bool)
+        # The inverted index: rank of a pair -> places of its left symbol, in pieces as they came up.
+        places: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def note(at: np.ndarray, ranks: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            at, ranks = at[order], ranks[order]
+            cut = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            lo = 0
+            for hi in [*cut.tolist(), len(at)]:
+                r = int(ranks[lo])
+                if r in places:
+                    places[r].append(at[lo:hi])
                 else:
-                    places[pair] = [i]
-                    heapq.heappush(queue, (r, pair))
-            return r
+                    places[r] = [at[lo:hi]]
+                    heapq.heappush(queue, r)
+                lo = hi
 
-        for i in range(n - 1):
-            if symbols[i] >= 0 and symbols[i + 1] >= 0:
-                note(i, symbols[i], symbols[i + 1])
+        found = inside[current[inside] < NONE]
+        if len(found):
+            note(found, current[found])
         while queue:
-            r, pair = heapq.heappop(queue)
-            at = places.pop(pair)
-            a, b = pair
-            at.sort()
-            for k, i in enumerate(at):
-                j = after[i] if symbols[i] == a else n
-                if j >= n or symbols[j] != b:
-                    continue  # an earlier merge took one of the two
-                symbols[i], symbols[j] = r, -2
-                right = after[j]
-                after[i] = right
-                if right < n:
-                    before[right] = i
-                lower = False
-                left = before[i]
-                if left >= 0 and symbols[left] >= 0:
-                    new = note(left, symbols[left], r)
-                    lower = new is not None and new < r
-                if right < n and symbols[right] >= 0:
-                    new = note(i, r, symbols[right])
-                    lower = lower or new is not None and new < r
-                if lower and k + 1 < len(at):
-                    # A pair of a lower rank came up: it goes before what is left of this one.
-                    if pair in places:
-                        places[pair].extend(at[k + 1:])
-                    else:
-                        places[pair] = at[k + 1:]
-                        heapq.heappush(queue, (r, pair))
-                    break
-        for k, i in zip(todo, starts):
-            ids = []
-            while symbols[i] >= 0:
-                ids.append(symbols[i])
-                i = after[i]
-            out[k] = np.array(ids, dtype="<i4").tobytes()
+            r = heapq.heappop(queue)
+            held = places.pop(r)
+            at = np.unique(np.concatenate(held))  # in order of place
+            at = at[current[at] == r]
+            if not len(at):
+                continue
+            right = after[at]
+            clash = right[:-1] == at[1:]
+            if clash.any():
+                # Places that share a symbol: the leftmost merges first, so every other one of a chain.
+                k = np.arange(len(at))
+                start = np.maximum.accumulate(np.where(np.concatenate(([True], ~clash)), k, 0))
+                at = at[(k - start) % 2 == 0]
+                right = after[at]
+            sym[at], sym[right] = r, -1
+            current[right] = NONE
+            beyond = after[right]
+            after[at] = beyond
+            more = beyond >= 0
+            before[beyond[more]] = at[more]
+            left = before[at]
+            touched = np.concatenate((at, left[left >= 0]))
+            follow = after[touched]
+            new = np.where(follow >= 0, self.rank(sym[touched], sym[follow]), NONE)
+            current[touched] = new
+            if (new < r).any():
+                # A pair that goes before this one came up: its word is replayed alone.
+                odd[word[touched[new < r]]] = True
+            live = new < NONE
+            if live.any():
+                note(touched[live], new[live])
+        alive = sym[:n] >= 0
+        ids = sym[:n][alive].astype("<i4")
+        counts = np.bincount(word[alive], minlength=len(todo))
+        edges = np.concatenate(([0], np.cumsum(counts))) * 4
+        flat = ids.tobytes()
+        for i, (k, lo, hi) in enumerate(zip(todo, edges[:-1].tolist(), edges[1:].tolist())):
+            out[k] = self.alone(pieces[k]) if odd[i] else flat[lo:hi]
         return out
 
+    def alone(self, piece: bytes) -> bytes:
+        """Ids of one piece, merge by merge."""
+        parts = [piece[i:i + 1] for i in range(len(piece))]
+        get = self.ranks.get
+        while len(parts) > 1:
+            r, i = min((get(a + b, NONE), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if r == NONE:
+                break
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        return np.array([self.ranks[p] for p in parts], "<i4").tobytes()
+
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``docs`` with ids (array<int>) of the whole text, each match of ``pattern``
@@ -140,7 +170,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         known: dict[str, bytes] = {}
         held = 0
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", CHUNK):
                 pieces = [split.findall(t) if t else [] for t in part.column("text").to_pylist()]
                 new = list({w for ws in pieces for w in ws if w not in known})
                 if len(known) + len(new) > CACHE_PIECES or held > CACHE_BYTES:

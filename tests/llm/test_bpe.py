@@ -54,3 +54,14 @@ def test_a_pair_of_lower_rank_goes_first():
 def test_empty_table(spark):
     docs = frame(spark, documents()).limit(0)
     assert bpe.digests(bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH)).count() == 0
+
+
+def test_fast_split_is_the_pattern():
+    lib, r = _library(), random.Random(8)
+    assert bpe.GENERAL == public_tokenizers.PATTERN
+    fast, replay = bpe.splitter(bpe.GENERAL), bpe.Replay(bpe.load_ranks(PATH))
+    chars = [chr(c) for c in range(0x250)] + list(" '  \n\t'strelvdmaz09.!") * 12
+    for _ in range(1500):
+        text = "".join(r.choice(chars) for _ in range(r.randint(1, 30)))
+        packed = b"".join(replay.encode([w.encode() for w in fast(text)]))
+        assert [int.from_bytes(packed[i:i + 4], "little") for i in range(0, len(packed), 4)] == lib.encode_ordinary(text), repr(text)

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forecourt.session import materialize
+
 WS = r"^[\s]+|[\s]+$"
 
 
@@ -227,12 +229,13 @@ def dedupe_first(df: DataFrame, subset: list[str], order_cols: list) -> DataFram
 
 
 def sequence_number(df: DataFrame, order_cols: list, out: str = "idx") -> DataFrame:
-    """PRJ-45: a dense 0-based row number in a total order.  Uses the
-    range-partitioned sort + per-partition offsets of ``zipWithIndex``-free
-    DataFrame ops: row_number within range partitions plus prefix counts."""
+    """PRJ-45: a dense 0-based row number in a total order: row_number within
+    range partitions plus prefix counts of the partitions.  The range-partitioned
+    rows are stored once with their partition number, so the counts and the rows
+    are of the same partitioning, whatever the planner samples or coalesces."""
     cols = [_c(c) for c in order_cols]
-    s = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-    s = s.withColumn("_pid", F.spark_partition_id())
+    s = df.repartitionByRange(*cols).withColumn("_pid", F.spark_partition_id())
+    s = materialize(s, "checkpoint")
     w = Window.partitionBy("_pid").orderBy(*cols)
     s = s.withColumn("_lrn", F.row_number().over(w))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))

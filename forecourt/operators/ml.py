@@ -30,7 +30,16 @@ from forecourt.operators.windows import chunked_running
 def knuth_hash(key: Column, seed: int = 0) -> Column:
     """Deterministic multiplicative hash of an integer key (same value in
     every engine), used to order rows pseudo-randomly but reproducibly."""
-    return F.pmod(key * F.lit(2654435761) + F.lit(seed), F.lit(4294967296))
+    k = F.pmod(key, F.lit(4294967296))
+    # In two halves of 16 bits, so no key overflows a long.
+    high = F.pmod(F.floor(k / 65536) * F.lit(2654435761), F.lit(4294967296)) * 65536
+    return F.pmod(high + F.pmod(k, F.lit(65536)) * F.lit(2654435761) + F.lit(seed), F.lit(4294967296))
+
+
+def _hash_chunk(rows: Column) -> Column:
+    """Chunk of the hash column ``_h`` in a class of so many rows: about
+    100,000 rows to a chunk, whatever the size."""
+    return F.floor(F.col("_h") * F.ceil(rows / 100_000) / F.lit(4294967296))
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.25, seed: int = 0) -> DataFrame:
@@ -38,11 +47,10 @@ def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2
     a seeded hash of the key; the first floor(n_c * (1 - test)) go to train.
     The ranking is a chunked scan, so a dominant class is not one task."""
     h = knuth_hash(F.col(key), seed)
-    x = df.withColumn("_h", h)
-    ranked = chunked_running(x, [label], ["_h", key], F.floor(F.col("_h") / F.lit(4294967296 // 64)), [], [], "_s")
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    return (ranked.join(n, label)
-                  .withColumn("split", F.when(F.col("_s_rn") <= F.floor(F.col("_n") * (1 - test_frac)), "train").otherwise("test"))
+    x = df.withColumn("_h", h).join(n, label)
+    ranked = chunked_running(x, [label], ["_h", key], _hash_chunk(F.col("_n")), [], [], "_s")
+    return (ranked.withColumn("split", F.when(F.col("_s_rn") <= F.floor(F.col("_n") * (1 - test_frac)), "train").otherwise("test"))
                   .drop("_h", "_s_rn", "_n"))
 
 
@@ -53,7 +61,7 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 0) -> DataFrame:
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     mx = n.agg(F.max("_n")).scalar()
     x = df.join(n, label).withColumn("_h", knuth_hash(F.col(key), seed))
-    ranked = chunked_running(x, [label], ["_h", key], F.floor(F.col("_h") / F.lit(4294967296 // 64)), [], [], "_s")
+    ranked = chunked_running(x, [label], ["_h", key], _hash_chunk(F.col("_n")), [], [], "_s")
     full = F.floor(mx / F.col("_n")).cast("int")
     rem = (mx - full * F.col("_n"))
     reps = F.when(F.col("_s_rn") <= rem, full + 1).otherwise(full)
@@ -122,7 +130,8 @@ def impute(train: DataFrame, test: DataFrame, spec: dict[str, str | tuple]) -> t
 def rescale(train: DataFrame, test: DataFrame, spec: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """MLX-10: 'minmax' or 'standard' (mean / sample std) learned on train;
     a constant feature (zero range / std) is dropped."""
-    exprs, drop = {}, []
+    spread = train.agg(*[F.count_distinct(F.col(c)).alias(c) for c in spec]).first()
+    exprs, drop = {}, [c for c in spec if spread[c] < 2]
     for c, how in spec.items():
         if how == "minmax":
             lo, hi = train.agg(F.min(c)).scalar(), train.agg(F.max(c)).scalar()

@@ -10,6 +10,8 @@ joined back.  A hot group is then spread over as many tasks as it has chunks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +30,11 @@ def chunked_running(df: DataFrame, group_cols: list[str], order_cols: list,
       {prefix}_rn          1-based position in the group
       {prefix}_cum_<c>     running sum of c (current row included)
       {prefix}_lag_<c>     value of c on the previous row (null on the first)
-    computed per (group, chunk) and stitched with per-chunk offsets."""
+    computed per (group, chunk) and stitched with per-chunk offsets.  Rows with
+    a null group key form a group of their own, and null order values come last;
+    no row is lost."""
     chunk = F.lit(0) if chunk is None else chunk
+    order_cols = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
     g = list(group_cols)
     gc = g + ["_chunk"]
     x = df.withColumn("_chunk", chunk)
@@ -40,18 +45,19 @@ def chunked_running(df: DataFrame, group_cols: list[str], order_cols: list,
     for c in lag_cols:
         x = x.withColumn(f"_llag_{c}", F.lag(c).over(w))
     last = F.max_by(F.struct(*[F.col(c).alias(c) for c in lag_cols] or [F.lit(0).alias("_z")]),
-                    F.struct(*_cols(order_cols)))
+                    F.col("_lrn"))
     per_chunk = x.groupBy(*gc).agg(F.count(F.lit(1)).alias("_cn"),
                                    *[F.sum(c).alias(f"_cs_{c}") for c in sum_cols],
                                    last.alias("_last"))
-    wc = Window.partitionBy(*g).orderBy("_chunk")
+    wc = Window.partitionBy(*g).orderBy(F.col("_chunk").asc_nulls_last())
     before = wc.rowsBetween(UNB, -1)
     offsets = per_chunk.select(
-        *gc,
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(gc)],
         F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_off_n"),
         *[F.sum(f"_cs_{c}").over(before).alias(f"_off_{c}") for c in sum_cols],
         F.lag("_last").over(wc).alias("_prev_last"))
-    x = x.join(offsets, on=gc, how="inner")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(gc)])
+    x = x.join(offsets, same)
     out = x.withColumn(f"{prefix}_rn", (F.col("_off_n") + F.col("_lrn")).cast("bigint"))
     for c in sum_cols:
         out = out.withColumn(f"{prefix}_cum_{c}",
@@ -60,7 +66,7 @@ def chunked_running(df: DataFrame, group_cols: list[str], order_cols: list,
         out = out.withColumn(f"{prefix}_lag_{c}",
                              F.when(F.col("_lrn") == 1, F.col("_prev_last")[c])
                               .otherwise(F.col(f"_llag_{c}")))
-    drop = ["_chunk", "_lrn", "_cn", "_off_n", "_prev_last"] + \
+    drop = ["_chunk", "_lrn", "_cn", "_off_n", "_prev_last", *[f"_k{i}" for i in range(len(gc))]] + \
         [f"_lcum_{c}" for c in sum_cols] + [f"_off_{c}" for c in sum_cols] + \
         [f"_llag_{c}" for c in lag_cols]
     return out.drop(*drop)
@@ -297,7 +303,8 @@ def quantity_share(df: DataFrame, group_cols: list[str], score: str, order_size:
                    order_cols: list, repair: bool = True, out: str = "quantity") -> DataFrame:
     """WIN-16 / WIN-17: order quantity by score share, rounded half-even.
     With ``repair`` the shortage is added to the first row (best score) and
-    the excess is taken from the last positive row; zero rows dropped."""
+    the excess is taken from the last positive row; rows left without a
+    positive quantity are dropped."""
     g = list(group_cols)
     wg = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     share = F.try_divide(F.col(score), F.sum(score).over(wg)) * order_size
@@ -311,7 +318,7 @@ def quantity_share(df: DataFrame, group_cols: list[str], score: str, order_size:
     diff = F.lit(order_size) - F.col("_tot")
     q = (F.col("_q") + F.when((diff > 0) & (F.col("_rn") == 1), diff).otherwise(0)
          + F.when((diff < 0) & (F.col("_rn") == F.col("_lastpos")), diff).otherwise(0))
-    return (x.withColumn(out, q.cast("bigint")).filter(F.col(out) != 0)
+    return (x.withColumn(out, q.cast("bigint")).filter(F.col(out) > 0)
              .drop("_q", "_tot", "_rn", "_lastpos"))
 
 

@@ -4,6 +4,8 @@ checkpoint folder; sinks return the table state they would write."""
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from forecourt.functions.fmt import big, dstr, rnd, sql_rnd
@@ -130,7 +132,7 @@ sql("src_12_fill_missing_key", "SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0
 def src13(spark, d):
     def build():
         return read(spark, d, "orders", "o_orderstatus", "o_totalprice").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    tag = str(abs(hash(d)) % 10 ** 8)
+    tag = f"{zlib.crc32(d.encode()):08x}"
     return io.cached(spark, f"src13_{tag}", "2000-01-01", build)
 
 

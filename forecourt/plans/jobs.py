@@ -89,7 +89,7 @@ r AS (SELECT *, sum(q0) OVER (PARTITION BY p_type) AS tot, row_number() OVER (PA
 r2 AS (SELECT *, max(CASE WHEN q0 > 0 THEN rn END) OVER (PARTITION BY p_type) AS lastpos FROM r),
 f AS (SELECT *, CAST(q0 + CASE WHEN {PA.ORDER_SIZE} - tot > 0 AND rn = 1 THEN {PA.ORDER_SIZE} - tot ELSE 0 END
   + CASE WHEN {PA.ORDER_SIZE} - tot < 0 AND rn = lastpos THEN {PA.ORDER_SIZE} - tot ELSE 0 END AS BIGINT) AS quantity FROM r2)
-SELECT f.p_type, f.p_brand, ids.configuration_id, f.quantity FROM f JOIN ids USING (p_type, p_brand) WHERE f.quantity <> 0""".replace("try_divide(score, sum(score) OVER (PARTITION BY p_type))", "score / NULLIF(sum(score) OVER (PARTITION BY p_type), 0)"))
+SELECT f.p_type, f.p_brand, ids.configuration_id, f.quantity FROM f JOIN ids USING (p_type, p_brand) WHERE f.quantity > 0""".replace("try_divide(score, sum(score) OVER (PARTITION BY p_type))", "score / NULLIF(sum(score) OVER (PARTITION BY p_type), 0)"))
 
 # ------------------------------------------------------------------ AGG-04
 PRED_MEASURES = (("average_percentage_margin", "margin_pct"), ("average_stock_days", "stock_days"),

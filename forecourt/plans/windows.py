@@ -294,7 +294,7 @@ r AS (SELECT *, sum(q0) OVER (PARTITION BY p_type) AS tot, row_number() OVER (PA
 r2 AS (SELECT *, max(CASE WHEN q0 > 0 THEN rn END) OVER (PARTITION BY p_type) AS lastpos FROM r),
 f AS (SELECT *, CAST(q0 + CASE WHEN 100 - tot > 0 AND rn = 1 THEN 100 - tot ELSE 0 END
                   + CASE WHEN 100 - tot < 0 AND rn = lastpos THEN 100 - tot ELSE 0 END AS BIGINT) AS quantity FROM r2)
-SELECT p_brand, p_type, {sql_rnd('score')} AS score, quantity FROM f WHERE quantity <> 0""")
+SELECT p_brand, p_type, {sql_rnd('score')} AS score, quantity FROM f WHERE quantity > 0""")
 
 
 @query("win_17_quantity_share_plain")

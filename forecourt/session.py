@@ -43,12 +43,15 @@ def build(master: str | None = None, shuffle_partitions: int | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``.  Only when it is unset (local tests) a scratch
-    folder is created; on a cluster the session setting always wins."""
+    ``spark.checkpoint.dir``.  Only a local session without the setting gets a
+    scratch folder; on a cluster a missing setting is an error, since a folder
+    of one machine would be read by none of the others."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="forecourt-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -10,8 +10,10 @@ atomically to a new location or partition.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -52,7 +54,8 @@ def run_query(spark: SparkSession, sql: str) -> DataFrame | None:
     None (the reference logs and returns None)."""
     try:
         return spark.sql(sql)
-    except Exception:  # noqa: BLE001
+    except (AnalysisException, ParseException) as e:
+        logging.getLogger(__name__).warning("query failed: %s", e)
         return None
 
 
@@ -110,11 +113,11 @@ def cached(spark: SparkSession, name: str, run_date: str, build) -> DataFrame:
     the shared checkpoint folder (never a machine-local path).  ``build`` is
     a zero-argument callable returning the DataFrame to materialise."""
     path = scratch_table_path(spark, f"{name}/date={run_date}")
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent cache
+    done = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        # Absent or half written: only a finished write leaves the marker.
         build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 # -------------------------------------------------------------------- gates
@@ -198,12 +201,12 @@ def delete_where(df: DataFrame, filters: dict) -> DataFrame:
 
 def keyed_update(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """SNK-07 / SNK-08 / SNK-09: update ``cols`` of the target from the
-    updates matched on keys (updates unique per key: the smallest value)."""
-    u = updates.groupBy(*keys).agg(*[F.min(c).alias(f"_u_{c}") for c in cols])
+    updates matched on keys.  Of several updates of a key one whole row is
+    taken, the smallest in the order of ``cols``; an update to null sets null."""
+    u = updates.groupBy(*keys).agg(F.min(F.struct(*cols)).alias("_u"))
     out = target.join(u, keys, "left")
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(f"_u_{c}"), F.col(c)))
-    return out.drop(*[f"_u_{c}" for c in cols])
+    new = {c: F.when(F.col("_u").isNotNull(), F.col(f"_u.{c}")).otherwise(F.col(c)) for c in cols}
+    return out.withColumns(new).drop("_u")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:

@@ -161,3 +161,61 @@ def test_url_nulls_whole_cell(spark):
     from forecourt.operators import clean
     df = spark.createDataFrame([("see http://x.y now",), ("plain",)], "t string")
     assert [r[0] for r in clean.null_if_match(df, "t", "http").collect()] == [None, "plain"]
+
+
+def test_sequence_number_keeps_every_row_over_many_partitions(spark):
+    from forecourt.operators import clean
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+        keys = ["l_shipdate", "l_extendedprice", "l_orderkey", "l_linenumber"]
+        out = clean.sequence_number(li.select(*keys, "l_comment") if "l_comment" in li.columns else li.select(*keys), keys)
+        rows = out.select("idx", *keys).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(rows) == li.count()
+    want = sorted(tuple(r[1:]) for r in rows)
+    assert [tuple(r[1:]) for r in sorted(rows)] == want and [r.idx for r in sorted(rows)] == list(range(len(rows)))
+
+
+def test_chunked_running_keeps_null_keys_and_null_order(spark):
+    from pyspark.sql import functions as F
+
+    from forecourt.operators.windows import chunked_running
+    rows = [("a", 1, 1), ("a", None, 2), (None, 3, 4), (None, None, 8), ("a", 2, 16)]
+    df = spark.createDataFrame(rows, "g string, t int, v int")
+    out = chunked_running(df, ["g"], ["t", "v"], F.floor(F.col("t") / 2), ["v"], ["v"], "_p")
+    got = {(r.g, r.v): (r["_p_rn"], r["_p_cum_v"], r["_p_lag_v"]) for r in out.collect()}
+    assert got == {("a", 1): (1, 1, None), ("a", 16): (2, 17, 1), ("a", 2): (3, 19, 16),
+                   (None, 4): (1, 4, None), (None, 8): (2, 12, 4)}
+
+
+def test_order_quantities_are_never_negative(spark):
+    from pyspark.sql import functions as F
+
+    from forecourt.operators.windows import quantity_share
+    df = spark.createDataFrame([(f"i{k}", 0.6) for k in range(10)], "item string, score double")
+    out = quantity_share(df, [], "score", 6, [F.desc("score"), "item"]).collect()
+    assert out and all(r.quantity > 0 for r in out)
+
+
+def test_keyed_update_takes_whole_rows_and_sets_null(spark):
+    from forecourt.sources import io
+    target = spark.createDataFrame([(1, "x", "y"), (2, "x", "y"), (3, "x", "y")], "k int, a string, b string")
+    new = spark.createDataFrame([(1, "a1", "b9"), (1, "a2", "b1"), (2, None, "b2")], "k int, a string, b string")
+    got = {r.k: (r.a, r.b) for r in io.keyed_update(target, new, ["k"], ["a", "b"]).collect()}
+    assert got == {1: ("a1", "b9"), 2: (None, "b2"), 3: ("x", "y")}
+
+
+def test_hash_of_large_keys_and_constant_features(spark):
+    from pyspark.sql import functions as F
+
+    from forecourt.operators import ml
+    keys = [0, 1, 7, 3_500_000_000, 2 ** 62, 123456789012]
+    df = spark.createDataFrame([(k,) for k in keys], "k long").select("k", ml.knuth_hash(F.col("k"), 5).alias("h"))
+    assert all(r.h == (r.k * 2654435761 + 5) % 2 ** 32 for r in df.collect())
+    rows = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0)], "a double, b double")
+    assert ml.rescale(rows, rows, {"a": "minmax", "b": "standard"})[1].columns == ["a"]

@@ -199,13 +199,16 @@ def delete_where(df: DataFrame, filters: dict) -> DataFrame:
     return df.filter(~F.coalesce(hit, F.lit(False)))
 
 
-def keyed_update(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+def keyed_update(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str],
+                 set_null: bool = False) -> DataFrame:
     """SNK-07 / SNK-08 / SNK-09: update ``cols`` of the target from the
     updates matched on keys.  Of several updates of a key one whole row is
-    taken, the smallest in the order of ``cols``; an update to null sets null."""
+    taken, the smallest in the order of ``cols``.  A null in it leaves the old
+    value (SNK-07, 08) or, with ``set_null``, replaces it (SNK-09)."""
     u = updates.groupBy(*keys).agg(F.min(F.struct(*cols)).alias("_u"))
     out = target.join(u, keys, "left")
-    new = {c: F.when(F.col("_u").isNotNull(), F.col(f"_u.{c}")).otherwise(F.col(c)) for c in cols}
+    kept = F.col("_u").isNull() if set_null else F.lit(True)
+    new = {c: F.coalesce(F.col(f"_u.{c}"), F.when(kept, F.col(c))) for c in cols}
     return out.withColumns(new).drop("_u")
 
 

@@ -207,6 +207,8 @@ def test_keyed_update_takes_whole_rows_and_sets_null(spark):
     target = spark.createDataFrame([(1, "x", "y"), (2, "x", "y"), (3, "x", "y")], "k int, a string, b string")
     new = spark.createDataFrame([(1, "a1", "b9"), (1, "a2", "b1"), (2, None, "b2")], "k int, a string, b string")
     got = {r.k: (r.a, r.b) for r in io.keyed_update(target, new, ["k"], ["a", "b"]).collect()}
+    assert got == {1: ("a1", "b9"), 2: ("x", "b2"), 3: ("x", "y")}
+    got = {r.k: (r.a, r.b) for r in io.keyed_update(target, new, ["k"], ["a", "b"], set_null=True).collect()}
     assert got == {1: ("a1", "b9"), 2: (None, "b2"), 3: ("x", "y")}
 
 

@@ -214,17 +214,21 @@ def _vocab(spark, d):
     return r.select(F.explode("tokens").alias("word")).distinct()
 
 
+def _with_keywords(vocab):
+    """Each word of more than two characters with each keyword of the fixed list."""
+    return vocab.filter(F.length("word") > 2).withColumn("keyword", F.explode(F.array(*[F.lit(k) for k in KEYWORDS])))
+
+
 @query("str_15_edit_distance")
 def str15(spark, d):
-    kw = F.broadcast(spark.createDataFrame([(k,) for k in KEYWORDS], "keyword string"))
-    v = _vocab(spark, d).filter(F.length("word") > 2)
-    j = v.join(kw, (F.abs(F.length("word") - F.length("keyword")) <= 1) & (F.substring("word", 1, 1) == F.substring("keyword", 1, 1)))
+    # Every word against every keyword; words within one edit differ by one character in length at most.
+    j = _with_keywords(_vocab(spark, d)).filter(F.abs(F.length("word") - F.length("keyword")) <= 1)
     return j.select("word", "keyword", F.levenshtein("word", "keyword").alias("distance")).filter(F.col("distance") <= 1)
 
 
 # No SQL twin: DuckDB's levenshtein counts UTF-8 bytes, Spark's (and the
 # reference's) counts characters; checked against a brute-force Python edit
-# distance in tests/test_text.py instead.
+# distance in tests/test_semantics.py instead.
 
 
 @pandas_udf(DoubleType())
@@ -234,9 +238,9 @@ def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @query("str_16_ratio_similarity")
 def str16(spark, d):
-    kw = F.broadcast(spark.createDataFrame([(k,) for k in KEYWORDS], "keyword string"))
-    v = _vocab(spark, d).filter(F.length("word") > 2)
-    j = v.join(kw, (F.abs(F.length("word") - F.length("keyword")) <= 2) & (F.substring("word", 1, 1) == F.substring("keyword", 1, 1)))
+    a, b = F.length("word"), F.length("keyword")
+    # The ratio is at most twice the shorter length over both: this filter loses no pair.
+    j = _with_keywords(_vocab(spark, d)).filter(2 * F.least(a, b) >= 0.85 * (a + b))
     j = j.withColumn("ratio", _ratio("keyword", "word"))
     return j.filter((F.col("ratio") >= 0.85) & (F.col("ratio") < 1)).select("word", "keyword", rnd("ratio").alias("ratio"))
 

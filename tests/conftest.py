@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,6 +13,6 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from forecourt import session
-    s = session.build("local[4]", 4)
+    s = session.build("local[4]", 4, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="forecourt-test-")})
     yield s
     s.stop()

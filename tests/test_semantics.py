@@ -221,3 +221,26 @@ def test_hash_of_large_keys_and_constant_features(spark):
     assert all(r.h == (r.k * 2654435761 + 5) % 2 ** 32 for r in df.collect())
     rows = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0)], "a double, b double")
     assert ml.rescale(rows, rows, {"a": "minmax", "b": "standard"})[1].columns == ["a"]
+
+
+def test_similar_words_against_every_keyword(spark):
+    import difflib
+
+    import __spark_entry__ as E
+    from forecourt.plans import text
+    sf = "/root/testdata/sf0.01"
+    vocab = [r.word for r in text._vocab(spark, sf).collect() if len(r.word) > 2]
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    want = {(w, k) for w in vocab for k in text.KEYWORDS if abs(len(w) - len(k)) <= 1 and edits(w, k) <= 1}
+    assert {(r.word, r.keyword) for r in E.queries()["str_15_edit_distance"](spark, sf).collect()} == want
+    want = {(w, k) for w in vocab for k in text.KEYWORDS
+            if 0.85 <= difflib.SequenceMatcher(None, k, w).ratio() < 1}
+    assert {(r.word, r.keyword) for r in E.queries()["str_16_ratio_similarity"](spark, sf).collect()} == want

@@ -18,6 +18,8 @@ from forecourt.llm.common import ordered_id, row_key, written
 
 #: White space that is stripped from a line for its key.
 STRIPPED = " \t\n\x0b\x0c\r"
+#: Parts that the runs of one hash are joined in.
+SALTS = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,7 +52,10 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     per_document = runs.select("_h1", "_h2", "_id").distinct()
     shared = (per_document.groupBy("_h1", "_h2").agg(F.count("*").alias("_n"), F.max("_id").alias("_keeper"))
               .where(F.col("_n") >= min_docs).drop("_n"))
-    dropped = (runs.join(shared, ["_h1", "_h2"]).where(F.col("_id") != F.col("_keeper"))
+    # The keepers of a hash go to every salt, so a very common line is joined in SALTS tasks.
+    salted = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dropped = (runs.withColumn("_salt", F.pmod(F.xxhash64("_id", "_row"), F.lit(SALTS)).cast("int"))
+               .join(salted, ["_h1", "_h2", "_salt"]).where(F.col("_id") != F.col("_keeper"))
                .select("_id", "_row", F.explode("_at").alias("_pos")))
     words = (dropped.groupBy("_id", "_row", F.expr("_pos div 64").alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, _pos % 64)")).alias("bits")))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import slices, small_batches
+from forecourt.llm.common import slices, small_batches, written
 
 #: Pages that must have a place, and importance under which it is a template's.
 MIN_PAGES, LOW = 8, 0.3
@@ -241,7 +241,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), KINDS)], NAMES)
 
-    seen = pages.where("_host IS NOT NULL").mapInArrow(run, "_page long, _host string, place long, kinds long, content long")
+    seen = written(pages.where("_host IS NOT NULL").mapInArrow(
+        run, "_page long, _host string, place long, kinds long, content long"), "places")
     both = F.explode(F.array(F.struct(F.lit(0).alias("what"), F.col("kinds").alias("is")),
                              F.struct(F.lit(1).alias("what"), F.col("content").alias("is")))).alias("x")
     counted = seen.select("_host", "place", both).groupBy("_host", "place", "x.what", "x.is").agg(F.count("*").alias("n"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forecourt.operators.clean import bounded_rows
+
 
 def group_values(df: DataFrame, col: str, mapping: DataFrame, out: str, id_col: str):
     """CLS-01: map values through a (Original_Value, Mapped_Value) table;
@@ -19,17 +21,15 @@ def group_values(df: DataFrame, col: str, mapping: DataFrame, out: str, id_col:
 
 def first_contained(df: DataFrame, text_col: str, vocab: DataFrame, out: str) -> DataFrame:
     """CLS-02 building block: the first vocabulary entry (by ``priority``)
-    contained in the text.  Evaluated on DISTINCT texts against a bounded,
-    broadcast vocabulary (value, priority)."""
-    texts = df.select(text_col).where(F.col(text_col).isNotNull()).distinct()
-    v = F.broadcast(vocab.select("value", "priority"))
-    hit = (texts.join(v, F.col(text_col).contains(F.col("value")))
-                .groupBy(text_col).agg(F.min_by("value", "priority").alias(out)))
-    return df.join(hit, text_col, "left")
+    contained in the text.  The vocabulary (value, priority) is a bounded
+    parameter and becomes one expression: no join, no shuffle."""
+    rows = sorted(bounded_rows(vocab.select("value", "priority").where("value IS NOT NULL")), key=lambda r: (r.priority, r.value))
+    values = F.array(*[F.lit(r.value) for r in rows]).cast("array<string>")
+    return df.withColumn(out, F.get(F.filter(values, lambda v: F.col(text_col).contains(v)), F.lit(0)))
 
 
-def sell_place(df: DataFrame, text_col: str, districts: DataFrame, default_prefix: str = "DCS",
-               default_place: str = "Lisboa") -> DataFrame:
+def sell_place(df: DataFrame, text_col: str, districts: DataFrame, default_prefix: str,
+               default_place: str) -> DataFrame:
     """CLS-02: level-2 place = first district (dictionary order) contained in
     the description, else the default place when the description starts with
     the prefix; level-1 place = the district's group (CLS-01)."""

@@ -145,6 +145,15 @@ def constant_columns(df: DataFrame, value=None) -> list[str]:
     return out
 
 
+def bounded_rows(table: DataFrame, limit: int = 1000) -> list:
+    """Rows of a parameter table (rules, vocabularies) that an operator turns into
+    column expressions.  More than ``limit`` rows is an error, never a cut."""
+    rows = table.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a parameter table may have at most {limit} rows")
+    return rows
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     """PRJ-22."""
     num = ("int", "bigint", "double", "float", "smallint", "tinyint")

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
@@ -77,6 +79,15 @@ def top_values(df: DataFrame, col: str, limit: int = 100) -> list:
     return [r[0] for r in c.collect()]
 
 
+def all_values(df: DataFrame, col: str, limit: int = 10_000) -> list:
+    """MLX-03: every value of a category, in order.  They become columns, so more
+    than ``limit`` of them is an error, never a cut."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{col} has more than {limit} values")
+    return sorted(r[0] for r in rows)
+
+
 def dummies(df: DataFrame, col: str, values: list, prefix: str | None = None, drop_source: bool = True) -> DataFrame:
     """MLX-03 / MLX-05: 0/1 columns for a bounded value list (unknown
     values -> all zeros)."""
@@ -99,14 +110,19 @@ def anova_f(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"),
                                 *[F.sum(f).alias(f"_s{i}") for i, f in enumerate(features)],
                                 *[F.sum(F.col(f) * F.col(f)).alias(f"_q{i}") for i, f in enumerate(features)])
-    rows = []
-    for i, f in enumerate(features):
-        tot = per.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(f"_s{i}").alias("s"), F.sum(f"_q{i}").alias("q"),
-                      F.sum(F.col(f"_s{i}") * F.col(f"_s{i}") / F.col("_n")).alias("b"))
-        ssb = F.col("b") - F.col("s") * F.col("s") / F.col("n")
-        ssw = F.col("q") - F.col("b")
-        rows.append(tot.select(F.lit(f).alias("feature"), ((ssb / (F.col("k") - 1)) / (ssw / (F.col("n") - F.col("k")))).alias("f_score")))
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    long = per.select("_n", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_s{i}").alias("s"), F.col(f"_q{i}").alias("q"))
+                                                for i, f in enumerate(features)])).alias("_f")).select("_n", "_f.*")
+    tot = long.groupBy("feature").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum("s").alias("s"), F.sum("q").alias("q"),
+                                      F.sum(F.col("s") * F.col("s") / F.col("_n")).alias("b"))
+    ssb = F.col("b") - F.col("s") * F.col("s") / F.col("n")
+    ssw = F.col("q") - F.col("b")
+    return tot.select("feature", ((ssb / (F.col("k") - 1)) / (ssw / (F.col("n") - F.col("k")))).alias("f_score"))
+
+
+def select_k_best(scores: DataFrame, k: int, name_part: str = "") -> DataFrame:
+    """MLX-06: the k features of the highest score (ties by name) among those whose
+    name holds ``name_part``."""
+    return scores.filter(F.col("feature").contains(name_part)).orderBy(F.desc("f_score"), "feature").limit(k)
 
 
 def impute(train: DataFrame, test: DataFrame, spec: dict[str, str | tuple]) -> tuple[DataFrame, DataFrame]:
@@ -271,26 +287,54 @@ def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     return r.select("mse", F.sqrt("mse").alias("rmse"), (1 - F.col("_sse") / F.col("_sst")).alias("r2"))
 
 
-def roc_points(df: DataFrame, label: str, score: str, group: str | None = None) -> DataFrame:
-    """MLX-27: ROC curve points (one per distinct score, descending) and,
-    via ``auc``, the trapezoid area.  Computed on per-score counts, so the
-    ordered window runs over distinct scores only."""
+def roc_points(df: DataFrame, label: str, score: str, group: str | None = None, chunks: int = 200) -> DataFrame:
+    """MLX-27: ROC curve points (one per distinct score, descending), each with the
+    point before it.  Computed on per-score counts as a scan over ``chunks`` score
+    ranges, so no task holds the whole curve."""
     g = [group] if group else []
     c = df.groupBy(*g, score).agg(F.sum((F.col(label) == 1).cast("long")).alias("_p"),
                                   F.sum((F.col(label) != 1).cast("long")).alias("_n"))
-    from pyspark.sql import Window
-    w = Window.partitionBy(*g).orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wt = Window.partitionBy(*g)
-    return c.select(*g, score, (F.sum("_p").over(w) / F.sum("_p").over(wt)).alias("tpr"),
-                    (F.sum("_n").over(w) / F.sum("_n").over(wt)).alias("fpr"))
+    top, low = c.agg(F.max(score)).scalar(), c.agg(F.min(score)).scalar()
+    chunk = F.floor(F.try_divide(top - F.col(score), top - low) * chunks)
+    x = chunked_running(c, g, [F.desc(score)], chunk, ["_p", "_n"], [], "_r")
+    if g:
+        x = x.join(c.groupBy(*g).agg(F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn")), g)
+    else:
+        x = x.withColumns({"_tp": c.agg(F.sum("_p")).scalar(), "_tn": c.agg(F.sum("_n")).scalar()})
+    p, n = F.col("_r_cum__p"), F.col("_r_cum__n")
+    return x.select(*g, score, (p / F.col("_tp")).alias("tpr"), (n / F.col("_tn")).alias("fpr"),
+                    ((p - F.col("_p")) / F.col("_tp")).alias("tpr_before"), ((n - F.col("_n")) / F.col("_tn")).alias("fpr_before"))
 
 
 def auc(points: DataFrame, group: str | None = None) -> DataFrame:
-    from pyspark.sql import Window
-    g = [group] if group else []
-    w = Window.partitionBy(*g).orderBy("fpr", "tpr")
-    x = points.withColumn("_pf", F.coalesce(F.lag("fpr").over(w), F.lit(0.0))).withColumn("_pt", F.coalesce(F.lag("tpr").over(w), F.lit(0.0)))
-    return x.groupBy(*g).agg(F.sum((F.col("fpr") - F.col("_pf")) * (F.col("tpr") + F.col("_pt")) / 2).alias("auc"))
+    """Trapezoid area under the points of ``roc_points``."""
+    area = (F.col("fpr") - F.col("fpr_before")) * (F.col("tpr") + F.col("tpr_before")) / 2
+    return points.groupBy(*([group] if group else [])).agg(F.sum(area).alias("auc"))
+
+
+def knn_classify(rows: DataFrame, labelled: DataFrame, id_col: str, features: str, label: str, k: int = 5,
+                 key_hash: Column | None = None, bound: int = 2000) -> DataFrame:
+    """MLX-35: k-nearest-neighbour classifier.  The labelled set is a documented
+    sample, the ``bound`` smallest hashes of the id, so that every row is scored
+    exactly against a broadcast of known size; ties in distance go to the smaller
+    id, ties in votes to the smaller label.  ``features``: array column."""
+    h = knuth_hash(F.col(id_col)) if key_hash is None else key_hash
+    known = labelled.select(id_col, features, label).where(F.col(features).isNotNull() & F.col(label).isNotNull())
+    known = known.orderBy(h, id_col).limit(bound).toPandas().sort_values(id_col)
+    shared = rows.sparkSession.sparkContext.broadcast((np.array(known[features].tolist(), dtype=float), known[label].to_numpy()))
+
+    def run(frames):
+        x, y = shared.value
+        classes = np.unique(y)
+        for pdf in frames:
+            out = []
+            for v in pdf[features]:
+                near = np.argsort(((x - np.asarray(v, dtype=float)) ** 2).sum(axis=1), kind="stable")[:k]
+                out.append(classes[np.argmax([(y[near] == c).sum() for c in classes])])
+            yield pd.DataFrame({id_col: pdf[id_col], "prediction": np.array(out, dtype="int64")})
+
+    return (rows.select(id_col, features).where(F.col(features).isNotNull())
+            .mapInPandas(run, f"{id_col} bigint, prediction bigint"))
 
 
 def model_choice(results: DataFrame, metric: str, threshold: float, previous: float | None, tolerance: float = 0.02) -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forecourt.operators.clean import bounded_rows
+
 UNDEFINED = "Não Definido"
 
 
@@ -88,10 +90,14 @@ def resolve_draws(requests: DataFrame, id_col: str, matches: DataFrame, label_ra
 
 def forced_labels(requests: DataFrame, id_col: str, text_col: str, rules: DataFrame) -> DataFrame:
     """RUL-06: regex found in the text -> label; the last rule wins.  The
-    rule table is a bounded parameter, broadcast."""
-    fr = F.broadcast(rules.filter(F.col("kind") == "forced").select("rule_id", "label", "pattern"))
-    j = requests.select(id_col, text_col).join(fr, F.expr(f"`{text_col}` rlike pattern"))
-    return j.groupBy(id_col).agg(F.max_by("label", "rule_id").alias("forced_label"))
+    rule table is a bounded parameter and becomes one expression."""
+    forced = bounded_rows(rules.filter(F.col("kind") == "forced").select("rule_id", "label", "pattern"))
+    last_first = sorted(forced, key=lambda r: r.rule_id, reverse=True)
+    hit = [F.when(F.col(text_col).rlike(r.pattern), F.struct(F.lit(r.rule_id).cast("bigint").alias("rule_id"), F.lit(r.label).alias("label")))
+           for r in last_first]
+    none = F.lit(None).cast("struct<rule_id:bigint,label:string>")
+    found = requests.select(id_col, F.coalesce(*hit, none).alias("_f")).where(F.col("_f").isNotNull())
+    return found.groupBy(id_col).agg(F.max("_f")["label"].alias("forced_label"))
 
 
 def user_labels(requests: DataFrame, id_col: str, customer_col: str, rules: DataFrame) -> DataFrame:
@@ -126,25 +132,16 @@ def undefined_share(labels: DataFrame, id_col: str, undefined: str = UNDEFINED)
 
 
 def apply_ordered_rules(df: DataFrame, text_col: str, rules: DataFrame, out: str,
-                        default: Column | None = None, extra_cond: Column | None = None,
-                        extra_cols: list[str] = ()) -> DataFrame:
+                        default: Column | None = None, extra_cond=None) -> DataFrame:
     """Ordered-rule helper (CLS-11, RUL-09): rules (rule_id, match, value,
     kind in exact | regex | starts | contains); the highest rule_id that
-    matches wins (later rules overwrite earlier ones).  Rules are evaluated
-    once per DISTINCT (text, extra columns) value and joined back, so the
-    work follows the number of distinct descriptions; the rule table is a
-    bounded parameter and is broadcast."""
-    r = F.broadcast(rules)
-    cond = (((F.col("kind") == "exact") & (F.col(text_col) == F.col("match")))
-            | ((F.col("kind") == "regex") & F.expr(f"`{text_col}` rlike `match`"))
-            | ((F.col("kind") == "starts") & F.col(text_col).startswith(F.col("match")))
-            | ((F.col("kind") == "contains") & F.col(text_col).contains(F.col("match"))))
-    if extra_cond is not None:
-        cond = cond & extra_cond
-    keys = [text_col, *extra_cols]
-    distinct = df.select(*keys).where(F.col(text_col).isNotNull()).distinct()
-    hit = distinct.join(r, cond).groupBy(*keys).agg(F.max_by("value", "rule_id").alias("_v"))
-    res = df.join(hit, [df[k].eqNullSafe(hit[k]) for k in keys], "left")
-    res = res.select(df["*"], hit["_v"])
-    fallback = default if default is not None else F.lit(None)
-    return res.withColumn(out, F.coalesce(F.col("_v"), fallback)).drop("_v")
+    matches wins (later rules overwrite earlier ones).  ``extra_cond`` makes a
+    further condition from a rule's row.  The rule table is a bounded parameter
+    and becomes one expression per row: no join, no shuffle."""
+    text = F.col(text_col)
+    kinds = {"exact": lambda m: text == m, "regex": text.rlike, "starts": text.startswith, "contains": text.contains}
+    branches = []
+    for r in sorted(bounded_rows(rules), key=lambda x: x["rule_id"], reverse=True):
+        cond = kinds[r["kind"]](r["match"])
+        branches.append(F.when(cond if extra_cond is None else cond & extra_cond(r), F.lit(r["value"])))
+    return df.withColumn(out, F.coalesce(*branches, default if default is not None else F.lit(None).cast("string")))

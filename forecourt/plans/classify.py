@@ -77,7 +77,7 @@ def _districts(spark, d):
 
 @query("cls_02_sell_place")
 def cls02(spark, d):
-    return C.sell_place(_sale_places(spark, d), "sale_place", _districts(spark, d)).select(
+    return C.sell_place(_sale_places(spark, d), "sale_place", _districts(spark, d), "DCS", "Lisboa").select(
         "c_custkey", "place_level_2", "place_level_1")
 
 

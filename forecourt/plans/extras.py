@@ -101,11 +101,11 @@ def job02(spark, d):
 
 @query("job_06_part_families")
 def job06(spark, d):
-    from forecourt.plans.ml import mlx30
+    from forecourt.plans.ml import cascade
     from forecourt.functions import measures as M
-    cas = mlx30(spark, d)
-    p = read(spark, d, "part", "p_partkey", "p_name", "p_size")
-    x = cas.join(p, "p_partkey").withColumn("max_prob", (F.col("p_size") % 10) / 10.0).withColumn("prediction", F.col("prediction").cast("string"))
+    cas = cascade(spark, d)
+    p = read(spark, d, "part", "p_partkey", "p_name")
+    x = cas.join(p, "p_partkey").withColumn("prediction", F.col("prediction").cast("string"))
     x = M.threshold_predictions(x, "max_prob", "prediction")
     x = x.withColumn("rule_copy", F.when(F.col("p_name").startswith("red"), F.lit("RED")).otherwise(F.col("p_name")))
     return M.force_predictions(x, "p_name", "rule_copy", "max_prob", "prediction").select("p_partkey", "stage", "prediction", "New_Prediction_80")
@@ -263,21 +263,20 @@ def mlx34(spark, d):
 @query("prj_10_string_coercion")
 def prj10(spark, d):
     e = read(spark, d, "events", "event_id", "value").withColumn("value", F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("value")))
-    return e.select("event_id", F.coalesce(F.col("value").cast("string"), F.lit("nan")).alias("value_text")).filter(F.col("event_id") % 7 == 0)
+    return e.select("event_id", F.coalesce(F.col("value").cast("decimal(18,2)").cast("string"), F.lit("nan")).alias("value_text"))
 
 
-sql("prj_10_string_coercion", "SELECT event_id, 'nan' AS value_text FROM events WHERE event_id % 7 = 0")
+sql("prj_10_string_coercion", "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'nan' ELSE coalesce(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), 'nan') END AS value_text FROM events")
 
 
 @query("prj_22_numeric_columns")
 def prj22(spark, d):
     li = read(spark, d, "lineitem")
-    num = set(clean.numeric_columns(li))
-    return spark.createDataFrame([(c, int(c in num)) for c in li.columns], "column_name string, is_numeric int").select(
-        "column_name", big("is_numeric").alias("is_numeric"))
+    return li.select(*[rnd(c, 2).alias(c) if t == "double" else F.col(c) for c, t in li.select(*clean.numeric_columns(li)).dtypes])
 
 
-sql("prj_22_numeric_columns", "SELECT column_name, CAST(data_type IN ('BIGINT', 'INTEGER', 'DOUBLE') AS BIGINT) AS is_numeric FROM (DESCRIBE lineitem) t(column_name, data_type, n, k, dflt, extra)")
+_DOUBLES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+sql("prj_22_numeric_columns", f"SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {', '.join(f'{sql_rnd(c, 2)} AS {c}' for c in _DOUBLES)} FROM lineitem")
 
 
 @query("prj_23_category_codes")
@@ -321,9 +320,12 @@ sql("snk_01_overwrite_frames", "SELECT o_orderkey, o_orderstatus FROM orders WHE
 
 @query("snk_03_batched_insert_cleanup")
 def snk03(spark, d):
-    c = read(spark, d, "customer", "c_custkey", "c_mktsegment").withColumn("Timestamp", F.lit("x"))
+    c = read(spark, d, "customer", "c_custkey", "c_mktsegment")
+    path = scratch_table_path(spark, f"snk03_{_run()}")
+    io.append_rows(c, path, "2000-12-31")
     c = c.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 9 == 0, F.lit("NULL")).otherwise(F.col("c_mktsegment")))
-    return io.stamp(c.drop("Timestamp"), "2001-01-01")
+    io.append_rows(c, path, "2001-01-01", truncate=True)   # the rows of the day before go
+    return spark.read.parquet(path)
 
 
 sql("snk_03_batched_insert_cleanup", "SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, '2001-01-01' AS Date FROM customer")
@@ -332,12 +334,12 @@ sql("snk_03_batched_insert_cleanup", "SELECT c_custkey, CASE WHEN c_custkey % 9
 @query("snk_04_single_row_append")
 def snk04(spark, d):
     path = scratch_table_path(spark, f"snk04_{_run()}")
-    row = io.stamp(read(spark, d, "orders", "o_orderkey").agg(F.count_distinct("o_orderkey").alias("units")).withColumn("project", F.lit("2406")), "2001-01-01")
+    row = io.stamp(read(spark, d, "orders", "o_orderkey").agg(F.count_distinct("o_orderkey").alias("units")).withColumn("project", F.lit("demo")), "2001-01-01")
     io.write_table(row, path, mode="append")
     return spark.read.parquet(path)
 
 
-sql("snk_04_single_row_append", "SELECT count(DISTINCT o_orderkey) AS units, '2406' AS project, '2001-01-01' AS Date FROM orders")
+sql("snk_04_single_row_append", "SELECT count(DISTINCT o_orderkey) AS units, 'demo' AS project, '2001-01-01' AS Date FROM orders")
 
 
 @query("snk_06_partition_overwrite")
@@ -353,7 +355,7 @@ def snk06(spark, d):
 sql("snk_06_partition_overwrite", f"SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE {sql_rnd('o_totalprice', 2)} END AS o_totalprice FROM orders")
 
 
-@query("snk_08_label_overwrite")
+@query("snk_08_label_overwrite", stored=True)
 def snk08(spark, d):
     doc = read(spark, d, "documents", "doc_id", "source").withColumnRenamed("source", "Label")
     manual = read(spark, d, "labels", "doc_id", "toxic").filter("toxic = 1").select("doc_id", F.lit("manual").alias("Label"))
@@ -363,18 +365,19 @@ def snk08(spark, d):
 sql("snk_08_label_overwrite", "SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN 'manual' ELSE d.source END AS Label FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) l USING (doc_id)")
 
 
-@query("snk_09_version_match_update")
+@query("snk_09_version_match_update", stored=True)
 def snk09(spark, d):
-    p = read(spark, d, "part", "p_partkey", "p_brand", "p_type", "p_name").withColumn("matched", F.lit(None).cast("string")).withColumn("flag", F.lit(0))
-    key = (F.col("p_brand") == "Brand#1") & (F.col("p_type") == "SMALL")
-    return p.select("p_partkey", F.when(key, F.col("p_name")).otherwise(F.col("matched")).alias("matched"),
-                    F.when(key, F.lit(1)).otherwise(F.col("flag")).cast("bigint").alias("flag"))
+    p = read(spark, d, "part", "p_partkey", "p_brand", "p_type", "p_name")
+    table = p.select("p_partkey", F.lit("old").alias("matched"), F.lit(0).cast("bigint").alias("flag"))
+    new = p.filter(F.col("p_brand") == "Brand#1").select("p_partkey", F.when(F.col("p_type") == "SMALL", F.col("p_name")).alias("matched"),
+                                                         F.lit(1).cast("bigint").alias("flag"))
+    return io.keyed_update(table, new, ["p_partkey"], ["matched", "flag"], set_null=True)
 
 
-sql("snk_09_version_match_update", "SELECT p_partkey, CASE WHEN p_brand = 'Brand#1' AND p_type = 'SMALL' THEN p_name END AS matched, CAST(CASE WHEN p_brand = 'Brand#1' AND p_type = 'SMALL' THEN 1 ELSE 0 END AS BIGINT) AS flag FROM part")
+sql("snk_09_version_match_update", "SELECT p_partkey, CASE WHEN p_brand <> 'Brand#1' THEN 'old' WHEN p_type = 'SMALL' THEN p_name END AS matched, CAST(p_brand = 'Brand#1' AS BIGINT) AS flag FROM part")
 
 
-@query("snk_14_retail_b_output")
+@query("snk_14_retail_b_output", stored=True)
 def snk14(spark, d):
     c = read(spark, d, "customer", "c_custkey", "c_acctbal", "c_mktsegment")
     return io.cast_output(c.withColumn("c_acctbal", rnd("c_acctbal", 2)), {"c_custkey": "VHE_Number", "c_acctbal": "Margin", "c_mktsegment": "Site"})
@@ -383,7 +386,7 @@ def snk14(spark, d):
 sql("snk_14_retail_b_output", f"SELECT CAST(c_custkey AS VARCHAR) AS VHE_Number, CAST({sql_rnd('c_acctbal', 2)} AS VARCHAR) AS Margin, c_mktsegment AS Site FROM customer")
 
 
-@query("snk_15_importer_output")
+@query("snk_15_importer_output", stored=True)
 def snk15(spark, d):
     from forecourt.plans.jobs_importer import collapsed
     c = collapsed(spark, d).withColumn("invoice_date", F.when(F.col("quantity") == 0, F.lit(None)).otherwise(F.col("invoice_date")))
@@ -402,7 +405,7 @@ def _snk15_sql():
 sql("snk_15_importer_output", _snk15_sql())
 
 
-@query("snk_17_master_matched_output")
+@query("snk_17_master_matched_output", stored=True)
 def snk17(spark, d):
     from forecourt.plans.joins import jon04
     return jon04(spark, d).select(*LINE_KEY, F.coalesce("matched_desc", F.lit("")).alias("matched_desc"))
@@ -418,7 +421,7 @@ def _snk17_sql():
 sql("snk_17_master_matched_output", _snk17_sql())
 
 
-@query("snk_18_classified_parts_output")
+@query("snk_18_classified_parts_output", stored=True)
 def snk18(spark, d):
     p = read(spark, d, "part", "p_partkey", "p_type", "p_retailprice").withColumn("family", F.when(F.col("p_partkey") % 9 == 0, F.lit(None)).otherwise(F.col("p_type")))
     x = p.na.drop(subset=["family"])
@@ -428,7 +431,7 @@ def snk18(spark, d):
 sql("snk_18_classified_parts_output", f"SELECT CAST(p_partkey AS VARCHAR) AS Part_Ref, p_type AS family, CAST({sql_rnd('p_retailprice', 2)} AS VARCHAR) AS p_retailprice FROM part WHERE p_partkey % 9 <> 0")
 
 
-@query("snk_19_requests_output")
+@query("snk_19_requests_output", stored=True)
 def snk19(spark, d):
     from forecourt.plans.text import rul01
     return io.cast_output(rul01(spark, d), {"request_num": "Request_Num", "label": "Label"})
@@ -453,7 +456,7 @@ def snk20(spark, d):
 sql("snk_20_scored_contracts_file", f"SELECT c_custkey AS contract_customer, {sql_rnd('abs(c_acctbal) + 50', 2)} AS power_kw FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey)")
 
 
-@query("snk_24_family_override_append")
+@query("snk_24_family_override_append", stored=True)
 def snk24(spark, d):
     p = read(spark, d, "part", "p_partkey", "p_type")
     sel = p.filter(F.col("p_partkey") % 50 == 0).withColumn("p_type", F.lit("NEWFAM")).withColumn("source", F.lit("override"))
@@ -463,7 +466,7 @@ def snk24(spark, d):
 sql("snk_24_family_override_append", "SELECT p_partkey, p_type, 'model' AS source FROM part UNION ALL SELECT p_partkey, 'NEWFAM', 'override' FROM part WHERE p_partkey % 50 = 0")
 
 
-@query("snk_25_rule_append")
+@query("snk_25_rule_append", stored=True)
 def snk25(spark, d):
     p = read(spark, d, "part", "p_retailprice")
     rule = p.agg(F.lit("starts").alias("match_type"), F.lit("red").alias("word"), F.lit("F-RED").alias("family"),
@@ -474,7 +477,7 @@ def snk25(spark, d):
 sql("snk_25_rule_append", f"SELECT 'starts' AS match_type, 'red' AS word, 'F-RED' AS family, {sql_rnd('min(p_retailprice)', 2)} AS price_min, {sql_rnd('max(p_retailprice)', 2)} AS price_max FROM part")
 
 
-@query("snk_27_suggestion_replace")
+@query("snk_27_suggestion_replace", stored=True)
 def snk27(spark, d):
     from forecourt.plans.alloc import opt02
     stored = opt02(spark, d).withColumn("client", F.lit("ALL"))
@@ -601,3 +604,41 @@ def win19(spark, d):
     th = x.groupBy(*keys).agg(F.percentile("if_score", 0.9).alias("_t"))
     return x.join(th, keys).select(*keys, "event_id", rnd("if_score", 6).alias("if_score"),
                                    (F.col("if_score") > F.col("_t")).cast("bigint").alias("if_outlier"))
+
+
+# ------------------------------------------------- SQL twins of composed queries
+
+
+def _nested(module, name):
+    import importlib
+    return importlib.import_module(f"forecourt.plans.{module}").ORACLE[name]
+
+
+sql("job_11_retail_evaluation", _nested("cleaning2", "agg_15_feature_contribution"))
+sql("jon_14_brand_dependent_join", f"""WITH s AS ({_nested("jobs", "opt_05_importer_suggestion")}),
+codes AS (SELECT p_brand, p_type, min(p_size) AS code FROM part GROUP BY p_brand, p_type),
+brands AS (SELECT p_brand, min(code) AS code FROM codes GROUP BY p_brand)
+SELECT s.p_brand, s.p_type, s.quantity, CAST(CASE WHEN length(s.p_brand) <= 7 THEN c.code ELSE b.code END AS BIGINT) AS factory_code
+FROM s LEFT JOIN codes c USING (p_brand, p_type) LEFT JOIN brands b USING (p_brand)""")
+sql("app_02_parts_screen", _agg09_sql().rsplit("SELECT mm.part", 1)[0]
+    + f"SELECT mm.part, tt.ta, {sql_rnd('days_to_sell_1_part', 6)} AS days_to_sell_1_part, {sql_rnd('cost')} AS cost "
+      "FROM mm JOIN tt USING (part) WHERE days_to_sell_1_part > 0 AND ta NOT IN ('NO_TA', 'Outros')")
+sql("job_05_part_master_matching", _nested("joins", "jon_04_cascade_match").rsplit("SELECT ", 1)[0]
+    + """SELECT * FROM (SELECT DISTINCT ref, coalesce(matched_desc, '') AS "desc" FROM stock LEFT JOIN best USING (ref))
+WHERE coalesce(length(ref) % 3 = 0, true)""")
+
+
+def _job10_sql():
+    first = _nested("windows", "win_06_mileage_repair_1").rsplit("SELECT ", 1)[0].replace("kept AS (", "kept1 AS (")
+    second = _nested("windows", "win_07_mileage_repair_2").split("rk AS (", 1)[1]
+    again = """x2 AS (SELECT * EXCLUDE (pos), row_number() OVER (PARTITION BY vehicle, owner ORDER BY day, event_id) AS pos FROM kept1),
+gg AS (SELECT vehicle, owner, kms AS gk, min(day) AS dmin, max(day) AS dmax FROM x2 GROUP BY vehicle, owner, kms
+      HAVING count(*) > 1 AND max(pos) - min(pos) + 1 > count(*)),
+"""
+    import re
+    second = re.sub(r"\bx\b", "x2", "rk AS (" + second)
+    second = re.sub(r"\bFROM g JOIN\b", "FROM gg g JOIN", second)
+    return first.rstrip() + ",\n" + again + second
+
+
+sql("job_10_odometer_repair", _job10_sql())

@@ -4,6 +4,7 @@ checkpoint folder; sinks return the table state they would write."""
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 from pyspark.sql import functions as F
@@ -25,14 +26,15 @@ def sql(name, text):
 
 @query("src_01_read_delimited")
 def src01(spark, d):
-    li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag").filter(F.col("l_returnflag") == "R")
-    path = scratch_table_path(spark, "src01_csv")
-    li.write.mode("overwrite").option("sep", ";").option("header", True).option("encoding", "iso-8859-1").csv(path)
-    schema = "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string"
-    return io.read_delimited(spark, path, schema, sep=";", encoding="iso-8859-1", columns=["l_orderkey", "l_linenumber", "l_quantity"])
+    li = read(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    li = li.withColumn("note", F.concat(F.lit("peça "), F.col("l_returnflag")))
+    path = scratch_table_path(spark, f"src01_{uuid.uuid4().hex[:8]}")
+    li.write.option("sep", ";").option("header", True).option("encoding", "iso-8859-1").csv(path)
+    schema = "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string, note string"
+    return io.read_delimited_retry(spark, path, schema, sep=";", columns=["l_orderkey", "l_linenumber", "l_quantity", "note"])
 
 
-sql("src_01_read_delimited", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R'")
+sql("src_01_read_delimited", "SELECT l_orderkey, l_linenumber, l_quantity, 'peça ' || l_returnflag AS note FROM lineitem")
 
 
 @query("src_02_scan_filter")
@@ -97,7 +99,7 @@ def src07(spark, d):
     ends = spark.range(FW_FILES).select(F.col("id").cast("int").alias("pid"))
     head = ends.select("pid", F.lit(0).alias("kind"), F.lit(-1).cast("bigint").alias("k"), F.lit("HDR master file").alias("value"))
     tail = ends.select("pid", F.lit(2).alias("kind"), F.lit(-1).cast("bigint").alias("k"), F.lit("TRL end of file").alias("value"))
-    path = scratch_table_path(spark, "src07_fixed_width")
+    path = scratch_table_path(spark, f"src07_{uuid.uuid4().hex[:8]}")
     (data.unionByName(head).unionByName(tail).repartition(FW_FILES, "pid").sortWithinPartitions("pid", "kind", "k")
          .select("pid", "value").write.mode("overwrite").partitionBy("pid").text(path))
     return io.read_fixed_width(spark, path + "/*", FW_POS, FW_NAMES, skip_header=True, skip_tail=True)
@@ -109,20 +111,21 @@ sql("src_07_fixed_width", "SELECT CAST(p_partkey AS VARCHAR) AS part_ref, trim(s
 @query("src_09_platform_union")
 def src09(spark, d):
     c = read(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    frames = [c.filter(F.col("c_mktsegment") == s).select("c_custkey", "c_nationkey") for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY")]
-    u = io.union_frames(frames, "platform", ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"])
+    platforms = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    frames = [c.filter(F.col("c_mktsegment") == s).select("c_custkey", "c_nationkey") for s in platforms]
+    u = io.union_frames(frames, "platform", platforms)
     n = F.broadcast(read(spark, d, "nation", "n_nationkey", "n_name"))
     return u.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", "platform", "n_name")
 
 
-sql("src_09_platform_union", "SELECT c.c_custkey, c.c_mktsegment AS platform, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY')")
+sql("src_09_platform_union", "SELECT c.c_custkey, c.c_mktsegment AS platform, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey")
 
 
 @query("src_12_fill_missing_key")
 def src12(spark, d):
     o = read(spark, d, "orders", "o_orderkey", "o_custkey")
     sales = o.select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, F.lit(None)).otherwise(F.col("o_custkey").cast("string")).alias("account"))
-    return io.fill_missing_key(sales, o, "o_orderkey", "account", "o_custkey")
+    return io.fill_missing_key(sales, o, "o_orderkey", "account", "o_custkey", "702_")
 
 
 sql("src_12_fill_missing_key", "SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN '702_' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END AS account FROM orders")
@@ -210,13 +213,18 @@ SELECT strftime(max(d), '%Y-%m-%d') AS last_date, strftime(max(d) FILTER (WHERE
 def snk02(spark, d):
     c = read(spark, d, "customer", "c_custkey", "c_mktsegment")
     c = c.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 9 == 0, F.lit("NULL")).otherwise(F.col("c_mktsegment")))
-    return io.stamp(c, "2001-01-01")
+    path = scratch_table_path(spark, f"snk02_{uuid.uuid4().hex[:8]}")
+    even, odd = c.filter("c_custkey % 2 = 0"), c.filter("c_custkey % 2 = 1")
+    io.append_rows(even, path, "2000-12-31", check_days=1)
+    io.append_rows(odd, path, "2001-01-01", check_days=1)
+    io.append_rows(odd, path, "2001-01-01", check_days=1)   # fresh: nothing is written
+    return spark.read.parquet(path)
 
 
-sql("snk_02_stamped_append", "SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, '2001-01-01' AS Date FROM customer")
+sql("snk_02_stamped_append", "SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_custkey % 2 = 0 THEN '2000-12-31' ELSE '2001-01-01' END AS Date FROM customer")
 
 
-@query("snk_05_delete_where")
+@query("snk_05_delete_where", stored=True)
 def snk05(spark, d):
     o = read(spark, d, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
     return io.delete_where(o, {"o_orderstatus": ["F", "P"], "o_orderpriority": "1-URGENT"})
@@ -225,7 +233,7 @@ def snk05(spark, d):
 sql("snk_05_delete_where", "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE NOT coalesce(o_orderstatus IN ('F', 'P') AND o_orderpriority = '1-URGENT', false)")
 
 
-@query("snk_07_keyed_update")
+@query("snk_07_keyed_update", stored=True)
 def snk07(spark, d):
     doc = read(spark, d, "documents", "doc_id", "lang", "source")
     upd = read(spark, d, "labels", "doc_id", "quality", "toxic").select(
@@ -237,7 +245,7 @@ sql("snk_07_keyed_update", """SELECT d.doc_id, coalesce(u.lang, d.lang) AS lang,
 LEFT JOIN (SELECT doc_id, min('q' || CAST(quality AS VARCHAR)) AS source, min(CASE WHEN toxic = 1 THEN 'xx' END) AS lang FROM labels GROUP BY doc_id) u USING (doc_id)""")
 
 
-@query("snk_11_mapping_rows")
+@query("snk_11_mapping_rows", stored=True)
 def snk11(spark, d):
     r = read(spark, d, "region", "r_regionkey", "r_name")
     n = read(spark, d, "nation", "n_name", "n_regionkey")
@@ -260,7 +268,7 @@ sql("snk_12_confusion_table", f"""WITH {LANG_PRED_SQL.strip()} SELECT actual AS
   CAST(count(*) FILTER (WHERE predicted IN ({', '.join(repr(c) for c in CLASSES)})) AS BIGINT) AS Totals FROM lang_pred GROUP BY actual""")
 
 
-@query("snk_13_text_output")
+@query("snk_13_text_output", stored=True)
 def snk13(spark, d):
     o = read(spark, d, "orders", "o_orderkey", "o_totalprice", "o_orderstatus")
     return io.cast_output(o.withColumn("o_totalprice", rnd("o_totalprice", 2)), {"o_orderkey": "VHE_Number", "o_totalprice": "Price"},
@@ -270,7 +278,7 @@ def snk13(spark, d):
 sql("snk_13_text_output", f"SELECT CAST(o_orderkey AS VARCHAR) AS VHE_Number, CAST({sql_rnd('o_totalprice', 2)} AS VARCHAR) AS Price, o_orderstatus, '701' AS NLR_Code FROM orders")
 
 
-@query("snk_16_parts_output")
+@query("snk_16_parts_output", stored=True)
 def snk16(spark, d):
     p = read(spark, d, "part", "p_partkey", "p_type", "p_retailprice")
     x = p.select(F.col("p_partkey").alias("Part_Ref"), F.when(F.col("p_partkey") % 8 == 0, F.lit(None)).otherwise(F.col("p_type")).alias("Part_Ref_Group_Desc"),
@@ -282,7 +290,7 @@ def snk16(spark, d):
 sql("snk_16_parts_output", f"""SELECT p_partkey AS Part_Ref, p_type AS Part_Ref_Group_Desc, {sql_rnd('p_retailprice', 2)} AS Cost FROM part WHERE p_partkey % 8 <> 0 AND p_partkey % 5 <> 0""")
 
 
-@query("snk_26_upsert")
+@query("snk_26_upsert", stored=True)
 def snk26(spark, d):
     base = read(spark, d, "documents", "doc_id", "source").withColumnRenamed("source", "label")
     upd = read(spark, d, "labels", "doc_id", "quality").filter(F.col("quality") == 1).select("doc_id", F.lit("manual").alias("label"))

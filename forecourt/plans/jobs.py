@@ -245,8 +245,8 @@ STORED_RULES = [(1, "starts", "red", "F-RED", 0.0, 2000.0, 0.0, 3000.0), (2, "co
 def rul09(spark, d):
     p = read(spark, d, "part", "p_partkey", "p_name", "p_retailprice").withColumn("cost", F.col("p_retailprice") * 0.7)
     r = spark.createDataFrame(STORED_RULES, "rule_id bigint, kind string, match string, value string, cmin double, cmax double, pmin double, pmax double")
-    cond = F.col("cost").between(F.col("cmin"), F.col("cmax")) & F.col("p_retailprice").between(F.col("pmin"), F.col("pmax"))
-    out = rules.apply_ordered_rules(p, "p_name", r, "family", extra_cond=cond, extra_cols=["cost", "p_retailprice"])
+    out = rules.apply_ordered_rules(p, "p_name", r, "family", extra_cond=lambda x: (
+        F.col("cost").between(x.cmin, x.cmax) & F.col("p_retailprice").between(x.pmin, x.pmax)))
     return out.select("p_partkey", "family")
 
 

@@ -4,6 +4,7 @@ model fitting (MLlib) rows-only."""
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
@@ -21,7 +22,8 @@ from forecourt.sources.fixtures import EVENTS_GAPS_SQL, LANG_PRED_SQL, events_ga
 from forecourt.sources.tables import read
 
 ORACLE: dict[str, str] = {}
-DIMS = 8
+DIMS = 64
+TOP_DUMMIES = 100
 H = "(({k} * 2654435761 + {s}) % 4294967296)"
 
 
@@ -63,7 +65,7 @@ SELECT vec_id, label, CAST(unnest(generate_series(0, CASE WHEN rn <= rem THEN fu
 @query("mlx_03_one_hot")
 def mlx03(spark, d):
     p = read(spark, d, "part", "p_partkey", "p_type")
-    vals = sorted(ml.top_values(p, "p_type", 100))
+    vals = ml.all_values(p, "p_type")
     return ml.dummies(p, "p_type", vals).select("p_partkey", *[F.col(f"p_type_{v}").cast("bigint").alias(f"p_type_{v}") for v in vals])
 
 
@@ -74,14 +76,16 @@ sql("mlx_03_one_hot", "SELECT p_partkey, " + ", ".join(f"CAST(p_type = '{t}' AS
 @query("mlx_05_top_dummies")
 def mlx05(spark, d):
     p = read(spark, d, "part", "p_partkey", "p_name")
-    vals = ml.top_values(p, "p_name", 3)
+    vals = sorted(ml.top_values(p, "p_name", TOP_DUMMIES))
     out = ml.dummies(p, "p_name", vals, prefix="name")
-    names = sorted(vals)
-    return out.select("p_partkey", *[F.col(f"name_{v}").cast("bigint").alias(f"top_{i}") for i, v in enumerate(names)])
+    # one column a value: reported as the position of the one that is set
+    at = F.array_position(F.array(*[F.col(f"name_{v}") for v in vals]), 1)
+    return out.select("p_partkey", at.alias("dummy"), F.lit(len(vals)).cast("bigint").alias("n_dummies"))
 
 
-sql("mlx_05_top_dummies", """WITH t AS (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS i FROM (SELECT p_name FROM part GROUP BY p_name ORDER BY count(*) DESC, p_name LIMIT 3))
-SELECT p_partkey, """ + ", ".join(f"CAST(p_name = (SELECT p_name FROM t WHERE i = {i}) AS BIGINT) AS top_{i}" for i in range(3)) + " FROM part")
+sql("mlx_05_top_dummies", f"""WITH t AS (SELECT p_name, row_number() OVER (ORDER BY p_name) AS i
+  FROM (SELECT p_name FROM part GROUP BY p_name ORDER BY count(*) DESC, p_name LIMIT {TOP_DUMMIES}))
+SELECT p_partkey, CAST(coalesce(i, 0) AS BIGINT) AS dummy, (SELECT count(*) FROM t) AS n_dummies FROM part LEFT JOIN t USING (p_name)""")
 
 
 @query("mlx_06_anova_selection")
@@ -102,6 +106,31 @@ def _anova_sql():
 sql("mlx_06_anova_selection", _anova_sql())
 
 
+@query("mlx_06_k_best")
+def mlx06k(spark, d):
+    return ml.select_k_best(mlx06(spark, d), 10, "e1")
+
+
+sql("mlx_06_k_best", f"SELECT * FROM ({_anova_sql()}) WHERE contains(feature, 'e1') ORDER BY f_score DESC, feature LIMIT 10")
+
+
+KNN_LABELLED, KNN_K = 2000, 5
+
+
+@query("mlx_35_nearest_neighbours")
+def mlx35(spark, d):
+    s = ml.stratified_split(read(spark, d, "embeddings", "vec_id", "embedding", "label"), "label", "vec_id", 0.25, seed=11)
+    return ml.knn_classify(s.filter("split = 'test'"), s.filter("split = 'train'"), "vec_id", "embedding", "label", KNN_K, bound=KNN_LABELLED)
+
+
+sql("mlx_35_nearest_neighbours", f"""WITH s AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, row_number() OVER (PARTITION BY label ORDER BY {H.format(k='vec_id', s=11)}, vec_id)
+  <= floor(count(*) OVER (PARTITION BY label) * 0.75) AS train FROM embeddings),
+k AS (SELECT * FROM s WHERE train ORDER BY {H.format(k='vec_id', s=0)}, vec_id LIMIT {KNN_LABELLED}),
+n AS (SELECT s.vec_id, k.label, row_number() OVER (PARTITION BY s.vec_id ORDER BY list_distance(s.v, k.v), k.vec_id) AS r FROM s, k WHERE NOT s.train),
+votes AS (SELECT vec_id, label, count(*) AS c FROM n WHERE r <= {KNN_K} GROUP BY vec_id, label)
+SELECT vec_id, CAST(arg_max(label, (c, -label)) AS BIGINT) AS prediction FROM votes GROUP BY vec_id""")
+
+
 def _train_test(spark, d):
     e = events_gaps(spark, d)
     return e.filter(F.col("event_id") % 4 != 0), e.filter(F.col("event_id") % 4 == 0)
@@ -219,23 +248,23 @@ SELECT {sql_rnd('avg((l_extendedprice - prediction) ^ 2)', 2)} AS mse, {sql_rnd(
 def _scored_docs(spark, d):
     doc = read(spark, d, "documents", "doc_id", "n_chars")
     lab = read(spark, d, "labels", "doc_id", "quality")
-    return doc.join(lab, "doc_id").withColumn("score", F.round(F.log10(F.col("n_chars") + 1), 1))
+    return doc.join(lab, "doc_id").withColumn("score", F.log10(F.col("n_chars") + 1))
 
 
 @query("mlx_27_roc_auc")
 def mlx27(spark, d):
     pts = ml.roc_points(_scored_docs(spark, d), "quality", "score")
     a = ml.auc(pts)
-    return pts.select(rnd("score", 1).alias("score"), rnd("tpr", 6).alias("tpr"), rnd("fpr", 6).alias("fpr"),
+    return pts.select(rnd("score", 6).alias("score"), rnd("tpr", 6).alias("tpr"), rnd("fpr", 6).alias("fpr"),
                    F.lit(a.select(rnd("auc", 6)).scalar()).alias("auc"))
 
 
-sql("mlx_27_roc_auc", f"""WITH s AS (SELECT l.quality, round(log10(d.n_chars + 1), 1) AS score FROM documents d JOIN labels l USING (doc_id)),
+sql("mlx_27_roc_auc", f"""WITH s AS (SELECT l.quality, log10(d.n_chars + 1) AS score FROM documents d JOIN labels l USING (doc_id)),
 c AS (SELECT score, sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS p, sum(CASE WHEN quality <> 1 THEN 1 ELSE 0 END) AS n FROM s GROUP BY score),
 pt AS (SELECT score, sum(p) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(p) OVER () AS tpr,
   sum(n) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(n) OVER () AS fpr FROM c),
 a AS (SELECT sum((fpr - pf) * (tpr + pt) / 2) AS auc FROM (SELECT *, coalesce(lag(fpr) OVER (ORDER BY fpr, tpr), 0.0) AS pf, coalesce(lag(tpr) OVER (ORDER BY fpr, tpr), 0.0) AS pt FROM pt))
-SELECT {sql_rnd('score', 1)} AS score, {sql_rnd('tpr', 6)} AS tpr, {sql_rnd('fpr', 6)} AS fpr, (SELECT {sql_rnd('auc', 6)} FROM a) AS auc FROM pt""")
+SELECT {sql_rnd('score', 6)} AS score, {sql_rnd('tpr', 6)} AS tpr, {sql_rnd('fpr', 6)} AS fpr, (SELECT {sql_rnd('auc', 6)} FROM a) AS auc FROM pt""")
 
 
 @query("mlx_28_confusion_normalized")
@@ -361,8 +390,8 @@ def mlx11(spark, d):
     return ml.truncated_svd(h, "doc_id", "text_features", k=5).select("doc_id", F.size("components").alias("n_components"))
 
 
-@query("mlx_30_two_stage_cascade")
-def mlx30(spark, d):
+def cascade(spark, d):
+    """(p_partkey, prediction, stage, max_prob) of the two models."""
     p = read(spark, d, "part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
     p = p.withColumn("family", F.when(F.col("p_type").isin("PROMO", "ECONOMY"), F.lit("other")).otherwise(F.col("p_type")))
     idx = ml.first_seen_index(p, "p_type", ["p_partkey"]).withColumnRenamed("label_index", "label")
@@ -372,12 +401,18 @@ def mlx30(spark, d):
                                 LogisticRegression(maxIter=20)]).fit(x.filter(F.col("family") != "other"))
     other_fit = Pipeline(stages=[feats, LogisticRegression(maxIter=20)]).fit(x.filter(F.col("family") == "other"))
     s1 = main_fit.transform(x).withColumn("max_prob", F.array_max(vector_to_array("probability")))
-    keep = s1.filter(F.col("max_prob") > 0.5).select("p_partkey", F.col("prediction").cast("bigint").alias("prediction"), F.lit("main").alias("stage"))
+    keep = s1.filter(F.col("max_prob") > 0.5).select("p_partkey", F.col("prediction").cast("bigint").alias("prediction"), F.lit("main").alias("stage"), "max_prob")
     rest = x.join(s1.filter(F.col("max_prob") <= 0.5).select("p_partkey"), "p_partkey")
-    s2 = other_fit.transform(rest).select("p_partkey", F.col("prediction").cast("bigint").alias("prediction"), F.lit("other").alias("stage"))
+    s2 = other_fit.transform(rest).select("p_partkey", F.col("prediction").cast("bigint").alias("prediction"), F.lit("other").alias("stage"),
+                                          F.array_max(vector_to_array("probability")).alias("max_prob"))
     return keep.unionByName(s2)
 
 
+@query("mlx_30_two_stage_cascade")
+def mlx30(spark, d):
+    return cascade(spark, d).select("p_partkey", "prediction", "stage")
+
+
 @query("mlx_32_accident_models")
 def mlx32(spark, d):
     x = featured_contracts(spark, d)
@@ -400,6 +435,6 @@ def mlx32(spark, d):
 def mlx33(spark, d):
     x = _contract_features(spark, d)
     model = Pipeline(stages=[LogisticRegression(maxIter=10, labelCol="y")]).fit(x.withColumn("y", (F.col("label") > 0).cast("double")))
-    path = scratch_table_path(spark, "mlx33_model")
+    path = scratch_table_path(spark, f"mlx33_{uuid.uuid4().hex[:8]}")
     ml.save_model(model, path)
     return ml.load_model(path).transform(x).select("contract_customer", F.col("prediction").cast("bigint").alias("prediction"))

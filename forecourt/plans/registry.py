@@ -30,15 +30,23 @@ _MODULES = (
 )
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, stored: bool = False):
+    """``stored``: the result is written to a run-scoped table and read back."""
     def deco(fn):
         if name in _REG:
             raise ValueError(f"duplicate query {name}")
-        _REG[name] = (fn, sql)
+        _REG[name] = (_written(fn, name) if stored else fn, sql)
         return fn
     return deco
 
 
+def _written(fn, name: str):
+    def run(spark, sf_dir):
+        from forecourt.sources import io
+        return io.stored(fn(spark, sf_dir), name)
+    return run
+
+
 _ORACLE: dict[str, str] = {}
 
 

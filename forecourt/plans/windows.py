@@ -308,14 +308,14 @@ sql("win_17_quantity_share_plain", f"WITH {_CFG_SQL} SELECT p_brand, p_type, {sq
 
 @query("win_18_outlier_scores")
 def win18(spark, d):
-    o = _day_max(spark, d).filter(F.col("owner") != "view")
+    o = _day_max(spark, d)
     s = windows.outlier_scores_1d(o, OKEYS, "kms", "event_id", 3, 10, 0.1)
     return s.select(*OKEYS, "event_id", rnd("knn_mean", 6).alias("knn_mean"), rnd("knn_median", 6).alias("knn_median"),
                     rnd("lof", 3).alias("lof"), "knn_mean_outlier", "knn_median_outlier", "lof_outlier")
 
 
 sql("win_18_outlier_scores", f"""WITH {ODOMETER_SQL.strip()},
-s1 AS (SELECT vehicle, owner, day, event_id, kms FROM (SELECT *, max(kms) OVER (PARTITION BY vehicle, owner, day) AS mx FROM odometer) WHERE kms = mx AND owner <> 'view'),
+s1 AS (SELECT vehicle, owner, day, event_id, kms FROM (SELECT *, max(kms) OVER (PARTITION BY vehicle, owner, day) AS mx FROM odometer) WHERE kms = mx),
 p AS (SELECT *, row_number() OVER (PARTITION BY vehicle, owner ORDER BY kms, event_id) AS pos, count(*) OVER (PARTITION BY vehicle, owner) AS n FROM s1),
 pr AS (SELECT a.vehicle, a.owner, a.event_id, a.pos, a.n, b.pos AS npos, abs(a.kms - b.kms) AS d,
   row_number() OVER (PARTITION BY a.vehicle, a.owner, a.pos ORDER BY abs(a.kms - b.kms), b.pos) AS r

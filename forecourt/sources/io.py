@@ -11,6 +11,7 @@ atomically to a new location or partition.
 from __future__ import annotations
 
 import logging
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException, ParseException
@@ -35,6 +36,18 @@ def read_delimited(spark: SparkSession, paths, schema: StructType | str, sep: st
     return df.select(*columns) if columns else df
 
 
+def read_delimited_retry(spark: SparkSession, paths, schema: StructType | str, encodings: tuple[str, ...] = ("utf-8", "iso-8859-1"),
+                         **options) -> DataFrame:
+    """SRC-01 with the caller's retry: the first encoding that decodes every text,
+    else the last.  A byte that an encoding cannot decode reads as U+FFFD."""
+    for encoding in encodings[:-1]:
+        df = read_delimited(spark, paths, schema, encoding=encoding, **options)
+        texts = [F.col(c).contains("\ufffd") for c, t in df.dtypes if t == "string"]
+        if not texts or df.where(reduce(lambda a, b: a | b, texts)).isEmpty():
+            return df
+    return read_delimited(spark, paths, schema, encoding=encodings[-1], **options)
+
+
 def scan_filter(df: DataFrame, filters: dict | None = None, columns: list[str] | None = None,
                 renames: dict[str, str] | None = None) -> DataFrame:
     """SRC-02: AND-ed filters (list value -> IN, scalar -> =), projection and
@@ -100,7 +113,7 @@ def union_frames(frames: list[DataFrame], tag_col: str | None = None, tags: list
 
 
 def fill_missing_key(df: DataFrame, lookup: DataFrame, on: str, null_col: str, lookup_col: str,
-                     prefix: str = "702_") -> DataFrame:
+                     prefix: str) -> DataFrame:
     """SRC-12: fill a missing account key from a lookup (prefixed)."""
     lk = lookup.groupBy(on).agg(F.min(lookup_col).alias("_lk"))
     return (df.join(lk, on, "left")
@@ -113,9 +126,7 @@ def cached(spark: SparkSession, name: str, run_date: str, build) -> DataFrame:
     the shared checkpoint folder (never a machine-local path).  ``build`` is
     a zero-argument callable returning the DataFrame to materialise."""
     path = scratch_table_path(spark, f"{name}/date={run_date}")
-    done = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
-        # Absent or half written: only a finished write leaves the marker.
+    if not _written(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -181,6 +192,31 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.save(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Writes the new state of a table under a name of its own and reads it back."""
+    path = scratch_table_path(df.sparkSession, f"{name}_{uuid.uuid4().hex[:12]}")
+    write_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _written(spark: SparkSession, path: str) -> bool:
+    """Only a finished write leaves the marker."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
+def append_rows(df: DataFrame, path: str, run_date: str, truncate: bool = False, check_days: int | None = None) -> bool:
+    """SNK-02 / SNK-03: stamped rows are appended, with ``truncate`` instead of
+    what is there.  With ``check_days`` nothing is written while the latest stamp
+    is younger than that (GAT-02).  Tells whether it wrote."""
+    spark = df.sparkSession
+    if check_days is not None and _written(spark, path):
+        if not freshness_gate(spark.read.parquet(path), "Date", run_date, check_days).first()["stale"]:
+            return False
+    write_table(stamp(df, run_date), path, mode="overwrite" if truncate else "append")
+    return True
+
+
 def stamp(df: DataFrame, run_date: str, col: str = "Date") -> DataFrame:
     """SNK-02 / SNK-03 / SNK-04: date stamp column; the text 'NULL' becomes
     a real null in string columns."""

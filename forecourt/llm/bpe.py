@@ -12,7 +12,9 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -184,20 +186,27 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, split = Replay(load_ranks(ranks_path)), splitter(pattern)
-        known: dict[str, bytes] = {}
+        # Number of a piece, in order of its first appearance, and by that number its ids.
+        number: defaultdict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        packed: list[bytes] = []
         held = 0
         for batch in batches:
             for part in slices(batch, "text", CHUNK):
-                pieces = [split(t) if t else [] for t in part.column("text").to_pylist()]
-                new = list({w for ws in pieces for w in ws if w not in known})
-                if len(known) + len(new) > CACHE_PIECES or held > CACHE_BYTES:
-                    known.clear()
+                if len(packed) > CACHE_PIECES or held > CACHE_BYTES:
+                    number.clear()
+                    packed.clear()
                     held = 0
-                    new = list({w for ws in pieces for w in ws})
-                packed = replay.encode([w.encode() for w in new])
-                known.update(zip(new, packed))
-                held += sum(map(len, new)) + sum(map(len, packed))
-                joined = [b"".join(map(known.__getitem__, ws)) for ws in pieces]
+                # The pieces of one text at a time: what a chunk holds is their numbers.
+                rows = []
+                for text in part.column("text"):
+                    ws = split(text.as_py() or "")
+                    rows.append(np.fromiter(map(number.__getitem__, ws), np.int32, len(ws)))
+                new = list(islice(number, len(packed), None))
+                ids = replay.encode([w.encode() for w in new])
+                packed += ids
+                held += sum(map(len, new)) + sum(map(len, ids))
+                joined = [b"".join(map(packed.__getitem__, row.tolist())) for row in rows]
                 ends = np.cumsum([0, *(len(x) // 4 for x in joined)]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(joined), dtype="<i4"))
                 yield pa.RecordBatch.from_arrays(

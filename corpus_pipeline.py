@@ -43,8 +43,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the digests that show the round trip."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.digests(bpe.decode(ids, path), "ids")
+    return bpe.digests(bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, "decoded"), "ids")
 
 
 STAGES = [("toxicity", reject_toxic), ("line dedup", drop_lines), ("simhash near-dedup", drop_near_duplicates),

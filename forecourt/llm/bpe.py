@@ -175,17 +175,31 @@ class Replay:
         return np.array([self.ranks[p] for p in parts], "<i4").tobytes()
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def token_bytes(ranks: dict[bytes, int]) -> list[bytes | None]:
+    """Bytes of each id."""
+    tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for b, i in ranks.items():
+        tokens[i] = b
+    return tokens
+
+
+def bytes_of(ids: list[int], tokens: list[bytes | None]) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids))
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, decoded: str | None = None) -> DataFrame:
     """``docs`` with ids (array<int>) of the whole text, each match of ``pattern``
     encoded separately, no special tokens.  Null or empty text: no ids.  Bytes of a
     text outside every match (a pattern may leave some out) get no id.  An input column
-    ids is replaced.  ranks_path is read where the tasks run."""
+    ids is replaced.  ranks_path is read where the tasks run.  With ``decoded`` a column
+    of that name gets the bytes of the ids, as ``decode`` gives them, by the same worker."""
     spark = docs.sparkSession
     small_batches(spark)
-    base = docs.drop("ids")
+    base = docs.drop("ids", *([decoded] if decoded else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, split = Replay(load_ranks(ranks_path)), splitter(pattern)
+        tokens = token_bytes(replay.ranks)
         # Number of a piece, in order of its first appearance, and by that number its ids.
         number: defaultdict[str, int] = defaultdict()
         number.default_factory = number.__len__
@@ -209,11 +223,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 joined = [b"".join(map(packed.__getitem__, row.tolist())) for row in rows]
                 ends = np.cumsum([0, *(len(x) // 4 for x in joined)]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(joined), dtype="<i4"))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.ListArray.from_arrays(pa.array(ends), flat)], [*part.schema.names, "ids"])
+                columns = [*part.columns, pa.ListArray.from_arrays(pa.array(ends), flat)]
+                if decoded:
+                    columns.append(pa.array([bytes_of(np.frombuffer(x, "<i4").tolist(), tokens) for x in joined], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "ids", *([decoded] if decoded else [])])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return base.mapInArrow(run, schema + ", ids array<int>")
+    return base.mapInArrow(run, f"{schema}, ids array<int>" + (f", `{decoded}` binary" if decoded else ""))
 
 
 def decode(encoded: DataFrame, ranks_path: str, out: str = "decoded") -> DataFrame:
@@ -222,15 +238,12 @@ def decode(encoded: DataFrame, ranks_path: str, out: str = "decoded") -> DataFra
     base = encoded.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = load_ranks(ranks_path)
-        tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
-        for b, i in ranks.items():
-            tokens[i] = b
+        tokens = token_bytes(load_ranks(ranks_path))
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 part = batch.slice(at, 100)
                 col = part.column("ids")
-                texts = [b"".join(map(tokens.__getitem__, ids)) if ids else b"" for ids in col.to_pylist()]
+                texts = [bytes_of(ids or [], tokens) for ids in col.to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*part.schema.names, out])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)

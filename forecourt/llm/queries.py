@@ -47,8 +47,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(ids.select("doc_id", "ids"), path))
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN, "decoded"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

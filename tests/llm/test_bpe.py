@@ -65,3 +65,11 @@ def test_fast_split_is_the_pattern():
         text = "".join(r.choice(chars) for _ in range(r.randint(1, 30)))
         packed = b"".join(replay.encode([w.encode() for w in fast(text)]))
         assert [int.from_bytes(packed[i:i + 4], "little") for i in range(0, len(packed), 4)] == lib.encode_ordinary(text), repr(text)
+
+
+def test_decoded_in_one_pass(spark):
+    docs = frame(spark, documents())
+    both = bpe.encode(docs, PATH, public_tokenizers.PATTERN, "decoded").select("doc_id", "ids", "decoded")
+    apart = bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH).select("doc_id", "ids", "decoded")
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.ids)
+    assert sorted(both.collect(), key=key) == sorted(apart.collect(), key=key)

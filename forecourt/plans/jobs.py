@@ -358,3 +358,31 @@ def job10(spark, d):
 def job11(spark, d):
     from forecourt.plans.cleaning2 import agg15
     return agg15(spark, d)
+
+
+@query("job_03a_importer_inputs")
+def job03a(spark, d):
+    """Current and historic movements in one, one row a product code of an order,
+    with dealer and customer group."""
+    from forecourt.plans.joins import jon20, set01
+    li = clean.dedupe_first(set01(spark, d), ["l_orderkey", "l_partkey"], ["l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "src"])
+    dealers = jon20(spark, d)
+    return li.join(dealers, li["l_orderkey"] == dealers["o_orderkey"], "left").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "src", "c_mktsegment", "place", "place_v2")
+
+
+sql("job_03a_importer_inputs", """WITH u AS (SELECT *, CASE WHEN l_shipdate >= TIMESTAMP '1999-01-01' THEN 'current' ELSE 'history' END AS src FROM lineitem),
+k AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber, l_suppkey, l_quantity, l_extendedprice, src) AS rn FROM u)
+SELECT k.l_orderkey, k.l_partkey, k.l_linenumber, k.src, c.c_mktsegment, n.n_name AS place, r.r_name AS place_v2 FROM k
+LEFT JOIN orders o ON k.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey WHERE k.rn = 1""")
+
+
+@query("job_03d_importer_evaluation")
+def job03d(spark, d):
+    """Regression results on the test rows, then the choice of the best model."""
+    from forecourt.operators import ml
+    from forecourt.plans.extras import mlx23
+    tested = mlx23(spark, d).filter("dataset = 'test'")
+    c = ml.model_choice(tested, "r2", -1.0, previous=None)
+    return c.select("best_model", rnd("best_score", 6).alias("best_score"), "choice_flag")

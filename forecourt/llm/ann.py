@@ -42,6 +42,7 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
+        self.distinct = len(np.unique(ids)) == len(ids)
         p = vectors @ directions(vectors.shape[1])
         self.order = np.argsort(p, axis=0, kind="stable").T.astype(np.int32).copy()
         self.sorted = np.sort(p, axis=0).T.copy()
@@ -71,6 +72,8 @@ class Block:
                 if len(new):
                     done[new] = True
                     d = np.sqrt(((self.vectors[new] - query) ** 2).sum(axis=1))
+                    if not self.distinct:
+                        new, d = self._nearest_places(new, d)
                     if len(new) > 4 * k:
                         near = d <= np.partition(d, k)[k]
                         new, d = new[near], d[near]
@@ -80,6 +83,13 @@ class Block:
                 return best
             half *= GROWTH
 
+    def _nearest_places(self, rows: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the rows of a vec_id the nearest one, so that what is cut by rank are ids."""
+        order = np.lexsort((d, self.ids[rows]))
+        rows, d = rows[order], d[order]
+        first = np.concatenate(([True], self.ids[rows[1:]] != self.ids[rows[:-1]]))
+        return rows[first], d[first]
+
 
 def _first_of_each(best: list[tuple[float, int]], k: int) -> list[tuple[float, int]]:
     seen: dict[int, float] = {}

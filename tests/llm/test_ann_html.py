@@ -46,6 +46,20 @@ def test_awkward_vectors(spark):
     assert few.count() == 3
 
 
+def test_repeated_id_leaves_the_ranks_to_others(spark):
+    r = np.random.default_rng(3)
+    at = lambda radius: (radius * (x := r.normal(size=8)) / np.linalg.norm(x) + 3.0).tolist()
+    rows = [(0, [3.0] * 8)] + [(7, at(0.5 + i / 1e5)) for i in range(300)] + [(100 + i, at(0.51 + i / 1e3)) for i in range(60)]
+    rows += [(200 + i, at(1.5)) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = [(x.score, x.vec_id) for x in ann.nearest(table, table.where("vec_id = 0")).orderBy("rank").collect()]
+    nearest = {}
+    for d, i in brute(rows, lambda q: q == 0, k=len(rows))[0]:
+        nearest.setdefault(i, d)
+    want = sorted((d, i) for i, d in nearest.items())[:10]
+    assert [i for _, i in got] == [i for _, i in want] and np.allclose([d for d, _ in got], [d for d, _ in want])
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><h2>Site</h2></header><nav><ul><li><a href=x>Menu</a></ul></nav><div class="cookie-notice">We use cookies</div>
 <!-- c --><article><h1>A &amp; B</h1><p><b>First&nbsp;line<br><p>Sec<i>ond</i>

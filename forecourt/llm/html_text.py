@@ -3,12 +3,14 @@
 Pages are read into trees of elements.  The trees of one host are merged: an element's
 place in the style tree is its path of (tag, class) from the root.  Over the pages that
 have a place, the entropy of what stands there (its row of children, and its text),
-divided by the logarithm of the number of pages, is the importance of the place: near 0
+divided by the logarithm of their number, is the importance of the place: near 0
 where all pages show the same, near 1 where each has its own.  Places of low importance
 on enough pages go from every page, and so do branches whose element, class, id or role
 says that they are menus, headers, footers, sidebars, notices, adverts, forms or reader
-comments.  What is inside an article element and carries no such sign is content by its
-presentation and is not weighed, since copied articles would look like a template.
+comments.  Places inside article and main elements are weighed like all others.  So that
+copied articles do not look like a template, pages whose articles say the same have one
+vote on their host: a place counts what distinct articles show there.  Inside an article
+an element of running text (``INLINE``) is weighed with its block, not alone.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from forecourt.llm.common import slices, small_batches, written
 
-#: Pages that must have a place, and importance under which it is a template's.
+#: Distinct articles that must have a place, and importance under which it is a template's.
 MIN_PAGES, LOW = 8, 0.3
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|"""
@@ -140,53 +142,70 @@ def dropped(node: Node, inside: bool) -> bool:
     return bool(node.signs - HEADING if inside and node.tag in ("header", "h1", "h2", "div") else node.signs)
 
 
-def places(root: Node) -> list[tuple[int, int, int]]:
-    """(place, children's style, content) of the elements that are to be weighed."""
+def _place(path: str) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(path))
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def places(root: Node) -> tuple[int, list[tuple[int, int, int]]]:
+    """The page's vote, which is what its articles say (its main elements, or all of it,
+    where there is none), and (place, children's style, content) of the elements that are
+    to be weighed."""
     out: list[tuple[int, int, int]] = []
-    digest = xxhash.xxh3_64_intdigest
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    said: dict[str, list[str]] = {"article": [], "main": []}
 
-    def walk(node: Node, path: str) -> str:
+    def walk(node: Node, path: str, inside: bool, article: bool) -> str:
         parts = []
         for child in node.children:
             if isinstance(child, str):
                 parts.append(" ".join(child.split()))
-            elif not dropped(child, False) and child.tag not in ARTICLE:
-                parts.append(walk(child, f"{path}/{child.label}"))
+            elif not dropped(child, inside):
+                content = walk(child, f"{path}/{child.label}", inside or child.tag in ARTICLE, article or child.tag == "article")
+                parts.append(content)
+                if child.tag in said and not article:
+                    said[child.tag].append(content)
         content = " ".join(p for p in parts if p)
-        if node.tag not in ("#", "html", "body") and content:
+        if node.tag not in ("#", "html", "body") and content and not (inside and node.tag in INLINE):
             kinds = ",".join(c.label for c in node.children if isinstance(c, Node))
-            out.append((signed(digest(path)), signed(digest(kinds)), signed(digest(content))))
+            out.append((_place(path), _place(kinds), _place(content)))
         return content
 
-    _deep(walk, root)
-    return out
+    whole = _deep(lambda node, path: walk(node, path, False, False), root)
+    return _place("\n".join(said["article"] or said["main"] or [whole])), out
 
 
-def _deep(walk, root: Node) -> None:
+def _deep(walk, root: Node, path: str = ""):
     import sys
     old = sys.getrecursionlimit()
     sys.setrecursionlimit(max(old, 20_000))
     try:
-        walk(root, "")
+        return walk(root, path)
     finally:
         sys.setrecursionlimit(old)
 
 
 def main_text(root: Node, noise: frozenset[int]) -> str:
-    """Text of the article elements, or of the page where there is none, without dropped
-    branches and places of low importance; blocks are joined by one space."""
-    digest = xxhash.xxh3_64_intdigest
-    articles: list[Node] = []
+    """Text of the main and article elements, or of the page where there is none, without
+    dropped branches and places of low importance; blocks are joined by one space."""
+    articles: list[tuple[Node, str]] = []
     blocks: list[str] = []
 
+    def low(node: Node, path: str, inside: bool) -> bool:
+        return bool(noise) and not (inside and node.tag in INLINE) and _place(path) in noise
+
     def find(node: Node, path: str) -> None:
         for child in node.children:
             if isinstance(child, Node) and not dropped(child, False):
-                if child.tag in ARTICLE and not (child.tag == "main" and _has_article(child)):
-                    articles.append(child)
+                here = f"{path}/{child.label}"
+                if low(child, here, False):
+                    continue
+                if child.tag in ARTICLE:
+                    articles.append((child, here))
                 else:
-                    find(child, path)
+                    find(child, here)
 
     def take(node: Node, path: str, inside: bool) -> None:
         for child in node.children:
@@ -197,12 +216,8 @@ def main_text(root: Node, noise: frozenset[int]) -> str:
             if child.tag == "br":
                 blocks.append(" ")
                 continue
-            if dropped(child, inside):
+            if dropped(child, inside) or low(child, here, inside):
                 continue
-            if not inside and noise and child.tag not in ARTICLE:
-                x = digest(here)
-                if (x - (1 << 64) if x >> 63 else x) in noise:
-                    continue
             block = child.tag not in INLINE
             if block:
                 blocks.append(" ")
@@ -211,19 +226,14 @@ def main_text(root: Node, noise: frozenset[int]) -> str:
                 blocks.append(" ")
 
     _deep(find, root)
-    if articles:
-        for a in articles:
-            blocks.append(" ")
-            _deep(lambda node, path: take(node, path, True), a)
-    else:
+    for a, path in articles:
+        blocks.append(" ")
+        _deep(lambda node, path: take(node, path, True), a, path)
+    if not articles:
         _deep(lambda node, path: take(node, path, False), root)
     return " ".join("".join(blocks).split())
 
 
-def _has_article(node: Node) -> bool:
-    return any(isinstance(c, Node) and not dropped(c, True) and (c.tag == "article" or _has_article(c)) for c in node.children)
-
-
 def host(url):
     """Host of a url column, without port and in lower case; null without one."""
     found = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -231,31 +241,36 @@ def host(url):
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(_page, _host, place) of every weighed place whose importance is low on its host.
-    pages: _page, _host, html.  Pages without a host are not weighed."""
+    """(_host, _noise): the weighed places of a host whose importance is low.
+    pages: _host, html.  Pages without a host are not weighed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                rows = [(p, h, *x) for p, h, s in zip(*(part.column(c).to_pylist() for c in ("_page", "_host", "html")))
-                        for x in dict.fromkeys(places(parse(s)))]
+                rows = []
+                for h, s in zip(*(part.column(c).to_pylist() for c in ("_host", "html"))):
+                    vote, found = places(parse(s))
+                    rows += [(h, vote, *x) for x in dict.fromkeys(
+                        x for place, kinds, content in found
+                        for x in ((place, KINDS, kinds), (place, CONTENT, content), (place, VOTE, vote)))]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), KINDS)], NAMES)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], NAMES)
 
-    seen = written(pages.where("_host IS NOT NULL").mapInArrow(
-        run, "_page long, _host string, place long, kinds long, content long"), "places")
-    both = F.explode(F.array(F.struct(F.lit(0).alias("what"), F.col("kinds").alias("is")),
-                             F.struct(F.lit(1).alias("what"), F.col("content").alias("is")))).alias("x")
-    counted = seen.select("_host", "place", both).groupBy("_host", "place", "x.what", "x.is").agg(F.count("*").alias("n"))
+    seen = pages.where("_host IS NOT NULL").mapInArrow(run, "_host string, _vote long, place long, what int, is long")
+    counted = seen.distinct().groupBy("_host", "place", "what", "is").agg(F.count("*").alias("n"))
     entropy = (counted.groupBy("_host", "place", "what")
-               .agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nln"))
+               .agg(F.count("*").alias("kinds"), F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nln"))
                .withColumn("importance", F.when(F.col("m") > 1, (F.log("m") - F.col("nln") / F.col("m")) / F.log("m")).otherwise(1.0)))
-    low = (entropy.groupBy("_host", "place").agg(F.max("m").alias("m"), F.max("importance").alias("importance"))
-           .where((F.col("m") >= MIN_PAGES) & (F.col("importance") < LOW)).select("_host", "place"))
-    return seen.select("_page", "_host", "place").join(low, ["_host", "place"])
+    votes, weighed = F.col("what") == VOTE, F.col("what") != VOTE
+    return (entropy.groupBy("_host", "place")
+            .agg(F.max(F.when(votes, F.col("kinds"))).alias("m"), F.max(F.when(weighed, F.col("importance"))).alias("importance"))
+            .where((F.col("m") >= MIN_PAGES) & (F.col("importance") < LOW))
+            .groupBy("_host").agg(F.collect_set("place").alias("_noise")))
 
 
-KINDS = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-NAMES = ["_page", "_host", "place", "kinds", "content"]
+#: What a row of a place says: its children's style, its content, or the vote that has it.
+KINDS, CONTENT, VOTE = 0, 1, 2
+TYPES = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+NAMES = ["_host", "_vote", "place", "what", "is"]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -266,9 +281,10 @@ def extract(pages: DataFrame) -> DataFrame:
     rows get equal texts; an input column text is replaced."""
     small_batches(pages.sparkSession)
     base = pages.drop("text")
-    keyed = base.withColumn("_page", F.xxhash64("url", "html")).withColumn("_host", host(F.col("url")))
-    noise = style_tree(keyed.select("_page", "_host", "html")).groupBy("_page").agg(F.collect_set("place").alias("_noise"))
-    joined = keyed.drop("_host").join(noise, "_page", "left")
+    keyed = base.withColumn("_host", host(F.col("url")))
+    # Stored, so that its size is known before the pages are dealt out for the join.
+    noise = written(style_tree(keyed.select("_host", "html")), "low-places")
+    joined = keyed.join(noise, "_host", "left")
     columns = base.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -87,6 +87,21 @@ def test_site_template_goes(spark):
     assert len(got) == len(pages) and html_text.extract(out.limit(0)).count() == 0
 
 
+def test_template_inside_articles_goes_and_copied_articles_stay(spark):
+    page = "<html><body><%s><h1>T%s</h1><p>Own %s text</p><div class=box><p>Read <b>our</b> paper</p></div></%s></body></html>"
+    pages = [(i, f"http://h.example/{i}", page % ("article", i, i, "article")) for i in range(20)]
+    pages += [(100 + i, f"http://m.example/{i}", page % ("main", i, i, "main")) for i in range(20)]
+    pages += [(200 + i, f"http://c.example/{i}", page % ("article", 0, 0, "article")) for i in range(20)]
+    pages += [(300 + i, f"http://b.example/{i}", f"<main><div class=x>Beside {i}</div><div class=y>Same</div><article><p>In {i}</p></article></main>")
+              for i in range(20)]
+    out = html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    got = {r.page_id: r.text for r in out.collect()}
+    for i in range(20):
+        assert got[i] == got[100 + i] == f"T{i} Own {i} text"
+        assert got[200 + i] == "T0 Own 0 text Read our paper"
+        assert got[300 + i] == f"Beside {i} In {i}"
+
+
 def test_pages_of_the_table(spark):
     out = queries.op5_html_text(spark, "/root/testdata/sf0.01")
     rows = out.collect()

@@ -15,8 +15,8 @@ from 1 to ``SEED`` = 48 bytes.  Three things keep it small:
 * Round 2 reranks the rest past the threshold: all windows that were named by a repeated
   position travel as one run of text with that position.  A task keeps only the earliest
   of equal runs, so a group of copies sends one run a task; the runs of a name are then
-  compared window by window, by 128 bits of hash.  A name that very many tasks send is
-  dealt out by the windows' own names instead.
+  compared window by window, by 128 bits of hash.  Round 1 counts the runs a name will
+  send; a name with more than a task should hold is dealt out by the windows' own names.
 
 The later windows come back as byte ranges, which are united per document.
 """
@@ -35,9 +35,10 @@ from forecourt.llm.common import ordered_id, row_key, shuffle_width, slices, sma
 SEED = 48
 #: Bits of the Bloom filter at most (32 MB), and hashes a name.
 BLOOM_BITS, BLOOM_HASHES = 1 << 28, 4
-#: A name is dealt out by windows when more tasks than this, and more than one in
-#: ``HOT_SHARE`` of all names sent, send it; there are at most ``HOT_SHARE`` such names.
-HOT_RUNS, HOT_SHARE = 20_000, 10_000
+#: A name is dealt out by windows when round 2 sends more runs of it than this (some 3 MB
+#: of text), and more than one in ``HOT_SHARE`` of all runs: there are at most ``HOT_SHARE``
+#: such names (80 MB).
+HOT_RUNS, HOT_SHARE = 20_000, 10_000_000
 #: Bytes of text that a task ranks and compares at a time.
 CHUNK = 8 << 20
 
@@ -124,36 +125,65 @@ def _chunked(batches: Iterator[pa.RecordBatch]):
 
 
 def _packed(buckets: int, threshold: int):
-    """Round 1, task side: the distinct names of a chunk, by bucket, twice those that
-    the chunk holds twice."""
+    """Round 1, task side: the distinct names of a chunk, by bucket, and those that the
+    chunk holds more than once with the runs it will send (two at least)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data in _chunked(batches):
-            found = []
+            spans, found = [], []
             for d in data:
-                at, _, _ = anchors(d, threshold)
+                at, first, end = anchors(d, threshold)
                 if len(at):
+                    spans.append((d, first, end + threshold - 1))
                     found.append(names(d, min(SEED, threshold))[at])
             if not found:
                 continue
-            name, count = np.unique(np.concatenate(found), return_counts=True)
-            name = np.concatenate([name, name[count > 1]])
-            bucket = (name >> np.uint64(40)) % np.uint64(buckets)
+            name, which, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            runs = _distinct_runs(spans, which, count)
+            bucket = ((name >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            name, bucket = name[order], bucket[order].astype(np.int64)
+            name, bucket, runs = name[order], bucket[order], runs[order]
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
             some = np.flatnonzero(np.diff(edges))
+            cut = [slice(edges[b], edges[b + 1]) for b in some]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([name[edges[b]:edges[b + 1]].tobytes() for b in some], pa.binary())],
-                ["bucket", "names"])
+                [pa.array(some, pa.int32()), pa.array([name[c].tobytes() for c in cut], pa.binary()),
+                 pa.array([name[c][runs[c] > 1].tobytes() for c in cut], pa.binary()),
+                 pa.array([runs[c][runs[c] > 1].tobytes() for c in cut], pa.binary())],
+                ["bucket", "names", "more", "runs"])
     return run
 
 
+def _distinct_runs(spans: list[tuple], which: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Runs with distinct bodies of every name of a chunk; two at least if it is met twice."""
+    keys, bodies, at = [], [], 0
+    for d, start, end in spans:
+        own = which[at:at + len(start)]
+        at += len(start)
+        some = np.flatnonzero(count[own] > 1)
+        if len(some):
+            keys.append(own[some])
+            bodies.append(_span_names(d, start[some], end[some]))
+    runs = np.minimum(count, 2)
+    if keys:
+        key, body = np.concatenate(keys), np.concatenate(bodies)
+        order = np.lexsort((body, key))
+        key, body = key[order], body[order]
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (body[1:] != body[:-1])))
+        runs = np.maximum(runs, np.bincount(key[new], minlength=len(count)))
+    return runs.astype(np.int64)
+
+
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Round 1, after the shuffle: sorted names of a partition; those met again, packed,
-    with how often the most frequent ones were met."""
-    held = [np.frombuffer(x, np.uint64) for b in batches for x in b.column("names").to_pylist()]
+    with the runs that round 2 sends of the most frequent ones."""
+    held, more, runs = [], [], []
+    for b in batches:
+        for out, column, kind in ((held, "names", np.uint64), (more, "more", np.uint64), (runs, "runs", np.int64)):
+            out += [np.frombuffer(x, kind) for x in b.column(column).to_pylist()]
     if held:
         name, count = np.unique(np.concatenate(held), return_counts=True)
+        # A name of ``more`` is in ``names`` once already.
+        np.add.at(count, np.searchsorted(name, np.concatenate(more)), np.concatenate(runs) - 1)
         total = int(count.sum())
         name, count = name[count > 1], count[count > 1]
         hot = count > HOT_RUNS
@@ -227,16 +257,29 @@ def _runs(shared, threshold: int):
             sent = np.flatnonzero(~later & ~dealt)
             out.append([(key[i], ids[doc[i]], rows[doc[i]], lo[i], data[doc[i]][lo[i]:hi[i] + threshold - 1].tobytes())
                         for i in sent.tolist()])
-            for i in np.flatnonzero(dealt).tolist():
-                d = data[doc[i]][lo[i]:hi[i] + threshold - 1]
-                own = names(d, threshold)
-                out.append([(own[j], ids[doc[i]], rows[doc[i]], lo[i] + j, d[j:j + threshold].tobytes()) for j in range(len(own))])
+            out += _windows(np.flatnonzero(dealt), doc, lo, hi, ids, rows, data, threshold)
             flat = [r for rs in out for r in rs]
             for a in range(0, len(flat), 20_000):
                 yield _record(flat[a:a + 20_000])
     return run
 
 
+def _windows(dealt: np.ndarray, doc, lo, hi, ids, rows, data, threshold: int) -> list[list[tuple]]:
+    """The windows of runs under their own names.  Of equal ones in a chunk the earliest
+    goes on, as with runs."""
+    if not len(dealt):
+        return []
+    size = hi[dealt] - lo[dealt]
+    of = np.repeat(doc[dealt], size)
+    start = np.concatenate([np.arange(lo[i], hi[i]) for i in dealt.tolist()])
+    own, second = (np.concatenate([names(data[doc[i]][lo[i]:hi[i] + threshold - 1], threshold, t) for i in dealt.tolist()])
+                   for t in (BYTE, BYTE2))
+    later = _later(own, second, ids[of], start)
+    sent = np.flatnonzero(~later)
+    return [_ranges(ids[of[later]], rows[of[later]], start[later], start[later] + threshold),
+            [(own[j], ids[of[j]], rows[of[j]], start[j], data[of[j]][start[j]:start[j] + threshold].tobytes()) for j in sent.tolist()]]
+
+
 def _record(rows: list[tuple]) -> pa.RecordBatch:
     key, id_, row, start, body = zip(*rows)
     return pa.RecordBatch.from_arrays(
@@ -343,7 +386,7 @@ def repeats(docs: DataFrame, threshold: int = 100) -> DataFrame:
     spark = docs.sparkSession
     width = shuffle_width(spark)
     # Names of a partition are held as 8 bytes each: many buckets keep that small.
-    spread = docs.mapInArrow(_packed(4 * width, threshold), "bucket int, names binary").repartition(width, "bucket")
+    spread = docs.mapInArrow(_packed(4 * width, threshold), "bucket int, names binary, more binary, runs binary").repartition(width, "bucket")
     repeated = written(spread.mapInArrow(_repeated, "names binary, n long, total long, hot array<long>, met array<long>"),
                        "repeated-names")
     n, total = repeated.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()

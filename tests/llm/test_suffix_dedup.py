@@ -65,6 +65,19 @@ def test_names_dealt_out_by_windows(spark, monkeypatch):
     assert _got(frame(spark, rows)) == brute(rows)
 
 
+def test_passage_of_very_many_documents_is_dealt_out(spark, monkeypatch):
+    r = random.Random(4)
+    word = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage = word(110)
+    rows = [(i, word(30) + passage + word(30)) for i in range(suffix_dedup.HOT_RUNS + 1000)]
+    dealt = []
+    bloom = suffix_dedup._bloom
+    monkeypatch.setattr(suffix_dedup, "_bloom", lambda repeated, n: (
+        dealt.extend(x for row in repeated.select("hot").collect() for x in row.hot), bloom(repeated, n))[1])
+    assert _got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert dealt
+
+
 def test_other_threshold_and_empty(spark):
     rows = _rows()[:90]
     assert _got(frame(spark, rows), threshold=30) == brute(rows, 30)

@@ -50,6 +50,16 @@ def ordered_id(doc_id: str = "doc_id"):
     return F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))
 
 
+def copies(df: DataFrame, count: str, number: str, piece: int = 4096) -> DataFrame:
+    """A row for each of ``count`` (1 or more) copies of a row, ``number`` counting them from 0.
+    They are made in pieces that are dealt out first, so no task makes all copies of one row."""
+    part = f"{number}_piece"
+    pieces = df.withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({count} - 1) div {piece}"))))
+    dealt = pieces.repartition(shuffle_width(df.sparkSession), *df.columns, part)
+    last = F.least(F.col(part) * piece + piece, F.col(count)) - 1
+    return dealt.withColumn(number, F.explode(F.sequence(F.col(part) * piece, last))).drop(part)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

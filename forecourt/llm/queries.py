@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: each applies its operator to the
+"""The registered queries of the operators: each applies its operator to the
 whole table with production parameters and derives the result's digest columns."""
 
 from __future__ import annotations
@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import ann, bpe, decontaminate, html_text, language, line_dedup, sharding, simhash, suffix_dedup, toxicity
+from forecourt.llm import (ann, bpe, decontaminate, html_text, language, line_dedup, mixing, resample, sharding, simhash,
+                           suffix_dedup, toxicity, whitening)
 from forecourt.llm.common import table
 
 
@@ -75,9 +76,25 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_of(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    taken = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["n"])
+    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = resample.score(docs, resample.gains(docs, table(spark, sf_dir, "benchmark", "text")))
+    return resample.draw(scored).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_line_dedup, op3_neighbours, op4_language, op5_html_text, op6_bpe, op7_toxicity,
-    op8_suffix_dedup, op9_sharding, op10_simhash)}
+    op8_suffix_dedup, op9_sharding, op10_simhash, op11_whitening, op12_mixing, op13_resampling)}
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -111,4 +128,34 @@ marked AS (SELECT doc_id, pos, line, keeper IS NOT NULL AND keeper <> doc_id AS
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (dropped)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op13_resampling": rf"""
+WITH RECURSIVE steps(i, c, k) AS (
+  SELECT i, i::BIGINT, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT i, c FROM steps WHERE k = 8),
+docs AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+doc_words AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM docs) GROUP BY w),
+item_words AS (SELECT w, count(*) AS n FROM (SELECT unnest({_WORDS}) AS w FROM benchmark) GROUP BY w),
+read(w, h, p, c) AS (
+  SELECT w, hex(encode(w)), 0, 4294967295 FROM (SELECT w FROM doc_words UNION SELECT w FROM item_words)
+  UNION ALL SELECT w, h, p + 1, xor(read.c >> 8, crc.c)
+  FROM read JOIN crc ON crc.i = xor(read.c & 255, ('0x' || substr(h, 2 * p + 1, 2))::BIGINT) WHERE 2 * p < length(h)),
+bucket AS (SELECT w, xor(c, 4294967295) % 10000 AS b FROM read WHERE 2 * p = length(h)),
+s AS (SELECT b, sum(n) AS n FROM doc_words JOIN bucket USING (w) GROUP BY b),
+t AS (SELECT b, sum(n) AS n FROM item_words JOIN bucket USING (w) GROUP BY b),
+gain AS (
+  SELECT b, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+                           / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS g
+  FROM (SELECT DISTINCT b FROM bucket) LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+summed AS (SELECT doc_id, sum(g)::BIGINT AS total FROM (SELECT doc_id, unnest(ws) AS w FROM docs) JOIN bucket USING (w) JOIN gain USING (b)
+           GROUP BY doc_id),
+weighed AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_features,
+         CASE WHEN len(ws) = 0 THEN 0 ELSE (total - ((total % len(ws)) + len(ws)) % len(ws)) // len(ws) END::BIGINT AS weight,
+         ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+  FROM docs LEFT JOIN summed USING (doc_id)),
+scored AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM weighed),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END::BIGINT AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)""",
 }

@@ -1,11 +1,12 @@
 """Parts stock ledger and per-part sales metrics (AGG-07/08/09/35,
 WIN-11..14, DAT-03).
 
-All parts are processed in one plan (no per-part loop): daily movement
-aggregates per (part, day); a dense calendar per part generated with
-``explode(sequence(...))`` (its length is the period, so a part's series is
-bounded whatever the data volume); running sums are windows partitioned by
-part.
+All parts are processed in one plan (no per-part loop).  The ledger is sparse:
+one row per part and movement day (and the part's opening row), with the
+running sums and the interval of calendar days they hold for, so its size
+follows the movements and not parts times days.  Calendar days are listed only
+by ``list_days``, for outputs that need them.  Metrics over calendar days are
+taken from the sparse rows and the number of days.
 """
 
 from __future__ import annotations
@@ -17,9 +18,13 @@ QTY_COLS = ["qty_sold", "qty_purchased", "qty_purchased_urgent", "qty_purchased_
 
 
 def business_days(start: Column, end: Column) -> Column:
-    """DAT-03: weekdays in [start, end) (numpy busday_count)."""
-    days = F.sequence(start, F.date_sub(end, 1))
-    return F.when(end > start, F.size(F.filter(days, lambda x: F.dayofweek(x).between(2, 6)))).otherwise(0)
+    """DAT-03: weekdays in [start, end) (numpy busday_count): five a whole week,
+    and what the rest of the days has before and after the weekend."""
+    days, first = F.datediff(end, start), F.weekday(start)  # Monday is 0
+    rest = days % 7
+    before = F.least(rest, F.greatest(5 - first, F.lit(0)))
+    after = F.greatest(rest - (7 - first), F.lit(0))
+    return F.when(days > 0, F.floor(days / 7) * 5 + before + after).otherwise(0)
 
 
 def daily_movements(mv: DataFrame, part: str, day: str, kind: str, qty: str, unit_cost: str,
@@ -39,85 +44,99 @@ def daily_movements(mv: DataFrame, part: str, day: str, kind: str, qty: str, uni
         F.sum(F.when(reg, F.col(unit_cost) * F.col(qty))).alias("cost_reg_avg"))
 
 
-def densify(parts: DataFrame, part: str, min_date: str, max_date: str, day: str = "day") -> DataFrame:
-    """WIN-11: one row per (part, calendar day) of the period."""
-    return parts.select(part, F.explode(F.sequence(F.to_date(F.lit(min_date)), F.to_date(F.lit(max_date)))).alias(day))
-
-
-def stock_ledger(daily: DataFrame, opening: DataFrame, part: str, min_date: str, max_date: str) -> DataFrame:
-    """AGG-35 / WIN-13: dense daily ledger per part over [min_date, max_date]:
-    zero-filled daily quantities and costs, evolutions = running sums from the
-    day after the start, computed stock = opening - sold + purchased -
-    regulated (opening on the first day), closing photo, offset and the
-    correctness flag.  ``opening`` = (part, stock_qty) photo at min_date."""
-    inside = daily.filter(F.col("day").between(F.to_date(F.lit(min_date)), F.to_date(F.lit(max_date))))
-    parts = inside.select(part).distinct()
-    grid = densify(parts, part, min_date, max_date)
-    x = grid.join(inside, [part, "day"], "left").join(opening, part, "left")
-    fill0 = QTY_COLS + ["cost_sale_avg", "pvp_avg", "cost_purchase_avg", "cost_reg_avg"]
-    x = x.na.fill(0.0, subset=fill0).withColumn("stock_qty", F.coalesce(F.col("stock_qty"), F.lit(0.0)))
-    w = Window.partitionBy(part).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = F.col("day") > F.to_date(F.lit(min_date))
-    evo = {"sales_evolution": "qty_sold", "purchases_evolution": "qty_purchased",
-           "purchases_urgent_evolution": "qty_purchased_urgent",
-           "purchases_non_urgent_evolution": "qty_purchased_non_urgent", "regulated_evolution": "qty_regulated"}
-    for out, src in evo.items():
-        x = x.withColumn(out, F.sum(F.when(after, F.col(src)).otherwise(0.0)).over(w))
+FLOWS = QTY_COLS + ["cost_sale_avg", "pvp_avg", "cost_purchase_avg", "cost_reg_avg"]
+EVOLUTIONS = {"sales_evolution": "qty_sold", "purchases_evolution": "qty_purchased",
+              "purchases_urgent_evolution": "qty_purchased_urgent",
+              "purchases_non_urgent_evolution": "qty_purchased_non_urgent", "regulated_evolution": "qty_regulated"}
+
+
+def with_opening_row(rows: DataFrame, keys: list[str], start: Column, flows: list[str], day: str = "day") -> DataFrame:
+    """Adds a row at the period's start, with null flows, to every key that has
+    none: the first row of a key is doubled, so nothing is joined or shuffled
+    again."""
+    first = F.lag(day).over(Window.partitionBy(*keys).orderBy(day)).isNull() & (F.col(day) > start)
+    x = rows.withColumn("_first", first)
+    x = x.withColumn("_opening", F.explode(F.when(F.col("_first"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
+    return (x.withColumns({c: F.when(~F.col("_opening"), F.col(c)) for c in flows})
+             .withColumn(day, F.when(F.col("_opening"), start).otherwise(F.col(day))).drop("_first", "_opening"))
+
+
+def valid_until(keys: list[str], end: Column, day: str = "day") -> Column:
+    """Last calendar day a row's balances hold for."""
+    return F.coalesce(F.date_sub(F.lead(day).over(Window.partitionBy(*keys).orderBy(day)), 1), end)
+
+
+def list_days(intervals: DataFrame, flows: list[str], day: str = "day", until: str = "valid_to") -> DataFrame:
+    """WIN-11: one row per calendar day of every interval; the flows belong to
+    the first day of the interval and are zero on the others."""
+    x = intervals.withColumn("_at", F.col(day)).withColumn(day, F.explode(F.sequence("_at", until)))
+    return x.withColumns({c: F.when(F.col("_at") == F.col(day), F.col(c)).otherwise(0.0) for c in flows}).drop("_at", until)
+
+
+def stock_ledger(daily: DataFrame, opening: DataFrame, part: str, start: Column, end: Column) -> DataFrame:
+    """AGG-35 / WIN-13: sparse ledger per part over the calendar days ``start``
+    to ``end`` (literals or scalar subqueries): a row per movement day and one
+    at the start, valid from ``day`` to ``valid_to``.  Evolutions are running
+    sums from the day after the start, computed stock = opening - sold +
+    purchased - regulated (opening on the first day); closing photo, offset and
+    correctness flag per part.  ``opening`` = (part, stock_qty) photo at the
+    start.  A part's rows are bounded by the calendar, so a window holds one."""
+    inside = daily.filter(F.col("day").between(start, end)).join(opening, part, "left")
+    x = with_opening_row(inside, [part], start, FLOWS)
+    x = x.na.fill(0.0, subset=FLOWS + ["stock_qty"])
+    after = F.col("day") > start
+    so_far = Window.partitionBy(part).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumns({out: F.sum(F.when(after, F.col(src)).otherwise(0.0)).over(so_far) for out, src in EVOLUTIONS.items()}
+                      | {"valid_to": valid_until([part], end)})
     x = x.withColumn("stock_qty_al", F.col("stock_qty") - F.col("sales_evolution") + F.col("purchases_evolution")
                      - F.col("regulated_evolution"))
-    # closing totals from the sparse daily rows (zero-filled days add
-    # nothing), so the dense calendar window is evaluated once
-    after_d = F.col("day") > F.to_date(F.lit(min_date))
-    tot = (inside.groupBy(part).agg(
-              F.sum(F.col("qty_purchased") - F.col("qty_sold") - F.col("qty_regulated")).alias("_net_all"),
-              F.sum(F.when(after_d, F.col("qty_sold")).otherwise(0.0)).alias("_s"),
-              F.sum(F.when(after_d, F.col("qty_purchased")).otherwise(0.0)).alias("_p"),
-              F.sum(F.when(after_d, F.col("qty_regulated")).otherwise(0.0)).alias("_r"))
-              .join(opening, part, "left")
-              .select(part, "_net_all", (F.coalesce(F.col("stock_qty"), F.lit(0.0)) - F.col("_s") + F.col("_p") - F.col("_r")).alias("_al_end")))
-    x = x.join(tot, part, "inner")
-    end = F.col("stock_qty") + F.col("_net_all")
-    return (x.withColumn("stock_end", end)
-             .withColumn("offset", end - F.col("_al_end"))
-             .withColumn("stock_evolution_correct_flag", (F.col("offset") == 0).cast("bigint"))
-             .drop("_net_all", "_al_end"))
-
-
-def part_metrics(series: DataFrame, part: str, current_date: str, dts_goal: int) -> DataFrame:
-    """AGG-08 / AGG-09 / WIN-14: per-part sales metrics from the dense daily
-    series (qty_sold, cost_sale_avg, pvp_avg, stock_qty_al).
+    whole = Window.partitionBy(part)
+    net = F.col("qty_purchased") - F.col("qty_sold") - F.col("qty_regulated")
+    x = x.withColumns({"stock_end": F.col("stock_qty") + F.sum(net).over(whole),
+                       "_al_end": F.col("stock_qty") + F.sum(F.when(after, net).otherwise(0.0)).over(whole)})
+    return (x.withColumn("offset", F.col("stock_end") - F.col("_al_end"))
+             .withColumn("stock_evolution_correct_flag", (F.col("offset") == 0).cast("bigint")).drop("_al_end"))
+
+
+def part_metrics(series: DataFrame, part: str, start: Column, end: Column, dts_goal: int) -> DataFrame:
+    """AGG-08 / AGG-09 / WIN-14: per-part sales metrics as of the day after
+    ``end``, from the sparse ledger (day, valid_to, qty_sold, cost_sale_avg,
+    pvp_avg, stock_qty_al); calendar days without a movement count as days with
+    no sale.
 
     Weekend days are removed; parts need a non-negative total and more than
     one sale day, a sale within the last year, a non-negative last stock and
-    non-zero last-year sales.  The days-to-sell window starts at the first of
-    the part's last ``dts_goal`` calendar rows (Q-18: per part).  Gaps are the
-    day differences between consecutive sale days divided by the later
-    quantity; their mean and median are reported."""
-    cur = F.to_date(F.lit(current_date))
-    last_year = F.add_months(cur, -12)
-    wk = business_days(last_year, cur)
-    dts_start = series.groupBy(part).agg(F.date_sub(F.max("day"), dts_goal - 1).alias("_dts_start"))
-    s = series.filter(F.dayofweek("day").between(2, 6)).join(dts_start, part, "inner")
-    sold = F.col("qty_sold") > 0
+    non-zero last-year sales.  The days-to-sell window is the last ``dts_goal``
+    calendar days (Q-18: per part).  Gaps are the day differences between
+    consecutive sale days divided by the later quantity; their mean and median
+    are reported."""
+    current = F.date_add(end, 1)
+    last_year, dts_start = F.add_months(current, -12), F.date_sub(end, dts_goal - 1)
+    last_weekday = F.date_sub(end, F.when(F.dayofweek(end) == 7, 1).when(F.dayofweek(end) == 1, 2).otherwise(0))
+    weekday = F.dayofweek("day").between(2, 6)
+    s = series.withColumns({"_weekday": weekday, "_sold": weekday & (F.col("qty_sold") > 0), "_year": weekday & (F.col("day") >= last_year),
+                            "_dts": weekday & (F.col("day") >= dts_start)})
     w = Window.partitionBy(part).orderBy("day")
-    gaps = (s.filter(sold)
-             .withColumn("_gap", F.datediff("day", F.lag("day").over(w)) / F.col("qty_sold")))
+    gaps = s.filter("_sold").withColumn("_gap", F.datediff("day", F.lag("day").over(w)) / F.col("qty_sold"))
     g_stats = gaps.groupBy(part).agg(F.avg("_gap").alias("dts_ratio_mean"),
                                      F.percentile("_gap", 0.5).alias("dts_ratio_median"))
-    ly = F.col("day") >= last_year
-    in_dts = F.col("day") >= F.col("_dts_start")
+    qty = F.col("qty_sold")
     agg = s.groupBy(part).agg(
-        F.sum("qty_sold").alias("_tot"), F.sum(sold.cast("int")).alias("_sale_days"),
-        F.max(F.when(sold, F.col("day"))).alias("last_sale_date"),
-        F.max_by(F.struct("cost_sale_avg", "pvp_avg"), F.when(sold, F.col("day"))).alias("_last"),
-        F.max_by("stock_qty_al", "day").alias("last_stock"),
-        F.sum(F.when(in_dts, F.col("qty_sold"))).alias("dts_total_qty_sold"),
-        F.min(F.when(in_dts & (F.col("qty_sold") >= 0), F.col("qty_sold"))).alias("dts_min_total_qty_sold"),
-        F.max(F.when(in_dts, F.col("qty_sold"))).alias("dts_max_total_qty_sold"),
-        F.sum(F.when(ly, F.col("qty_sold"))).alias("last_year_sales"),
-        F.avg(F.when(ly, F.col("qty_sold"))).alias("last_year_sales_mean"))
+        F.sum(F.when(F.col("_weekday"), qty)).alias("_tot"), F.count_if("_sold").alias("_sale_days"),
+        F.max(F.when(F.col("_sold"), F.col("day"))).alias("last_sale_date"),
+        F.max_by(F.struct("cost_sale_avg", "pvp_avg"), F.when(F.col("_sold"), F.col("day"))).alias("_last"),
+        F.max(F.when((F.col("day") <= last_weekday) & (F.col("valid_to") >= last_weekday), F.col("stock_qty_al"))).alias("last_stock"),
+        F.coalesce(F.sum(F.when(F.col("_dts"), qty)), F.lit(0.0)).alias("dts_total_qty_sold"),
+        F.min(F.when(F.col("_dts") & (qty >= 0), qty)).alias("_dts_min"), F.max(F.when(F.col("_dts"), qty)).alias("_dts_max"),
+        F.count_if("_dts").alias("_dts_rows"),
+        F.coalesce(F.sum(F.when(F.col("_year"), qty)), F.lit(0.0)).alias("last_year_sales"))
     agg = agg.filter((F.col("_tot") >= 0) & (F.col("_sale_days") > 1) & (F.col("last_sale_date") >= last_year)
                      & (F.col("last_stock") >= 0) & (F.col("last_year_sales") != 0))
+    # a calendar day without a row sells nothing
+    idle = F.when(business_days(F.greatest(dts_start, start), current) > F.col("_dts_rows"), F.lit(0.0))
+    agg = agg.withColumns({
+        "last_year_sales_mean": F.try_divide(F.col("last_year_sales"), business_days(F.greatest(last_year, start), current)),
+        "dts_min_total_qty_sold": F.least("_dts_min", idle), "dts_max_total_qty_sold": F.greatest("_dts_max", idle)})
     cost, pvp = F.col("_last.cost_sale_avg"), F.col("_last.pvp_avg")
     out = agg.select(
         part, "last_sale_date", cost.alias("cost"), pvp.alias("pvp"), (pvp - cost).alias("margin"),
@@ -125,7 +144,7 @@ def part_metrics(series: DataFrame, part: str, current_date: str, dts_goal: int)
         "last_year_sales", "last_year_sales_mean", (F.col("last_year_sales") * cost).alias("last_year_cogs"),
         (F.try_divide(F.col("last_stock") * cost, F.col("last_year_sales") * cost) * 365).alias("dii_year"),
         F.try_divide(F.col("last_stock"), F.col("last_year_sales_mean")).alias("dii_year_weekdays"),
-        F.try_divide(F.col("last_year_sales"), wk).alias("dii_year_weekdays_v2"),
+        F.try_divide(F.col("last_year_sales"), business_days(last_year, current)).alias("dii_year_weekdays_v2"),
         F.try_divide(F.lit(1.0), F.col("last_year_sales_mean")).alias("days_to_sell_1_part"),
         "dts_total_qty_sold", "dts_min_total_qty_sold", "dts_max_total_qty_sold")
     return out.join(g_stats, part, "left")

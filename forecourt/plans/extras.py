@@ -45,7 +45,8 @@ def _run():
 def agg09(spark, d):
     m = PP.metrics(spark, d)
     ta = ledger.part_type(PP._ta_input(spark, d), "part", "product_group", "part_desc", PP.OIL_WORDS)
-    bd = ledger.business_days(F.add_months(F.to_date(F.lit(PP.CURRENT)), -12), F.to_date(F.lit(PP.CURRENT)))
+    current = F.date_add(PP.period(spark, d)[1], 1)
+    bd = ledger.business_days(F.add_months(current, -12), current)
     return m.join(ta, "part", "left").select("part", "ta", F.lit("P0").alias("pse_code"), big(bd).alias("business_days"),
                                              rnd("dii_year_weekdays_v2").alias("dii_year_weekdays_v2"))
 
@@ -67,8 +68,9 @@ sql("agg_09_solver_dataset", _agg09_sql())
 
 @query("agg_36_ledger_per_part")
 def agg36(spark, d):
-    x = PP.the_ledger(spark, d)
-    return x.select("part", rnd("stock_end").alias("stock_end"), rnd("offset").alias("offset"), "stock_evolution_correct_flag").distinct()
+    x = PP.the_ledger(spark, d)  # a row per part: the one that holds at the end of the period
+    return x.where(F.col("valid_to") == PP.period(spark, d)[1]).select("part", rnd("stock_end").alias("stock_end"), rnd("offset").alias("offset"),
+                                                                       "stock_evolution_correct_flag")
 
 
 sql("agg_36_ledger_per_part", f"WITH {PP._LEDGER_SQL} SELECT DISTINCT part, {sql_rnd('stock_end')} AS stock_end, {sql_rnd(chr(34) + 'offset' + chr(34))} AS \"offset\", stock_evolution_correct_flag FROM led")

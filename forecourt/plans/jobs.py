@@ -161,28 +161,35 @@ SELECT {sql_rnd('(SELECT sum(CAST(prob < (SELECT prob FROM me) AS INT)) / count(
 
 @query("win_12_photo_stock")
 def win12(spark, d):
+    """Photo stock over the whole period, as intervals of days with one stock;
+    the previous run's days (all but the last month) win over the current."""
+    start, end = PP.period(spark, d)
     li = read(spark, d, "lineitem", *LINE_KEY, "l_shipdate")
     photo = li.select(F.col("l_partkey").alias("part"), F.to_date("l_shipdate").alias("day"), F.col("l_quantity").alias("qty_stock"), *LINE_KEY[2:])
-    photo = clean.dedupe_first(photo.filter(F.col("day").between(F.to_date(F.lit(PP.MIN_DATE)), F.to_date(F.lit(PP.MAX_DATE)))),
-                               ["day", "part"], LINE_KEY[2:]).select("part", "day", "qty_stock")
-    grid = ledger.densify(photo.select("part").distinct(), "part", PP.MIN_DATE, PP.MAX_DATE)
-    dense = windows.group_fill(grid.join(photo, ["part", "day"], "left"), ["part"], ["day"], ["qty_stock"], ffill=True, bfill=False, zero=True)
-    old = dense.filter(F.col("day") < "1998-02-01").withColumn("qty_stock", F.col("qty_stock") + 1000).withColumn("run", F.lit("previous"))
-    new = dense.withColumn("run", F.lit("current"))
-    out = sets.union_keep_old(old, new, ["part", "day"])
-    return out.withColumnsRenamed({"qty_stock": "Stock_Qty", "day": "index"}).select("part", dstr("index").alias("index"), rnd("Stock_Qty", 2).alias("Stock_Qty"), "run")
+    photo = clean.dedupe_first(photo, ["day", "part"], LINE_KEY[2:]).select("part", "day", "qty_stock")
+    held = ledger.with_opening_row(photo, ["part"], start, ["qty_stock"]).na.fill(0.0, subset=["qty_stock"])
+    held = held.withColumn("until", ledger.valid_until(["part"], end))
+    cut = F.add_months(end, -1)
+    old = held.filter(F.col("day") < cut).withColumns({"until": F.least("until", F.date_sub(cut, 1)), "qty_stock": F.col("qty_stock") + 1000, "run": F.lit("previous")})
+    new = held.filter(F.col("until") >= cut).withColumns({"day": F.greatest("day", cut), "run": F.lit("current")})
+    out = old.unionByName(new).withColumnsRenamed({"qty_stock": "Stock_Qty", "day": "index"})
+    return out.select("part", dstr("index").alias("index"), dstr("until").alias("until"), rnd("Stock_Qty", 2).alias("Stock_Qty"), "run")
 
 
 sql("win_12_photo_stock", f"""WITH ph0 AS (SELECT l_partkey AS part, CAST(l_shipdate AS DATE) AS day, l_quantity AS qty_stock,
   row_number() OVER (PARTITION BY CAST(l_shipdate AS DATE), l_partkey ORDER BY l_suppkey, l_quantity, l_extendedprice) AS rn
-  FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '{PP.MIN_DATE}' AND DATE '{PP.MAX_DATE}'),
+  FROM lineitem),
 ph AS (SELECT part, day, qty_stock FROM ph0 WHERE rn = 1),
-grid AS (SELECT part, CAST(unnest(generate_series(DATE '{PP.MIN_DATE}', DATE '{PP.MAX_DATE}', INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT part FROM ph)),
-dn AS (SELECT g.part, g.day, coalesce(p.qty_stock, last_value(p.qty_stock IGNORE NULLS) OVER (PARTITION BY g.part ORDER BY g.day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS qty_stock
+period AS (SELECT min(day) AS d0, max(day) AS d1, CAST(max(day) - INTERVAL 1 MONTH AS DATE) AS cut FROM ph),
+grid AS (SELECT part, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT part FROM ph), period),
+dn AS (SELECT g.part, g.day, p.qty_stock IS NOT NULL OR g.day = (SELECT d0 FROM period) AS photo,
+  coalesce(p.qty_stock, last_value(p.qty_stock IGNORE NULLS) OVER (PARTITION BY g.part ORDER BY g.day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS qty_stock
   FROM grid g LEFT JOIN ph p USING (part, day)),
-old AS (SELECT part, day, qty_stock + 1000 AS qty_stock, 'previous' AS run FROM dn WHERE day < DATE '1998-02-01'),
-u AS (SELECT * FROM old UNION ALL SELECT part, day, qty_stock, 'current' FROM dn WHERE (part, day) NOT IN (SELECT (part, day) FROM old))
-SELECT part, strftime(day, '%Y-%m-%d') AS "index", {sql_rnd('qty_stock', 2)} AS Stock_Qty, run FROM u""")
+old AS (SELECT part, day, photo, qty_stock + 1000 AS qty_stock, 'previous' AS run FROM dn WHERE day < (SELECT cut FROM period)),
+u AS (SELECT * FROM old UNION ALL SELECT part, day, photo, qty_stock, 'current' FROM dn WHERE (part, day) NOT IN (SELECT (part, day) FROM old)),
+v AS (SELECT *, sum(CAST(photo OR day = (SELECT cut FROM period) AS INT)) OVER (PARTITION BY part ORDER BY day) AS nr FROM u)
+SELECT part, strftime(min(day), '%Y-%m-%d') AS "index", strftime(max(day), '%Y-%m-%d') AS until, {sql_rnd('min(qty_stock)', 2)} AS Stock_Qty, run
+FROM v GROUP BY part, nr, run""")
 
 # ------------------------------------------------------------------ WIN-20
 

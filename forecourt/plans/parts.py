@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 from forecourt.functions.fmt import big, dstr, rnd, sql_rnd
 from forecourt.operators import ledger
 from forecourt.plans.registry import query
-from forecourt.session import materialize
 from forecourt.sources.fixtures import PARTS_MV_SQL, opening_stock, parts_movements
 from forecourt.sources.tables import read
 
 ORACLE: dict[str, str] = {}
-MIN_DATE, MAX_DATE, CURRENT = "1998-01-01", "1998-03-31", "1998-04-01"
 DTS_GOAL = 30
 # Fixed fixture value: words that mark an oil-type part description.
 OIL_WORDS = ["ring", "seal"]
@@ -33,8 +31,14 @@ def _daily(spark, d):
     return daily.withColumns({c: rnd(c, 10) for c in AVG_COLS})
 
 
+def period(spark, d):
+    """First and last calendar day of the movements, as scalar subqueries."""
+    day = read(spark, d, "lineitem", "l_shipdate").select(F.to_date("l_shipdate").alias("day"))
+    return day.agg(F.min("day")).scalar(), day.agg(F.max("day")).scalar()
+
+
 def the_ledger(spark, d):
-    return ledger.stock_ledger(_daily(spark, d), opening_stock(spark, d), "part", MIN_DATE, MAX_DATE)
+    return ledger.stock_ledger(_daily(spark, d), opening_stock(spark, d), "part", *period(spark, d))
 
 
 LEDGER_COLS = ["qty_sold", "cost_sale_avg", "pvp_avg", "qty_purchased", "qty_purchased_urgent",
@@ -46,10 +50,11 @@ LEDGER_COLS = ["qty_sold", "cost_sale_avg", "pvp_avg", "qty_purchased", "qty_pur
 @query("agg_35_stock_ledger")
 def agg35(spark, d):
     x = the_ledger(spark, d)
-    return x.select("part", dstr("day").alias("day"), *[rnd(c).alias(c) for c in LEDGER_COLS],
+    return x.select("part", dstr("day").alias("day"), dstr("valid_to").alias("valid_to"), *[rnd(c).alias(c) for c in LEDGER_COLS],
                     "stock_evolution_correct_flag")
 
 
+# The twin lists every calendar day of every part and sums over all of them.
 _LEDGER_SQL = f"""{PARTS_MV_SQL.strip()},
 daily AS (SELECT part, day,
   sum(CASE WHEN kind = 'sale' THEN qty ELSE 0 END) AS qty_sold, {sql_rnd("avg(CASE WHEN kind = 'sale' THEN unit_cost END)", 10)} AS cost_sale_avg,
@@ -59,41 +64,53 @@ daily AS (SELECT part, day,
   {sql_rnd("avg(CASE WHEN kind = 'purchase' THEN unit_cost END)", 10)} AS cost_purchase_avg, sum(CASE WHEN kind = 'regulation' THEN qty ELSE 0 END) AS qty_regulated,
   {sql_rnd("sum(CASE WHEN kind = 'regulation' THEN unit_cost * qty END)", 10)} AS cost_reg_avg
   FROM pmv GROUP BY part, day),
-inside AS (SELECT * FROM daily WHERE day BETWEEN DATE '{MIN_DATE}' AND DATE '{MAX_DATE}'),
-grid AS (SELECT part, CAST(unnest(generate_series(DATE '{MIN_DATE}', DATE '{MAX_DATE}', INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT DISTINCT part FROM inside)),
-x AS (SELECT g.part, g.day, coalesce(i.qty_sold, 0.0) AS qty_sold, coalesce(i.cost_sale_avg, 0.0) AS cost_sale_avg, coalesce(i.pvp_avg, 0.0) AS pvp_avg,
+period AS (SELECT min(CAST(l_shipdate AS DATE)) AS d0, max(CAST(l_shipdate AS DATE)) AS d1,
+  CAST(max(CAST(l_shipdate AS DATE)) + INTERVAL 1 DAY AS DATE) AS cur FROM lineitem),
+grid AS (SELECT part, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS day, d0 FROM (SELECT DISTINCT part FROM daily), period),
+x AS (SELECT g.part, g.day, g.day > g.d0 AS later, i.part IS NOT NULL OR g.day = g.d0 AS moved,
+  coalesce(i.qty_sold, 0.0) AS qty_sold, coalesce(i.cost_sale_avg, 0.0) AS cost_sale_avg, coalesce(i.pvp_avg, 0.0) AS pvp_avg,
   coalesce(i.qty_purchased, 0.0) AS qty_purchased, coalesce(i.qty_purchased_urgent, 0.0) AS qty_purchased_urgent,
   coalesce(i.qty_purchased_non_urgent, 0.0) AS qty_purchased_non_urgent, coalesce(i.cost_purchase_avg, 0.0) AS cost_purchase_avg,
   coalesce(i.qty_regulated, 0.0) AS qty_regulated, coalesce(i.cost_reg_avg, 0.0) AS cost_reg_avg, coalesce(o.stock_qty, 0.0) AS stock_qty
-  FROM grid g LEFT JOIN inside i USING (part, day) LEFT JOIN opening o USING (part)),
-e AS (SELECT *, {', '.join(f"sum(CASE WHEN day > DATE '{MIN_DATE}' THEN {src} ELSE 0.0 END) OVER (PARTITION BY part ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {out}" for out, src in [('sales_evolution', 'qty_sold'), ('purchases_evolution', 'qty_purchased'), ('purchases_urgent_evolution', 'qty_purchased_urgent'), ('purchases_non_urgent_evolution', 'qty_purchased_non_urgent'), ('regulated_evolution', 'qty_regulated')])} FROM x),
+  FROM grid g LEFT JOIN daily i USING (part, day) LEFT JOIN opening o USING (part)),
+e AS (SELECT *, {', '.join(f"sum(CASE WHEN later THEN {src} ELSE 0.0 END) OVER w AS {out}" for out, src in ledger.EVOLUTIONS.items())}
+  FROM x WINDOW w AS (PARTITION BY part ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 s AS (SELECT *, stock_qty - sales_evolution + purchases_evolution - regulated_evolution AS stock_qty_al FROM e),
 t AS (SELECT part, sum(qty_purchased - qty_sold - qty_regulated) AS net_all, arg_max(stock_qty_al, day) AS al_end FROM s GROUP BY part),
 led AS (SELECT s.*, stock_qty + net_all AS stock_end, stock_qty + net_all - al_end AS "offset",
-  CAST(stock_qty + net_all - al_end = 0 AS BIGINT) AS stock_evolution_correct_flag FROM s JOIN t USING (part))"""
+  CAST(stock_qty + net_all - al_end = 0 AS BIGINT) AS stock_evolution_correct_flag FROM s JOIN t USING (part)),
+sparse AS (SELECT *, coalesce(lead(day) OVER (PARTITION BY part ORDER BY day) - 1, (SELECT d1 FROM period)) AS valid_to FROM led WHERE moved)"""
 
 sql("agg_35_stock_ledger", f"""WITH {_LEDGER_SQL}
-SELECT part, strftime(day, '%Y-%m-%d') AS day, {', '.join(f'{sql_rnd(chr(34) + c + chr(34))} AS "{c}"' for c in LEDGER_COLS)}, stock_evolution_correct_flag FROM led""")
+SELECT part, strftime(day, '%Y-%m-%d') AS day, strftime(valid_to, '%Y-%m-%d') AS valid_to,
+  {', '.join(f'{sql_rnd(chr(34) + c + chr(34))} AS "{c}"' for c in LEDGER_COLS)}, stock_evolution_correct_flag FROM sparse""")
 
 
 @query("win_11_dense_calendar")
 def win11(spark, d):
-    x = the_ledger(spark, d)
-    return x.select("part", dstr("day").alias("day"), rnd("qty_sold").alias("qty_sold"), rnd("pvp_avg").alias("pvp_avg"))
+    """Every calendar day of every part, a month to a row: the day's sold
+    quantity and the stock photo at its end."""
+    days = ledger.list_days(the_ledger(spark, d).select("part", "day", "valid_to", "qty_sold", "stock_qty_al"), ["qty_sold"])
+    listed = days.groupBy("part", F.date_format("day", "yyyy-MM").alias("month")).agg(
+        F.sort_array(F.collect_list(F.struct("day", F.col("qty_sold").cast("long").alias("q"), F.col("stock_qty_al").cast("long").alias("s")))).alias("x"))
+    text = lambda f: F.array_join(F.transform("x", lambda r: r[f].cast("string")), " ")
+    return listed.select("part", "month", F.size("x").cast("long").alias("n_days"), text("q").alias("qty_sold"), text("s").alias("stock_qty_al"))
 
 
-sql("win_11_dense_calendar", f"WITH {_LEDGER_SQL} SELECT part, strftime(day, '%Y-%m-%d') AS day, {sql_rnd('qty_sold')} AS qty_sold, {sql_rnd('pvp_avg')} AS pvp_avg FROM led")
+sql("win_11_dense_calendar", f"""WITH {_LEDGER_SQL} SELECT part, strftime(day, '%Y-%m') AS month, count(*) AS n_days,
+  string_agg(CAST(CAST(qty_sold AS BIGINT) AS VARCHAR), ' ' ORDER BY day) AS qty_sold,
+  string_agg(CAST(CAST(stock_qty_al AS BIGINT) AS VARCHAR), ' ' ORDER BY day) AS stock_qty_al FROM led GROUP BY part, strftime(day, '%Y-%m')""")
 
 
 @query("win_13_cumulative_evolutions")
 def win13(spark, d):
     x = the_ledger(spark, d)
-    return x.select("part", dstr("day").alias("day"), rnd("sales_evolution").alias("sales_evolution"),
+    return x.select("part", dstr("day").alias("day"), dstr("valid_to").alias("valid_to"), rnd("sales_evolution").alias("sales_evolution"),
                     rnd("purchases_evolution").alias("purchases_evolution"), rnd("stock_qty_al").alias("stock_qty_al"))
 
 
-sql("win_13_cumulative_evolutions", f"""WITH {_LEDGER_SQL} SELECT part, strftime(day, '%Y-%m-%d') AS day, {sql_rnd('sales_evolution')} AS sales_evolution,
-  {sql_rnd('purchases_evolution')} AS purchases_evolution, {sql_rnd('stock_qty_al')} AS stock_qty_al FROM led""")
+sql("win_13_cumulative_evolutions", f"""WITH {_LEDGER_SQL} SELECT part, strftime(day, '%Y-%m-%d') AS day, strftime(valid_to, '%Y-%m-%d') AS valid_to,
+  {sql_rnd('sales_evolution')} AS sales_evolution, {sql_rnd('purchases_evolution')} AS purchases_evolution, {sql_rnd('stock_qty_al')} AS stock_qty_al FROM sparse""")
 
 METRIC_COLS = ["cost", "pvp", "margin", "last_stock", "last_stock_value", "last_year_sales", "last_year_sales_mean",
                "last_year_cogs", "dii_year", "dii_year_weekdays", "dii_year_weekdays_v2", "days_to_sell_1_part",
@@ -101,8 +118,7 @@ METRIC_COLS = ["cost", "pvp", "margin", "last_stock", "last_stock_value", "last_
 
 
 def metrics(spark, d):
-    # three branches of the metrics read the dense ledger: materialise it once
-    return ledger.part_metrics(materialize(the_ledger(spark, d)), "part", CURRENT, DTS_GOAL)
+    return ledger.part_metrics(the_ledger(spark, d), "part", *period(spark, d), DTS_GOAL)
 
 
 @query("agg_08_part_metrics")
@@ -111,7 +127,8 @@ def agg08(spark, d):
     return m.select("part", dstr("last_sale_date").alias("last_sale_date"), *[rnd(c).alias(c) for c in METRIC_COLS])
 
 
-_BDAYS = f"(SELECT count(*) FROM (SELECT unnest(generate_series(DATE '{CURRENT}' - INTERVAL 1 YEAR, DATE '{CURRENT}' - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS x) WHERE isodow(x) <= 5)"
+_YEAR_AGO = "(SELECT cur - INTERVAL 1 YEAR FROM period)"
+_BDAYS = """(SELECT count(*) FROM (SELECT unnest(generate_series(cur - INTERVAL 1 YEAR, cur - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS x FROM period) WHERE isodow(x) <= 5)"""
 _METRICS_SQL = f"""{_LEDGER_SQL},
 ds AS (SELECT part, max(day) - {DTS_GOAL - 1} AS dts_start FROM led GROUP BY part),
 s2 AS (SELECT led.*, ds.dts_start FROM led JOIN ds USING (part) WHERE isodow(day) <= 5),
@@ -124,14 +141,14 @@ a AS (SELECT part, sum(qty_sold) AS tot, sum(CAST(qty_sold > 0 AS INT)) AS sale_
   sum(CASE WHEN day >= dts_start THEN qty_sold END) AS dts_total_qty_sold,
   min(CASE WHEN day >= dts_start AND qty_sold >= 0 THEN qty_sold END) AS dts_min_total_qty_sold,
   max(CASE WHEN day >= dts_start THEN qty_sold END) AS dts_max_total_qty_sold,
-  sum(CASE WHEN day >= DATE '{CURRENT}' - INTERVAL 1 YEAR THEN qty_sold END) AS last_year_sales,
-  avg(CASE WHEN day >= DATE '{CURRENT}' - INTERVAL 1 YEAR THEN qty_sold END) AS last_year_sales_mean
+  sum(CASE WHEN day >= {_YEAR_AGO} THEN qty_sold END) AS last_year_sales,
+  avg(CASE WHEN day >= {_YEAR_AGO} THEN qty_sold END) AS last_year_sales_mean
   FROM s2 GROUP BY part),
 m AS (SELECT part, last_sale_date, cost, pvp, pvp - cost AS margin, last_stock, last_stock * cost AS last_stock_value, last_year_sales, last_year_sales_mean,
   last_year_sales * cost AS last_year_cogs, (last_stock * cost) / NULLIF(last_year_sales * cost, 0) * 365 AS dii_year,
   last_stock / NULLIF(last_year_sales_mean, 0) AS dii_year_weekdays, last_year_sales / NULLIF({_BDAYS}, 0) AS dii_year_weekdays_v2,
   1.0 / NULLIF(last_year_sales_mean, 0) AS days_to_sell_1_part, dts_total_qty_sold, dts_min_total_qty_sold, dts_max_total_qty_sold
-  FROM a WHERE tot >= 0 AND sale_days > 1 AND last_sale_date >= DATE '{CURRENT}' - INTERVAL 1 YEAR AND last_stock >= 0 AND last_year_sales <> 0),
+  FROM a WHERE tot >= 0 AND sale_days > 1 AND last_sale_date >= {_YEAR_AGO} AND last_stock >= 0 AND last_year_sales <> 0),
 mm AS (SELECT m.*, gs.dts_ratio_mean, gs.dts_ratio_median FROM m LEFT JOIN gs USING (part))"""
 
 sql("agg_08_part_metrics", f"""WITH {_METRICS_SQL}

@@ -1,5 +1,5 @@
 """STM-* registered queries: the stream input is data Spark derives from the
-driver tables, written as a sequence of files (the "arrivals")."""
+driver tables, staged once with the number of their arrival."""
 
 from __future__ import annotations
 
@@ -8,10 +8,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from forecourt.functions.fmt import dstr, rnd, sql_rnd
-from forecourt.operators import ledger
-from forecourt.plans.parts import MAX_DATE, MIN_DATE, _LEDGER_SQL, _daily
+from forecourt.plans.parts import _LEDGER_SQL, _daily
 from forecourt.plans.registry import query
-from forecourt.session import scratch_table_path
 from forecourt.sources.fixtures import opening_stock
 from forecourt.sources.tables import read
 from forecourt.streaming import streams
@@ -23,46 +21,38 @@ def sql(name, text):
     ORACLE[name] = text.strip()
 
 
-def _write_arrivals(df, base, batch_col, n_batches):
-    """Write ``df`` as ``n_batches`` files, one per arrival, in batch order
-    (file streams process older files first)."""
-    for b in range(n_batches):
-        df.filter(F.col(batch_col) == b).drop(batch_col).coalesce(1).write.mode("overwrite").parquet(f"{base}/b{b:03d}")
-    return f"{base}/b*"
+def _name(query_name):
+    return f"{query_name}_{uuid.uuid4().hex[:8]}"
 
 
 @query("stm_01_ledger_stream")
 def stm01(spark, d):
-    daily = _daily(spark, d).filter(F.col("day").between(F.to_date(F.lit(MIN_DATE)), F.to_date(F.lit(MAX_DATE))))
+    """An arrival a calendar year of the movements."""
+    daily = _daily(spark, d)
+    first = read(spark, d, "lineitem", "l_shipdate").agg(F.min(F.to_date("l_shipdate"))).first()[0]
     x = (daily.join(opening_stock(spark, d), "part", "left").na.fill({"stock_qty": 0.0})
               .select(F.col("part").cast("long").alias("part"), "day", "qty_sold", "qty_purchased", "qty_regulated", "stock_qty",
-                      (F.month("day") - 1).alias("_b")))
-    run = uuid.uuid4().hex[:8]
-    base = scratch_table_path(spark, f"stm01_{run}/in")
-    src = _write_arrivals(x, base, "_b", 3)
-    schema = "part long, day date, qty_sold double, qty_purchased double, qty_regulated double, stock_qty double"
-    out = streams.ledger_stream(spark, src.rsplit("/", 1)[0] + "/*", schema, MIN_DATE, f"stm01_{run}")
+                      F.year("day").alias("arrival")))
+    name = _name("stm01")
+    out = streams.ledger_stream(streams.staged(x, "arrival", ["part"], name), "arrival", first, name)
     return out.select("part", dstr("day").alias("day"), rnd("sales_evolution").alias("sales_evolution"),
                       rnd("purchases_evolution").alias("purchases_evolution"), rnd("stock_qty_al").alias("stock_qty_al"))
 
 
 sql("stm_01_ledger_stream", f"""WITH {_LEDGER_SQL}
 SELECT part, strftime(day, '%Y-%m-%d') AS day, {sql_rnd('sales_evolution')} AS sales_evolution, {sql_rnd('purchases_evolution')} AS purchases_evolution,
-  {sql_rnd('stock_qty_al')} AS stock_qty_al FROM led WHERE (part, day) IN (SELECT (part, day) FROM inside)""")
+  {sql_rnd('stock_qty_al')} AS stock_qty_al FROM led WHERE (part, day) IN (SELECT (part, day) FROM daily)""")
 
 
 @query("stm_02_dedupe_stream")
 def stm02(spark, d):
     li = read(spark, d, "lineitem", "l_partkey", "l_shipdate", "l_quantity")
     day = F.to_date("l_shipdate").alias("day")
-    old = li.filter(F.col("l_shipdate") < "2000-01-01").groupBy("l_partkey", day).agg(F.sum("l_quantity").alias("qty")).withColumn("src", F.lit("old")).withColumn("_b", F.lit(0))
-    new = li.filter(F.col("l_shipdate") >= "1999-07-01").groupBy("l_partkey", day).agg(F.sum("l_quantity").alias("qty")).withColumn("src", F.lit("new")).withColumn("_b", F.lit(1))
+    old = li.filter(F.col("l_shipdate") < "2000-01-01").groupBy("l_partkey", day).agg(F.sum("l_quantity").alias("qty")).withColumn("src", F.lit("old")).withColumn("arrival", F.lit(0))
+    new = li.filter(F.col("l_shipdate") >= "1999-07-01").groupBy("l_partkey", day).agg(F.sum("l_quantity").alias("qty")).withColumn("src", F.lit("new")).withColumn("arrival", F.lit(1))
     x = old.unionByName(new).withColumn("ts", F.col("day").cast("timestamp"))
-    run = uuid.uuid4().hex[:8]
-    base = scratch_table_path(spark, f"stm02_{run}/in")
-    _write_arrivals(x, base, "_b", 2)
-    out = streams.dedupe_stream(spark, base + "/*", "l_partkey long, day date, qty double, src string, ts timestamp",
-                                ["l_partkey", "day"], "ts", "36500 days", f"stm02_{run}")
+    name = _name("stm02")
+    out = streams.dedupe_stream(streams.staged(x, "arrival", ["l_partkey"], name), "arrival", ["l_partkey", "day"], "ts", "36500 days", name)
     return out.select("l_partkey", dstr("day").alias("day"), rnd("qty", 2).alias("qty"), "src")
 
 
@@ -78,13 +68,10 @@ def stm03(spark, d):
     # arrivals in time order (8-day slices), as a live stream delivers them;
     # the 1-day watermark then never has late rows to drop
     first = e.agg(F.min("ts")).scalar()
-    x = e.select("ts", (F.col("event_type") == "error").alias("is_warning"),
-                 F.floor(F.datediff(F.col("ts"), first) / 8).cast("int").alias("_b"))
-    run = uuid.uuid4().hex[:8]
-    base = scratch_table_path(spark, f"stm03_{run}/in")
-    n = x.agg(F.max("_b")).first()[0] + 1
-    _write_arrivals(x, base, "_b", n)
-    r = streams.daily_counts_stream(spark, base + "/*", "ts timestamp, is_warning boolean", "ts", "is_warning", f"stm03_{run}")
+    x = e.select(F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "error").alias("is_warning"),
+                 F.floor(F.datediff(F.col("ts"), first) / 8).cast("int").alias("arrival"))
+    name = _name("stm03")
+    r = streams.daily_counts_stream(streams.staged(x, "arrival", ["ts"], name), "arrival", "ts", "is_warning", name)
     return r.select(dstr("day_start").alias("day"), F.col("warnings").cast("bigint").alias("warnings"))
 
 

@@ -2,101 +2,164 @@
 
 * ledger_stream (STM-01): incremental stock ledger.  Per part the state
   carries the running evolutions (sold, purchased, regulated) between
-  micro-batches (applyInPandasWithState); each batch emits one row per
-  (part, movement day), equal to the batch ledger on those days.
+  arrivals (applyInPandasWithState); each arrival emits one row per
+  (part, movement day).  The state of a part that has not moved for ``idle``
+  days ends by an event-time timer: it emits a closing row with its totals,
+  and a later movement opens a new segment.  ``ledger_rows`` adds the totals
+  of the closed segments, so the rows equal the batch ledger on those days.
 * dedupe_stream (STM-02): union of previous and new results, first arrival
   wins per key (dropDuplicatesWithinWatermark).
 * daily_counts_stream (STM-03): per-day counts of warning records with a
   watermark and tumbling windows; updates are written per batch and the
   final value per window is the latest written.
 
-Sources are file streams, sinks are Parquet in the shared checkpoint folder
-(exactly-once with the checkpoint), runs use ``availableNow`` triggers.
+The input is a table of arrivals, written once and partitioned by the number
+of the arrival.  Each arrival lands in the folder that the stream watches and
+is one run of the query (``availableNow``), restarted from its checkpoint as a
+daily job would be.  Sinks are Parquet in the shared checkpoint folder
+(exactly-once with the checkpoint).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from forecourt.session import scratch_table_path
 
-LEDGER_OUT = ("part long, day date, qty_sold double, qty_purchased double, qty_regulated double, "
-              "sales_evolution double, purchases_evolution double, regulated_evolution double, stock_qty_al double")
-LEDGER_STATE = "sold double, purchased double, regulated double"
+LEDGER_OUT = ("part long, day date, kind string, segment long, late boolean, qty_sold double, qty_purchased double, qty_regulated double, "
+              "sales_evolution double, purchases_evolution double, regulated_evolution double, stock_qty double")
+LEDGER_STATE = "sold double, purchased double, regulated double, stock_qty double, last date, segment long"
+FLOWS = ["qty_sold", "qty_purchased", "qty_regulated"]
+EVOLUTIONS = ["sales_evolution", "purchases_evolution", "regulated_evolution"]
+DAY_MS = 86_400_000
 
 
-def _ledger_fn(min_date):
-    min_day = pd.Timestamp(min_date).date()
+def staged(df: DataFrame, arrival: str, keys: list[str], name: str) -> DataFrame:
+    """The arrivals as one table, written once and partitioned by the number
+    of the arrival; an arrival's rows are dealt over tasks by ``keys``."""
+    path = scratch_table_path(df.sparkSession, f"{name}/staged")
+    df.repartitionByRange(arrival, *keys).write.partitionBy(arrival).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_arrivals(table: DataFrame, arrival: str, landing: str, start: Callable[[], StreamingQuery]) -> None:
+    """Lands one arrival after the other and runs the query on what is new."""
+    for n in [r[0] for r in table.select(arrival).distinct().orderBy(arrival).collect()]:  # a number an arrival
+        table.where(F.col(arrival) == n).drop(arrival).write.mode("append").parquet(landing)
+        start().awaitTermination()
+
+
+def _ledger_fn(first_day, idle: int):
+    counted_from = pd.Timestamp(first_day).date()
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        sold, bought, reg = state.get if state.exists else (0.0, 0.0, 0.0)
-        frames = [p for p in pdfs]
-        df = pd.concat(frames).sort_values("day")
-        rows = []
-        for r in df.itertuples(index=False):
-            after = r.day > min_day
-            if after:
-                sold += r.qty_sold
-                bought += r.qty_purchased
-                reg += r.qty_regulated
-            rows.append((key[0], r.day, r.qty_sold, r.qty_purchased, r.qty_regulated, sold, bought, reg,
-                         r.stock_qty - sold + bought - reg))
-        state.update((sold, bought, reg))
-        yield pd.DataFrame(rows, columns=["part", "day", "qty_sold", "qty_purchased", "qty_regulated", "sales_evolution",
-                                          "purchases_evolution", "regulated_evolution", "stock_qty_al"])
+        if state.hasTimedOut:
+            *totals, stock, last, segment = state.get
+            state.remove()
+            yield pd.DataFrame([(key[0], last, "closed", segment, False, 0.0, 0.0, 0.0, *totals, stock)], columns=COLUMNS)
+            return
+        frames = list(pdfs)
+        df = frames[0] if len(frames) == 1 else pd.concat(frames)
+        day = df["day"].to_numpy()
+        order = np.argsort(day, kind="stable")
+        day, opening = day[order], df["stock_qty"].to_numpy()[order]
+        flows = df[FLOWS].to_numpy()[order]
+        now = state.getCurrentWatermarkMs()
+        *so_far, stock, last, segment = state.get if state.exists else (0.0, 0.0, 0.0, float(opening[0]), None, now)
+        totals = np.cumsum(np.where((day > counted_from)[:, None], flows, 0.0), axis=0) + np.array(so_far)
+        late = np.zeros(len(day), bool) if last is None else day < last
+        last = max(day[-1], day[-1] if last is None else last)
+        state.update((*totals[-1].tolist(), stock, last, segment))
+        ends = int(pd.Timestamp(last).timestamp() * 1000) + idle * DAY_MS
+        state.setTimeoutTimestamp(max(ends, now + 1))
+        yield pd.DataFrame(dict(zip(COLUMNS, (np.full(len(day), key[0]), day, "move", segment, late, *flows.T, *totals.T, opening))))
     return fn
 
 
-def ledger_stream(spark: SparkSession, source_path: str, schema: str, min_date: str, name: str) -> DataFrame:
-    """STM-01: run the incremental ledger over a file stream of daily
-    movement rows (part, day, qty_sold, qty_purchased, qty_regulated,
-    stock_qty) and return the emitted rows."""
-    out = scratch_table_path(spark, f"{name}/out")
-    ckpt = scratch_table_path(spark, f"{name}/ckpt")
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_path)
-    q = (src.groupBy("part")
-            .applyInPandasWithState(_ledger_fn(min_date), LEDGER_OUT, LEDGER_STATE, "append", GroupStateTimeout.NoTimeout)
-            .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-            .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+COLUMNS = [c.split()[0] for c in LEDGER_OUT.split(", ")]
+
+
+def ledger_query(spark: SparkSession, landing: str, first_day, name: str, idle: int = 400, delay: str = "40 days") -> StreamingQuery:
+    """STM-01: one run of the incremental ledger over what is new in
+    ``landing``: daily movement rows (part, day, qty_sold, qty_purchased,
+    qty_regulated, stock_qty = the part's opening).  Movements of ``first_day``
+    are in the opening already.
+
+    A movement older than its part's last posted day is posted late: on its own
+    day, in the balances from then on, and marked.  One older than the watermark
+    (the latest day seen less ``delay``) is refused; ``refused`` lists those."""
+    schema = "part long, day date, qty_sold double, qty_purchased double, qty_regulated double, stock_qty double"
+    src = spark.readStream.schema(schema).parquet(landing).withColumn("ts", F.col("day").cast("timestamp")).withWatermark("ts", delay)
+    return (src.groupBy("part")
+               .applyInPandasWithState(_ledger_fn(first_day, idle), LEDGER_OUT, LEDGER_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+               .writeStream.format("parquet").option("path", scratch_table_path(spark, f"{name}/out"))
+               .option("checkpointLocation", scratch_table_path(spark, f"{name}/ckpt"))
+               .outputMode("append").trigger(availableNow=True).start())
 
 
-def dedupe_stream(spark: SparkSession, source_path: str, schema: str, keys: list[str], event_time: str,
-                  delay: str, name: str) -> DataFrame:
+def ledger_rows(spark: SparkSession, name: str) -> DataFrame:
+    """What the runs have posted: movement rows with the totals of the part's
+    closed segments added, and the computed stock."""
+    rows = spark.read.parquet(scratch_table_path(spark, f"{name}/out"))
+    before = Window.partitionBy("part").orderBy("segment").rangeBetween(Window.unboundedPreceding, -1)
+    closed = F.col("kind") == "closed"
+    total = rows.withColumns({c: F.col(c) + F.coalesce(F.sum(F.when(closed, F.col(c))).over(before), F.lit(0.0)) for c in EVOLUTIONS})
+    return (total.where(~closed).drop("kind", "segment")
+            .withColumn("stock_qty_al", F.col("stock_qty") - F.col("sales_evolution") + F.col("purchases_evolution") - F.col("regulated_evolution")))
+
+
+def refused(spark: SparkSession, landing: str, name: str) -> DataFrame:
+    """Landed movements that no run has posted, for they came after the watermark."""
+    posted = spark.read.parquet(scratch_table_path(spark, f"{name}/out")).where("kind = 'move'").select("part", "day")
+    return spark.read.parquet(landing).join(posted, ["part", "day"], "left_anti")
+
+
+def ledger_stream(table: DataFrame, arrival: str, first_day, name: str, idle: int = 400, delay: str = "40 days") -> DataFrame:
+    """STM-01 over all arrivals of a staged table, each a run of its own."""
+    spark = table.sparkSession
+    landing = scratch_table_path(spark, f"{name}/in")
+    run_arrivals(table, arrival, landing, lambda: ledger_query(spark, landing, first_day, name, idle, delay))
+    return ledger_rows(spark, name)
+
+
+def dedupe_stream(table: DataFrame, arrival: str, keys: list[str], event_time: str, delay: str, name: str) -> DataFrame:
     """STM-02: first arrival per key wins."""
-    out = scratch_table_path(spark, f"{name}/out")
-    ckpt = scratch_table_path(spark, f"{name}/ckpt")
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_path)
-    q = (src.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
-            .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-            .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    spark = table.sparkSession
+    landing, out, ckpt = (scratch_table_path(spark, f"{name}/{x}") for x in ("in", "out", "ckpt"))
+    schema = table.drop(arrival).schema
+    run_arrivals(table, arrival, landing, lambda: (
+        spark.readStream.schema(schema).parquet(landing).withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+        .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+        .outputMode("append").trigger(availableNow=True).start()))
     return spark.read.parquet(out)
 
 
-def daily_counts_stream(spark: SparkSession, source_path: str, schema: str, ts: str, flag: str, name: str,
-                        delay: str = "1 day") -> DataFrame:
+def daily_counts_stream(table: DataFrame, arrival: str, ts: str, flag: str, name: str, delay: str = "1 day") -> DataFrame:
     """STM-03: per-day count of flagged records; update mode, every batch's
     updated windows are appended with the batch id, the latest per window
     is the result."""
-    out = scratch_table_path(spark, f"{name}/out")
-    ckpt = scratch_table_path(spark, f"{name}/ckpt")
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_path)
-    agg = (src.filter(F.col(flag)).withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("w"))
-              .agg(F.count(F.lit(1)).alias("warnings")))
+    spark = table.sparkSession
+    landing, out, ckpt = (scratch_table_path(spark, f"{name}/{x}") for x in ("in", "out", "ckpt"))
+    schema = table.drop(arrival).schema
 
     def sink(batch: DataFrame, batch_id: int):
         batch.select(F.col("w.start").alias("day_start"), "warnings", F.lit(batch_id).alias("batch_id")) \
              .write.mode("append").parquet(out)
 
-    q = agg.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", ckpt) \
-           .trigger(availableNow=True).start()
-    q.awaitTermination()
+    def start() -> StreamingQuery:
+        src = spark.readStream.schema(schema).parquet(landing)
+        agg = (src.filter(F.col(flag)).withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("w"))
+                  .agg(F.count(F.lit(1)).alias("warnings")))
+        return (agg.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", ckpt)
+                   .trigger(availableNow=True).start())
+
+    run_arrivals(table, arrival, landing, start)
     r = spark.read.parquet(out)
     return r.groupBy("day_start").agg(F.max_by("warnings", "batch_id").alias("warnings"))

@@ -129,6 +129,12 @@ def _search(shared, k: int):
     return run
 
 
+def _usable(v):
+    """``usable`` as a column."""
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    return F.coalesce(fine & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
 def _query_blocks(queries: DataFrame, numbers: int) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
     held: dict[int, list] = {}
     n = 0
@@ -155,9 +161,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, query_numbers:
     Both tables have vec_id and embedding.  Rows with a null id, or whose vector is null,
     empty, zero or holds a null or non-finite component, take no part; vectors of another
     dimension than the query's are no candidates.  Rows that repeat a vec_id count as one
-    at the nearest of their places; of a repeated query the smallest vector is asked."""
+    at the nearest of their places; of a repeated query the smallest usable vector is asked."""
     spark = vectors.sparkSession
-    asked = queries.where("vec_id IS NOT NULL").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asked = queries.where(F.col("vec_id").isNotNull() & _usable(F.col("embedding"))).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     found = None
     for block in _query_blocks(asked, query_numbers):

@@ -142,14 +142,15 @@ def train(langs: list[str], win: np.ndarray, y: np.ndarray, epochs: int = 8, bat
 def fit(docs: DataFrame, train_rows: Column, per_lang: int = TRAIN_DOCS, windows: int = TRAIN_WINDOWS) -> Network | None:
     """Network over the languages of the rows for which ``train_rows`` (a condition on
     doc_id) holds.  Of each language the ``per_lang`` smallest hashes of doc_id are
-    taken, and of each such text a piece of ``windows`` windows at a hashed place.
-    Without labelled rows: None."""
-    ids = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & train_rows)
+    taken, of ids that one row has, so the bound holds for rows too; and of each such
+    text a piece of ``windows`` windows at a hashed place.  Without labelled rows: None."""
+    ids = (docs.select("doc_id", "lang").where(F.col("doc_id").isNotNull() & train_rows)
+           .groupBy("doc_id").agg(F.count("*").alias("n"), F.min("lang").alias("lang")).where("n = 1 AND lang IS NOT NULL"))
     first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     sample = ids.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= per_lang).select("doc_id", "lang")
     size = windows * WINDOW
     start = F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.greatest(F.lit(1), F.char_length("text") - size))
-    rows = (docs.select("doc_id", "lang", "text").join(F.broadcast(sample.distinct()), ["doc_id", "lang"])
+    rows = (docs.select("doc_id", "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"])
             .where(F.col("text").rlike(r"\p{L}"))
             .select("doc_id", "lang", F.col("text").substr((start + 1).cast("int"), F.lit(size)).alias("t"))
             .orderBy("lang", "doc_id", "t").collect())

@@ -1,12 +1,13 @@
 """Line dedup: lines that many documents share stay in one document only.
 
-Lines become 128-bit hashes with (document, position).  They are range-partitioned
-by (hash, document descending) and sorted by position within, so the rows of a very
-common line spread over many partitions; each (hash, document) run is read off in
-order, first the document that keeps the line.  The runs are stored once; the number
-of documents and the keeper of a hash are partial aggregates over them.  What comes
-back per document is a compressed keep bitmap: 64 lines to a word, words without a
-dropped line left out.  Only DataFrame expressions are used.
+Lines become 128-bit hashes with (document, position), stored once: texts are split and
+hashed a single time.  The hashes are range-partitioned by (hash, document descending)
+and sorted by position within, so the rows of a very common line spread over many
+partitions; each (hash, document) run is read off in order, first the document that
+keeps the line, as words of 64 line bits.  The runs are stored too; the number of
+documents and the keeper of a hash are partial aggregates over them.  What comes back
+per document is a compressed keep bitmap: 64 lines to a word, words without a dropped
+line left out.  Only DataFrame expressions are used.
 """
 
 from __future__ import annotations
@@ -46,19 +47,18 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
             .where(F.char_length("_key") >= min_chars)
             .select(F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("line"), "_key").alias("_h2"),
                     "_id", "_row", "_pos"))
-    ranged = (line.repartitionByRange("_h1", "_h2", F.col("_id").desc(), "_row")
+    ranged = (written(line, "line-hashes").repartitionByRange("_h1", "_h2", F.col("_id").desc(), "_row")
               .sortWithinPartitions("_h1", "_h2", F.col("_id").desc(), "_row", "_pos"))
-    runs = written(ranged.groupBy("_h1", "_h2", "_id", "_row").agg(F.collect_set("_pos").alias("_at")), "line-runs")
+    runs = written(ranged.groupBy("_h1", "_h2", "_id", "_row", F.expr("_pos div 64").alias("word"))
+                   .agg(F.bit_or(F.expr("shiftleft(1L, _pos % 64)")).alias("bits")), "line-runs")
     per_document = runs.select("_h1", "_h2", "_id").distinct()
     shared = (per_document.groupBy("_h1", "_h2").agg(F.count("*").alias("_n"), F.max("_id").alias("_keeper"))
               .where(F.col("_n") >= min_docs).drop("_n"))
     # The keepers of a hash go to every salt, so a very common line is joined in SALTS tasks.
     salted = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dropped = (runs.withColumn("_salt", F.pmod(F.xxhash64("_id", "_row"), F.lit(SALTS)).cast("int"))
-               .join(salted, ["_h1", "_h2", "_salt"]).where(F.col("_id") != F.col("_keeper"))
-               .select("_id", "_row", F.explode("_at").alias("_pos")))
-    words = (dropped.groupBy("_id", "_row", F.expr("_pos div 64").alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, _pos % 64)")).alias("bits")))
+               .join(salted, ["_h1", "_h2", "_salt"]).where(F.col("_id") != F.col("_keeper")))
+    words = dropped.groupBy("_id", "_row", "word").agg(F.bit_or("bits").alias("bits"))
     return (words.groupBy("_id", "_row")
             .agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"),
                  F.sum(F.bit_count("bits")).cast("long").alias("n_dropped")))

@@ -19,7 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import NULL_ID, ordered_id, shuffle_width, slices, small_batches, texts, written
+from forecourt.llm.common import (NULL_ID, aside, ordered_id, restored, row_key, shuffle_width, slices, small_batches, texts,
+                                  written)
 
 TILE = 8192
 SEED = 42
@@ -48,16 +49,18 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): fp is the 64-bit pattern as a signed long.  Null or empty text: 0."""
+    """(doc_id, row, fp): row is a hash of id and text, fp the 64-bit pattern as a signed
+    long.  Null or empty text: 0."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 fp = np.array([fingerprint(t, shingle) for t in texts(part, "text")], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array(fp.view(np.int64))], ["doc_id", "row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), "text")
+            .mapInArrow(run, "doc_id long, row long, fp long"))
 
 
 def _close(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -208,6 +211,19 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def labelled(docs: DataFrame, shingle: int = 3, radius: int = 2, tile: int = TILE) -> DataFrame:
+    """(doc_id, row, fp, group, component_id) of every row: ``group`` is a fingerprint that
+    stands for the component."""
+    fps = written(fingerprints(docs, shingle), "fingerprints").withColumn("_id", ordered_id())
+    nodes = written(fps.groupBy("fp").agg(F.min("_id").alias("_id")), "nodes")
+    roots = components(links(nodes.select("fp"), radius, tile)).withColumnRenamed("node", "fp")
+    rooted = nodes.join(roots, "fp", "left").withColumn("group", F.coalesce("root", "fp")).drop("root")
+    smallest = rooted.groupBy("group").agg(F.min("_id").alias("_c"))
+    labels = rooted.join(smallest, "group").select("fp", "group", "_c")
+    return (fps.join(labels, "fp")
+            .select("doc_id", "row", "fp", "group", F.when(F.col("_c") != NULL_ID, F.col("_c")).alias("component_id")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, tile: int = TILE) -> DataFrame:
     """(doc_id, fp, component_id) of every row of (doc_id, text): component_id is the
     smallest doc_id reachable over fingerprints at most ``radius`` bits apart.
@@ -215,17 +231,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, tile: in
     Null or empty text has fingerprint 0, linked like any other.  A null doc_id counts
     as the smallest id.  Rows that repeat a doc_id keep their own fingerprint and
     component.  Other columns are ignored; an empty table gives no rows."""
-    fps = written(fingerprints(docs, shingle), "fingerprints").withColumn("_id", ordered_id())
-    nodes = written(fps.groupBy("fp").agg(F.min("_id").alias("_id")), "nodes")
-    roots = components(links(nodes.select("fp"), radius, tile)).withColumnRenamed("node", "fp")
-    rooted = nodes.join(roots, "fp", "left")
-    linked = (rooted.withColumn("root", F.coalesce("root", "fp")).join(roots.select("root").distinct(), "root")
-              .groupBy("root").agg(F.min("_id").alias("_c")))
-    labels = rooted.join(linked.withColumnRenamed("root", "fp").withColumnRenamed("_c", "_top"), "fp", "left")
-    labels = (labels.join(linked, "root", "left")
-              .select("fp", F.coalesce("_c", "_top", "_id").alias("_c")))
-    return (fps.join(labels, "fp")
-            .select("doc_id", "fp", F.when(F.col("_c") != NULL_ID, F.col("_c")).alias("component_id")))
+    return labelled(docs, shingle, radius, tile).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp):
@@ -233,7 +239,15 @@ def hex_fingerprint(fp):
 
 
 def dedup(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group."""
-    kept = (near_duplicates(docs, shingle, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """One row of ``docs`` of each component: the one with the smallest doc_id, then the
+    smallest fingerprint, then the smallest hash of its text.
+
+    A null doc_id is the smallest; null and empty texts are one component with all texts
+    near fingerprint 0.  Rows that repeat a doc_id are judged by their texts; of rows equal
+    in id and text one stays.  All columns are kept, an empty table gives no rows."""
+    first = labelled(docs, shingle, radius).groupBy("group").agg(F.min(F.struct(ordered_id().alias("i"), "fp", "row")).alias("r"))
+    kept = first.select(F.col("r.i").alias("_id"), F.col("r.row").alias("_row"))
+    plain, own = aside(docs, "_id", "_row")
+    keyed = plain.withColumns({"_id": ordered_id(), "_row": row_key()})
+    one = keyed.join(kept, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]).drop("_id", "_row")
+    return restored(one, own, docs.columns)

@@ -343,7 +343,7 @@ def _compared(threshold: int):
         skip = np.concatenate(([0], np.cumsum(size + threshold - 1)))[:-1]
         of = np.repeat(np.arange(len(held)), size)
         off = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
-        name = names(text, threshold)[skip[of] + off]
+        name = names(text, threshold, BYTE2)[skip[of] + off]  # the key is a name by BYTE
         at = start[of] + off
         later = _later(key[of], name, id_[of], at)
         return _ranges(id_[of][later], row[of][later], at[later], at[later] + threshold)

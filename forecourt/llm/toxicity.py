@@ -99,13 +99,14 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> lis
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, rows: int) -> DataFrame:
     """(doc_id, y) of at most ``rows`` labelled documents with distinct texts.  A doc_id
-    with several labels is toxic if one of them says so."""
+    with several labels is toxic if one of them says so; a doc_id that several rows of
+    ``docs`` share is not in the sample, so the bound holds for rows too."""
     y = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
          .groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("y")))
     sample = y.where(train).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    one = (docs.join(F.broadcast(sample), "doc_id").select("doc_id", "y", F.xxhash64("text").alias("h"))
-           .groupBy("h").agg(F.min(F.struct("doc_id", "y")).alias("r")))
-    return written(one.select("r.doc_id", "r.y").dropDuplicates(["doc_id"]), "toxicity-sample")
+    one = (docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y")
+           .agg(F.count("*").alias("n"), F.min(F.xxhash64("text")).alias("h")).where("n = 1").groupBy("h").agg(F.min(F.struct("doc_id", "y")).alias("r")))
+    return written(one.select("r.doc_id", "r.y"), "toxicity-sample")
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.operators.quantiles import quantile_values
+
 from forecourt.functions.fmt import rnd
 
 
@@ -109,12 +111,10 @@ def minmax_inverse(df: DataFrame, scaled: str, ref: DataFrame, ref_col: str, out
 
 
 def robust_scale(df: DataFrame, cols: list[str]) -> DataFrame:
-    """MTH-06: (x - median) / (q3 - q1), exact percentiles."""
+    """MTH-06: (x - median) / (q3 - q1), exact quantiles by refinement."""
     out = df
     for c in cols:
-        med = df.agg(F.percentile(c, 0.5)).scalar()
-        q1 = df.agg(F.percentile(c, 0.25)).scalar()
-        q3 = df.agg(F.percentile(c, 0.75)).scalar()
+        q1, med, q3 = quantile_values(df, c, [0.25, 0.5, 0.75])
         out = out.withColumn(c, F.try_divide(F.col(c) - med, q3 - q1))
     return out
 

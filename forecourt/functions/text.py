@@ -283,18 +283,3 @@ def apply_word_table(df: DataFrame, id_col: str, tokens_col: str, table: DataFra
     back = j.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "stem"))).alias("_s"))
     back = back.select(id_col, F.transform("_s", lambda s: s["stem"]).alias(out))
     return df.join(back, id_col, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>")))
-
-
-def cosine_similarity(a: DataFrame, b: DataFrame, a_id: str, b_id: str, tokens_col: str = "tokens") -> DataFrame:
-    """STR-27: cosine similarity of word-count vectors between every text of
-    ``a`` and the texts of ``b`` sharing at least one word (join on the
-    token, never a cross product)."""
-    def counts(df, idc):
-        return (df.select(idc, F.explode(tokens_col).alias("tok")).groupBy(idc, "tok")
-                  .agg(F.count(F.lit(1)).alias("n")))
-    ca, cb = counts(a, a_id).withColumnRenamed("n", "na"), counts(b, b_id).withColumnRenamed("n", "nb")
-    dot = ca.join(cb, "tok").groupBy(a_id, b_id).agg(F.sum(F.col("na") * F.col("nb")).alias("dot"))
-    norm_a = ca.groupBy(a_id).agg(F.sum(F.col("na") * F.col("na")).alias("sa"))
-    norm_b = cb.groupBy(b_id).agg(F.sum(F.col("nb") * F.col("nb")).alias("sb"))
-    return (dot.join(norm_a, a_id).join(norm_b, b_id)
-               .select(a_id, b_id, (F.col("dot") / F.sqrt(F.col("sa") * F.col("sb"))).alias("cosine")))

@@ -159,23 +159,25 @@ class FittedFeatures:
     def save(self, spark: SparkSession, path: str) -> None:
         rows = [("scale", c, "", a, [b]) for c, a, b in self.scales] + [("value", c, v, float(i), []) for c, vs in self.values.items() for i, v in enumerate(vs)]
         rows += [("category", c, "", 0.0, []) for c in self.values]
-        for t in self.texts:
-            rows.append(("text", t.column, str(len(t.vectors)), 0.0, t.singular.tolist()))
-            rows += [("bucket", t.column, "", float(b), t.vectors[b].tolist()) for b in np.flatnonzero(t.vectors.any(axis=1)).tolist()]
+        rows += [("text", t.column, str(i), float(len(t.vectors)), t.singular.tolist()) for i, t in enumerate(self.texts)]
         schema = "kind string, column string, text string, number double, numbers array<double>"
-        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(path)
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/parts")
+        for i, t in enumerate(self.texts):
+            at = np.flatnonzero(t.vectors.any(axis=1))
+            table = pa.table({"bucket": pa.array(at, pa.int64()), "vector": pa.array(list(t.vectors[at]), pa.list_(pa.float64()))})
+            spark.createDataFrame(table).write.mode("overwrite").parquet(f"{path}/text{i}")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> FittedFeatures:
-        rows = spark.read.parquet(path).collect()  # numbers of a fixed size: categories, buckets x components
+        rows = spark.read.parquet(f"{path}/parts").collect()  # categories and scales
         of = lambda kind: [r for r in rows if r["kind"] == kind]
         values = {r["column"]: [v["text"] for v in sorted(of("value"), key=lambda v: v["number"]) if v["column"] == r["column"]] for r in of("category")}
         texts = []
-        for r in of("text"):
-            v = np.zeros((int(r["text"]), len(r["numbers"])))
-            for b in of("bucket"):
-                if b["column"] == r["column"]:
-                    v[int(b["number"])] = b["numbers"]
+        for r in sorted(of("text"), key=lambda r: int(r["text"])):
+            found = spark.read.parquet(f"{path}/text{r['text']}").toArrow()  # buckets x components, a fixed size
+            v = np.zeros((int(r["number"]), len(r["numbers"])))
+            if found.num_rows:
+                v[found.column("bucket").to_numpy()] = np.stack(found.column("vector").to_pylist())
             texts.append(TextModel(r["column"], v, np.array(r["numbers"])))
         return FittedFeatures([(r["column"], r["number"], r["numbers"][0]) for r in of("scale")], values, texts)
 

@@ -3,7 +3,7 @@
 Data preparation (splits, oversampling, encoders, imputation, scaling,
 ANOVA selection) and evaluation (metrics, ROC, confusion, model choice) are
 plain aggregations, so they scale and can be checked against SQL; model
-fitting uses MLlib estimators (distributed), with CrossValidator for grids.
+model searches are in ``search``, learned features in ``features``.
 """
 
 from __future__ import annotations
@@ -13,17 +13,14 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import (HashingTF, OneHotEncoder, StringIndexer, Tokenizer, VectorAssembler)
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.operators.quantiles import quantile_values
 from forecourt.operators.windows import chunked_running
 
 # -------------------------------------------------------------- preparation
@@ -133,7 +130,7 @@ def impute(train: DataFrame, test: DataFrame, spec: dict[str, str | tuple]) -> t
         if how == "mean":
             fills[c] = train.agg(F.avg(c)).scalar()
         elif how == "median":
-            fills[c] = train.agg(F.percentile(c, 0.5)).scalar()
+            fills[c] = quantile_values(train, c, [0.5])[0]
         elif how == "mode":
             fills[c] = train.agg(F.mode(F.col(c), True)).scalar()
         else:
@@ -167,60 +164,6 @@ def first_seen_index(df: DataFrame, label: str, order_cols: list) -> DataFrame:
 
 # ------------------------------------------------------------------ fitting
 
-def text_features(text_col: str, num_features: int = 1 << 12, out: str = "text_features") -> list:
-    """MLX-11 (first half): tokenise and hash the text."""
-    return [Tokenizer(inputCol=text_col, outputCol="_words"),
-            HashingTF(inputCol="_words", outputCol=out, numFeatures=num_features)]
-
-
-def truncated_svd(df: DataFrame, id_col: str, vec_col: str, k: int = 50) -> DataFrame:
-    """MLX-11 (second half): rank-k SVD of the hashed matrix with the
-    distributed IndexedRowMatrix solver; rows are projected as U * S."""
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-    from pyspark.mllib.linalg import Vectors as MV
-    rows = df.select(id_col, vec_col).rdd.map(lambda r: IndexedRow(int(r[0]), MV.fromML(r[1])))
-    svd = IndexedRowMatrix(rows).computeSVD(k, computeU=True)
-    s = svd.s.toArray().tolist()
-    u = svd.U.rows.map(lambda r: (int(r.index), [float(a) * b for a, b in zip(r.vector.toArray(), s)]))
-    return df.sparkSession.createDataFrame(u, f"{id_col} bigint, components array<double>")
-
-
-def classifiers(features: str = "features", label: str = "label", n_classes: int = 2, n_features: int = 8) -> dict:
-    """MLX-15: the estimator list with small parameter grids (MLlib forms of
-    the reference's grid: logistic regression, decision tree, random
-    forest, multilayer perceptron)."""
-    lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=30)
-    dt = DecisionTreeClassifier(featuresCol=features, labelCol=label, seed=7)
-    rf = RandomForestClassifier(featuresCol=features, labelCol=label, seed=7, numTrees=20)
-    mlp = MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, seed=7, maxIter=50,
-                                         layers=[n_features, max(4, n_features // 2), n_classes])
-    return {"lr": (lr, ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).build()),
-            "dt": (dt, ParamGridBuilder().addGrid(dt.maxDepth, [3, 6]).build()),
-            "rf": (rf, ParamGridBuilder().addGrid(rf.maxDepth, [4, 8]).build()),
-            "mlp": (mlp, ParamGridBuilder().build())}
-
-
-def regressors(features: str = "features", label: str = "label") -> dict:
-    """MLX-16: random forest, boosted trees, elastic-net linear regression."""
-    rf = RandomForestRegressor(featuresCol=features, labelCol=label, seed=7, numTrees=20)
-    gbt = GBTRegressor(featuresCol=features, labelCol=label, seed=7, maxIter=20)
-    lin = LinearRegression(featuresCol=features, labelCol=label)
-    return {"rf": (rf, ParamGridBuilder().addGrid(rf.maxDepth, [4, 8]).build()),
-            "gbt": (gbt, ParamGridBuilder().addGrid(gbt.maxDepth, [3, 5]).build()),
-            "enet": (lin, ParamGridBuilder().addGrid(lin.regParam, [0.0, 0.1]).addGrid(lin.elasticNetParam, [0.0, 0.5]).build())}
-
-
-def grid_search(estimators: dict, train: DataFrame, evaluator, folds: int = 3, parallelism: int = 4) -> dict:
-    """MLX-15 / MLX-16: k-fold cross-validated grid search per estimator;
-    returns {name: best fitted model}."""
-    best = {}
-    for name, (est, grid) in estimators.items():
-        cv = CrossValidator(estimator=est, estimatorParamMaps=grid or [{}], evaluator=evaluator, numFolds=folds,
-                            parallelism=parallelism, seed=7)
-        best[name] = cv.fit(train).bestModel
-    return best
-
-
 def soft_vote(scored: dict[str, DataFrame], id_col: str, prob_col: str = "probability") -> DataFrame:
     """MLX-36: mean of the models' probability vectors, predicted class =
     position of the maximum."""
@@ -232,23 +175,48 @@ def soft_vote(scored: dict[str, DataFrame], id_col: str, prob_col: str = "probab
                                    F.max("p").alias("max_prob"))
 
 
-def kmeans_scan(df: DataFrame, features: str, k_values: list[int], seed: int = 7) -> DataFrame:
-    """MLX-17: k-means per k with silhouette (ClusteringEvaluator), inertia,
-    Calinski-Harabasz and between-cluster share from the sums of squares
-    (total SS = between + within; no pairwise distances)."""
-    arr = df.select(vector_to_array(features).alias("_x"))
-    dim = len(arr.first()["_x"])
-    # the centroid has one value per dimension (bounded by the feature size)
-    mean = list(arr.agg(*[F.avg(F.col("_x")[i]) for i in range(dim)]).first())
+def kmeans_best(df: DataFrame, features: str, k: int, restarts: int = 100, max_iter: int = 10, seed: int = 7):
+    """The k-means model of the lowest cost among ``restarts`` seeds."""
+    models = (KMeans(featuresCol=features, k=k, seed=seed + i, maxIter=max_iter, initSteps=2).fit(df) for i in range(restarts))
+    return min(models, key=lambda m: m.summary.trainingCost)
+
+
+def silhouettes(clustered: DataFrame, features: str, cluster: str = "prediction") -> DataFrame:
+    """MLX-21: every row with its silhouette under squared distances, from the moments of
+    the clusters: the mean squared distance of x to a cluster is |x - c|^2 + v, with c its
+    centre and v its mean squared distance to it, so no pairs are formed.  The centres are
+    broadcast: clusters x dimension numbers.  A cluster of one row has silhouette 0."""
+    x = clustered.withColumn("_x", vector_to_array(features))
+    at = x.select(cluster, F.posexplode("_x").alias("_i", "_v"))
+    cells = at.groupBy(cluster, "_i").agg(F.count(F.lit(1)).alias("_n"), F.avg("_v").alias("_c"), F.var_pop("_v").alias("_w"))
+    centres = cells.groupBy(cluster).agg(F.max("_n").alias("n"), F.sum("_w").alias("v"),
+                                         F.transform(F.sort_array(F.collect_list(F.struct("_i", "_c"))), lambda s: s["_c"]).alias("c"))
+    known = [r for r in centres.collect()]
+    table = F.array(*[F.struct(F.lit(r[cluster]).alias("k"), F.lit(float(r["n"])).alias("n"), F.lit(r["v"]).alias("v"),
+                               F.split(F.lit(",".join(map(repr, r["c"]))), ",").cast("array<double>").alias("c")) for r in known])
+
+    def distance(s):
+        return F.aggregate(F.zip_with("_x", s["c"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, d: t + d) + s["v"]
+    x = x.withColumn("_d", F.transform(table, lambda s: F.struct(s["k"].alias("k"), s["n"].alias("n"), distance(s).alias("d"))))
+    own = F.filter("_d", lambda s: s["k"] == F.col(cluster))[0]
+    a = own["d"] * own["n"] / (own["n"] - 1)  # a row is no neighbour of its own
+    b = F.array_min(F.transform(F.filter("_d", lambda s: s["k"] != F.col(cluster)), lambda s: s["d"]))
+    s = F.when(own["n"] > 1, F.try_divide(b - a, F.greatest(a, b))).otherwise(F.lit(0.0))
+    return x.withColumn("silhouette", F.coalesce(s, F.lit(0.0))).drop("_x", "_d")
+
+
+def kmeans_scan(df: DataFrame, features: str, k_values: list[int], restarts: int = 100, seed: int = 7) -> DataFrame:
+    """MLX-17: k-means per k, the best of ``restarts`` starts, with mean silhouette, inertia,
+    Calinski-Harabasz and between-cluster share from the sums of squares (total SS =
+    between + within; no pairwise distances)."""
+    at = df.select(F.posexplode(vector_to_array(features)).alias("_i", "_v"))
     n = df.count()
-    total_ss = df.select(F.aggregate(F.zip_with(vector_to_array(features), F.array(*[F.lit(m) for m in mean]), lambda a, b: (a - b) * (a - b)),
-                                     F.lit(0.0), lambda acc, v: acc + v).alias("d")).agg(F.sum("d")).first()[0]
+    total_ss = at.groupBy("_i").agg((F.var_pop("_v") * F.count("_v")).alias("s")).agg(F.sum("s")).first()[0]
     rows = []
     for k in k_values:
-        model = KMeans(featuresCol=features, k=k, seed=seed, maxIter=20, initSteps=2).fit(df)
-        pred = model.transform(df)
-        sil = ClusteringEvaluator(featuresCol=features).evaluate(pred)
+        model = kmeans_best(df, features, k, restarts, seed=seed)
         inertia = model.summary.trainingCost
+        sil = silhouettes(model.transform(df), features).agg(F.avg("silhouette")).first()[0]
         between = total_ss - inertia
         ch = (between / (k - 1)) / (inertia / (n - k)) if inertia > 0 else None
         rows.append((k, float(sil), float(inertia), ch, float(between / total_ss * 100)))

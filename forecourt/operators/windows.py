@@ -275,28 +275,40 @@ def mileage_repair_last_pair(df: DataFrame, keys: list[str], order_cols: list, k
     return x.join(cut, _r(lambda a, b: a & b, cond), "left_anti").drop("_pos")
 
 
-def group_fill(df: DataFrame, keys: list[str], order_cols: list, cols: list[str],
-               ffill: bool = True, bfill: bool = True, zero: bool = True) -> DataFrame:
+def group_fill(df: DataFrame, keys: list[str], order_cols: list[str], cols: list[str],
+               ffill: bool = True, bfill: bool = True, zero: bool = True, chunk: Column | None = None) -> DataFrame:
     """WIN-08 / WIN-09: forward fill, then back fill, then 0 within a group
-    (each step optional, for the three column classes of the ledger)."""
-    w = Window.partitionBy(*keys).orderBy(*_cols(order_cols))
-    fw = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    (each step optional, for the three column classes of the ledger).
+
+    A prefix scan of "last value": windows fill within (group, chunk), where
+    ``chunk`` is a monotone coarsening of the leading order column; the last
+    and first values of the chunks are scanned on the small chunk table and
+    joined back, so a hot group is as many tasks as it has chunks.  Null keys
+    are a group, null order values come first."""
+    gc = [*keys, "_chunk"]
+    x = df.withColumn("_chunk", F.lit(0) if chunk is None else chunk)
+    w = Window.partitionBy(*gc).orderBy(*order_cols).rowsBetween(UNB, CUR)
     # back fill = running "last non-null" in DESCENDING order: a streaming
     # running frame, where a current..unbounded-following frame would be
     # re-evaluated for every row (quadratic on a long group)
-    desc = [(F.col(c) if isinstance(c, str) else c).desc() for c in order_cols]
-    bw = Window.partitionBy(*keys).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df
+    back = Window.partitionBy(*gc).orderBy(*[F.col(c).desc() for c in order_cols]).rowsBetween(UNB, CUR)
+    at = F.struct(*order_cols)
+    ends = x.groupBy(*gc).agg(*[f(c, F.when(F.col(c).isNotNull(), at)).alias(f"_{n}_{c}") for c in cols for n, f in (("last", F.max_by), ("first", F.min_by))])
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(UNB, -1)
+    after = Window.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(UNB, -1)
+    ends = ends.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(gc)],
+                       *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_prev_{c}") for c in cols],
+                       *[F.last(f"_first_{c}", ignorenulls=True).over(after).alias(f"_next_{c}") for c in cols])
+    x = x.withColumns({f"_f_{c}": F.last(c, ignorenulls=True).over(w) for c in cols} | {f"_b_{c}": F.last(c, ignorenulls=True).over(back) for c in cols})
+    x = x.join(ends, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(gc)]))
+    out = {}
     for c in cols:
-        e = F.col(c)
-        if ffill:
-            e = F.coalesce(e, F.last(c, ignorenulls=True).over(fw))
-        if bfill:
-            e = F.coalesce(e, F.last(c, ignorenulls=True).over(bw))
-        if zero:
-            e = F.coalesce(e, F.lit(0).cast(df.schema[c].dataType))
-        out = out.withColumn(c, e)
-    return out
+        e = [F.col(c)]
+        e += [F.col(f"_f_{c}"), F.col(f"_prev_{c}")] if ffill else []
+        e += [F.col(f"_b_{c}"), F.col(f"_next_{c}")] if bfill else []
+        e += [F.lit(0).cast(df.schema[c].dataType)] if zero else []
+        out[c] = F.coalesce(*e)
+    return x.withColumns(out).select(*df.columns)
 
 
 def quantity_share(df: DataFrame, group_cols: list[str], score: str, order_size: int,
@@ -322,6 +334,10 @@ def quantity_share(df: DataFrame, group_cols: list[str], score: str, order_size:
              .drop("_q", "_tot", "_rn", "_lastpos"))
 
 
+#: Rows of one block of a sorted group; neighbours' rows are doubled at its edges.
+BLOCK_ROWS = 10_000
+
+
 def _neighbour_arrays(x: DataFrame, w, col: str, K: int, name: str) -> DataFrame:
     before = F.array(*[F.lag(col, j).over(w) for j in range(1, K + 1)])
     after = F.array(*[F.lead(col, j).over(w) for j in range(1, K + 1)])
@@ -329,7 +345,7 @@ def _neighbour_arrays(x: DataFrame, w, col: str, K: int, name: str) -> DataFrame
 
 
 def outlier_scores_1d(df: DataFrame, keys: list[str], value: str, tie: str, k_knn: int = 3, k_lof: int = 10,
-                      contamination: float = 0.1) -> DataFrame:
+                      contamination: float = 0.1, chunk: Column | None = None) -> DataFrame:
     """WIN-18: per group, 1-D neighbour outlier scores of ``value``:
     knn_mean / knn_median = mean / median distance to the k_knn nearest
     other points; lof = local outlier factor with k_lof neighbours (fewer
@@ -337,11 +353,21 @@ def outlier_scores_1d(df: DataFrame, keys: list[str], value: str, tie: str, k_kn
     (1 - contamination) percentile.  In one dimension the k nearest
     neighbours are within k sorted positions on either side, so every pass
     is a bounded lag/lead window (no pairs are formed); ties in distance go
-    to the neighbour earlier in the sorted order."""
+    to the neighbour earlier in the sorted order.  A reading alone in its group
+    has null scores.
+
+    Positions come from a chunked scan (``chunk``: a monotone coarsening of the
+    value) and the sorted group is cut into blocks of rows.  The three passes
+    look K rows aside each, so a block also gets 3 K rows of its neighbours;
+    a hot group is as many tasks as it has blocks."""
     K = max(k_knn, k_lof)
-    w = Window.partitionBy(*keys).orderBy(value, tie)
-    wg = Window.partitionBy(*keys)
-    x = df.withColumn("_pos", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(wg))
+    halo = 3 * K
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    x = chunked_running(df, keys, [value, tie], chunk, [], [], "_s").withColumnRenamed("_s_rn", "_pos").join(sizes, keys)
+    own = F.floor((F.col("_pos") - 1) / BLOCK_ROWS)
+    reach = F.sequence(F.floor((F.col("_pos") - 1 - halo) / BLOCK_ROWS), F.floor((F.col("_pos") - 1 + halo) / BLOCK_ROWS))
+    x = x.withColumn("_own", own).withColumn("_block", F.explode(reach)).where((F.col("_block") >= 0) & (F.col("_block") <= F.floor((F.col("_n") - 1) / BLOCK_ROWS)))
+    w = Window.partitionBy(*keys, "_block").orderBy("_pos")
     x = _neighbour_arrays(x, w, value, K, "_v")
     cands = F.filter(F.concat(
         F.transform(F.col("_v_b"), lambda v, i: F.struct(F.abs(F.col(value) - v).alias("d"), (F.col("_pos") - i - 1).alias("npos"), (-(i + 1)).alias("off"))),
@@ -351,22 +377,23 @@ def outlier_scores_1d(df: DataFrame, keys: list[str], value: str, tie: str, k_kn
     kk = F.least(F.lit(k_lof), F.col("_n") - 1)
     x = (x.withColumn("_knn", F.slice("_c", 1, k_knn))
           .withColumn("_lofn", F.slice("_c", 1, F.greatest(kk, F.lit(1))))
-          .withColumn("_kdist", F.element_at(F.col("_lofn"), -1)["d"]))
+          .withColumn("_kdist", F.get("_lofn", F.size("_lofn") - 1)["d"]))
     x = _neighbour_arrays(x, w, "_kdist", K, "_k")
 
     def at(arr_b, arr_a, off):
         return F.when(off < 0, F.element_at(F.col(arr_b), -off)).otherwise(F.element_at(F.col(arr_a), off))
 
     reach = F.transform("_lofn", lambda s: F.greatest(at("_k_b", "_k_a", s["off"]), s["d"]))
-    x = x.withColumn("_lrd", 1 / (F.aggregate(reach, F.lit(0.0), lambda a, b: a + b) / F.size(reach) + 1e-10))
+    x = x.withColumn("_lrd", 1 / (F.try_divide(F.aggregate(reach, F.lit(0.0), lambda a, b: a + b), F.size(reach)) + 1e-10))
     x = _neighbour_arrays(x, w, "_lrd", K, "_l")
     lrd_o = F.transform("_lofn", lambda s: at("_l_b", "_l_a", s["off"]))
-    x = x.withColumn("lof", F.aggregate(lrd_o, F.lit(0.0), lambda a, b: a + b) / F.size(lrd_o) / F.col("_lrd"))
+    x = x.withColumn("lof", F.try_divide(F.aggregate(lrd_o, F.lit(0.0), lambda a, b: a + b), F.size(lrd_o)) / F.col("_lrd"))
     dists = F.transform("_knn", lambda s: s["d"])
-    x = (x.withColumn("knn_mean", F.aggregate(dists, F.lit(0.0), lambda a, b: a + b) / F.size(dists))
+    x = (x.withColumn("knn_mean", F.try_divide(F.aggregate(dists, F.lit(0.0), lambda a, b: a + b), F.size(dists)))
           .withColumn("_sd", F.array_sort(dists)).withColumn("_h", (F.size(dists) / 2).cast("int"))
-          .withColumn("knn_median", F.when(F.size(dists) % 2 == 1, F.element_at(F.col("_sd"), F.col("_h") + 1))
-                      .otherwise((F.element_at(F.col("_sd"), F.col("_h")) + F.element_at(F.col("_sd"), F.col("_h") + 1)) / 2)))
+          .withColumn("knn_median", F.when(F.size(dists) % 2 == 1, F.get("_sd", F.col("_h")))
+                      .otherwise((F.get("_sd", F.col("_h") - 1) + F.get("_sd", F.col("_h"))) / 2)))
+    x = x.where("_block = _own")
     q = 1 - contamination
     th = x.groupBy(*keys).agg(*[F.percentile(c, q).alias(f"_t_{c}") for c in ("knn_mean", "knn_median", "lof")])
     x = x.join(th, keys)

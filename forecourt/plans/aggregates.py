@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from forecourt.functions.fmt import big, dstr, rnd, sql_rnd
+from forecourt.operators.quantiles import quantile_values
 from forecourt.operators import aggs
 from forecourt.plans.registry import query
 from forecourt.sources.fixtures import (EVENTS_GAPS_SQL, IMPORTER_SQL, LANG_PRED_SQL, events_gaps,
@@ -229,8 +230,9 @@ JOIN (SELECT word, count(*) AS cb FROM f WHERE source = 'src1' GROUP BY word) b
 def agg22(spark, d):
     p = read(spark, d, "part", "p_type", "p_retailprice").filter(F.col("p_type").isin("SMALL", "LARGE"))
     p = p.withColumn("cost", F.col("p_retailprice") * 0.6)
-    return p.agg(rnd(F.min("cost")).alias("cost_min"), rnd(F.percentile("cost", 0.95)).alias("cost_p95"),
-                 rnd(F.min("p_retailprice")).alias("pvp_min"), rnd(F.percentile("p_retailprice", 0.95)).alias("pvp_p95"))
+    limits = [quantile_values(p, c, [0.95])[0] for c in ("cost", "p_retailprice")]
+    return p.agg(rnd(F.min("cost")).alias("cost_min"), rnd(F.max(limits[0])).alias("cost_p95"),
+                 rnd(F.min("p_retailprice")).alias("pvp_min"), rnd(F.max(limits[1])).alias("pvp_p95"))
 
 
 sql("agg_22_price_limits", f"""SELECT {sql_rnd('min(p_retailprice * 0.6)')} AS cost_min, {sql_rnd('quantile_cont(p_retailprice * 0.6, 0.95)')} AS cost_p95,

@@ -3,23 +3,17 @@ job compositions, lemmatisation, isolation forest, small helpers."""
 
 from __future__ import annotations
 
-import random
 import uuid
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from forecourt.functions import text as T
 from forecourt.functions.fmt import big, dstr, rnd, sql_rnd
-from forecourt.operators import aggs, clean, joins, ledger, ml, rules, windows
+from forecourt.operators import aggs, clean, forest, joins, ledger, ml, search, windows
 from forecourt.plans import parts as PP
 from forecourt.plans import retail as PR
 from forecourt.plans.registry import query
@@ -101,18 +95,6 @@ def job02(spark, d):
     return out.select(*LINE_KEY, "model", "engine", "number_prev_sales", "nr_cars_sold", "average_score_local")
 
 
-@query("job_06_part_families")
-def job06(spark, d):
-    from forecourt.plans.ml import cascade
-    from forecourt.functions import measures as M
-    cas = cascade(spark, d)
-    p = read(spark, d, "part", "p_partkey", "p_name")
-    x = cas.join(p, "p_partkey").withColumn("prediction", F.col("prediction").cast("string"))
-    x = M.threshold_predictions(x, "max_prob", "prediction")
-    x = x.withColumn("rule_copy", F.when(F.col("p_name").startswith("red"), F.lit("RED")).otherwise(F.col("p_name")))
-    return M.force_predictions(x, "p_name", "rule_copy", "max_prob", "prediction").select("p_partkey", "stage", "prediction", "New_Prediction_80")
-
-
 @query("job_07_service_desk_inputs")
 def job07(spark, d):
     r = requests(spark, d)
@@ -126,12 +108,6 @@ def job07(spark, d):
 sql("job_07_service_desk_inputs", f"WITH {REQUESTS_SQL.strip()} SELECT request_num, category, count(*) OVER (PARTITION BY category) AS n_requests, 3 AS n_keywords FROM requests")
 
 
-@query("job_09_accident_probability")
-def job09(spark, d):
-    from forecourt.plans.ml import mlx32
-    return mlx32(spark, d)
-
-
 @query("jon_14_brand_dependent_join")
 def jon14(spark, d):
     from forecourt.plans.jobs import opt05
@@ -171,92 +147,81 @@ def mlx04(spark, d):
 
 def _parts_text_frame(spark, d):
     p = read(spark, d, "part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
-    return p.withColumn("label", F.lit(None).cast("double"))
+    idx = ml.first_seen_index(p, "p_type", ["p_partkey"]).withColumnRenamed("label_index", "label")
+    return p.join(idx, "p_type").withColumn("split", F.when(F.col("p_partkey") % 4 == 0, "test").otherwise("train"))
 
 
 @query("mlx_12_parts_feature_pipeline")
 def mlx12(spark, d):
+    from forecourt.plans.ml import part_features
     p = _parts_text_frame(spark, d)
-    idx = StringIndexer(inputCol="p_type", outputCol="label")
-    pipe = Pipeline(stages=[idx, *ml.text_features("p_name", 1 << 8), ml.assemble(["text_features", "p_size", "p_retailprice"])])
-    out = pipe.fit(p.drop("label")).transform(p.drop("label"))
-    return out.select("p_partkey", F.col("label").cast("bigint").alias("label"), F.size(vector_to_array("features")).alias("n_features"))
+    out = part_features().fit(p.filter("split = 'train'")).transform(p)
+    return out.select("p_partkey", "split", F.col("label").cast("bigint").alias("label"), vector_to_array("features").alias("features"))
 
 
 @query("mlx_13_requests_feature_pipeline")
 def mlx13(spark, d):
-    from forecourt.plans.ml import _doc_text_model_input
-    x = _doc_text_model_input(spark, d).na.fill({"quality": -1})
-    vals = ml.top_values(x, "source", 5)
-    x = ml.dummies(x, "source", vals, drop_source=False)
-    pipe = Pipeline(stages=[*ml.text_features("clean", 1 << 10), ml.assemble(["text_features", "n_chars"] + [f"source_{v}" for v in vals])])
-    return pipe.fit(x).transform(x).select("doc_id", F.size(vector_to_array("features")).alias("n_features"))
+    from forecourt.plans.ml import _doc_text_model_input, requests_features
+    x = _doc_text_model_input(spark, d).withColumn("split", F.when(F.col("doc_id") % 4 == 0, "test").otherwise("train"))
+    out = requests_features().fit(x.filter("split = 'train'")).transform(x)
+    return out.select("doc_id", "split", vector_to_array("features").alias("features"))
 
 
-def _binary_fits(spark, d):
-    from forecourt.plans.ml import _contract_features
-    x = _contract_features(spark, d).withColumn("y", (F.col("label") > 0).cast("double"))
+def _binary_fits(spark, d, names=("dt", "rf", "lr", "svm", "gc", "bayes", "ann")):
+    """Whether a contract has costs: train and test rows and the searched models."""
+    from forecourt.plans.ml import SEARCH, _contract_features
+    x = _contract_features(spark, d).withColumn("label", (F.col("label") > 0).cast("double")).select("contract_customer", "customer_group", "features", "label")
     tr, te = x.filter(F.col("contract_customer") % 5 != 0), x.filter(F.col("contract_customer") % 5 == 0)
-    models = {"lr": LogisticRegression(labelCol="y", maxIter=20), "lr_reg": LogisticRegression(labelCol="y", maxIter=20, regParam=0.1)}
-    return tr, te, {n: m.fit(tr) for n, m in models.items()}
+    return tr, te, search.classifiers(tr, "contract_customer", ml.eval_f1("label"), {n: SEARCH[n] for n in names}, search.FOLDS_TEXT)
 
 
 @query("mlx_22_classification_results")
 def mlx22(spark, d):
-    tr, te, fits = _binary_fits(spark, d)
-    rows = []
-    ev = BinaryClassificationEvaluator(labelCol="y")
-    for n, m in fits.items():
-        for ds, frame in (("train", tr), ("test", te)):
-            rows.append((n, ds, float(ev.evaluate(m.transform(frame)))))
-    return spark.createDataFrame(rows, "model string, dataset string, roc_auc double")
+    tr, te, found = _binary_fits(spark, d)
+    return search.classification_results(found, {"train": tr, "test": te})
 
 
 @query("mlx_23_regression_results")
 def mlx23(spark, d):
-    from forecourt.plans.ml import _contract_features
-    from pyspark.ml.regression import LinearRegression
-    x = _contract_features(spark, d)
+    from forecourt.plans.ml import SEARCH_REGRESSION, _contract_features
+    x = _contract_features(spark, d).select("contract_customer", "features", "label")
     tr, te = x.filter(F.col("contract_customer") % 5 != 0), x.filter(F.col("contract_customer") % 5 == 0)
-    rows = []
-    for n, est in (("ols", LinearRegression()), ("ridge", LinearRegression(regParam=0.5))):
-        m = est.fit(tr)
-        for ds, frame in (("train", tr), ("test", te)):
-            r = ml.regression_metrics(m.transform(frame), "label", "prediction").first()
-            rows.append((n, ds, float(r["mse"]), float(r["rmse"]), float(r["r2"])))
-    return spark.createDataFrame(rows, "model string, dataset string, mse double, rmse double, r2 double")
+    found = search.regressors(tr, "contract_customer", ml.eval_rmse("label"), SEARCH_REGRESSION, search.FOLDS_TEXT)
+    return search.regression_results(found, {"train": tr, "test": te})
 
 
 @query("mlx_24_probabilities")
 def mlx24(spark, d):
-    tr, te, fits = _binary_fits(spark, d)
-    m = fits["lr"]
-    return (m.transform(tr).withColumn("dataset", F.lit("train")).unionByName(m.transform(te).withColumn("dataset", F.lit("test")))
-             .select("contract_customer", "dataset", rnd(vector_to_array("probability")[1], 6).alias("p1")))
+    tr, te, found = _binary_fits(spark, d, ("lr", "rf", "bayes"))
+    frames = [search.probabilities(f, df).select("contract_customer", F.lit(f.name).alias("model"), F.lit(n).alias("dataset"), rnd(F.col("p")[1], 6).alias("p1"))
+              for f in found for n, df in (("train", tr), ("test", te))]
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 @query("mlx_26_per_model_evaluation")
 def mlx26(spark, d):
-    tr, te, fits = _binary_fits(spark, d)
-    parts = [m.transform(te).select("contract_customer", "customer_group", F.lit(n).alias("model"), F.col("prediction")) for n, m in fits.items()]
-    u = parts[0].unionByName(parts[1])
+    tr, te, found = _binary_fits(spark, d)
+    u = reduce(lambda a, b: a.unionByName(b), [f.model.transform(te).select("contract_customer", "customer_group", F.lit(f.name).alias("model"), "prediction") for f in found])
     return u.groupBy("model", "customer_group").agg(F.count(F.lit(1)).alias("n"), rnd(F.avg("prediction"), 6).alias("average_score_pred"))
 
 
 @query("mlx_29_parts_model")
 def mlx29(spark, d):
-    p = _parts_text_frame(spark, d).drop("label")
-    pipe = Pipeline(stages=[StringIndexer(inputCol="p_type", outputCol="label"), *ml.text_features("p_name", 1 << 8),
-                            ml.assemble(["text_features", "p_size", "p_retailprice"]), LogisticRegression(maxIter=20)])
-    s = pipe.fit(p.filter(F.col("p_partkey") % 4 != 0)).transform(p)
-    s = s.withColumn("max_prob", F.array_max(vector_to_array("probability")))
-    cm = s.groupBy(F.col("label").cast("bigint").alias("actual"), F.col("prediction").cast("bigint").alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
-    return cm
+    """Features and classifier learned on train, scored on both; confusion
+    counts per split with the mean of the highest probability."""
+    from forecourt.plans.ml import part_features
+    p = _parts_text_frame(spark, d).withColumn("label", F.col("label").cast("double"))
+    train = p.filter("split = 'train'")
+    fitted = part_features().fit(train)
+    s = LogisticRegression(maxIter=20).fit(fitted.transform(train)).transform(fitted.transform(p))
+    return s.groupBy("split", F.col("label").cast("bigint").alias("actual"), F.col("prediction").cast("bigint").alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n"), rnd(F.avg(F.array_max(vector_to_array("probability"))), 4).alias("mean_max_prob"))
 
 
 @query("mlx_34_metric_rows")
 def mlx34(spark, d):
-    res = mlx22(spark, d).withColumn("Date", F.lit("2001-01-01"))
+    tr, te, found = _binary_fits(spark, d, ("lr", "dt"))
+    res = search.classification_results(found, {"train": tr, "test": te}).withColumn("Date", F.lit("2001-01-01"))
     path = scratch_table_path(spark, f"mlx34_{_run()}")
     io.write_table(res, path, mode="append")
     return spark.read.parquet(path)
@@ -548,66 +513,42 @@ def win02(spark, d):
 
 sql("win_02_history_driver", PR.ORACLE["win_01_previous_sales"])
 
-IF_TREES, IF_SAMPLE = 25, 64
-
-
-@pandas_udf(StructType([StructField("bounds", ArrayType(ArrayType(DoubleType()))), StructField("depths", ArrayType(ArrayType(DoubleType())))]))
-def _grow_forest(samples: pd.Series, seeds: pd.Series) -> pd.DataFrame:
-    """Grow 1-D isolation trees on a bounded sample (<= IF_SAMPLE values):
-    each tree is returned as sorted leaf boundaries and leaf depths (with
-    the average-path adjustment for unsplit leaves)."""
-    def c(n):
-        return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else (1.0 if n == 2 else 0.0)
-
-    out_b, out_d = [], []
-    for vals, seed in zip(samples, seeds):
-        rng = random.Random(int(seed))
-        limit = int(np.ceil(np.log2(max(len(vals), 2))))
-        fb, fd = [], []
-        for _ in range(IF_TREES):
-            leaves = []
-
-            def grow(v, depth):
-                lo, hi = min(v), max(v)
-                if depth >= limit or len(v) <= 1 or lo == hi:
-                    leaves.append((lo, depth + c(len(v))))
-                    return
-                s = rng.uniform(lo, hi)
-                grow([x for x in v if x < s], depth + 1)
-                grow([x for x in v if x >= s], depth + 1)
-            grow(list(vals), 0)
-            leaves.sort()
-            fb.append([b for b, _ in leaves[1:]])
-            fd.append([dd for _, dd in leaves])
-        out_b.append(fb)
-        out_d.append(fd)
-    return pd.DataFrame({"bounds": out_b, "depths": out_d})
+IF_LEVELS = 24  # of the twin: more than any group's depth limit here
 
 
 @query("win_19_isolation_forest")
 def win19(spark, d):
-    """WIN-19: per vehicle, trees grown on a bounded hash sample (<= 64
-    readings, so no group is ever collected whole), then every reading is
-    scored with array expressions on the JVM side."""
+    """WIN-19: 100 trees a vehicle and owner over all its readings."""
     o = windows.keep_group_max(odometer(spark, d), ["vehicle", "owner", "day"], "kms")
-    keys = ["vehicle", "owner"]
-    h = ml.knuth_hash(F.col("event_id"), 5)
-    from pyspark.sql import Window
-    samp = (o.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(h, "event_id")))
-             .filter(F.col("_r") <= IF_SAMPLE).groupBy(*keys).agg(F.collect_list(F.col("kms").cast("double")).alias("s"),
-                                                                   F.count(F.lit(1)).alias("_ns")))
-    forest = samp.withColumn("f", _grow_forest("s", F.lit(17))).select(*keys, "_ns", "f.bounds", "f.depths")
-    x = o.join(forest, keys)
-    v = F.col("kms").cast("double")
-    paths = F.transform(F.arrays_zip("bounds", "depths"), lambda t: F.element_at(t["depths"], F.size(F.filter(t["bounds"], lambda b: b <= v)) + 1))
-    n = F.col("_ns").cast("double")
-    cn = F.when(n > 2, 2.0 * (F.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n).otherwise(F.lit(1.0))
-    x = x.withColumn("if_score", F.pow(F.lit(2.0), -(F.aggregate(paths, F.lit(0.0), lambda a, b: a + b) / F.size(paths)) / cn))
-    th = x.groupBy(*keys).agg(F.percentile("if_score", 0.9).alias("_t"))
-    return x.join(th, keys).select(*keys, "event_id", rnd("if_score", 6).alias("if_score"),
-                                   (F.col("if_score") > F.col("_t")).cast("bigint").alias("if_outlier"))
+    x = forest.isolation_outliers(o, ["vehicle", "owner"], "kms")
+    return x.select("vehicle", "owner", "event_id", rnd("if_score", 6).alias("if_score"), "if_outlier")
 
 
+def _win19_sql():
+    def c(n):
+        return f"CASE WHEN {n} > 2 THEN 2.0 * (ln(CAST({n} - 1 AS DOUBLE)) + 0.5772156649) - 2.0 * ({n} - 1) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
+    levels = []
+    for k in range(IF_LEVELS):
+        levels.append(f"""w{k} AS MATERIALIZED (SELECT *, min(v) OVER w AS lo, max(v) OVER w AS hi, sum(c) OVER w AS size FROM l{k} WINDOW w AS (PARTITION BY vehicle, owner, tree, node)),
+e{k} AS (SELECT vehicle, owner, v, n, sum(CAST(floor(({k} + {c('size')}) * 1000000000 + 0.5) AS BIGINT)) AS path FROM w{k} WHERE lo = hi OR lim <= {k} GROUP BY ALL),
+l{k + 1} AS MATERIALIZED (SELECT vehicle, owner, v, c, n, lim, tree, node * 2 + CAST(v >= lo + (hi - lo) * ((CAST('0x' || substr(md5('17|' || vehicle || '|' || owner || '|' || tree || '|' || node), 1, 8) AS BIGINT) + 0.5) / 4294967296.0) AS BIGINT) AS node
+  FROM w{k} WHERE NOT (lo = hi OR lim <= {k}))""")
+    ended = " UNION ALL ".join(f"SELECT * FROM e{k}" for k in range(IF_LEVELS))
+    return f"""WITH {ODOMETER_SQL.strip()},
+s1 AS (SELECT * FROM (SELECT *, max(kms) OVER (PARTITION BY vehicle, owner, day) AS mx FROM odometer) WHERE kms = mx),
+cn AS (SELECT vehicle, owner, CAST(kms AS DOUBLE) AS v, count(*) AS c FROM s1 GROUP BY ALL),
+bs AS (SELECT *, sum(c) OVER (PARTITION BY vehicle, owner) AS n FROM cn),
+l0 AS MATERIALIZED (SELECT vehicle, owner, v, c, n, ceil(log2(greatest(n, 2))) AS lim, tree, CAST(1 AS BIGINT) AS node FROM bs, range(1, 101) t(tree)),
+{', '.join(levels)},
+p AS (SELECT vehicle, owner, v, n, sum(path) AS path FROM ({ended}) GROUP BY ALL),
+sc AS (SELECT s1.vehicle, s1.owner, event_id, pow(2.0, -(CAST(path AS DOUBLE) / 1000000000 / 100) / CASE WHEN n > 2 THEN {c('n')} ELSE 1.0 END) AS if_score
+  FROM s1 JOIN p ON s1.vehicle = p.vehicle AND s1.owner = p.owner AND CAST(s1.kms AS DOUBLE) = p.v),
+th AS (SELECT vehicle, owner, quantile_cont(if_score, 0.9) AS t FROM sc GROUP BY ALL)
+SELECT vehicle, owner, event_id, {sql_rnd('if_score', 6)} AS if_score, CAST({sql_rnd('if_score', 6)} > {sql_rnd('t', 6)} AS BIGINT) AS if_outlier FROM sc JOIN th USING (vehicle, owner)"""
+
+
+sql("win_19_isolation_forest", _win19_sql())
+
 # ------------------------------------------------- SQL twins of composed queries
 
 
@@ -616,7 +557,6 @@ def _nested(module, name):
     return importlib.import_module(f"forecourt.plans.{module}").ORACLE[name]
 
 
-sql("job_11_retail_evaluation", _nested("cleaning2", "agg_15_feature_contribution"))
 sql("jon_14_brand_dependent_join", f"""WITH s AS ({_nested("jobs", "opt_05_importer_suggestion")}),
 codes AS (SELECT p_brand, p_type, min(p_size) AS code FROM part GROUP BY p_brand, p_type),
 brands AS (SELECT p_brand, min(code) AS code FROM codes GROUP BY p_brand)
@@ -625,9 +565,6 @@ FROM s LEFT JOIN codes c USING (p_brand, p_type) LEFT JOIN brands b USING (p_bra
 sql("app_02_parts_screen", _agg09_sql().rsplit("SELECT mm.part", 1)[0]
     + f"SELECT mm.part, tt.ta, {sql_rnd('days_to_sell_1_part', 6)} AS days_to_sell_1_part, {sql_rnd('cost')} AS cost "
       "FROM mm JOIN tt USING (part) WHERE days_to_sell_1_part > 0 AND ta NOT IN ('NO_TA', 'Outros')")
-sql("job_05_part_master_matching", _nested("joins", "jon_04_cascade_match").rsplit("SELECT ", 1)[0]
-    + """SELECT * FROM (SELECT DISTINCT ref, coalesce(matched_desc, '') AS "desc" FROM stock LEFT JOIN best USING (ref))
-WHERE coalesce(length(ref) % 3 = 0, true)""")
 
 
 def _job10_sql():

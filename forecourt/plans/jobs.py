@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from forecourt.functions import measures as M
 from forecourt.functions import text as T
 from forecourt.functions.fmt import big, dstr, rnd, sql_rnd
-from forecourt.operators import aggs, alloc, clean, joins, ledger, rules, sets, windows
+from forecourt.operators import aggs, alloc, clean, joins, ledger, rules, windows
 from forecourt.plans import alloc as PA
 from forecourt.plans import measures as PM
+from forecourt.operators.quantiles import quantile_values
 from forecourt.plans import parts as PP
 from forecourt.plans import retail as PR
 from forecourt.plans.registry import query
@@ -135,13 +136,14 @@ def agg26(spark, d):
     grp, make = me.agg(F.max("customer_group")).scalar(), me.agg(F.max("make")).scalar()
     allc = c.filter(F.col("prob") < 0.95)
     sim = c.filter((F.col("customer_group") == grp) & (F.col("make") == make) & (F.col("target") > 0))
-    cut = sim.agg(F.percentile("target", 0.9)).scalar()
+    cut = quantile_values(sim, "target", [0.9])[0]
     kept = sim.filter(F.col("target") <= cut)
+    median = quantile_values(kept, "target", [0.5])[0]
     return allc.agg(
         rnd(F.sum((F.col("prob") < p0).cast("int")) / F.count(F.lit(1)) * 100, 4).alias("pct_all"),
         rnd(F.lit(sim.agg(F.sum((F.col("prob") < p0).cast("int")) / F.count(F.lit(1)) * 100).scalar()), 4).alias("pct_similar"),
         rnd(F.lit(kept.agg(F.avg("target")).scalar()), 2).alias("cost_mean"),
-        rnd(F.lit(kept.agg(F.percentile("target", 0.5)).scalar()), 2).alias("cost_median"),
+        rnd(F.max(median), 2).alias("cost_median"),
         rnd(F.lit(kept.agg(F.min("target")).scalar()), 2).alias("cost_min"),
         rnd(F.lit(kept.agg(F.max("target")).scalar()), 2).alias("cost_max"))
 
@@ -333,24 +335,6 @@ def job04(spark, d):
     return a.select("part", "ta", "quantity")
 
 
-@query("job_05_part_master_matching")
-def job05(spark, d):
-    from forecourt.plans.joins import PASSES, _master, _stock
-    m = joins.cascade_match(_stock(spark, d), _master(spark, d), PASSES, "ref", "mref", "description")
-    new = m.select("ref", F.coalesce("matched_desc", F.lit("")).alias("desc")).distinct()
-    prev = new.filter(F.length("ref") % 3 != 0)
-    return sets.symmetric_difference(sets.union_distinct(new, prev), prev, ["ref", "desc"])
-
-
-@query("job_08_service_desk_labels")
-def job08(spark, d):
-    from forecourt.plans.text import LABEL_RANK, _rule_df
-    r = prepared_requests(spark, d)
-    lr = spark.createDataFrame(LABEL_RANK, "label string, rank int")
-    lab = rules.label_requests(r, "request_num", "tokens", "description", "customer_id", _rule_df(spark), lr, vocab_threshold=2)
-    return lab
-
-
 @query("job_10_odometer_repair")
 def job10(spark, d):
     o = odometer(spark, d)
@@ -361,12 +345,6 @@ def job10(spark, d):
     return o.select("vehicle", "owner", "event_id", dstr("day").alias("day"), "kms", big("kms_diff").alias("kms_diff"))
 
 
-@query("job_11_retail_evaluation")
-def job11(spark, d):
-    from forecourt.plans.cleaning2 import agg15
-    return agg15(spark, d)
-
-
 @query("job_03a_importer_inputs")
 def job03a(spark, d):
     """Current and historic movements in one, one row a product code of an order,
@@ -383,13 +361,3 @@ k AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l
 SELECT k.l_orderkey, k.l_partkey, k.l_linenumber, k.src, c.c_mktsegment, n.n_name AS place, r.r_name AS place_v2 FROM k
 LEFT JOIN orders o ON k.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey WHERE k.rn = 1""")
-
-
-@query("job_03d_importer_evaluation")
-def job03d(spark, d):
-    """Regression results on the test rows, then the choice of the best model."""
-    from forecourt.operators import ml
-    from forecourt.plans.extras import mlx23
-    tested = mlx23(spark, d).filter("dataset = 'test'")
-    c = ml.model_choice(tested, "r2", -1.0, previous=None)
-    return c.select("best_model", rnd("best_score", 6).alias("best_score"), "choice_flag")

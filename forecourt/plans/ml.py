@@ -3,18 +3,21 @@ model fitting (MLlib) rows-only."""
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from forecourt.functions.fmt import big, rnd, sql_rnd
-from forecourt.operators import ml
+from forecourt.operators import ml, search
+from forecourt.operators.features import FeaturePipeline, FittedFeatures
 from forecourt.plans.measures import featured_contracts
 from forecourt.plans.registry import query
 from forecourt.session import scratch_table_path
@@ -299,22 +302,30 @@ def _emb_split(spark, d):
     return s.filter("split = 'train'"), s.filter("split = 'test'")
 
 
+# The registered searches run the folds of the part and request models over a few grid points
+# an estimator; the whole published grids are the defaults of ``search``.
+SEARCH = {"dt": {"minInstancesPerNode": [5], "maxDepth": [3, 6]}, "rf": {"numTrees": [25], "maxDepth": [5]}, "lr": {"C": [0.01, 1.0], "maxIter": [50]},
+          "svm": {"C": [1.0], "maxIter": [20]}, "gc": {"maxIter": [5], "maxDepth": [3]}, "bayes": {}, "ann": {"hidden": [(20, 20)], "maxIter": [50]}}
+SEARCH_REGRESSION = {"rf": {"maxDepth": [5], "numTrees": [50]}, "xgb": {"maxDepth": [3], "maxIter": [20]}, "lasso": {"regParam": [1e-4]},
+                     "ridge": {"regParam": [1e-4, 1e-10]}, "elastic": {"regParam": [1e-4]}}
+
+
 @query("mlx_15_classifier_grid")
 def mlx15(spark, d):
     tr, te = _emb_split(spark, d)
-    best = ml.grid_search(ml.classifiers("features", "label", n_classes=10, n_features=64), tr, ml.eval_f1("label"), folds=2)
-    parts = [m.transform(te).select("vec_id", F.lit(n).alias("model"), F.col("prediction").cast("bigint").alias("prediction"))
-             for n, m in best.items()]
-    from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    found = search.classifiers(tr.select("vec_id", "features", "label"), "vec_id", ml.eval_f1("label"), SEARCH, search.FOLDS_TEXT)
+    return reduce(lambda a, b: a.unionByName(b), [
+        f.model.transform(te).select("vec_id", F.lit(f.name).alias("model"), F.col("prediction").cast("bigint").alias("prediction"),
+                                     F.lit(json.dumps(f.params)).alias("params"), F.lit(round(f.score, 6)).alias("cv_f1")) for f in found])
 
 
 @query("mlx_36_soft_voting")
 def mlx36(spark, d):
+    """All models with probabilities vote."""
     tr, te = _emb_split(spark, d)
-    est = {k: v for k, v in ml.classifiers("features", "label", n_classes=10, n_features=64).items() if k in ("lr", "rf")}
-    best = ml.grid_search(est, tr, ml.eval_f1("label"), folds=2)
-    v = ml.soft_vote({n: m.transform(te) for n, m in best.items()}, "vec_id")
+    grids = {n: g for n, g in SEARCH.items() if n in ("dt", "rf", "lr", "bayes", "ann")}
+    found = search.classifiers(tr.select("vec_id", "features", "label"), "vec_id", ml.eval_f1("label"), grids, search.FOLDS_TEXT)
+    v = ml.soft_vote(search.voters(found, te), "vec_id")
     return v.select("vec_id", F.col("prediction").cast("bigint").alias("prediction"), rnd("max_prob", 6).alias("max_prob"))
 
 
@@ -327,16 +338,15 @@ def _contract_features(spark, d):
 def mlx16(spark, d):
     x = _contract_features(spark, d)
     tr, te = x.filter(F.col("contract_customer") % 5 != 0), x.filter(F.col("contract_customer") % 5 == 0)
-    best = ml.grid_search(ml.regressors("features", "label"), tr, ml.eval_rmse("label"), folds=2)
-    from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b), [m.transform(te).select("contract_customer", F.lit(n).alias("model"), rnd("prediction", 2).alias("prediction"))
-                                                  for n, m in best.items()])
+    found = search.regressors(tr.select("contract_customer", "features", "label"), "contract_customer", ml.eval_rmse("label"), SEARCH_REGRESSION, search.FOLDS_TEXT)
+    return reduce(lambda a, b: a.unionByName(b), [f.model.transform(te).select("contract_customer", F.lit(f.name).alias("model"), rnd("prediction", 2).alias("prediction"),
+                                                                               F.lit(json.dumps(f.params)).alias("params")) for f in found])
 
 
 @query("mlx_17_kmeans_scan")
 def mlx17(spark, d):
     e = ml.vectors(emb(spark, d), "embedding").select("features")
-    return ml.kmeans_scan(e, "features", [2, 3, 4, 5])
+    return ml.kmeans_scan(e, "features", [2, 3, 4, 5], restarts=5)
 
 
 @query("mlx_18_gap_statistic")
@@ -361,10 +371,12 @@ def mlx18(spark, d):
 
 @query("mlx_21_cluster_evaluation")
 def mlx21(spark, d):
-    e = ml.vectors(emb(spark, d), "embedding")
-    pred = KMeans(k=10, seed=7, maxIter=20).fit(e).transform(e)
-    sil = ClusteringEvaluator().evaluate(pred)
-    return pred.groupBy("prediction").agg(F.count(F.lit(1)).alias("size")).withColumn("silhouette", F.lit(round(sil, 6)))
+    """Silhouette of every point, with the size and mean of its cluster."""
+    e = ml.vectors(emb(spark, d), "embedding").select("vec_id", "features")
+    s = ml.silhouettes(ml.kmeans_best(e, "features", 10, restarts=3).transform(e), "features")
+    by_cluster = s.groupBy("prediction").agg(F.count(F.lit(1)).alias("size"), rnd(F.avg("silhouette"), 6).alias("cluster_silhouette"))
+    return s.join(by_cluster, "prediction").select("vec_id", F.col("prediction").cast("bigint").alias("cluster"), rnd("silhouette", 6).alias("silhouette"),
+                                                   "size", "cluster_silhouette")
 
 
 def _doc_text_model_input(spark, d):
@@ -374,38 +386,65 @@ def _doc_text_model_input(spark, d):
     return x
 
 
+def requests_features():
+    """MLX-13: length, category dummies, the text's components."""
+    return FeaturePipeline({"n_chars": "standard"}, ["source"], ["clean"])
+
+
 @query("mlx_31_requests_model")
 def mlx31(spark, d):
+    """Fitted on the labelled requests, predicts the undefined ones."""
     x = _doc_text_model_input(spark, d)
-    pipe = Pipeline(stages=[*ml.text_features("clean", 1 << 12), ml.assemble(["text_features", "n_chars"]),
-                            LogisticRegression(labelCol="quality", maxIter=30, regParam=0.01)])
-    model = pipe.fit(x.filter(F.col("quality").isNotNull()))
-    return model.transform(x.filter(F.col("quality").isNull())).select("doc_id", F.col("prediction").cast("bigint").alias("prediction"))
+    train = x.filter(F.col("quality").isNotNull())
+    fitted = requests_features().fit(train)
+    model = LogisticRegression(labelCol="quality", maxIter=30, regParam=0.01).fit(fitted.transform(train))
+    out = model.transform(fitted.transform(x.filter(F.col("quality").isNull())))
+    return out.select("doc_id", F.col("prediction").cast("bigint").alias("prediction"),
+                      rnd(F.array_max(vector_to_array("probability")), 4).alias("max_prob"))
 
 
 @query("mlx_11_text_svd")
 def mlx11(spark, d):
-    x = _doc_text_model_input(spark, d)
-    h = Pipeline(stages=ml.text_features("clean", 1 << 10)).fit(x).transform(x)
-    return ml.truncated_svd(h, "doc_id", "text_features", k=5).select("doc_id", F.size("components").alias("n_components"))
+    """Components of every text, learned on three quarters of them, stored and read back."""
+    x = _doc_text_model_input(spark, d).select("doc_id", "clean").withColumn("split", F.when(F.col("doc_id") % 4 == 0, "test").otherwise("train"))
+    path = scratch_table_path(spark, f"mlx11_{uuid.uuid4().hex[:8]}")
+    FeaturePipeline(texts=["clean"]).fit(x.filter("split = 'train'")).save(spark, path)
+    out = FittedFeatures.load(spark, path).transform(x)
+    return out.select("doc_id", "split", vector_to_array("features").alias("components"))
+
+
+def part_features():
+    """MLX-12: standardised numbers and the components of the name."""
+    return FeaturePipeline({"p_size": "standard", "p_retailprice": "standard"}, texts=["p_name"])
+
+
+def cascade_models(main_rows, other_rows, rows):
+    """MLX-30: every row scored by the model of the main families; rows whose highest
+    probability is at most 0.5 by the other families' model.  Each model has
+    features learned on its own families.  Adds prediction, max_prob, stage."""
+    def stage(train, name):
+        fitted = part_features().fit(train)
+        model = LogisticRegression(maxIter=20).fit(fitted.transform(train))
+        return lambda df: (model.transform(fitted.transform(df)).withColumn("max_prob", F.array_max(vector_to_array("probability")))
+                           .withColumn("stage", F.lit(name)).select(*df.columns, F.col("prediction").cast("bigint").alias("prediction"), "stage", "max_prob"))
+    s1 = stage(main_rows, "main")(rows)
+    rest = s1.filter(F.col("max_prob") <= 0.5).select(*rows.columns)
+    return s1.filter(F.col("max_prob") > 0.5).unionByName(stage(other_rows, "other")(rest))
+
+
+def labelled_parts(spark, d):
+    """Parts with their family, and its number in first-seen order as the label."""
+    p = read(spark, d, "part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
+    p = p.withColumn("family", F.when(F.col("p_type").isin("PROMO", "ECONOMY"), F.lit("other")).otherwise(F.col("p_type")))
+    idx = ml.first_seen_index(p, "p_type", ["p_partkey"]).withColumnRenamed("label_index", "label")
+    return p.join(idx, "p_type").withColumn("label", F.col("label").cast("double"))
 
 
 def cascade(spark, d):
     """(p_partkey, prediction, stage, max_prob) of the two models."""
-    p = read(spark, d, "part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
-    p = p.withColumn("family", F.when(F.col("p_type").isin("PROMO", "ECONOMY"), F.lit("other")).otherwise(F.col("p_type")))
-    idx = ml.first_seen_index(p, "p_type", ["p_partkey"]).withColumnRenamed("label_index", "label")
-    x = p.join(idx, "p_type").withColumn("label", F.col("label").cast("double"))
-    feats = ml.assemble(["p_size", "p_retailprice"])
-    main_fit = Pipeline(stages=[*ml.text_features("p_name", 1 << 8), ml.assemble(["text_features", "p_size", "p_retailprice"]),
-                                LogisticRegression(maxIter=20)]).fit(x.filter(F.col("family") != "other"))
-    other_fit = Pipeline(stages=[feats, LogisticRegression(maxIter=20)]).fit(x.filter(F.col("family") == "other"))
-    s1 = main_fit.transform(x).withColumn("max_prob", F.array_max(vector_to_array("probability")))
-    keep = s1.filter(F.col("max_prob") > 0.5).select("p_partkey", F.col("prediction").cast("bigint").alias("prediction"), F.lit("main").alias("stage"), "max_prob")
-    rest = x.join(s1.filter(F.col("max_prob") <= 0.5).select("p_partkey"), "p_partkey")
-    s2 = other_fit.transform(rest).select("p_partkey", F.col("prediction").cast("bigint").alias("prediction"), F.lit("other").alias("stage"),
-                                          F.array_max(vector_to_array("probability")).alias("max_prob"))
-    return keep.unionByName(s2)
+    x = labelled_parts(spark, d)
+    out = cascade_models(x.filter(F.col("family") != "other"), x.filter(F.col("family") == "other"), x)
+    return out.select("p_partkey", "prediction", "stage", "max_prob")
 
 
 @query("mlx_30_two_stage_cascade")

@@ -27,6 +27,7 @@ _MODULES = (
     "forecourt.plans.streams",
     "forecourt.plans.jobs",
     "forecourt.plans.extras",
+    "forecourt.plans.jobs_chains",
 )
 
 

@@ -5,14 +5,13 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from forecourt.functions import text as T
 from forecourt.functions.fmt import big, rnd, sql_rnd
-from forecourt.operators import aggs, rules
+from forecourt.operators import aggs, langid, rules, similar
 from forecourt.plans.registry import query
 from forecourt.session import materialize
 from forecourt.sources.fixtures import REQUESTS_SQL, requests
@@ -245,30 +244,22 @@ def str16(spark, d):
     return j.filter((F.col("ratio") >= 0.85) & (F.col("ratio") < 1)).select("word", "keyword", rnd("ratio").alias("ratio"))
 
 
-# Fixed language profiles of this fixture: a few function words per language.
-PROFILES = {"en": ["the", "of", "and", "to", "is", "that", "was", "with"],
-            "fr": ["le", "la", "les", "des", "et", "est", "une", "dans"],
-            "de": ["der", "die", "und", "das", "ist", "nicht", "mit", "ein"],
-            "es": ["el", "los", "las", "del", "que", "por", "una", "con"]}
-
-
 @query("str_17_language_detection")
 def str17(spark, d):
-    doc = read(spark, d, "documents", "doc_id", "text")
-    prof = F.broadcast(spark.createDataFrame([(w, lang) for lang, ws in PROFILES.items() for w in ws], "word string, language string"))
-    toks = doc.select("doc_id", F.explode(aggs.tokens(F.col("text"))).alias("word"))
-    cnt = toks.join(prof, "word").groupBy("doc_id", "language").agg(F.count(F.lit(1)).alias("n"))
-    best = cnt.groupBy("doc_id").agg(F.max_by("language", F.struct("n", F.lit(0) - F.ascii("language"), F.col("language"))).alias("detected"))
-    w = Window.partitionBy("doc_id").orderBy(F.desc("n"), "language")
-    best = cnt.withColumn("rk", F.row_number().over(w)).filter("rk = 1").select("doc_id", F.col("language").alias("detected"))
-    return doc.select("doc_id").join(best, "doc_id", "left").select("doc_id", F.coalesce("detected", F.lit("Undefined")).alias("detected"))
+    """Profiles learned on three quarters of the labelled texts; all texts are scored."""
+    doc = read(spark, d, "documents", "doc_id", "text", "lang")
+    profiles = langid.learn(doc.filter(F.col("doc_id") % 4 != 0), "doc_id", "text", "lang")
+    return langid.detect(doc, "doc_id", "text", profiles)
 
 
-sql("str_17_language_detection", f"""WITH prof AS (SELECT * FROM (VALUES {', '.join(f"('{w}', '{lang}')" for lang, ws in PROFILES.items() for w in ws)}) t(word, language)),
-toks AS (SELECT doc_id, unnest({TOKENS_SQL.format(c='text')}) AS word FROM documents),
-cnt AS (SELECT doc_id, language, count(*) AS n FROM toks JOIN prof USING (word) GROUP BY ALL),
-best AS (SELECT doc_id, language FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, language) AS rk FROM cnt) WHERE rk = 1)
-SELECT d.doc_id, coalesce(b.language, 'Undefined') AS detected FROM documents d LEFT JOIN best b USING (doc_id)""")
+sql("str_17_language_detection", r"""WITH words AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents) GROUP BY ALL),
+gr AS (SELECT doc_id, gram, sum(n) AS n FROM (SELECT doc_id, n, unnest(list_transform(range(1, length(word) + 1), lambda i: substr(' ' || word || ' ', i, 3))) AS gram FROM words) GROUP BY ALL),
+c AS (SELECT lang, gram, sum(n) AS c FROM gr JOIN documents USING (doc_id) WHERE doc_id % 4 <> 0 AND lang IS NOT NULL GROUP BY ALL),
+nl AS (SELECT lang, sum(c) + (SELECT count(DISTINCT gram) FROM c) AS total FROM c GROUP BY lang),
+sc AS (SELECT gr.doc_id, nl.lang, sum(gr.n * CAST(floor(ln(CAST(coalesce(c.c, 0) + 1 AS DOUBLE) / CAST(nl.total AS DOUBLE)) * 1000) AS BIGINT)) AS s
+  FROM gr CROSS JOIN nl LEFT JOIN c ON c.lang = nl.lang AND c.gram = gr.gram GROUP BY ALL),
+best AS (SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, lang) AS rk FROM sc) WHERE rk = 1)
+SELECT d.doc_id, coalesce(best.lang, 'Undefined') AS detected FROM documents d LEFT JOIN best USING (doc_id)""")
 
 
 @query("str_18_shape_counts")
@@ -408,7 +399,7 @@ def str27(spark, d):
     v = _versions(spark, d)
     dead = v.filter(F.col("p_brand") == "Brand#1").select(F.col("p_partkey").alias("old_key"), "tokens")
     live = v.filter(F.col("p_brand") != "Brand#1").select(F.col("p_partkey").alias("new_key"), "tokens")
-    c = T.cosine_similarity(dead, live, "old_key", "new_key")
+    c = similar.cosine_pairs(dead, live, "old_key", "new_key")
     return c.select("old_key", "new_key", rnd("cosine", 6).alias("cosine"))
 
 
@@ -424,9 +415,11 @@ sql("str_27_cosine_similarity", f"WITH {_COS_SQL} SELECT old_key, new_key, {sql_
 
 @query("srt_02_top5_similar")
 def srt02(spark, d):
-    c = str27(spark, d)
-    w = Window.partitionBy("old_key").orderBy(F.desc("cosine"), "new_key")
-    return c.withColumn("rank", F.row_number().over(w)).filter("rank <= 5").select("old_key", "new_key", "cosine", big("rank").alias("rank"))
+    v = _versions(spark, d)
+    dead = v.filter(F.col("p_brand") == "Brand#1").select(F.col("p_partkey").alias("old_key"), "tokens")
+    live = v.filter(F.col("p_brand") != "Brand#1").select(F.col("p_partkey").alias("new_key"), "tokens")
+    best, _ = similar.top_k(dead, live, "old_key", "new_key", 5)
+    return best.select("old_key", "new_key", "cosine", big("rank").alias("rank"))
 
 
 sql("srt_02_top5_similar", f"""WITH {_COS_SQL}, c AS (SELECT old_key, new_key, {sql_rnd('cosine', 6)} AS cosine FROM cos)

@@ -231,7 +231,7 @@ SELECT step, count(DISTINCT CASE WHEN kms_diff < 0 THEN owner END) AS owners_neg
 @query("win_08_group_fill")
 def win08(spark, d):
     e = events_gaps(spark, d)
-    out = windows.group_fill(e, ["user_id"], ["ts", "event_id"], ["value", "value2"])
+    out = windows.group_fill(e, ["user_id"], ["ts", "event_id"], ["value", "value2"], chunk=F.date_trunc("day", "ts"))
     return out.select("event_id", rnd("value").alias("value"), rnd("value2").alias("value2"))
 
 
@@ -247,8 +247,8 @@ sql("win_08_group_fill", f"WITH {EVENTS_GAPS_SQL.strip()} SELECT event_id, {sql_
 @query("win_09_fill_classes")
 def win09(spark, d):
     e = events_gaps(spark, d)
-    a = windows.group_fill(e, ["user_id"], ["ts", "event_id"], ["value"], ffill=False, bfill=False, zero=True)
-    b = windows.group_fill(a, ["user_id"], ["ts", "event_id"], ["value2"], ffill=True, bfill=True, zero=False)
+    a = windows.group_fill(e, ["user_id"], ["ts", "event_id"], ["value"], ffill=False, bfill=False, zero=True, chunk=F.date_trunc("day", "ts"))
+    b = windows.group_fill(a, ["user_id"], ["ts", "event_id"], ["value2"], ffill=True, bfill=True, zero=False, chunk=F.date_trunc("day", "ts"))
     return b.select("event_id", rnd("value").alias("value"), rnd("value2").alias("value2"))
 
 
@@ -309,7 +309,7 @@ sql("win_17_quantity_share_plain", f"WITH {_CFG_SQL} SELECT p_brand, p_type, {sq
 @query("win_18_outlier_scores")
 def win18(spark, d):
     o = _day_max(spark, d)
-    s = windows.outlier_scores_1d(o, OKEYS, "kms", "event_id", 3, 10, 0.1)
+    s = windows.outlier_scores_1d(o, OKEYS, "kms", "event_id", 3, 10, 0.1, chunk=F.floor(F.col("kms") / 1000))
     return s.select(*OKEYS, "event_id", rnd("knn_mean", 6).alias("knn_mean"), rnd("knn_median", 6).alias("knn_median"),
                     rnd("lof", 3).alias("lof"), "knn_mean_outlier", "knn_median_outlier", "lof_outlier")
 

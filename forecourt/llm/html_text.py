@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -58,6 +57,10 @@ SIGNS = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
                   "dialog skip legal copyright".split())
 #: Signs that an article's own header may carry.
 HEADING = frozenset("header masthead banner".split())
+#: Signs that inside an article may as well name a part of it, and elements that never are a branch there.
+SPOKEN = frozenset("search legal comment form discussion replies notice notices alert alerts footer skip copyright respond share "
+                   "related recommended dialog overlay".split())
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr table tbody thead pre blockquote figure figcaption".split())
 
 
 @dataclass
@@ -66,6 +69,8 @@ class Node:
     signs: frozenset[str]
     label: str
     hidden: bool = False
+    #: Signs that are all a class, id or role says.
+    alone: frozenset[str] = frozenset()
     children: list = field(default_factory=list)
 
 
@@ -130,7 +135,8 @@ def _node(name: str, attrs: str) -> Node:
     said = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", said)
     signs = SIGNS.intersection(re.split(r"[^a-z]+", said.lower()))
     hidden = "hidden" in got or "display:none" in got.get("style", "").replace(" ", "").lower()
-    return Node(name, frozenset(signs), f"{name}.{got.get('class', '')}" if got.get("class") else name, hidden)
+    alone = signs.intersection(got.get(k, "").strip().lower() for k in ("class", "id", "role"))
+    return Node(name, frozenset(signs), f"{name}.{got.get('class', '')}" if got.get("class") else name, hidden, frozenset(alone))
 
 
 def dropped(node: Node, inside: bool) -> bool:
@@ -139,98 +145,109 @@ def dropped(node: Node, inside: bool) -> bool:
         return True
     if node.tag in ("html", "body") or node.tag == "article" and not node.signs & {"comment", "comments", "ad", "related"}:
         return False
-    return bool(node.signs - HEADING if inside and node.tag in ("header", "h1", "h2", "div") else node.signs)
+    if inside and node.tag != "article":
+        # Its author's words: a section on search or a legal analysis is no menu.
+        return node.tag not in RUNNING and bool(node.signs - HEADING - (SPOKEN - node.alone))
+    return bool(node.signs)
 
 
-def _place(path: str) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(path))
+def _hash(text: str, seed: int = 0) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(text, seed & (2 ** 64 - 1)))
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _joined(parts: list[int]) -> int:
+    """What stands in an element, from what stands in its children: nothing is 0, and an
+    element around a single one says the same."""
+    if len(parts) < 2:
+        return parts[0] if parts else 0
+    return _signed(xxhash.xxh3_64_intdigest(b"".join(p.to_bytes(8, "little", signed=True) for p in parts)))
+
+
 def places(root: Node) -> tuple[int, list[tuple[int, int, int]]]:
     """The page's vote, which is what its articles say (its main elements, or all of it,
     where there is none), and (place, children's style, content) of the elements that are
-    to be weighed."""
+    to be weighed.  A place is a hash of the labels from the root on."""
     out: list[tuple[int, int, int]] = []
-    said: dict[str, list[str]] = {"article": [], "main": []}
-
-    def walk(node: Node, path: str, inside: bool, article: bool) -> str:
-        parts = []
-        for child in node.children:
+    said: dict[str, list[int]] = {"article": [], "main": []}
+    # Frames: element, place, inside, below an article, children still to come, contents found.
+    stack = [(root, 0, False, False, iter(root.children), [])]
+    whole = 0
+    while stack:
+        node, place, inside, article, rest, parts = stack[-1]
+        for child in rest:
             if isinstance(child, str):
-                parts.append(" ".join(child.split()))
+                if words := " ".join(child.split()):
+                    parts.append(_hash(words))
             elif not dropped(child, inside):
-                content = walk(child, f"{path}/{child.label}", inside or child.tag in ARTICLE, article or child.tag == "article")
-                parts.append(content)
-                if child.tag in said and not article:
-                    said[child.tag].append(content)
-        content = " ".join(p for p in parts if p)
-        if node.tag not in ("#", "html", "body") and content and not (inside and node.tag in INLINE):
-            kinds = ",".join(c.label for c in node.children if isinstance(c, Node))
-            out.append((_place(path), _place(kinds), _place(content)))
-        return content
-
-    whole = _deep(lambda node, path: walk(node, path, False, False), root)
-    return _place("\n".join(said["article"] or said["main"] or [whole])), out
-
-
-def _deep(walk, root: Node, path: str = ""):
-    import sys
-    old = sys.getrecursionlimit()
-    sys.setrecursionlimit(max(old, 20_000))
-    try:
-        return walk(root, path)
-    finally:
-        sys.setrecursionlimit(old)
+                stack.append((child, _hash(child.label, place), inside or child.tag in ARTICLE, article or child.tag == "article", iter(child.children), []))
+                break
+        else:
+            stack.pop()
+            content = _joined(parts)
+            if node.tag not in ("#", "html", "body") and content and not (inside and node.tag in INLINE):
+                kinds = ",".join(c.label for c in node.children if isinstance(c, Node))
+                out.append((place, _hash(kinds), content))
+            if not stack:
+                whole = content
+                continue
+            if content:
+                stack[-1][5].append(content)
+            if node.tag in said and not stack[-1][3]:
+                said[node.tag].append(content)
+    return _joined(said["article"] or said["main"] or [whole]), out
 
 
 def main_text(root: Node, noise: frozenset[int]) -> str:
     """Text of the main and article elements, or of the page where there is none, without
     dropped branches and places of low importance; blocks are joined by one space."""
-    articles: list[tuple[Node, str]] = []
-    blocks: list[str] = []
-
-    def low(node: Node, path: str, inside: bool) -> bool:
-        return bool(noise) and not (inside and node.tag in INLINE) and _place(path) in noise
-
-    def find(node: Node, path: str) -> None:
-        for child in node.children:
+    def low(node: Node, place: int, inside: bool) -> bool:
+        return place in noise and not (inside and node.tag in INLINE)
+
+    articles: list[tuple[Node, int]] = []
+    stack = [(root, 0, iter(root.children))]
+    while stack:
+        _, place, rest = stack[-1]
+        for child in rest:
             if isinstance(child, Node) and not dropped(child, False):
-                here = f"{path}/{child.label}"
+                here = _hash(child.label, place)
                 if low(child, here, False):
                     continue
                 if child.tag in ARTICLE:
                     articles.append((child, here))
                 else:
-                    find(child, here)
+                    stack.append((child, here, iter(child.children)))
+                    break
+        else:
+            stack.pop()
 
-    def take(node: Node, path: str, inside: bool) -> None:
-        for child in node.children:
-            if isinstance(child, str):
-                blocks.append(child)
-                continue
-            here = f"{path}/{child.label}"
-            if child.tag == "br":
-                blocks.append(" ")
-                continue
-            if dropped(child, inside) or low(child, here, inside):
-                continue
-            block = child.tag not in INLINE
-            if block:
-                blocks.append(" ")
-            take(child, here, inside or child.tag in ARTICLE)
-            if block:
-                blocks.append(" ")
-
-    _deep(find, root)
-    for a, path in articles:
+    blocks: list[str] = []
+    for top, start in articles or [(root, 0)]:
         blocks.append(" ")
-        _deep(lambda node, path: take(node, path, True), a, path)
-    if not articles:
-        _deep(lambda node, path: take(node, path, False), root)
+        open_ = [(top, start, bool(articles), iter(top.children))]
+        while open_:
+            node, place, inside, rest = open_[-1]
+            for child in rest:
+                if isinstance(child, str):
+                    blocks.append(child)
+                    continue
+                if child.tag == "br":
+                    blocks.append(" ")
+                    continue
+                here = _hash(child.label, place)
+                if dropped(child, inside) or low(child, here, inside):
+                    continue
+                if child.tag not in INLINE:
+                    blocks.append(" ")
+                open_.append((child, here, inside or child.tag in ARTICLE, iter(child.children)))
+                break
+            else:
+                open_.pop()
+                if node.tag not in INLINE:
+                    blocks.append(" ")
     return " ".join("".join(blocks).split())
 
 

@@ -71,8 +71,11 @@ def test_article_without_the_rest():
     assert html_text.main_text(html_text.parse(PAGE), frozenset()) == "A & B First line Second éé <x> one two"
     assert html_text.main_text(html_text.parse(None), frozenset()) == ""
     assert html_text.main_text(html_text.parse("<p>a < b <unclosed"), frozenset()) == "a < b <unclosed"
-    deep = "<div>" * 3000 + "x" + "</div>" * 3000
-    assert html_text.main_text(html_text.parse(deep), frozenset()) == "x"
+    deep = html_text.parse("<div>" * 100_000 + "x" + "</div>" * 100_000)
+    assert html_text.main_text(deep, frozenset()) == "x" and len(html_text.places(deep)[1]) == 100_000
+    own = ("<article><h1>Courts</h1><section class='search results'><p>On search</p></section><div class='legal-analysis'>Law</div>"
+           "<p class=comment>A remark</p><div class='ad box'>Buy</div><div id=comments>Nice</div><div class=comment>Me too</div></article>")
+    assert html_text.main_text(html_text.parse(own), frozenset()) == "Courts On search Law A remark"
 
 
 def test_site_template_goes(spark):

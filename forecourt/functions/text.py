@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
+from forecourt.session import small
+
 WS_TRIM = r"^[\s]+|[\s]+$"
 
 
@@ -275,7 +277,9 @@ def apply_word_table(df: DataFrame, id_col: str, tokens_col: str, table: DataFra
                      out: str, min_len: int = 0) -> DataFrame:
     """Map every token through a (word, stem) table keeping token order:
     posexplode, join on the word, re-assemble per id in position order.
-    Tokens shorter than ``min_len`` after mapping are dropped."""
+    Tokens shorter than ``min_len`` after mapping are dropped.  A table of up to
+    100,000 words is broadcast, so a very common word is not one task."""
+    table = small(table)
     ex = df.select(id_col, F.posexplode(tokens_col).alias("pos", "word"))
     j = ex.join(table, "word", "left").withColumn("stem", F.coalesce("stem", "word"))
     if min_len:

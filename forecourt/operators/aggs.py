@@ -46,33 +46,23 @@ def multi_grain_averages(df: DataFrame, base: list[str], grains: list[tuple[str,
                          measures=GRAIN_MEASURES, decimals: int | None = 4, source: DataFrame | None = None) -> DataFrame:
     """AGG-03: for each grain (tag, extra key columns) = base + extra, attach
     nr_cars_sold<tag> and the mean of each measure (rounded half-even) to
-    every row.  All grains are computed in ONE aggregation with GROUPING
-    SETS (one shuffle of partial aggregates), then split by grouping id.
+    every row.  Rows are aggregated once, to sums and counts at the finest grain
+    (base and all extras); the grains are rolled up from that small table, whose
+    exchange they share, so no row is expanded once per grain.
     ``source`` (default ``df``) is the frame aggregated - pass the
     materialised base when ``df`` is an expensive derivation of it, so the
     aggregation does not re-run that derivation."""
-    key_cols = list(base)
-    for _, extra in grains:
-        for c in extra:
-            if c not in key_cols:
-                key_cols.append(c)
-    sets = [list(base) + list(extra) for _, extra in grains]
-    nk = len(key_cols)
-
-    def gid(s):
-        return sum(1 << (nk - 1 - i) for i, c in enumerate(key_cols) if c not in s)
-
+    key_cols = list(dict.fromkeys([*base, *(c for _, extra in grains for c in extra)]))
     src = df if source is None else source
-    agg = (src.groupingSets(sets, *key_cols)
-             .agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n"),
-                  *[F.avg(src).alias(f"_m{i}") for i, (_, src) in enumerate(measures)]))
+    fine = src.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"),
+                                      *[f(c).alias(f"_{t}{i}") for i, (_, c) in enumerate(measures) for t, f in (("s", F.sum), ("c", F.count))])
     out = df
-    for (tag, extra), s in zip(grains, sets):
-        part = agg.filter(F.col("_gid") == gid(s)).select(
-            *s, F.col("_n").cast("bigint").alias(f"nr_cars_sold{tag}"),
-            *[(rnd(F.col(f"_m{i}"), decimals) if decimals is not None else F.col(f"_m{i}"))
-              .alias(f"{name}{tag}") for i, (name, _) in enumerate(measures)])
-        out = out.join(part, on=s, how="inner")
+    for tag, extra in grains:
+        keys = [*base, *extra]
+        mean = [F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}")) for i in range(len(measures))]
+        part = fine.groupBy(*keys).agg(F.sum("_n").cast("bigint").alias(f"nr_cars_sold{tag}"),
+                                       *[(rnd(m, decimals) if decimals is not None else m).alias(f"{name}{tag}") for m, (name, _) in zip(mean, measures)])
+        out = out.join(part, on=keys, how="inner")
     return out
 
 

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.operators.clean import bounded_rows
+from forecourt.session import small
 
 
 def group_values(df: DataFrame, col: str, mapping: DataFrame, out: str, id_col: str):
     """CLS-01: map values through a (Original_Value, Mapped_Value) table;
     returns (mapped frame, unmapped report (value, id), fail flag frame).
-    The mapping is a bounded dimension (broadcast)."""
-    m = F.broadcast(mapping.select(F.col("Original_Value").alias("_o"), F.col("Mapped_Value").alias(out)))
+    The mapping is broadcast while it is small."""
+    m = small(mapping.select(F.col("Original_Value").alias("_o"), F.col("Mapped_Value").alias(out)))
     j = df.join(m, F.col(col) == F.col("_o"), "left").drop("_o")
     unmapped = j.filter(F.col(out).isNull() & F.col(col).isNotNull()).select(col, id_col).distinct()
     flag = unmapped.agg((F.count(F.lit(1)) > 0).cast("bigint").alias("non_parametrized_data_flag"))
@@ -37,7 +38,7 @@ def sell_place(df: DataFrame, text_col: str, districts: DataFrame, default_prefi
     x = first_contained(df, text_col, voc, "_d")
     x = x.withColumn("place_level_2", F.coalesce(F.col("_d"), F.when(F.substring(text_col, 1, len(default_prefix)) == default_prefix,
                                                                         F.lit(default_place)))).drop("_d")
-    grp = F.broadcast(districts.select(F.col("district").alias("_k"), F.col("group").alias("place_level_1")))
+    grp = small(districts.select(F.col("district").alias("_k"), F.col("group").alias("place_level_1")))
     return x.join(grp, F.col("place_level_2") == F.col("_k"), "left").drop("_k")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.operators.clean import bounded_rows
+from forecourt.session import small
 
 UNDEFINED = "Não Definido"
 
@@ -31,7 +32,7 @@ def keyword_matches(requests: DataFrame, id_col: str, tokens_col: str, rules: Da
     and bigrams are built only for requests that contain every word of some
     consecutive rule, so the work follows the rule hits, not the text volume."""
     wr = rules.filter(F.col("kind").isin("single", "all", "consecutive"))
-    rule_words = F.broadcast(wr.select(F.explode(F.array_distinct("words")).alias("tok")).distinct())
+    rule_words = small(wr.select(F.explode(F.array_distinct("words")).alias("tok")).distinct())
     # rule-word occurrences with their positions: the only tokens carried on
     occ = (requests.select(id_col, F.posexplode(tokens_col).alias("pos", "tok"))
                    .join(rule_words, "tok"))
@@ -46,13 +47,13 @@ def keyword_matches(requests: DataFrame, id_col: str, tokens_col: str, rules: Da
         wr = wr.join(ok, "rule_id").filter(F.col("_k") == F.size(F.array_distinct("words"))).drop("_k")
     rw = wr.select("rule_id", "label", "kind", F.size(F.array_distinct("words")).alias("_nd"),
                    F.explode(F.array_distinct("words")).alias("tok"))
-    present = (rt.join(F.broadcast(rw), "tok").groupBy(id_col, "rule_id", "label", "kind", "_nd")
+    present = (rt.join(small(rw), "tok").groupBy(id_col, "rule_id", "label", "kind", "_nd")
                  .agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") == F.col("_nd")))
     cons_rules = wr.filter(F.col("kind") == "consecutive")
     pairs = cons_rules.select("rule_id", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("words") - 1),
         lambda i: F.struct(F.element_at("words", i).alias("w1"), F.element_at("words", i + 1).alias("w2")))).alias("p"))
-    rp = F.broadcast(pairs.select("rule_id", F.col("p.w1").alias("tok"), F.col("p.w2").alias("tok2")))
+    rp = small(pairs.select("rule_id", F.col("p.w1").alias("tok"), F.col("p.w2").alias("tok2")))
     # adjacent occurrences: token at p and the next token at p + 1
     nxt = occ.select(id_col, (F.col("pos") - 1).alias("pos"), F.col("tok").alias("tok2"))
     adj = occ.join(nxt, [id_col, "pos"])

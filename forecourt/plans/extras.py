@@ -497,7 +497,7 @@ LEMMAS = {"the": "the", "was": "be", "are": "be", "is": "be", "les": "le", "des"
 def str12(spark, d):
     doc = read(spark, d, "documents", "doc_id", "text").withColumn("tokens", aggs.tokens(F.col("text")))
     table = spark.createDataFrame(list(LEMMAS.items()), "word string, stem string")
-    out = T.apply_word_table(doc, "doc_id", "tokens", F.broadcast(table), "lemmas")
+    out = T.apply_word_table(doc, "doc_id", "tokens", table, "lemmas")
     return out.select("doc_id", F.size(F.filter("lemmas", lambda x: x == "be")).alias("n_be"))
 
 

@@ -10,6 +10,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from forecourt.functions.fmt import big, dstr, rnd, sql_rnd
+from forecourt.operators import ml
 from forecourt.plans.registry import query
 from forecourt.session import scratch_table_path
 from forecourt.sources import io
@@ -111,7 +112,7 @@ sql("src_07_fixed_width", "SELECT CAST(p_partkey AS VARCHAR) AS part_ref, trim(s
 @query("src_09_platform_union")
 def src09(spark, d):
     c = read(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    platforms = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    platforms = ml.all_values(c, "c_mktsegment")
     frames = [c.filter(F.col("c_mktsegment") == s).select("c_custkey", "c_nationkey") for s in platforms]
     u = io.union_frames(frames, "platform", platforms)
     n = F.broadcast(read(spark, d, "nation", "n_nationkey", "n_name"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forecourt.functions.fmt import big, dstr, rnd, sql_rnd
-from forecourt.operators import joins, sets
+from forecourt.operators import joins, ml, sets
 from forecourt.plans.registry import query
+from forecourt.session import small
 from forecourt.sources.fixtures import places
 from forecourt.sources.tables import LINE_KEY, read
 
@@ -46,7 +47,7 @@ def _jon02(spark, d):
            .select(F.col("c_mktsegment").alias("Original_Value"),
                    F.substring("c_mktsegment", 1, 3).alias("Mapped_Value")))
     out = c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left").withColumnRenamed("n_name", "place")
-    out = joins.map_values(out, "place", F.broadcast(_place_map(spark, d)), "place_v2")
+    out = joins.map_values(out, "place", small(_place_map(spark, d)), "place_v2")
     out = joins.map_values(out, "c_mktsegment", seg, "segment_group")
     return out.select("c_custkey", "place", "place_v2", "segment_group")
 
@@ -397,7 +398,7 @@ UNION ALL SELECT {LK}, 'history' AS src FROM lineitem WHERE l_shipdate < TIMESTA
 def set02(spark, d):
     c = read(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     frames = [c.filter(F.col("c_mktsegment") == s).select(F.lit(s).alias("platform"), F.col("c_nationkey").alias("code"))
-              for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")]
+              for s in ml.all_values(c, "c_mktsegment")]
     return sets.union_all(frames).distinct()
 
 

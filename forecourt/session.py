@@ -81,3 +81,10 @@ def materialize(df, how: str = "persist"):
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small(df, rows: int = 100_000):
+    """``df`` marked for broadcast if it has at most ``rows`` rows; otherwise as it is, and
+    the join shuffles.  Reads no more than ``rows`` + 1 rows to tell."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -88,7 +88,7 @@ def _pass(rows: DataFrame, column: str, w: np.ndarray) -> np.ndarray:
     summed = parts.groupBy("bucket").agg(*[F.sum(f"z{i}").alias(f"z{i}") for i in range(width)]).toArrow()
     out = np.zeros_like(w)
     out[summed.column("bucket").to_numpy()] = np.column_stack([summed.column(f"z{i}").to_numpy() for i in range(width)])
-    shared.unpersist()
+    shared.destroy()  # its file on the driver goes too
     return out
 
 

@@ -18,6 +18,7 @@ from forecourt.operators.quantiles import quantile_values
 from forecourt.plans import parts as PP
 from forecourt.plans import retail as PR
 from forecourt.plans.registry import query
+from forecourt.sources import io
 from forecourt.sources.fixtures import (CONTRACTS_SQL, EVENTS_GAPS_SQL, ODOMETER_SQL, REQUESTS_SQL, contracts, odometer,
                                         requests)
 from forecourt.sources.tables import LINE_KEY, read
@@ -270,7 +271,6 @@ SELECT p.p_partkey, h.family FROM p LEFT JOIN h USING (p_partkey)""")
 
 @query("app_01_importer_screen")
 def app01(spark, d):
-    from forecourt.sources import io
     s = io.scan_filter(read(spark, d, "orders"), {"o_orderstatus": ["F", "O"]}, ["o_orderkey", "o_orderpriority", "o_totalprice"])
     return clean.lowercase(s, ["o_orderpriority"]).select("o_orderkey", "o_orderpriority", rnd("o_totalprice", 2).alias("o_totalprice"))
 
@@ -321,15 +321,23 @@ def job03(spark, d):
     c = c.filter(F.col("reg_ts").isNotNull())
     c = windows.month_window_counts(c, ["p_brand", "p_type"], "reg_ts", ["reg_ts", "l_orderkey", "l_linenumber"], months=6)
     c = aggs.group_number(c, ["p_brand", "p_type"], out="configuration_group")
-    return c.select("l_orderkey", "l_linenumber", "configuration_group", "sales_month-1", "sales_month-1_cum",
-                    rnd("Fixed_Margin_I", 4).alias("Fixed_Margin_I"))
+    out = io.stored(c.select("l_orderkey", "l_linenumber", "configuration_group", "sales_month-1", "sales_month-1_cum",
+                             rnd("Fixed_Margin_I", 4).alias("Fixed_Margin_I")), "job03")
+    if io.volume_gate(out, "l_orderkey").first()["status"] == "error":
+        raise ValueError("fewer vehicles than a run needs")
+    return out
 
 
 @query("job_04_parts_metrics_and_allocation")
 def job04(spark, d):
+    """Stops when the last movement day is processed already; metrics and groups are
+    stored, the allocation reads them."""
+    moved = read(spark, d, "lineitem", "l_shipdate")
+    if io.watermark(moved, "l_shipdate", "2100-01-01").first()["already_processed"]:
+        raise ValueError("the last day is processed already")
     m = PP.metrics(spark, d)
     ta = ledger.part_type(PP._ta_input(spark, d), "part", "product_group", "part_desc", PP.OIL_WORDS)
-    x = m.join(ta, "part", "left").withColumn("pse_code", F.lit("P0"))
+    x = io.stored(m.join(ta, "part", "left").withColumn("pse_code", F.lit("P0")), "job04_metrics")
     a = alloc.parts_allocation(x.filter(F.col("days_to_sell_1_part").isNotNull()), ["pse_code", "ta"], ["part"], "cost",
                                "days_to_sell_1_part", 30.0, max_parts=F.lit(200))
     return a.select("part", "ta", "quantity")

@@ -257,7 +257,7 @@ def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def roc_points(df: DataFrame, label: str, score: str, group: str | None = None, chunks: int = 200) -> DataFrame:
     """MLX-27: ROC curve points (one per distinct score, descending), each with the
-    point before it.  Computed on per-score counts as a scan over ``chunks`` score
+    point before it; rates are null where a class is missing.  Computed on per-score counts as a scan over ``chunks`` score
     ranges, so no task holds the whole curve."""
     g = [group] if group else []
     c = df.groupBy(*g, score).agg(F.sum((F.col(label) == 1).cast("long")).alias("_p"),
@@ -270,8 +270,8 @@ def roc_points(df: DataFrame, label: str, score: str, group: str | None = None,
     else:
         x = x.withColumns({"_tp": c.agg(F.sum("_p")).scalar(), "_tn": c.agg(F.sum("_n")).scalar()})
     p, n = F.col("_r_cum__p"), F.col("_r_cum__n")
-    return x.select(*g, score, (p / F.col("_tp")).alias("tpr"), (n / F.col("_tn")).alias("fpr"),
-                    ((p - F.col("_p")) / F.col("_tp")).alias("tpr_before"), ((n - F.col("_n")) / F.col("_tn")).alias("fpr_before"))
+    return x.select(*g, score, F.try_divide(p, F.col("_tp")).alias("tpr"), F.try_divide(n, F.col("_tn")).alias("fpr"),
+                    F.try_divide(p - F.col("_p"), F.col("_tp")).alias("tpr_before"), F.try_divide(n - F.col("_n"), F.col("_tn")).alias("fpr_before"))
 
 
 def auc(points: DataFrame, group: str | None = None) -> DataFrame:

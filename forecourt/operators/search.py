@@ -175,8 +175,8 @@ def classification_results(found: list[Found], datasets: dict[str, DataFrame]) -
             s = probabilities(f, df).select("label", "prediction", "p").persist()
             r = classification_summary(classification_metrics(s, "label", "prediction")).first()
             two = s.where("size(p) = 2")
-            area = None if two.isEmpty() else auc(roc_points(two.select(F.col("label").cast("int").alias("label"), F.col("p")[1].alias("score")), "label", "score")).first()[0]
-            rows.append((f.name, dataset, *[float(r[n]) for n in names], area, *_tail(f)))
+            area = None if two.isEmpty() else auc(roc_points(two.select(F.col("label").cast("int").alias("label"), F.get("p", F.lit(1)).alias("score")), "label", "score")).first()
+            rows.append((f.name, dataset, *[float(r[n]) for n in names], area[0] if area else None, *_tail(f)))
             s.unpersist()
     return spark.createDataFrame(rows, RESULT.format(", ".join(f"{n} double" for n in [*names, "roc_auc"]) + ","))
 

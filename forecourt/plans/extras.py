@@ -168,9 +168,10 @@ def mlx13(spark, d):
 
 
 def _binary_fits(spark, d, names=("dt", "rf", "lr", "svm", "gc", "bayes", "ann")):
-    """Whether a contract has costs: train and test rows and the searched models."""
+    """Whether a contract costs more than the mean: train and test rows and the searched models."""
     from forecourt.plans.ml import SEARCH, _contract_features
-    x = _contract_features(spark, d).withColumn("label", (F.col("label") > 0).cast("double")).select("contract_customer", "customer_group", "features", "label")
+    x = materialize(_contract_features(spark, d).select("contract_customer", "customer_group", "features", "label"), "checkpoint")
+    x = x.withColumn("label", (F.col("label") > x.agg(F.avg("label")).first()[0]).cast("double"))
     tr, te = x.filter(F.col("contract_customer") % 5 != 0), x.filter(F.col("contract_customer") % 5 == 0)
     return tr, te, search.classifiers(tr, "contract_customer", ml.eval_f1("label"), {n: SEARCH[n] for n in names}, search.FOLDS_TEXT)
 
@@ -184,7 +185,7 @@ def mlx22(spark, d):
 @query("mlx_23_regression_results")
 def mlx23(spark, d):
     from forecourt.plans.ml import SEARCH_REGRESSION, _contract_features
-    x = _contract_features(spark, d).select("contract_customer", "features", "label")
+    x = materialize(_contract_features(spark, d).select("contract_customer", "features", "label"), "checkpoint")
     tr, te = x.filter(F.col("contract_customer") % 5 != 0), x.filter(F.col("contract_customer") % 5 == 0)
     found = search.regressors(tr, "contract_customer", ml.eval_rmse("label"), SEARCH_REGRESSION, search.FOLDS_TEXT)
     return search.regression_results(found, {"train": tr, "test": te})
@@ -193,7 +194,7 @@ def mlx23(spark, d):
 @query("mlx_24_probabilities")
 def mlx24(spark, d):
     tr, te, found = _binary_fits(spark, d, ("lr", "rf", "bayes"))
-    frames = [search.probabilities(f, df).select("contract_customer", F.lit(f.name).alias("model"), F.lit(n).alias("dataset"), rnd(F.col("p")[1], 6).alias("p1"))
+    frames = [search.probabilities(f, df).select("contract_customer", F.lit(f.name).alias("model"), F.lit(n).alias("dataset"), rnd(F.get("p", F.lit(1)), 6).alias("p1"))
               for f in found for n, df in (("train", tr), ("test", te))]
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -217,7 +217,7 @@ def job11(spark, d):
     results = search.classification_results(found, {"train": tr, "test": te}).persist()
     rows = results.select(F.lit("result").alias("section"), "model", F.col("dataset").alias("key"), rnd("f1_weighted", 6).alias("value"))
     scored = reduce(lambda a, b: a.unionByName(b), [search.probabilities(f, te).select(F.lit(f.name).alias("model"), F.col("label").cast("int").alias("label"),
-                                                                                      F.col("p")[1].alias("score"), "prediction", "customer_group") for f in found]).persist()
+                                                                                      F.get("p", F.lit(1)).alias("score"), "prediction", "customer_group") for f in found]).persist()
     area = ml.auc(ml.roc_points(scored, "label", "score", "model"), "model")
     rows = rows.unionByName(area.select(F.lit("auc").alias("section"), "model", F.lit("test").alias("key"), rnd("auc", 6).alias("value")))
     frames = scored.groupBy("model", "customer_group").agg(F.avg("prediction").alias("v"))

@@ -20,7 +20,7 @@ from forecourt.operators import ml, search
 from forecourt.operators.features import FeaturePipeline, FittedFeatures
 from forecourt.plans.measures import featured_contracts
 from forecourt.plans.registry import query
-from forecourt.session import scratch_table_path
+from forecourt.session import materialize, scratch_table_path
 from forecourt.sources.fixtures import EVENTS_GAPS_SQL, LANG_PRED_SQL, events_gaps, lang_predictions
 from forecourt.sources.tables import read
 
@@ -297,17 +297,17 @@ SELECT best_model, {sql_rnd('best_score', 6)} AS best_score, CAST(CASE WHEN best
 
 
 def _emb_split(spark, d):
-    e = ml.vectors(emb(spark, d), "embedding")
-    s = ml.stratified_split(e, "label", "vec_id", 0.25, seed=11)
+    e = ml.vectors(emb(spark, d), "embedding").select("vec_id", "label", "features")
+    s = materialize(ml.stratified_split(e, "label", "vec_id", 0.25, seed=11), "checkpoint")
     return s.filter("split = 'train'"), s.filter("split = 'test'")
 
 
 # The registered searches run the folds of the part and request models over a few grid points
 # an estimator; the whole published grids are the defaults of ``search``.
-SEARCH = {"dt": {"minInstancesPerNode": [5], "maxDepth": [3, 6]}, "rf": {"numTrees": [25], "maxDepth": [5]}, "lr": {"C": [0.01, 1.0], "maxIter": [50]},
-          "svm": {"C": [1.0], "maxIter": [20]}, "gc": {"maxIter": [5], "maxDepth": [3]}, "bayes": {}, "ann": {"hidden": [(20, 20)], "maxIter": [50]}}
-SEARCH_REGRESSION = {"rf": {"maxDepth": [5], "numTrees": [50]}, "xgb": {"maxDepth": [3], "maxIter": [20]}, "lasso": {"regParam": [1e-4]},
-                     "ridge": {"regParam": [1e-4, 1e-10]}, "elastic": {"regParam": [1e-4]}}
+SEARCH = {"dt": {"minInstancesPerNode": [5], "maxDepth": [3, 5]}, "rf": {"numTrees": [10], "maxDepth": [5]}, "lr": {"C": [1.0], "maxIter": [30]},
+          "svm": {"C": [1.0], "maxIter": [10]}, "gc": {"maxIter": [3], "maxDepth": [3]}, "bayes": {}, "ann": {"hidden": [(20, 20)], "maxIter": [30]}}
+SEARCH_REGRESSION = {"rf": {"maxDepth": [5], "numTrees": [10]}, "xgb": {"maxDepth": [3], "maxIter": [5]}, "lasso": {"regParam": [1e-4], "maxIter": [50]},
+                     "ridge": {"regParam": [1e-4, 1e-10]}, "elastic": {"regParam": [1e-4], "maxIter": [50]}}
 
 
 @query("mlx_15_classifier_grid")
@@ -336,7 +336,7 @@ def _contract_features(spark, d):
 
 @query("mlx_16_regressor_grid")
 def mlx16(spark, d):
-    x = _contract_features(spark, d)
+    x = materialize(_contract_features(spark, d).select("contract_customer", "features", "label"), "checkpoint")
     tr, te = x.filter(F.col("contract_customer") % 5 != 0), x.filter(F.col("contract_customer") % 5 == 0)
     found = search.regressors(tr.select("contract_customer", "features", "label"), "contract_customer", ml.eval_rmse("label"), SEARCH_REGRESSION, search.FOLDS_TEXT)
     return reduce(lambda a, b: a.unionByName(b), [f.model.transform(te).select("contract_customer", F.lit(f.name).alias("model"), rnd("prediction", 2).alias("prediction"),
@@ -346,7 +346,7 @@ def mlx16(spark, d):
 @query("mlx_17_kmeans_scan")
 def mlx17(spark, d):
     e = ml.vectors(emb(spark, d), "embedding").select("features")
-    return ml.kmeans_scan(e, "features", [2, 3, 4, 5], restarts=5)
+    return ml.kmeans_scan(e, "features", [2, 3, 4, 5], restarts=3)
 
 
 @query("mlx_18_gap_statistic")

@@ -108,6 +108,11 @@ def balanced(df: DataFrame) -> DataFrame:
     return df.join(sizes, "label").withColumn("weight", n / (k * F.col("_n"))).drop("_n")
 
 
+def _held(df: DataFrame, rows: int) -> DataFrame:
+    """Persisted for the search, a partition per 100,000 rows: an iteration is one job."""
+    return df.repartition(max(1, -(-rows // 100_000)), "fold", F.xxhash64("label")).persist()
+
+
 def _search(name: str, make, grid: list[dict], train: DataFrame, evaluator: Evaluator, folds: int) -> Found:
     """One cross-validation per grid point on the shared folds; the best point is refitted on all rows."""
     started, best = time.time(), None
@@ -126,8 +131,8 @@ def classifiers(train: DataFrame, key: str, evaluator: Evaluator, grids: dict[st
     """MLX-15: the best of every estimator in ``grids`` for (features, label) of ``train``.  Boosting
     and the linear machine are binary in MLlib: with more classes they are fitted one against the rest."""
     grids = CLASSIFIER_GRIDS if grids is None else grids
-    x = with_folds(balanced(train) if weighted else train, key, folds).persist()
-    n, classes = x.agg(F.count(F.lit(1)), F.max("label")).first()
+    n, classes = train.agg(F.count(F.lit(1)), F.max("label")).first()
+    x = _held(with_folds(balanced(train) if weighted else train, key, folds), n)
     width = len(x.first()["features"])
     out = [_search(name, lambda p, name=name: _classifier(name, n, width, int(classes) + 1, "weight" if weighted else None, p),
                    points(grid), x, evaluator, folds) for name, grid in grids.items()]
@@ -137,7 +142,7 @@ def classifiers(train: DataFrame, key: str, evaluator: Evaluator, grids: dict[st
 
 def regressors(train: DataFrame, key: str, evaluator: Evaluator, grids: dict[str, dict[str, list]] | None = None, folds: int = FOLDS) -> list[Found]:
     """MLX-16: the best of every regressor in ``grids`` for (features, label) of ``train``."""
-    x = with_folds(train, key, folds).persist()
+    x = _held(with_folds(train, key, folds), train.count())
     out = [_search(name, lambda p, name=name: _regressor(name, p), points(grid), x, evaluator, folds)
            for name, grid in (REGRESSOR_GRIDS if grids is None else grids).items()]
     x.unpersist()

@@ -44,13 +44,15 @@ def learn(train: DataFrame, id_col: str, text_col: str, lang_col: str) -> Profil
     sums = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("c").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(sums) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not sums:
+        return Profiles([], train.sparkSession.createDataFrame([], "gram string, score array<bigint>"), [])
     languages, grams = sorted(sums), counts.select("gram").distinct().count()
 
     def milli(c, lang):
         return F.floor(F.log((c + 1).cast("double") / F.lit(float(sums[lang] + grams))) * 1000)
     wide = counts.groupBy("gram").agg(*[F.coalesce(F.max(F.when(F.col("lang") == x, F.col("c"))), F.lit(0)).alias(f"c{i}") for i, x in enumerate(languages)])
     scores = wide.select("gram", F.array(*[milli(F.col(f"c{i}"), x) for i, x in enumerate(languages)]).alias("score"))
-    one = train.sparkSession.range(1).select(*[milli(F.lit(0), x).alias(f"u{i}") for i, x in enumerate(languages)]).first() if languages else []
+    one = train.sparkSession.range(1).select(*[milli(F.lit(0), x).alias(f"u{i}") for i, x in enumerate(languages)]).first()
     return Profiles(languages, scores, [int(x) for x in one])
 
 

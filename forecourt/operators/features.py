@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from forecourt.operators.ml import top_values
 BUCKETS, COMPONENTS = 100_000, 50
 OVERSAMPLE, PASSES = 10, 5
 TOP_VALUES = 100
+#: Tokens multiplied at once (or one longer text): a product holds so many rows of the matrix.
+ENTRIES = 1 << 16
 #: Words of at least two word characters.
 TOKEN = r"\w\w+"
 
@@ -61,14 +64,23 @@ def _times(row: np.ndarray, bucket: np.ndarray, weight: np.ndarray, n: int, matr
     return out
 
 
+def _slices(tokens: pa.Array) -> Iterator[pa.Array]:
+    """A batch's texts in runs of about ``ENTRIES`` tokens."""
+    upto = np.cumsum(pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    starts = np.flatnonzero(np.diff(upto // ENTRIES, prepend=-1))
+    for a, b in zip(starts, [*starts[1:], len(tokens)]):
+        yield tokens.slice(a, b - a)
+
+
 def _normal_product(shared, column: str):
-    """Partial sums of A' (A W) by bucket, W the shared matrix."""
+    """Partial sums of A' (A W) by bucket, W the shared matrix of the shared buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
+        met, w = shared.value
         total = np.zeros_like(w)
-        for batch in batches:
-            row, bucket, weight = _sparse(batch.column(column))
-            y = _times(row, bucket, weight, batch.num_rows, w)
+        for tokens in (x for batch in batches for x in _slices(batch.column(column))):
+            row, bucket, weight = _sparse(tokens)
+            bucket = np.searchsorted(met, bucket)
+            y = _times(row, bucket, weight, len(tokens), w)
             order = np.argsort(bucket, kind="stable")
             if len(order):
                 starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
@@ -77,17 +89,17 @@ def _normal_product(shared, column: str):
         for a in range(0, len(at), 4096):
             some = at[a:a + 4096]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *[pa.array(total[some, i]) for i in range(w.shape[1])]],
-                                             ["bucket", *(f"z{i}" for i in range(w.shape[1]))])
+                                             ["place", *(f"z{i}" for i in range(w.shape[1]))])
     return run
 
 
-def _pass(rows: DataFrame, column: str, w: np.ndarray) -> np.ndarray:
+def _pass(rows: DataFrame, column: str, met: np.ndarray, w: np.ndarray) -> np.ndarray:
     width = w.shape[1]
-    shared = rows.sparkSession.sparkContext.broadcast(w)  # buckets x width, whatever the rows
-    parts = rows.mapInArrow(_normal_product(shared, column), ", ".join(["bucket long", *(f"z{i} double" for i in range(width))]))
-    summed = parts.groupBy("bucket").agg(*[F.sum(f"z{i}").alias(f"z{i}") for i in range(width)]).toArrow()
+    shared = rows.sparkSession.sparkContext.broadcast((met, w))  # met buckets x width, whatever the rows
+    parts = rows.mapInArrow(_normal_product(shared, column), ", ".join(["place long", *(f"z{i} double" for i in range(width))]))
+    summed = parts.groupBy("place").agg(*[F.sum(f"z{i}").alias(f"z{i}") for i in range(width)]).toArrow()
     out = np.zeros_like(w)
-    out[summed.column("bucket").to_numpy()] = np.column_stack([summed.column(f"z{i}").to_numpy() for i in range(width)])
+    out[summed.column("place").to_numpy()] = np.column_stack([summed.column(f"z{i}").to_numpy() for i in range(width)])
     shared.destroy()  # its file on the driver goes too
     return out
 
@@ -103,14 +115,22 @@ class TextModel:
         """All rows with the components as an array column ``out``; a text without tokens is the origin."""
         hashed = df.withColumn("_tokens", hashed_tokens(F.col(self.column), len(self.vectors)))
         schema = T.StructType([*[f for f in hashed.schema.fields if f.name != "_tokens"], T.StructField(out, T.ArrayType(T.DoubleType()))])
-        shared = df.sparkSession.sparkContext.broadcast(self.vectors)
+        met = np.flatnonzero(self.vectors.any(axis=1))  # other buckets add nothing
+        shared = df.sparkSession.sparkContext.broadcast((met, self.vectors[met]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            v = shared.value
+            met, v = shared.value
             for batch in batches:
-                y = _times(*_sparse(batch.column("_tokens")), batch.num_rows, v)
+                y = [np.zeros((0, v.shape[1]))]
+                for tokens in _slices(batch.column("_tokens")):
+                    row, bucket, weight = _sparse(tokens)
+                    at = np.searchsorted(met, bucket)
+                    known = np.isin(bucket, met)
+                    y.append(_times(row[known], at[known], weight[known], len(tokens), v))
+                y = np.concatenate(y)
                 kept = [c for c in batch.schema.names if c != "_tokens"]
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(list(y), pa.list_(pa.float64()))], [*kept, out])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1) * y.shape[1], pa.int32()), pa.array(y.ravel()))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], lists], [*kept, out])
         return hashed.mapInArrow(run, schema)
 
 
@@ -119,15 +139,21 @@ def fit_text(train: DataFrame, column: str, components: int = COMPONENTS, bucket
     """Truncated SVD of the hashed token matrix of ``train``.  Fewer components than asked for
     where the matrix has no more (none for an empty table)."""
     rows = train.select(hashed_tokens(F.col(column), buckets).alias("tokens")).persist()
+    found = rows.select(F.explode("tokens").alias("b")).select((F.abs("b") - 1).alias("b")).distinct().toArrow()  # at most all buckets
+    met = np.sort(found.column("b").to_numpy()).astype(np.int64)
+    if not len(met):
+        rows.unpersist()
+        return TextModel(column, np.zeros((buckets, 0)), np.zeros(0))
     width = min(buckets, components + OVERSAMPLE)
-    w = np.linalg.qr(np.random.default_rng(seed).standard_normal((buckets, width)))[0]
+    w = np.linalg.qr(np.random.default_rng(seed).standard_normal((buckets, width)))[0][met]
     for _ in range(passes):
-        w = np.linalg.qr(_pass(rows, "tokens", w))[0]
-    image = _pass(rows, "tokens", w)
+        w = np.linalg.qr(_pass(rows, "tokens", met, w))[0]
+    image = _pass(rows, "tokens", met, w)
     values, turn = np.linalg.eigh(w.T @ image)
     order = np.argsort(-values)[:components]
     order = order[values[order] > 1e-12 * max(values.max(), 1e-300)] if values.max() > 0 else order[:0]
-    v = w @ turn[:, order]
+    v = np.zeros((buckets, len(order)))
+    v[met] = w @ turn[:, order]
     v *= np.where(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0) if v.shape[1] else 1.0
     rows.unpersist()
     return TextModel(column, v, np.sqrt(values[order]))

@@ -56,3 +56,32 @@ def test_projection_of_nothing(spark):
     none = spark.createDataFrame([], "i int, text string")
     model = features.fit_text(none, "text", components=3, buckets=64)
     assert model.vectors.shape == (64, 0) and model.transform(none, "c").count() == 0
+
+
+def test_long_texts_are_multiplied_in_pieces(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+    r = np.random.default_rng(4)
+    batch = pa.RecordBatch.from_arrays([pa.array([(r.integers(1, 1001, 400) * r.choice([-1, 1], 400)).tolist() for _ in range(2000)], pa.list_(pa.int32()))], ["tokens"])
+
+    class Shared:
+        value = np.arange(1000), np.linalg.qr(r.standard_normal((1000, 60)))[0]
+    tracemalloc.start()
+    one = list(features._normal_product(Shared, "tokens")([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6  # all 800,000 entries at once: 380 MB for each product
+    monkeypatch.setattr(features, "ENTRIES", 1 << 40)
+    whole = list(features._normal_product(Shared, "tokens")([batch]))
+    a, b = (np.column_stack([x.column(i).to_numpy() for i in range(61)]) for x in (one[0], whole[0]))
+    assert np.abs(a - b).max() < 1e-9
+
+
+def test_only_met_buckets_are_broadcast(spark, monkeypatch):
+    sizes = []
+    real = features._pass
+    monkeypatch.setattr(features, "_pass", lambda rows, column, met, w: sizes.append(w.shape) or real(rows, column, met, w))
+    train = spark.createDataFrame([(t,) for t in texts(50, 6)], "text string")
+    model = features.fit_text(train, "text", components=50)
+    assert max(n for n, _ in sizes) <= 40 and model.vectors.shape[0] == features.BUCKETS and len(model.singular) <= 40

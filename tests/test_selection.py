@@ -125,3 +125,15 @@ def test_top_k_equals_comparing_all(spark):
     pairs = similar.cosine_pairs(fa, fb, "x", "y").collect()
     assert len(pairs) == sum(bool(set(Counter(t or [])) & set(q)) for _, t in a for q in bags.values())
     assert all(x.cosine == pytest.approx(cos(Counter(dict(a)[x.x]), bags[x.y])) for x in pairs[:200]) and np.all([x.cosine > 0 for x in pairs])
+
+
+def test_forest_paths_do_not_depend_on_where_they_grow(spark, monkeypatch):
+    r = random.Random(8)
+    rows = [(k, float(r.randint(0, 10 ** k))) for k in (1, 2, 3) for _ in range(120)] + [(9, float("inf")), (9, 1.0), (9, -3.5), (0, 2.0)]
+    df = spark.createDataFrame(rows, "k long, v double").repartition(3)
+    real, large = forest._large_paths, []
+    monkeypatch.setattr(forest, "_large_paths", lambda base, *a: large.append(base.select("k").distinct().count()) or real(base, *a))
+    scores = lambda: sorted(tuple(x) for x in forest.isolation_scores(df, ["k"], "v", trees=7, seed=3).collect() if x.k != 9)
+    whole = scores()
+    monkeypatch.setattr(forest, "IN_TASK", 30)
+    assert [(k, v, pytest.approx(s, abs=1e-12)) for k, v, s in whole] == scores() and large == [1, 3]

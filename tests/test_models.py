@@ -95,3 +95,19 @@ def test_job_chains_run_to_their_sinks(spark):
     assert labels and all(x.label and x.label != "Undefined" for x in labels if x.Classification_Flag == 1)
     sections = {x.section for x in q["job_11_retail_evaluation"](spark, SF).collect()}
     assert {"result", "auc", "frame", "choice"} <= sections
+
+
+def test_language_scores_are_the_same_by_words_and_by_trigrams(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").repartition(3)
+    found = lambda: sorted(map(tuple, langid.detect(docs, "doc_id", "text", langid.learn(docs.where("doc_id % 4 <> 0"), "doc_id", "text", "lang")).collect()))
+    one = found()
+    monkeypatch.setattr(langid, "COMMON_WORDS", 20)
+    two = found()
+    monkeypatch.setattr(langid, "MOST_GRAMS", 0)
+    assert one == two == found() and len(one) == docs.count()
+
+
+def test_texts_are_scored_without_a_row_a_trigram_in_the_shuffle(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    plan = langid.detect(docs, "doc_id", "text", langid.learn(docs, "doc_id", "text", "lang"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [doc_id" in plan and not any("gram" in x.split("]")[0] for x in plan.splitlines() if "Aggregate [" in x)

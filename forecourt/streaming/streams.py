@@ -2,8 +2,8 @@
 
 * ledger_stream (STM-01): incremental stock ledger.  Per part the state
   carries the running evolutions (sold, purchased, regulated) between
-  arrivals (applyInPandasWithState); each arrival emits one row per
-  (part, movement day).  The state of a part that has not moved for ``idle``
+  arrivals (applyInPandasWithState, a call and a state row per hashed bucket
+  of parts, not per part); each arrival emits one row per (part, movement day).  The state of a part that has not moved for ``idle``
   days ends by an event-time timer: it emits a closing row with its totals,
   and a later movement opens a new segment.  ``ledger_rows`` adds the totals
   of the closed segments, so the rows equal the batch ledger on those days.
@@ -35,7 +35,10 @@ from forecourt.session import scratch_table_path
 
 LEDGER_OUT = ("part long, day date, kind string, segment long, late boolean, qty_sold double, qty_purchased double, qty_regulated double, "
               "sales_evolution double, purchases_evolution double, regulated_evolution double, stock_qty double")
-LEDGER_STATE = "sold double, purchased double, regulated double, stock_qty double, last date, segment long"
+#: The state of a bucket of parts is one array of these rows, ordered by part; ``due`` is when a part's timer ends.
+PART_STATE = np.dtype([("part", "<i8"), ("totals", "<f8", 3), ("stock_qty", "<f8"), ("last", "<i8"), ("segment", "<i8"), ("due", "<i8")])
+LEDGER_STATE = "parts binary"
+BUCKETS = 4096
 FLOWS = ["qty_sold", "qty_purchased", "qty_regulated"]
 EVOLUTIONS = ["sales_evolution", "purchases_evolution", "regulated_evolution"]
 DAY_MS = 86_400_000
@@ -56,30 +59,55 @@ def run_arrivals(table: DataFrame, arrival: str, landing: str, start: Callable[[
         start().awaitTermination()
 
 
+def _running(flows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Running sums of the rows of each part, added in order from its first row."""
+    out, rank = flows.copy(), np.arange(len(flows)) - np.repeat(starts, np.diff([*starts, len(flows)]))
+    by_rank = np.argsort(rank, kind="stable")
+    for at in np.split(by_rank, np.cumsum(np.bincount(rank))[:-1])[1:]:
+        out[at] += out[at - 1]
+    return out
+
+
 def _ledger_fn(first_day, idle: int):
-    counted_from = pd.Timestamp(first_day).date()
+    counted_from = (pd.Timestamp(first_day) - pd.Timestamp(0)).days
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            *totals, stock, last, segment = state.get
-            state.remove()
-            yield pd.DataFrame([(key[0], last, "closed", segment, False, 0.0, 0.0, 0.0, *totals, stock)], columns=COLUMNS)
-            return
-        frames = list(pdfs)
-        df = frames[0] if len(frames) == 1 else pd.concat(frames)
-        day = df["day"].to_numpy()
-        order = np.argsort(day, kind="stable")
-        day, opening = day[order], df["stock_qty"].to_numpy()[order]
-        flows = df[FLOWS].to_numpy()[order]
         now = state.getCurrentWatermarkMs()
-        *so_far, stock, last, segment = state.get if state.exists else (0.0, 0.0, 0.0, float(opening[0]), None, now)
-        totals = np.cumsum(np.where((day > counted_from)[:, None], flows, 0.0), axis=0) + np.array(so_far)
-        late = np.zeros(len(day), bool) if last is None else day < last
-        last = max(day[-1], day[-1] if last is None else last)
-        state.update((*totals[-1].tolist(), stock, last, segment))
-        ends = int(pd.Timestamp(last).timestamp() * 1000) + idle * DAY_MS
-        state.setTimeoutTimestamp(max(ends, now + 1))
-        yield pd.DataFrame(dict(zip(COLUMNS, (np.full(len(day), key[0]), day, "move", segment, late, *flows.T, *totals.T, opening))))
+        held = np.frombuffer(state.get[0], PART_STATE) if state.exists else np.empty(0, PART_STATE)
+        if not state.hasTimedOut:
+            df = pd.concat(list(pdfs))
+            order = np.lexsort((df["day"].to_numpy(), df["part"].to_numpy()))
+            part, day, opening = (df[c].to_numpy()[order] for c in ("part", "day", "stock_qty"))
+            flows = df[FLOWS].to_numpy()[order]
+            starts = np.flatnonzero(np.diff(part, prepend=part[0] - 1))
+            size = np.diff([*starts, len(part)])
+            moved = np.zeros(len(starts), PART_STATE)
+            moved["part"], moved["stock_qty"], moved["segment"] = part[starts], opening[starts], now
+            at = np.searchsorted(held["part"], moved["part"])
+            known = np.zeros(len(moved), bool)
+            known[at < len(held)] = held["part"][at[at < len(held)]] == moved["part"][at < len(held)]
+            moved[known] = held[at[known]]
+            totals = _running(np.where((day > counted_from)[:, None], flows, 0.0), starts) + np.repeat(moved["totals"], size, axis=0)
+            late = np.repeat(known, size) & (day < np.repeat(moved["last"], size))
+            ends = starts + size - 1
+            moved["last"] = np.where(known, np.maximum(day[ends], moved["last"]), day[ends])
+            moved["totals"] = totals[ends]
+            moved["due"] = np.maximum((moved["last"] + idle) * DAY_MS, now + 1)
+            yield pd.DataFrame(dict(zip(COLUMNS, (part, day, "move", np.repeat(moved["segment"], size), late, *flows.T, *totals.T, opening)))).assign(bucket=key[0])
+            rest = np.ones(len(held), bool)
+            rest[at[known]] = False
+            held = np.concatenate([held[rest], moved])
+            held = held[np.argsort(held["part"], kind="stable")]
+        over = held[held["due"] < now]
+        if len(over):
+            none = np.zeros(len(over))
+            yield pd.DataFrame(dict(zip(COLUMNS, (over["part"], over["last"], "closed", over["segment"], False, none, none, none, *over["totals"].T, over["stock_qty"])))).assign(bucket=key[0])
+        held = held[held["due"] >= now]
+        if len(held):
+            state.update((held.tobytes(),))
+            state.setTimeoutTimestamp(max(int(held["due"].min()), now + 1))
+        else:
+            state.remove()
     return fn
 
 
@@ -97,11 +125,15 @@ def ledger_query(spark: SparkSession, landing: str, first_day, name: str, idle:
     (the latest day seen less ``delay``) is refused; ``refused`` lists those."""
     schema = "part long, day date, qty_sold double, qty_purchased double, qty_regulated double, stock_qty double"
     src = spark.readStream.schema(schema).parquet(landing).withColumn("ts", F.col("day").cast("timestamp")).withWatermark("ts", delay)
-    return (src.groupBy("part")
-               .applyInPandasWithState(_ledger_fn(first_day, idle), LEDGER_OUT, LEDGER_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-               .writeStream.format("parquet").option("path", scratch_table_path(spark, f"{name}/out"))
-               .option("checkpointLocation", scratch_table_path(spark, f"{name}/ckpt"))
-               .outputMode("append").trigger(availableNow=True).start())
+    # A bucket of its own holds the rows without a part.
+    bucket = F.when(F.col("part").isNull(), -1).otherwise(F.pmod(F.xxhash64("part"), F.lit(BUCKETS))).cast("int")
+    src = src.withColumns({"bucket": bucket, "part": F.coalesce("part", F.lit(0)), "day": F.unix_date("day").cast("long")})
+    out = ", ".join("day long" if c == "day date" else c for c in [*LEDGER_OUT.split(", "), "bucket int"])
+    rows = src.groupBy("bucket").applyInPandasWithState(_ledger_fn(first_day, idle), out, LEDGER_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    rows = rows.withColumns({"part": F.when(F.col("bucket") >= 0, F.col("part")), "day": F.date_from_unix_date(F.col("day").cast("int"))})
+    return (rows.select(*COLUMNS).writeStream.format("parquet").option("path", scratch_table_path(spark, f"{name}/out"))
+                .option("checkpointLocation", scratch_table_path(spark, f"{name}/ckpt"))
+                .outputMode("append").trigger(availableNow=True).start())
 
 
 def ledger_rows(spark: SparkSession, name: str) -> DataFrame:

@@ -50,15 +50,21 @@ EVOLUTIONS = {"sales_evolution": "qty_sold", "purchases_evolution": "qty_purchas
               "purchases_non_urgent_evolution": "qty_purchased_non_urgent", "regulated_evolution": "qty_regulated"}
 
 
-def with_opening_row(rows: DataFrame, keys: list[str], start: Column, flows: list[str], day: str = "day") -> DataFrame:
+def with_opening_row(rows: DataFrame, keys: list[str], start: Column, flows: list[str], day: str = "day",
+                     until: str | None = None, end: Column | None = None) -> DataFrame:
     """Adds a row at the period's start, with null flows, to every key that has
     none: the first row of a key is doubled, so nothing is joined or shuffled
-    again."""
-    first = F.lag(day).over(Window.partitionBy(*keys).orderBy(day)).isNull() & (F.col(day) > start)
-    x = rows.withColumn("_first", first)
+    again.  ``until`` names a column for the last day a row holds for (``end`` for a
+    key's last row), as ``valid_until`` gives it, from the same sorted rows."""
+    by_day = Window.partitionBy(*keys).orderBy(day)
+    x = rows.withColumn("_first", F.lag(day).over(by_day).isNull() & (F.col(day) > start))
+    if until:
+        x = x.withColumn("_at", F.when(F.col("_first"), start).otherwise(F.col(day))).withColumn("_next", F.lead("_at").over(by_day))
     x = x.withColumn("_opening", F.explode(F.when(F.col("_first"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
+    if until:
+        x = x.withColumn(until, F.when(F.col("_opening"), F.date_sub(day, 1)).otherwise(F.coalesce(F.date_sub("_next", 1), end)))
     return (x.withColumns({c: F.when(~F.col("_opening"), F.col(c)) for c in flows})
-             .withColumn(day, F.when(F.col("_opening"), start).otherwise(F.col(day))).drop("_first", "_opening"))
+             .withColumn(day, F.when(F.col("_opening"), start).otherwise(F.col(day))).drop("_first", "_opening", "_at", "_next"))
 
 
 def valid_until(keys: list[str], end: Column, day: str = "day") -> Column:
@@ -73,6 +79,23 @@ def list_days(intervals: DataFrame, flows: list[str], day: str = "day", until: s
     return x.withColumns({c: F.when(F.col("_at") == F.col(day), F.col(c)).otherwise(0.0) for c in flows}).drop("_at", until)
 
 
+def list_months(intervals: DataFrame, keys: list[str], flows: dict[str, Column], levels: list[str], day: str = "day",
+                until: str = "valid_to") -> DataFrame:
+    """WIN-11, a month to a row: (keys, month, n_days, an array a column): every calendar day of the
+    intervals, in order.  A flow belongs to the first day of its interval and is the given
+    value on the others.  Intervals are cut at month ends and spread inside the row, so no row
+    a day is made."""
+    x = intervals.withColumn("_m", F.explode(F.sequence(F.trunc(day, "month"), F.trunc(until, "month"), F.expr("INTERVAL 1 MONTH"))))
+    at, end = F.greatest(F.col(day), F.col("_m")), F.least(F.col(until), F.last_day("_m"))
+    piece = F.struct(at.alias("at"), (F.datediff(end, at) + 1).alias("n"), *[F.when(at == F.col(day), F.col(c)).otherwise(v).alias(c) for c, v in flows.items()], *levels)
+    months = x.select(*keys, "_m", piece.alias("_p")).groupBy(*keys, "_m").agg(F.sort_array(F.collect_list("_p")).alias("_p"), F.sum("_p.n").alias("n_days"))
+
+    def spread(c: str, others: Column | None) -> Column:
+        days = (lambda p: F.array_repeat(p[c], p["n"])) if others is None else (lambda p: F.concat(F.array(p[c]), F.array_repeat(others, p["n"] - 1)))
+        return F.flatten(F.transform("_p", days)).alias(c)
+    return months.select(*keys, F.col("_m").alias("month"), "n_days", *[spread(c, v) for c, v in flows.items()], *[spread(c, None) for c in levels])
+
+
 def stock_ledger(daily: DataFrame, opening: DataFrame, part: str, start: Column, end: Column) -> DataFrame:
     """AGG-35 / WIN-13: sparse ledger per part over the calendar days ``start``
     to ``end`` (literals or scalar subqueries): a row per movement day and one

@@ -90,11 +90,10 @@ SELECT part, strftime(day, '%Y-%m-%d') AS day, strftime(valid_to, '%Y-%m-%d') AS
 def win11(spark, d):
     """Every calendar day of every part, a month to a row: the day's sold
     quantity and the stock photo at its end."""
-    days = ledger.list_days(the_ledger(spark, d).select("part", "day", "valid_to", "qty_sold", "stock_qty_al"), ["qty_sold"])
-    listed = days.groupBy("part", F.date_format("day", "yyyy-MM").alias("month")).agg(
-        F.sort_array(F.collect_list(F.struct("day", F.col("qty_sold").cast("long").alias("q"), F.col("stock_qty_al").cast("long").alias("s")))).alias("x"))
-    text = lambda f: F.array_join(F.transform("x", lambda r: r[f].cast("string")), " ")
-    return listed.select("part", "month", F.size("x").cast("long").alias("n_days"), text("q").alias("qty_sold"), text("s").alias("stock_qty_al"))
+    x = the_ledger(spark, d).select("part", "day", "valid_to", *[F.col(c).cast("long").cast("string").alias(c) for c in ("qty_sold", "stock_qty_al")])
+    months = ledger.list_months(x, ["part"], {"qty_sold": F.lit("0")}, ["stock_qty_al"])
+    return months.select("part", F.date_format("month", "yyyy-MM").alias("month"), F.col("n_days").cast("long").alias("n_days"),
+                         F.array_join("qty_sold", " ").alias("qty_sold"), F.array_join("stock_qty_al", " ").alias("stock_qty_al"))
 
 
 sql("win_11_dense_calendar", f"""WITH {_LEDGER_SQL} SELECT part, strftime(day, '%Y-%m') AS month, count(*) AS n_days,

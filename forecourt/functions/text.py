@@ -7,12 +7,13 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from forecourt.session import small
+from forecourt.session import stored_small
 
 WS_TRIM = r"^[\s]+|[\s]+$"
 
@@ -273,17 +274,42 @@ def stem_table(tokens_df: DataFrame, token_col: str = "word") -> DataFrame:
     return vocab.withColumn("stem", _stem_udf(F.col("word")))
 
 
+#: Texts whose new tokens a task holds at once.
+TEXTS = 500
+
+
+def _replaced(min_len: int):
+    """Arrow function: a key's token lists, with the words that change and what they become."""
+    def run(lists: pa.Array, words: pa.Array, stems: pa.Array) -> pa.Array:
+        out = []
+        for a in range(0, len(lists), TEXTS):
+            rows = []
+            for own, word, stem in zip(*(x.slice(a, TEXTS) for x in (lists, words, stems))):
+                known, own = dict(zip(word.as_py() or (), stem.as_py() or ())), own.as_py() or []
+                if len(own) == 1:
+                    new = [s for t in own[0] for s in known.get(t, (t,))]
+                else:  # rows of one key are one text, position by position
+                    at = sorted(((i, s) for tokens in own for i, t in enumerate(tokens) for s in known.get(t, (t,))), key=lambda x: (x[0], x[1] is not None, x[1] or ""))
+                    new = [s for _, s in at]
+                rows.append([s for s in new if s is not None and len(s) >= min_len] if min_len else new)
+            out.append(pa.array(rows, pa.list_(pa.string())))
+        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.string()))
+    # The annotations name the kind of function and are read as objects.
+    run.__annotations__ = {"lists": pa.Array, "words": pa.Array, "stems": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "array<string>")
+
+
 def apply_word_table(df: DataFrame, id_col: str, tokens_col: str, table: DataFrame,
                      out: str, min_len: int = 0) -> DataFrame:
-    """Map every token through a (word, stem) table keeping token order:
-    posexplode, join on the word, re-assemble per id in position order.
-    Tokens shorter than ``min_len`` after mapping are dropped.  A table of up to
-    100,000 words is broadcast, so a very common word is not one task."""
-    table = small(table)
-    ex = df.select(id_col, F.posexplode(tokens_col).alias("pos", "word"))
-    j = ex.join(table, "word", "left").withColumn("stem", F.coalesce("stem", "word"))
-    if min_len:
-        j = j.filter(F.length("stem") >= min_len)
-    back = j.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "stem"))).alias("_s"))
-    back = back.select(id_col, F.transform("_s", lambda s: s["stem"]).alias(out))
+    """Map every token through a (word, stem) table keeping token order.
+    The distinct words of a text meet the words that the table changes, and those
+    few are gathered per id, beside the tokens, which are mapped in place; so a
+    token is no row.  Tokens shorter than ``min_len`` after mapping are dropped.
+    Up to 100,000 changed words are broadcast, so a very common word is not one task."""
+    stem = F.sort_array(F.collect_list(F.coalesce("stem", "word")))
+    changed = table.where(F.col("word").isNotNull()).groupBy("word").agg(stem.alias("stems")).where(F.col("stems") != F.array("word"))
+    known = df.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("word")).join(stored_small(changed), "word")
+    known = known.groupBy(id_col).agg(F.collect_list(F.struct("word", "stems")).alias("_k"))
+    lists = df.where(F.col(tokens_col).isNotNull()).groupBy(id_col).agg(F.collect_list(tokens_col).alias("_l")).join(known, id_col, "left")
+    back = lists.select(id_col, _replaced(min_len)("_l", F.col("_k.word"), F.col("_k.stems")).alias(out))
     return df.join(back, id_col, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>")))

@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.operators.clean import bounded_rows
-from forecourt.session import small
+from forecourt.session import materialize, small
 
 UNDEFINED = "Não Definido"
 
 
-def _bigrams(tokens: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size(tokens) - 1),
-                       lambda i: F.concat_ws(" ", F.element_at(tokens, i), F.element_at(tokens, i + 1)))
+#: Word rules of a table; they become expressions.
+MOST_RULES = 10_000
 
 
 def keyword_matches(requests: DataFrame, id_col: str, tokens_col: str, rules: DataFrame,
@@ -28,15 +27,15 @@ def keyword_matches(requests: DataFrame, id_col: str, tokens_col: str, rules: Da
     anywhere; 'consecutive' additionally needs 1 + (number of adjacent hits of
     consecutive rule words) >= number of words (Q-08 count rule).
 
-    Only rule-word occurrences are carried past the first (broadcast) join,
-    and bigrams are built only for requests that contain every word of some
-    consecutive rule, so the work follows the rule hits, not the text volume."""
+    A request's tokens are read once, in place: what leaves its row are the rule
+    words it holds and the hits of adjacent rule words, which are stored, so the work
+    past the scan follows the rule hits, not the text volume."""
     wr = rules.filter(F.col("kind").isin("single", "all", "consecutive"))
-    rule_words = small(wr.select(F.explode(F.array_distinct("words")).alias("tok")).distinct())
-    # rule-word occurrences with their positions: the only tokens carried on
-    occ = (requests.select(id_col, F.posexplode(tokens_col).alias("pos", "tok"))
-                   .join(rule_words, "tok"))
-    rt = occ.select(id_col, "tok").distinct()
+    given = bounded_rows(wr.select("rule_id", "kind", "words"), MOST_RULES)
+    words = sorted({w for r in given for w in r["words"] if w is not None})
+    pairs = [(r["rule_id"], *p) for r in given if r["kind"] == "consecutive" for p in zip(r["words"], r["words"][1:]) if None not in p]
+    seen = _rule_hits(requests, id_col, tokens_col, words, pairs)
+    rt = seen.select(id_col, F.explode("_words").alias("tok"))
     if vocab_threshold is not None:
         vocab = rt.groupBy("tok").agg(F.count(F.lit(1)).alias("_df")).filter(F.col("_df") > vocab_threshold) \
                   .select(F.col("tok").alias("word"))
@@ -49,22 +48,35 @@ def keyword_matches(requests: DataFrame, id_col: str, tokens_col: str, rules: Da
                    F.explode(F.array_distinct("words")).alias("tok"))
     present = (rt.join(small(rw), "tok").groupBy(id_col, "rule_id", "label", "kind", "_nd")
                  .agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") == F.col("_nd")))
-    cons_rules = wr.filter(F.col("kind") == "consecutive")
-    pairs = cons_rules.select("rule_id", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size("words") - 1),
-        lambda i: F.struct(F.element_at("words", i).alias("w1"), F.element_at("words", i + 1).alias("w2")))).alias("p"))
-    rp = small(pairs.select("rule_id", F.col("p.w1").alias("tok"), F.col("p.w2").alias("tok2")))
-    # adjacent occurrences: token at p and the next token at p + 1
-    nxt = occ.select(id_col, (F.col("pos") - 1).alias("pos"), F.col("tok").alias("tok2"))
-    adj = occ.join(nxt, [id_col, "pos"])
-    hits = adj.join(rp, ["tok", "tok2"]).groupBy(id_col, "rule_id").agg(F.count(F.lit(1)).alias("_hits"))
-    nwords = cons_rules.select("rule_id", F.size("words").alias("_nw"))
+    hits = (seen.select(id_col, F.explode("_hits").alias("_h")).groupBy(id_col, F.col("_h.rule_id").alias("rule_id"))
+                .agg(F.sum("_h.n").alias("_hits")))
+    nwords = wr.filter(F.col("kind") == "consecutive").select("rule_id", F.size("words").alias("_nw"))
     m = present.join(hits, [id_col, "rule_id"], "left").join(nwords, "rule_id", "left")
     m = m.filter((F.col("kind") != "consecutive") | (1 + F.coalesce(F.col("_hits"), F.lit(0)) >= F.col("_nw")))
     rank = F.when(F.col("kind") == "single", 0).when(F.col("kind") == "all", 1).otherwise(2)
     return m.select(id_col, "label", "rule_id", rank.alias("rank"))
 
 
+def _rule_hits(requests: DataFrame, id_col: str, tokens_col: str, words: list[str], pairs: list[tuple]) -> DataFrame:
+    """(id, _words: the distinct rule words of the request's rows, _hits: (rule_id, n) of each adjacent
+    pair of rule words met n times in a row), stored."""
+    held = F.array_distinct(F.filter(tokens_col, lambda t: t.isin(words))) if words else F.array().cast("array<string>")
+    kind = "array<struct<rule_id:bigint,n:bigint>>"
+    if pairs:
+        first = sorted({p[1] for p in pairs})
+        at = F.transform(tokens_col, lambda t, i: F.when(t.isin(first), F.struct(t.alias("a"), F.get(tokens_col, i + 1).alias("b"))))
+        near = requests.select(id_col, held.alias("_w"), F.filter(at, lambda x: x.isNotNull()).alias("_at"))
+
+        def count(rule: int, a: str, b: str) -> Column:
+            return F.struct(F.lit(rule).cast("bigint").alias("rule_id"), F.size(F.filter("_at", lambda x: (x["a"] == a) & (x["b"] == b))).cast("bigint").alias("n"))
+        met = F.filter(F.array(*[count(*p) for p in pairs]), lambda h: h["n"] > 0)
+        near = near.select(id_col, "_w", F.when(F.size("_at") > 0, met).otherwise(F.array()).cast(kind).alias("_h"))
+    else:
+        near = requests.select(id_col, held.alias("_w"), F.array().cast(kind).alias("_h"))
+    near = near.filter(F.size("_w") > 0)
+    return materialize(near.groupBy(id_col).agg(F.array_distinct(F.flatten(F.collect_list("_w"))).alias("_words"), F.flatten(F.collect_list("_h")).alias("_hits")), "checkpoint")
+
+
 def resolve_draws(requests: DataFrame, id_col: str, matches: DataFrame, label_rank: DataFrame,
                   undefined: str = UNDEFINED) -> DataFrame:
     """RUL-04: several labels -> the highest-ranked label when the matched
@@ -111,10 +123,11 @@ def user_labels(requests: DataFrame, id_col: str, customer_col: str, rules: Data
 def label_requests(requests: DataFrame, id_col: str, tokens_col: str, text_col: str, customer_col: str,
                    rules: DataFrame, label_rank: DataFrame, vocab: DataFrame | None = None,
                    manual: DataFrame | None = None, undefined: str = UNDEFINED,
-                   vocab_threshold: int | None = None) -> DataFrame:
+                   vocab_threshold: int | None = None, words: DataFrame | None = None) -> DataFrame:
     """RUL-01 end to end: word rules and draw resolution, then forced rules,
-    then user rules, then manual labels (first per request) override."""
-    m = keyword_matches(requests, id_col, tokens_col, rules, vocab, vocab_threshold)
+    then user rules, then manual labels (first per request) override.
+    ``words`` holds the requests' tokens, if ``requests`` does not."""
+    m = keyword_matches(requests if words is None else words, id_col, tokens_col, rules, vocab, vocab_threshold)
     base = resolve_draws(requests, id_col, m, label_rank, undefined)
     out = (base.join(forced_labels(requests, id_col, text_col, rules), id_col, "left")
                .join(user_labels(requests, id_col, customer_col, rules), id_col, "left"))

@@ -20,6 +20,9 @@ ORDER_SQL = "sale_date, " + LINE_KEY_SQL
 GRAINS = [("", []), ("_local", ["place"]), ("_local_v2", ["place_v2"])]
 HOLD = repr(0.05 / 360)
 
+#: What the history features read and their queries return.
+HIST_IN = [*LINE_KEY, *CONFIG, "sale_date", "new_score", "margin_pct", "stock_days"]
+
 # ---------------------------------------------------------------- Spark side
 
 
@@ -33,7 +36,7 @@ def with_history(spark, d):
     # chunk = sale month: a monotone coarsening of the leading order column,
     # so a hot configuration is scanned by many tasks.
     return windows.previous_sales_features(
-        scored(spark, d), CONFIG, ORDER, chunk=F.trunc("sale_date", "month"))
+        materialize(scored(spark, d)), CONFIG, ORDER, chunk=F.trunc("sale_date", "month"))
 
 
 HIST_COLS = ["prev_sales_check", "number_prev_sales", "last_score", "last_margin",
@@ -82,7 +85,7 @@ def q_mth02(spark, d):
 def q_win01(spark, d):
     # the scan is read by the chunk offsets, the group statistics and the
     # rows themselves: materialise the scored base once
-    base = materialize(scored(spark, d))
+    base = materialize(scored(spark, d).select(*HIST_IN))
     h = windows.previous_sales_features(base, CONFIG, ORDER, chunk=F.trunc("sale_date", "month"))
     return h.select(*LINE_KEY, *CONFIG, *_fmt(HIST_OUT))
 
@@ -96,10 +99,10 @@ def q_agg03(spark, d):
 
 def retail_scored(spark, d):
     """JOB-01 analogue: the flagship chain.  The scored vehicles are
-    materialised once (checkpoint in the shared folder): the history
+    materialised once (a table in the shared folder): the history
     features and the grain aggregation both read them, so the scan and
     joins of the source tables run once."""
-    base = materialize(scored(spark, d), "checkpoint")
+    base = materialize(scored(spark, d).select(*HIST_IN, "place", "place_v2", *[c for c, _ in SCORE_OUT if c not in HIST_IN]), "table")
     h = windows.previous_sales_features(base, CONFIG, ORDER, chunk=F.trunc("sale_date", "month"))
     out = aggs.multi_grain_averages(h, CONFIG, GRAINS, source=base)
     return out.select(*LINE_KEY, *CONFIG, "place", "place_v2",

@@ -85,14 +85,24 @@ def list_months(intervals: DataFrame, keys: list[str], flows: dict[str, Column],
     intervals, in order.  A flow belongs to the first day of its interval and is the given
     value on the others.  Intervals are cut at month ends and spread inside the row, so no row
     a day is made."""
-    x = intervals.withColumn("_m", F.explode(F.sequence(F.trunc(day, "month"), F.trunc(until, "month"), F.expr("INTERVAL 1 MONTH"))))
-    at, end = F.greatest(F.col(day), F.col("_m")), F.least(F.col(until), F.last_day("_m"))
+    # An interval that ends before it begins (a repeated day) lists its days backwards, as ``list_days``
+    # does; the days of such a month overlap and are sorted one by one.
+    turned = F.col(until) < F.col(day)
+    months = F.sequence(F.trunc(day, "month"), F.trunc(until, "month"), F.expr("INTERVAL 1 MONTH"))
+    x = intervals.withColumn("_m", F.explode(F.when(turned, F.sequence(day, until)).otherwise(months))).withColumn("_t", turned)
+    at = F.when(F.col("_t"), F.col("_m")).otherwise(F.greatest(F.col(day), F.col("_m")))
+    end = F.when(F.col("_t"), F.col("_m")).otherwise(F.least(F.col(until), F.last_day("_m")))
     piece = F.struct(at.alias("at"), (F.datediff(end, at) + 1).alias("n"), *[F.when(at == F.col(day), F.col(c)).otherwise(v).alias(c) for c, v in flows.items()], *levels)
-    months = x.select(*keys, "_m", piece.alias("_p")).groupBy(*keys, "_m").agg(F.sort_array(F.collect_list("_p")).alias("_p"), F.sum("_p.n").alias("n_days"))
+    months = x.select(*keys, F.trunc("_m", "month").alias("_m"), "_t", piece.alias("_p")).groupBy(*keys, "_m").agg(
+        F.sort_array(F.collect_list("_p")).alias("_p"), F.sum("_p.n").alias("n_days"), F.bool_or("_t").alias("_t"))
+
+    def day_of(p: Column, i: Column) -> Column:
+        return F.struct(F.date_add(p["at"], i).alias("at"), *[F.when(i == 0, p[c]).otherwise(v).alias(c) for c, v in flows.items()], *[p[c].alias(c) for c in levels])
+    each = F.sort_array(F.flatten(F.transform("_p", lambda p: F.transform(F.sequence(F.lit(0), p["n"] - 1), lambda i: day_of(p, i)))))
 
     def spread(c: str, others: Column | None) -> Column:
         days = (lambda p: F.array_repeat(p[c], p["n"])) if others is None else (lambda p: F.concat(F.array(p[c]), F.array_repeat(others, p["n"] - 1)))
-        return F.flatten(F.transform("_p", days)).alias(c)
+        return F.when(F.col("_t"), F.transform(each, lambda x: x[c])).otherwise(F.flatten(F.transform("_p", days))).alias(c)
     return months.select(*keys, F.col("_m").alias("month"), "n_days", *[spread(c, v) for c, v in flows.items()], *[spread(c, None) for c in levels])
 
 

@@ -90,10 +90,10 @@ SELECT part, strftime(day, '%Y-%m-%d') AS day, strftime(valid_to, '%Y-%m-%d') AS
 def win11(spark, d):
     """Every calendar day of every part, a month to a row: the day's sold
     quantity and the stock photo at its end."""
-    x = the_ledger(spark, d).select("part", "day", "valid_to", *[F.col(c).cast("long").cast("string").alias(c) for c in ("qty_sold", "stock_qty_al")])
-    months = ledger.list_months(x, ["part"], {"qty_sold": F.lit("0")}, ["stock_qty_al"])
+    x = the_ledger(spark, d).select("part", "day", "valid_to", *[F.col(c).cast("long").alias(c) for c in ("qty_sold", "stock_qty_al")])
+    months = ledger.list_months(x, ["part"], {"qty_sold": F.lit(0).cast("long")}, ["stock_qty_al"])
     return months.select("part", F.date_format("month", "yyyy-MM").alias("month"), F.col("n_days").cast("long").alias("n_days"),
-                         F.array_join("qty_sold", " ").alias("qty_sold"), F.array_join("stock_qty_al", " ").alias("stock_qty_al"))
+                         *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("qty_sold", "stock_qty_al")])
 
 
 sql("win_11_dense_calendar", f"""WITH {_LEDGER_SQL} SELECT part, strftime(day, '%Y-%m') AS month, count(*) AS n_days,

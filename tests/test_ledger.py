@@ -115,3 +115,15 @@ def test_stream_late_and_refused_movements(spark):
     assert out[1, day(98)].sales_evolution == 7.0 and (1, day(15)) not in out
     lost = streams.refused(spark, scratch_table_path(spark, f"{name}/in"), name).collect()
     assert [(r.part, r.day) for r in lost] == [(1, day(15))]
+
+
+def test_months_list_every_day_as_single_days_do(spark):
+    d = dt.date
+    rows = [(1, d(2020, 1, 20), d(2020, 3, 4), 5, 7), (1, d(2020, 3, 5), d(2020, 3, 4), 2, 9), (1, d(2020, 3, 5), d(2020, 3, 31), 3, 4), (2, d(2020, 2, 29), d(2020, 2, 29), 1, 1)]
+    x = spark.createDataFrame(rows, "part long, day date, valid_to date, q long, s long").repartition(2)
+    want = defaultdict(list)
+    for r in ledger.list_days(x, ["q"]).collect():
+        want[r.part, r.day.replace(day=1)].append((r.day, int(r.q), r.s))
+    plan = ledger.list_months(x, ["part"], {"q": F.lit(0).cast("long")}, ["s"])
+    got = {(r.part, r.month): (r.n_days, r.q, r.s) for r in plan.collect()}
+    assert got == {k: (len(v), [y[1] for y in sorted(v)], [y[2] for y in sorted(v)]) for k, v in want.items()}

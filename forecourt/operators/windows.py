@@ -199,30 +199,27 @@ def net_negative_movements(df: DataFrame, order_col: str, date_col: str, qty: st
     purchases mode (match on order, quantity, cost and part given as
     ``value``): only the latest matching positive goes, once per key.
 
-    Only positives whose key has a negative are windowed; the rest pass
-    through an anti join, so the window touches the (rare) reversed keys."""
-    if mode == "sales":
-        pk = [F.col(order_col).alias("_k0"), F.col(date_col).alias("_k1"), F.col(qty).alias("_k2"),
-              F.col(value).alias("_k3"), F.col(cost).alias("_k4"), F.col(margin).alias("_k5")]
-        nk = [F.col(order_col).alias("_k0"), F.col(date_col).alias("_k1"), (-F.col(qty)).alias("_k2"),
-              (-F.col(value)).alias("_k3"), (-F.col(cost)).alias("_k4"), (-F.col(margin)).alias("_k5")]
-    else:
-        pk = [F.col(order_col).alias("_k0"), F.col(qty).alias("_k2"), F.col(cost).alias("_k4"),
-              F.col(value).alias("_k3")]
-        nk = [F.col(order_col).alias("_k0"), F.abs(F.col(qty)).alias("_k2"), F.abs(F.col(cost)).alias("_k4"),
-              F.col(value).alias("_k3")]
-    keys = ["_k0", "_k1", "_k2", "_k3", "_k4", "_k5"] if mode == "sales" else ["_k0", "_k2", "_k4", "_k3"]
-    negs = df.filter(F.col(qty) < 0).select(*nk).groupBy(*keys).agg(F.count(F.lit(1)).alias("_nneg"))
-    pos = df.filter(F.col(qty) >= 0).select("*", *pk)
-    untouched = pos.join(negs, keys, "left_anti")
-    touched = pos.join(negs, keys, "inner")
+    One sorted pass over the rows by match key, negatives first, so the rows are
+    shuffled once (not at all if they are already dealt by ``order_col``); a key
+    with a null matches nothing."""
+    negative = F.col(qty) < 0
+
+    def matched(c, by):
+        return F.when(negative, by(F.col(c))).otherwise(F.col(c))
     if mode == "sales":
-        w = Window.partitionBy(*keys).orderBy(*_cols(tie_cols))
-        touched = touched.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > F.col("_nneg"))
+        keys = [F.col(order_col), F.col(date_col), *[matched(c, lambda x: -x) for c in (qty, value, cost, margin)]]
+        order = _cols(tie_cols)
     else:
-        w = Window.partitionBy(*keys).orderBy(F.col(date_col).desc(), *_cols(tie_cols))
-        touched = touched.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 1)
-    return untouched.select(*df.columns).unionByName(touched.select(*df.columns))
+        keys = [F.col(order_col), matched(qty, F.abs), matched(cost, F.abs), F.col(value)]
+        order = [F.col(date_col).desc(), *_cols(tie_cols)]
+    w = (Window.partitionBy(*keys).orderBy(negative.desc(), *order)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = (df.filter(F.col(qty).isNotNull())
+           .withColumns({"_rn": F.count(F.lit(1)).over(w), "_nneg": F.count(F.when(negative, 1)).over(w)})
+           .filter(~negative))
+    gone = F.col("_nneg") if mode == "sales" else F.least("_nneg", F.lit(1))
+    alone = reduce(lambda p, q: p | q, [k.isNull() for k in keys])
+    return x.filter(alone | (F.col("_rn") - F.col("_nneg") > gone)).select(*df.columns)
 
 
 def diff_prev(df: DataFrame, keys: list[str], order_cols: list, col: str, out: str,

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from forecourt.functions.fmt import big, dstr, rnd, sql_rnd
-from forecourt.operators import aggs, clean, windows
+from forecourt.operators import clean, windows
 from forecourt.plans.registry import query
 from forecourt.sources.fixtures import (EVENTS_GAPS_SQL, IMPORTER_SQL, MOVEMENTS_SQL, ODOMETER_SQL,
                                         events_gaps, importer_sales, odometer, part_movements)
@@ -107,19 +107,22 @@ SELECT {LK}, copy, {sql_rnd('qty')} AS qty FROM t WHERE nneg IS NULL OR rn > 1""
 
 @query("agg_02_parts_sales_preparation")
 def agg02(spark, d):
-    mv = part_movements(spark, d).filter(F.col("qty") != 0)
+    """Rows are shuffled by order (netting and order date), by part and week (sums of a day
+    and a week) and by part and order day: a task holds at most a week of a part."""
+    mv = part_movements(spark, d, dealt_by="l_orderkey").filter((F.col("qty") != 0) & F.col("l_orderkey").isNotNull())
     net = windows.net_negative_movements(mv, "l_orderkey", "day", "qty", "sale_value", "cost", "margin",
                                          tie_cols=[*LINE_KEY, "copy"])
     o = read(spark, d, "orders", "o_orderkey", "o_orderdate")
     x = (net.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-            .withColumn("order_day", F.to_date("o_orderdate"))
-            .withColumn("week", F.date_trunc("week", "day").cast("date"))
-            .withColumn("unit_price", F.col("sale_value") / F.col("qty"))
-            .withColumn("unit_cost", F.col("cost") / F.col("qty")))
-    x = aggs.attach_group_agg(x, ["day", "l_partkey"], [F.sum("qty").alias("qty_day_part")])
-    x = aggs.attach_group_agg(x, ["order_day", "l_partkey"], [F.sum("qty").alias("qty_order_day_part")])
-    x = aggs.attach_group_agg(x, ["week", "l_partkey"], [F.sum("qty").alias("qty_week_part")])
-    return x.select(*MV_OUT, rnd("unit_price").alias("unit_price"), rnd("unit_cost").alias("unit_cost"),
+            .filter(F.col("day").isNotNull() & F.col("l_partkey").isNotNull())
+            .select(*MV_OUT, "day", "qty", "sale_value", "cost", F.to_date("o_orderdate").alias("order_day"),
+                    F.date_trunc("week", "day").cast("date").alias("week"))
+            .repartition("l_partkey", "week"))
+    x = (x.withColumn("qty_day_part", F.sum("qty").over(Window.partitionBy("l_partkey", "week", "day")))
+          .filter(F.col("order_day").isNotNull())
+          .withColumn("qty_week_part", F.sum("qty").over(Window.partitionBy("l_partkey", "week")))
+          .withColumn("qty_order_day_part", F.sum("qty").over(Window.partitionBy("l_partkey", "order_day"))))
+    return x.select(*MV_OUT, rnd(F.col("sale_value") / F.col("qty")).alias("unit_price"), rnd(F.col("cost") / F.col("qty")).alias("unit_cost"),
                     rnd("qty_day_part").alias("qty_day_part"), rnd("qty_order_day_part").alias("qty_order_day_part"),
                     rnd("qty_week_part").alias("qty_week_part"))
 

@@ -109,31 +109,28 @@ importer_sales AS (
 )"""
 
 
-def part_movements(spark: SparkSession, d: str) -> DataFrame:
+def part_movements(spark: SparkSession, d: str, dealt_by: str | None = None) -> DataFrame:
     """Part sale movements with reversed copies: every returned line of a
     part key divisible by 3 gets a negated copy (copy 1), even line numbers a
     second one (copy 2: two negatives against one positive), and line 1 of
-    part keys = 1 mod 3 gets an unmatched negative (copy 3)."""
+    part keys = 1 mod 3 gets an unmatched negative (copy 3).  The lines are read
+    once and, with ``dealt_by``, partitioned by that column before they are copied."""
     li = read(spark, d, "lineitem", *LINE_KEY, "l_discount", "l_returnflag", "l_shipdate")
-    base = li.select(*LINE_KEY, F.to_date("l_shipdate").alias("day"),
-                     F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("sale_value"),
-                     (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("cost"),
-                     (F.col("l_extendedprice") * F.col("l_discount")).alias("margin"),
-                     "l_returnflag")
-    pos = base.withColumn("copy", F.lit(0))
-    r3 = (F.col("l_returnflag") == "R") & (F.col("l_partkey") % 3 == 0)
-    neg = [F.col(c) for c in ("qty", "sale_value", "cost", "margin")]
-
-    def negated(df, copy, qty_expr=None):
-        return df.select(*LINE_KEY, "day", (qty_expr if qty_expr is not None else -F.col("qty")).alias("qty"),
-                         (-F.col("sale_value")).alias("sale_value"), (-F.col("cost")).alias("cost"),
-                         (-F.col("margin")).alias("margin"), "l_returnflag", F.lit(copy).alias("copy"))
-    del neg
-    n1 = negated(base.filter(r3), 1)
-    n2 = negated(base.filter(r3 & (F.col("l_linenumber") % 2 == 0)), 2)
-    n3 = negated(base.filter((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 3 == 1) & (F.col("l_linenumber") == 1)),
-                 3, -(F.col("qty") + 0.5))
-    return pos.unionByName(n1).unionByName(n2).unionByName(n3).drop("l_returnflag")
+    li = li.withColumn("day", F.to_date("l_shipdate")).drop("l_shipdate")
+    if dealt_by:
+        li = li.repartition(dealt_by)
+    returned = F.col("l_returnflag") == "R"
+    r3 = returned & (F.col("l_partkey") % 3 == 0)
+    copies = F.array(F.lit(0), F.when(r3, 1), F.when(r3 & (F.col("l_linenumber") % 2 == 0), 2),
+                     F.when(returned & (F.col("l_partkey") % 3 == 1) & (F.col("l_linenumber") == 1), 3))
+    x = li.withColumn("copy", F.explode(F.array_compact(copies)))
+
+    def signed(c):
+        return F.when(F.col("copy") == 0, c).otherwise(-c)
+    price = F.col("l_extendedprice")
+    return x.select(*LINE_KEY, "day", signed(F.col("l_quantity") + F.when(F.col("copy") == 3, 0.5).otherwise(0.0)).alias("qty"),
+                    signed(price).alias("sale_value"), signed(price * (1 - F.col("l_discount"))).alias("cost"),
+                    signed(price * F.col("l_discount")).alias("margin"), "copy")
 
 
 MOVEMENTS_SQL = """

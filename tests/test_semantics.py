@@ -54,6 +54,39 @@ def test_netting_two_negatives_one_positive_and_orphans(spark):
     assert sorted(r["k"] for r in out.collect()) == [5, 8]   # negatives gone, one of two positives kept
 
 
+def test_netting_with_null_keys_and_of_purchases(spark):
+    rows = [(1, None, 2.0, 10.0, 8.0, 2.0, 1), (1, None, -2.0, -10.0, -8.0, -2.0, 2), (None, "d", 2.0, 10.0, 8.0, 2.0, 3),
+            (None, "d", -2.0, -10.0, -8.0, -2.0, 4), (1, "d", None, 1.0, 1.0, 1.0, 5), (1, "d", 0.0, 0.0, 0.0, 0.0, 6)]
+    df = spark.createDataFrame(rows, "o int, day string, q double, v double, c double, m double, k int")
+    out = windows.net_negative_movements(df, "o", "day", "q", "v", "c", "m", ["k"])
+    assert sorted(r["k"] for r in out.collect()) == [1, 3, 6]  # a null matches nothing, null quantities go
+    bought = [(1, "d1", 2.0, 7, 8.0, 1), (1, "d3", 2.0, 7, 8.0, 2), (1, "d2", -2.0, 7, -8.0, 3), (1, "d4", -2.0, 7, 8.0, 4),
+              (1, "d1", 2.0, 9, 8.0, 5), (1, "d1", 2.0, None, 8.0, 6), (1, "d2", -2.0, None, 8.0, 7)]
+    df = spark.createDataFrame(bought, "o int, day string, q double, part int, c double, k int").withColumn("m", F.lit(0.0))
+    out = windows.net_negative_movements(df, "o", "day", "q", "part", "c", "m", ["k"], mode="purchases")
+    assert sorted(r["k"] for r in out.collect()) == [1, 5, 6]  # only the latest positive of a key goes
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
+
+
+def test_part_sums_shuffle_each_row_three_times(spark, tmp_path):
+    from datetime import datetime
+
+    from forecourt.plans import all_queries
+    day = lambda n: datetime(2020, 6, n)
+    lines = [(1, 1, 4, 1, 5.0, 50.0, 0.1, "N", day(2)), (1, 2, 4, 1, 3.0, 30.0, 0.0, "N", day(3)), (2, 1, 4, 1, 2.0, 20.0, 0.0, "N", day(3)),
+             (2, 2, 3, 1, 7.0, 70.0, 0.0, "R", day(3)), (3, 1, 4, 1, 9.0, 90.0, 0.0, "N", day(9)), (4, 1, 4, 1, 1.0, 10.0, 0.0, "N", day(2)),
+             (None, 1, 4, 1, 1.0, 10.0, 0.0, "N", day(2)), (1, 3, None, 1, 1.0, 10.0, 0.0, "N", day(2)), (1, 4, 4, 1, 1.0, 10.0, 0.0, "N", None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+                                 "l_discount double, l_returnflag string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, day(1)), (2, day(1)), (3, day(5)), (4, None)], "o_orderkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    out = all_queries()["agg_02_parts_sales_preparation"](spark, str(tmp_path))
+    got = sorted((r.l_orderkey, r.l_linenumber, r.unit_price, r.unit_cost, r.qty_day_part, r.qty_order_day_part, r.qty_week_part) for r in out.collect())
+    assert got == [(1, 1, 10.0, 9.0, 6.0, 10.0, 10.0), (1, 2, 10.0, 10.0, 5.0, 10.0, 10.0), (2, 1, 10.0, 10.0, 5.0, 10.0, 10.0), (3, 1, 10.0, 10.0, 9.0, 9.0, 9.0)]
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple").split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") <= 4 and plan.count("FileScan parquet") == 2  # three of the lines, one of the orders
+
+
 def _minus_months(d, k):
     y, m = d.year, d.month - k
     while m <= 0:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from forecourt.operators.quantiles import quantile_values
 from forecourt.operators.windows import chunked_running
+from forecourt.session import small
 
 # -------------------------------------------------------------- preparation
 
@@ -156,10 +157,12 @@ def rescale(train: DataFrame, test: DataFrame, spec: dict[str, str]) -> tuple[Da
 
 
 def first_seen_index(df: DataFrame, label: str, order_cols: list) -> DataFrame:
-    """MLX-14: label -> integer in first-seen order (by ``order_cols``)."""
+    """MLX-14: label -> integer in first-seen order (by ``order_cols``); marked for broadcast
+    where the labels are few, as its size is unknown to the planner, which would broadcast
+    the rows it is joined to."""
     first = df.groupBy(label).agg(F.min(F.struct(*order_cols)).alias("_first"))
     from forecourt.operators.clean import sequence_number
-    return sequence_number(first, ["_first"], out="label_index").drop("_first")
+    return small(sequence_number(first, ["_first"], out="label_index").drop("_first"))
 
 
 # ------------------------------------------------------------------ fitting

@@ -111,3 +111,13 @@ def test_texts_are_scored_without_a_row_a_trigram_in_the_shuffle(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
     plan = langid.detect(docs, "doc_id", "text", langid.learn(docs, "doc_id", "text", "lang"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [doc_id" in plan and not any("gram" in x.split("]")[0] for x in plan.splitlines() if "Aggregate [" in x)
+
+
+def test_labels_are_broadcast_never_the_rows(spark, tmp_path):
+    from forecourt.plans.ml import labelled_parts
+    rows = [(i, f"name {i % 5}", ["PROMO", "SMALL", "ECONOMY", None][i % 4], i % 7, float(i)) for i in range(40)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    got = labelled_parts(spark, str(tmp_path))
+    assert {(r.p_type, r.label) for r in got.collect()} == {("PROMO", 0.0), ("SMALL", 1.0), ("ECONOMY", 2.0)} and got.count() == 30
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    assert "BuildRight" in plan and "BuildLeft" not in plan  # the labels are on the right

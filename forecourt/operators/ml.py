@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from forecourt.operators.quantiles import quantile_values
 from forecourt.operators.windows import chunked_running
-from forecourt.session import small
+from forecourt.session import few_rows, small
 
 # -------------------------------------------------------------- preparation
 
@@ -223,7 +223,7 @@ def kmeans_scan(df: DataFrame, features: str, k_values: list[int], restarts: int
         between = total_ss - inertia
         ch = (between / (k - 1)) / (inertia / (n - k)) if inertia > 0 else None
         rows.append((k, float(sil), float(inertia), ch, float(between / total_ss * 100)))
-    return df.sparkSession.createDataFrame(rows, "k int, silhouette double, inertia double, calinski_harabasz double, between_pct double")
+    return few_rows(df.sparkSession, rows, "k int, silhouette double, inertia double, calinski_harabasz double, between_pct double")
 
 
 # --------------------------------------------------------------- evaluation

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.operators import ml
+from forecourt.session import few_rows
 
 #: Folds of the retail and importer searches, and of the part and request models.
 FOLDS, FOLDS_TEXT = 10, 3
@@ -191,7 +192,7 @@ def classification_results(found: list[Found], datasets: dict[str, DataFrame]) -
             area = None if two.isEmpty() else auc(roc_points(two.select(F.col("label").cast("int").alias("label"), F.get("p", F.lit(1)).alias("score")), "label", "score")).first()
             rows.append((f.name, dataset, *[float(r[n]) for n in names], area[0] if area else None, *_tail(f)))
             s.unpersist()
-    return spark.createDataFrame(rows, RESULT.format(", ".join(f"{n} double" for n in [*names, "roc_auc"]) + ","))
+    return few_rows(spark, rows, RESULT.format(", ".join(f"{n} double" for n in [*names, "roc_auc"]) + ","))
 
 
 def regression_results(found: list[Found], datasets: dict[str, DataFrame]) -> DataFrame:
@@ -203,4 +204,4 @@ def regression_results(found: list[Found], datasets: dict[str, DataFrame]) -> Da
             scored = f.model.copy().setPredictionCol(f"_p{i}").transform(scored)
         metrics[dataset] = ml.regression_metrics_of(scored, "label", [f"_p{i}" for i in range(len(found))])
     rows = [(f.name, dataset, *metrics[dataset][i], *_tail(f)) for i, f in enumerate(found) for dataset in datasets]
-    return spark.createDataFrame(rows, RESULT.format("mse double, rmse double, r2 double,"))
+    return few_rows(spark, rows, RESULT.format("mse double, rmse double, r2 double,"))

@@ -20,7 +20,7 @@ from forecourt.operators import ml, search
 from forecourt.operators.features import FeaturePipeline, FittedFeatures
 from forecourt.plans.measures import featured_contracts
 from forecourt.plans.registry import query
-from forecourt.session import materialize, scratch_table_path
+from forecourt.session import few_rows, materialize, scratch_table_path
 from forecourt.sources.fixtures import EVENTS_GAPS_SQL, LANG_PRED_SQL, events_gaps, lang_predictions
 from forecourt.sources.tables import read
 
@@ -366,7 +366,7 @@ def mlx18(spark, d):
             ref = ml.vectors(ref, "x")
             refs.append(math.log(KMeans(k=k, seed=7, maxIter=20).fit(ref).summary.trainingCost))
         rows.append((k, sum(refs) / len(refs) - math.log(wk)))
-    return e.sparkSession.createDataFrame(rows, "k int, gap double")
+    return few_rows(e.sparkSession, rows, "k int, gap double")
 
 
 @query("mlx_21_cluster_evaluation")

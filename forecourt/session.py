@@ -89,6 +89,15 @@ def materialize(df, how: str = "persist"):
     return df.checkpoint(eager=True)
 
 
+def few_rows(spark: SparkSession, rows: list[tuple], schema: str):
+    """Result ``rows`` of the driver as a frame.  They go to the JVM as Arrow; ``createDataFrame`` of a list
+    deals them out as a Python RDD, for which every executor core starts a Python worker."""
+    import pyarrow as pa
+    from pyspark.sql.types import StructType
+    columns = {f: [r[i] for r in rows] for i, f in enumerate(StructType.fromDDL(schema).names)}
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def stored_small(df, rows: int = 100_000):
     """``df`` stored once, marked for broadcast if it has at most ``rows`` rows: a join with it then
     never shuffles the other side."""

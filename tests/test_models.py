@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from forecourt import session
 from forecourt.operators import langid, ml, search
 from tests.conftest import SF
 
@@ -113,6 +114,16 @@ def test_texts_are_scored_without_a_row_a_trigram_in_the_shuffle(spark):
     assert "Aggregate [doc_id" in plan and not any("gram" in x.split("]")[0] for x in plan.splitlines() if "Aggregate [" in x)
 
 
+def test_result_rows_need_no_python_worker(spark):
+    rows = [(1, None, "a"), (2, float("nan"), None)]
+    got = session.few_rows(spark, rows, "k int, x double, s string")
+    assert got.dtypes == [("k", "int"), ("x", "double"), ("s", "string")]
+    assert [(r.k, r.s) for r in got.orderBy("k").collect()] == [(1, "a"), (2, None)] and got.where("isnan(x)").count() == 1
+    df = labelled(spark, 2, 40).select("features")
+    scan = ml.kmeans_scan(df, "features", [2], restarts=1)
+    assert "PythonRDD" not in scan._jdf.queryExecution().toRdd().toDebugString()
+
+
 def test_labels_are_broadcast_never_the_rows(spark, tmp_path):
     from forecourt.plans.ml import labelled_parts
     rows = [(i, f"name {i % 5}", ["PROMO", "SMALL", "ECONOMY", None][i % 4], i % 7, float(i)) for i in range(40)]

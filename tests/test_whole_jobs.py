@@ -59,3 +59,14 @@ def test_importer_models_search_the_published_grids_and_folds(spark, monkeypatch
     jobs_chains.importer_models(spark, "nowhere")
     grids, folds = seen[0]
     assert folds == 10 and {n: len(search.points(g)) for n, g in grids.items()} == {"rf": 30, "xgb": 30, "lasso": 21, "ridge": 7, "elastic": 4}
+
+
+def test_classification_results_search_the_published_grids_and_folds(spark, monkeypatch):
+    from forecourt.plans import ml as plans
+    seen = []
+    rows = spark.createDataFrame([(i, "a", [float(i)], float(i % 3)) for i in range(20)], "contract_customer long, customer_group string, x array<double>, label double")
+    monkeypatch.setattr(plans, "_contract_features", lambda *a: rows.withColumn("features", array_to_vector("x")))
+    monkeypatch.setattr(search, "classifiers", lambda train, key, evaluator, grids=None, folds=search.FOLDS: seen.append((grids or search.CLASSIFIER_GRIDS, folds)) or [])
+    E.queries()["mlx_22_classification_results"](spark, "nowhere")
+    grids, folds = seen[0]
+    assert folds == 10 and {n: len(search.points(g)) for n, g in grids.items()} == {"dt": 24, "rf": 21, "lr": 20, "svm": 10, "gc": 10, "bayes": 1, "ann": 1}

@@ -30,7 +30,7 @@ from forecourt.operators.ml import top_values
 BUCKETS, COMPONENTS = 100_000, 50
 OVERSAMPLE, PASSES = 10, 5
 TOP_VALUES = 100
-#: Tokens multiplied at once (or one longer text): a product holds so many rows of the matrix.
+#: Tokens counted at once (or one longer text).
 ENTRIES = 1 << 16
 #: Words of at least two word characters.
 TOKEN = r"\w\w+"
@@ -55,15 +55,35 @@ def _sparse(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, bucket, weight / np.where(norm[row] > 0, norm[row], 1.0)
 
 
+def _texts(row: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each row that has entries, and where they are (rows are in order)."""
+    starts = np.flatnonzero(np.diff(row, prepend=-1)).tolist()
+    yield from ((row[a], slice(a, b)) for a, b in zip(starts, [*starts[1:], len(row)]))
+
+
 def _times(row: np.ndarray, bucket: np.ndarray, weight: np.ndarray, n: int, matrix: np.ndarray) -> np.ndarray:
-    """Sparse rows times a dense matrix (rows are in order)."""
+    """Sparse rows times a dense matrix, a row at a time: what a text gathers stays in the processor's cache."""
     out = np.zeros((n, matrix.shape[1]))
-    if len(row):
-        starts = np.flatnonzero(np.diff(row, prepend=-1))
-        out[row[starts]] = np.add.reduceat(weight[:, None] * matrix[bucket], starts, axis=0)
+    for i, at in _texts(row):
+        out[i] = weight[at] @ matrix[bucket[at]]
     return out
 
 
+def _orthonormal(w: np.ndarray) -> np.ndarray:
+    """``w`` overwritten by orthonormal columns of its span, a block of rows at a time."""
+    width, blocks = w.shape[1], np.array_split(np.arange(len(w)), max(1, len(w) // 8192))
+    if len(blocks) == 1:
+        return np.linalg.qr(w)[0]
+    tops = []
+    for at in blocks:
+        w[at], top = np.linalg.qr(w[at])
+        tops.append(top)
+    turn = np.linalg.qr(np.vstack(tops))[0]
+    for i, at in enumerate(blocks):
+        w[at] = w[at] @ turn[i * width:(i + 1) * width]
+    return w
+
+
 def _slices(tokens: pa.Array) -> Iterator[pa.Array]:
     """A batch's texts in runs of about ``ENTRIES`` tokens."""
     upto = np.cumsum(pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -80,11 +100,9 @@ def _normal_product(shared, column: str):
         for tokens in (x for batch in batches for x in _slices(batch.column(column))):
             row, bucket, weight = _sparse(tokens)
             bucket = np.searchsorted(met, bucket)
-            y = _times(row, bucket, weight, len(tokens), w)
-            order = np.argsort(bucket, kind="stable")
-            if len(order):
-                starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-                total[bucket[order][starts]] += np.add.reduceat(weight[order, None] * y[row[order]], starts, axis=0)
+            for _, at in _texts(row):  # the buckets of a text are distinct
+                b, x = bucket[at], weight[at]
+                total[b] += x[:, None] * (x @ w[b])
         at = np.flatnonzero(total.any(axis=1))
         for a in range(0, len(at), 4096):
             some = at[a:a + 4096]
@@ -95,12 +113,14 @@ def _normal_product(shared, column: str):
 
 def _pass(rows: DataFrame, column: str, met: np.ndarray, w: np.ndarray) -> np.ndarray:
     width = w.shape[1]
+    rows.sparkSession._jvm.System.gc()  # Spark deletes shuffle files nothing refers to, as the earlier passes', when it collects
     shared = rows.sparkSession.sparkContext.broadcast((met, w))  # met buckets x width, whatever the rows
     parts = rows.mapInArrow(_normal_product(shared, column), ", ".join(["place long", *(f"z{i} double" for i in range(width))]))
     summed = parts.groupBy("place").agg(*[F.sum(f"z{i}").alias(f"z{i}") for i in range(width)]).toArrow()
-    out = np.zeros_like(w)
-    out[summed.column("place").to_numpy()] = np.column_stack([summed.column(f"z{i}").to_numpy() for i in range(width)])
     shared.destroy()  # its file on the driver goes too
+    out, place = np.zeros_like(w), summed.column("place").to_numpy()
+    for i in range(width):  # a column at a time: the driver holds the sums twice at most
+        out[place, i] = summed.column(f"z{i}").to_numpy()
     return out
 
 
@@ -139,23 +159,27 @@ def fit_text(train: DataFrame, column: str, components: int = COMPONENTS, bucket
     """Truncated SVD of the hashed token matrix of ``train``.  Fewer components than asked for
     where the matrix has no more (none for an empty table)."""
     rows = train.select(hashed_tokens(F.col(column), buckets).alias("tokens")).persist()
+    # A task of a pass writes sums of up to all buckets: no more tasks than run at once.
+    held, rows = rows, rows.coalesce(train.sparkSession.sparkContext.defaultParallelism)
     found = rows.select(F.explode("tokens").alias("b")).select((F.abs("b") - 1).alias("b")).distinct().toArrow()  # at most all buckets
     met = np.sort(found.column("b").to_numpy()).astype(np.int64)
     if not len(met):
-        rows.unpersist()
+        held.unpersist()
         return TextModel(column, np.zeros((buckets, 0)), np.zeros(0))
     width = min(buckets, components + OVERSAMPLE)
-    w = np.linalg.qr(np.random.default_rng(seed).standard_normal((buckets, width)))[0][met]
+    # Only the span of the start counts, so the rows of the met buckets do.
+    w = _orthonormal(np.random.default_rng(seed).standard_normal((buckets, width))[met])
     for _ in range(passes):
-        w = np.linalg.qr(_pass(rows, "tokens", met, w))[0]
+        w = _orthonormal(_pass(rows, "tokens", met, w))
     image = _pass(rows, "tokens", met, w)
     values, turn = np.linalg.eigh(w.T @ image)
+    del image
     order = np.argsort(-values)[:components]
     order = order[values[order] > 1e-12 * max(values.max(), 1e-300)] if values.max() > 0 else order[:0]
     v = np.zeros((buckets, len(order)))
     v[met] = w @ turn[:, order]
     v *= np.where(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0) if v.shape[1] else 1.0
-    rows.unpersist()
+    held.unpersist()
     return TextModel(column, v, np.sqrt(values[order]))
 
 

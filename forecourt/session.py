@@ -89,6 +89,15 @@ def materialize(df, how: str = "persist"):
     return df.checkpoint(eager=True)
 
 
+def discard(df) -> None:
+    """Deletes the scratch table that ``df``, as 'table' of ``materialize`` gave it, reads: what was made
+    of it is stored, and nothing reads it again."""
+    path = next(iter(df.inputFiles()), "").rsplit("/", 1)[0]
+    if "/tables/kept_" in path:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def few_rows(spark: SparkSession, rows: list[tuple], schema: str):
     """Result ``rows`` of the driver as a frame.  They go to the JVM as Arrow; ``createDataFrame`` of a list
     deals them out as a Python RDD, for which every executor core starts a Python worker."""

@@ -85,3 +85,32 @@ def test_only_met_buckets_are_broadcast(spark, monkeypatch):
     train = spark.createDataFrame([(t,) for t in texts(50, 6)], "text string")
     model = features.fit_text(train, "text", components=50)
     assert max(n for n, _ in sizes) <= 40 and model.vectors.shape[0] == features.BUCKETS and len(model.singular) <= 40
+
+
+def test_a_product_holds_one_text_of_the_matrix_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+    r = np.random.default_rng(5)
+    tokens = [(r.integers(1, 1001, n) * r.choice([-1, 1], n)).tolist() for n in [300] * 300 + [0, 1, 2]]
+    batch = pa.RecordBatch.from_arrays([pa.array(tokens, pa.list_(pa.int32()))], ["tokens"])
+
+    class Shared:
+        value = np.arange(1000), np.linalg.qr(r.standard_normal((1000, 60)))[0]
+    tracemalloc.start()
+    got = list(features._normal_product(Shared, "tokens")([batch]))[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6  # all entries of a slice at once: 60 MB and more
+    a = np.zeros((len(tokens), 1000))
+    for i, t in enumerate(tokens):
+        np.add.at(a[i], np.abs(np.array(t, int)) - 1, np.sign(t))
+    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-300)
+    want = a.T @ (a @ Shared.value[1])
+    assert np.abs(np.column_stack([got.column(i + 1).to_numpy() for i in range(60)]) - want[got.column(0).to_numpy()]).max() < 1e-12
+
+
+def test_blocks_of_rows_give_an_orthonormal_basis_of_the_span():
+    w = np.random.default_rng(7).standard_normal((20_000, 6))
+    q = features._orthonormal(w.copy())
+    assert np.abs(q.T @ q - np.eye(6)).max() < 1e-12 and np.abs(q @ (q.T @ w) - w).max() < 1e-9

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecourt.operators.ml import top_values
+from forecourt.session import free_shuffles
 
 BUCKETS, COMPONENTS = 100_000, 50
 OVERSAMPLE, PASSES = 10, 5
@@ -113,7 +114,7 @@ def _normal_product(shared, column: str):
 
 def _pass(rows: DataFrame, column: str, met: np.ndarray, w: np.ndarray) -> np.ndarray:
     width = w.shape[1]
-    rows.sparkSession._jvm.System.gc()  # Spark deletes shuffle files nothing refers to, as the earlier passes', when it collects
+    free_shuffles(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast((met, w))  # met buckets x width, whatever the rows
     parts = rows.mapInArrow(_normal_product(shared, column), ", ".join(["place long", *(f"z{i} double" for i in range(width))]))
     summed = parts.groupBy("place").agg(*[F.sum(f"z{i}").alias(f"z{i}") for i in range(width)]).toArrow()

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.session import materialize
+from forecourt.session import free_shuffles, materialize
 
 #: Rows of a table of offsets up to which it is broadcast.
 FEW = 100_000
@@ -92,7 +92,8 @@ def chunk_offsets(df: DataFrame, group_cols: list[str], order_cols: list[str], c
 
 def previous_sales_features(df: DataFrame, group_cols: list[str], order_cols: list,
                             chunk: Column | None = None, score: str = "new_score",
-                            margin: str = "margin_pct", days: str = "stock_days") -> DataFrame:
+                            margin: str = "margin_pct", days: str = "stock_days",
+                            source: DataFrame | None = None) -> DataFrame:
     """WIN-01: per configuration, ordered by sale date:
     prev_sales_check, number_prev_sales, last_score / last_margin /
     last_stock_days (lag, first row 0), average_score_dynamic (running mean of
@@ -101,29 +102,38 @@ def previous_sales_features(df: DataFrame, group_cols: list[str], order_cols: li
     Groups of a single row get 0 in every feature (Q-11).
 
     The offsets of the chunks are stored first (``df`` is read for them: pass a
-    materialised base).  If they are few, they and the group statistics, which are
-    fewer, are broadcast, and the rows are shuffled for the window only."""
+    materialised base), then the group statistics.  If the offsets are few, they and the
+    statistics, which are fewer, are broadcast, and the rows are shuffled for the window only.
+    ``source`` (default ``df``): the same rows for offsets and statistics, where ``df`` deals
+    whole rows by group and chunk itself."""
     g = list(group_cols)
     scan = (chunk, [score], [score, margin, days])
     few, stored = (lambda t: t), None
     if all(isinstance(c, str) for c in order_cols):
-        stored = materialize(chunk_offsets(df, g, order_cols, *scan), "checkpoint")
+        stored = materialize(chunk_offsets(df if source is None else source, g, order_cols, *scan), "checkpoint")
         few = F.broadcast if stored.count() <= FEW else few
         stored = few(stored)
-    x = chunked_running(df, g, order_cols, *scan, prefix="_p", offsets=stored)
     rn = F.col("_p_rn")
     cum = F.col(f"_p_cum_{score}")
-    x = (x.withColumn("average_score_dynamic",
-                      F.when(rn == 1, F.lit(0.0)).otherwise(cum / rn))
-          .withColumn("prev_average_score_dynamic",
-                      F.when(rn <= 2, F.lit(0.0)).otherwise((cum - F.col(score)) / (rn - 1))))
-    stats = x.groupBy(*g).agg(
+
+    def running(rows):
+        x = chunked_running(rows, g, order_cols, *scan, prefix="_p", offsets=stored)
+        return (x.withColumn("average_score_dynamic",
+                             F.when(rn == 1, F.lit(0.0)).otherwise(cum / rn))
+                 .withColumn("prev_average_score_dynamic",
+                             F.when(rn <= 2, F.lit(0.0)).otherwise((cum - F.col(score)) / (rn - 1))))
+    x = running(df)
+    narrow = x if source is None else running(source)
+    stats = narrow.groupBy(*g).agg(
         F.count(F.lit(1)).alias("_n"),
         F.stddev_pop("average_score_dynamic").alias("_std"),
         F.avg(score).alias("_avg"), F.min(score).cast("double").alias("_min"),
         F.max(score).cast("double").alias("_max"),
         F.percentile(score, 0.75).alias("_q3"), F.percentile(score, 0.5).alias("_q2"),
         F.percentile(score, 0.25).alias("_q1"))
+    if stored is not None:  # the shuffle they are made from ends before that of the whole rows
+        stats = materialize(stats, "checkpoint")
+        free_shuffles(df.sparkSession)
     x = x.join(few(stats), on=g, how="inner")
     multi = F.col("_n") > 1
 

@@ -9,8 +9,8 @@ from forecourt.functions import measures
 from forecourt.functions.fmt import big, rnd, sql_rnd
 from forecourt.operators import aggs, windows
 from forecourt.plans.registry import query
-from forecourt.session import materialize
-from forecourt.sources.fixtures import LINE_KEY_SQL, VEHICLE_SALES_SQL, vehicle_sales
+from forecourt.session import free_shuffles, materialize
+from forecourt.sources.fixtures import LINE_KEY_SQL, VEHICLE_SALES_SQL, sale_values, vehicle_lines, vehicle_sales
 from forecourt.sources.tables import LINE_KEY
 
 CONFIG = ["brand", "ptype", "size_class"]
@@ -27,9 +27,11 @@ HIST_IN = [*LINE_KEY, *CONFIG, "sale_date", "new_score", "margin_pct", "stock_da
 
 
 def scored(spark, d):
-    v = vehicle_sales(spark, d)
-    v = measures.margin_pct(v)
-    return measures.score(v)
+    return _scored(vehicle_sales(spark, d))
+
+
+def _scored(sales):
+    return measures.score(measures.margin_pct(sales))
 
 
 def with_history(spark, d):
@@ -98,12 +100,17 @@ def q_agg03(spark, d):
 
 
 def retail_scored(spark, d):
-    """JOB-01 analogue: the flagship chain.  The scored vehicles are
+    """JOB-01 analogue: the flagship chain.  The joined lines are
     materialised once (a table in the shared folder): the history
     features and the grain aggregation both read them, so the scan and
-    joins of the source tables run once."""
-    base = materialize(scored(spark, d).select(*HIST_IN, "place", "place_v2", *[c for c, _ in SCORE_OUT if c not in HIST_IN]), "table")
-    h = windows.previous_sales_features(base, CONFIG, ORDER, chunk=F.trunc("sale_date", "month"))
+    joins of the source tables run once.  Measures are made of the lines where
+    they are read, and for the history past the shuffle: neither the table nor
+    the shuffle holds them."""
+    lines = materialize(vehicle_lines(spark, d), "table")
+    base = _scored(sale_values(lines))
+    free_shuffles(spark)
+    spread = lines.repartition(*CONFIG, F.trunc("sale_date", "month"))
+    h = windows.previous_sales_features(_scored(sale_values(spread)), CONFIG, ORDER, chunk=F.trunc("sale_date", "month"), source=base)
     out = aggs.multi_grain_averages(h, CONFIG, GRAINS, source=base)
     return out.select(*LINE_KEY, *CONFIG, "place", "place_v2",
                       *_fmt(SCORE_OUT), *_fmt(HIST_OUT), *_fmt(_grain_cols()))

@@ -98,6 +98,12 @@ def discard(df) -> None:
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files nothing refers to when the driver's JVM collects, which it does
+    rarely by itself; called between large steps of a job."""
+    spark._jvm.System.gc()
+
+
 def few_rows(spark: SparkSession, rows: list[tuple], schema: str):
     """Result ``rows`` of the driver as a frame.  They go to the JVM as Arrow; ``createDataFrame`` of a list
     deals them out as a Python RDD, for which every executor core starts a Python worker."""

@@ -24,9 +24,9 @@ def places(spark: SparkSession, d: str) -> DataFrame:
                      F.col("r_name").alias("place_v2")))
 
 
-def vehicle_sales(spark: SparkSession, d: str) -> DataFrame:
+def vehicle_lines(spark: SparkSession, d: str) -> DataFrame:
     """One row per sold vehicle (= line): configuration (brand, type, size
-    class), sale place and region, purchase / sale dates, cost and margin.
+    class), sale place and region, purchase / sale dates, what its values are made of.
 
     Join order is chosen by hand (CBO is off by default): orders are enriched
     with customer + place first (order-sized shuffle), then the line table is
@@ -50,12 +50,22 @@ def vehicle_sales(spark: SparkSession, d: str) -> DataFrame:
         "place", "place_v2",
         F.col("o_orderdate").alias("purchase_date"),
         F.col("l_shipdate").alias("sale_date"),
-        (F.col("p_retailprice") * F.col("l_quantity")).alias("price_total"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))
-         - F.col("p_retailprice") * F.col("l_quantity")).alias("margin"),
+        "p_retailprice", "l_discount",
     )
 
 
+def sale_values(v: DataFrame) -> DataFrame:
+    """Cost and margin of ``vehicle_lines``."""
+    return (v.withColumn("price_total", F.col("p_retailprice") * F.col("l_quantity"))
+             .withColumn("margin", F.col("l_extendedprice") * (1 - F.col("l_discount")) - F.col("p_retailprice") * F.col("l_quantity"))
+             .drop("p_retailprice", "l_discount"))
+
+
+def vehicle_sales(spark: SparkSession, d: str) -> DataFrame:
+    """``vehicle_lines`` with cost and margin."""
+    return sale_values(vehicle_lines(spark, d))
+
+
 VEHICLE_SALES_SQL = """
 vehicle_sales AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,

@@ -34,3 +34,12 @@ def test_flagship_scans_sources_once(spark):
 def test_month_window_frames_run_on_daily_counts(spark):
     p = _plan(E.queries()["win_03_month_windows"](spark, SF))
     assert "RangeFrame" in p
+
+
+def test_flagship_deals_whole_rows_once_without_their_measures(spark):
+    df = E.queries()["job_01_retail_scored"](spark, SF)
+    p = _plan(df)
+    dealt = [x for x in p.split("\n\n") if "REPARTITION_BY_COL" in x]
+    # the group statistics are stored, so the plan has the window of the rows alone
+    assert len(re.findall(r"\n\(\d+\) Window\n", p)) == 1 and len(dealt) == 1
+    assert "p_retailprice" in dealt[0] and "score_euros" not in dealt[0] and "margin_pct" not in dealt[0]
